@@ -130,15 +130,19 @@ def _match_table(df: DataFrame, table: DataFrame, text: str, keys: Sequence[str]
 
     long_literal = F.coalesce(F.length("literal") >= MIN_LITERAL, F.lit(False)) & ~_letter("8")
     filtered = verify_candidates(df, table.filter(long_literal), text, keys)
-    rest = table.filter(~long_literal).select("rule_id", "forward", "flags", "ascii_only")
-    parts = [filtered]
+    return filtered.unionByName(match_each(df, table.filter(~long_literal), text, keys))
+
+
+def match_each(df: DataFrame, table: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
+    """Test every rule of a prepared table on every row; the rules are
+    broadcast, in slices if there are many."""
+    rest = table.select("rule_id", "forward", "flags", "ascii_only")
     view = df.select(*keys, F.col(text).alias("_raw"), byte_view(F.col(text)).alias("_view"))
-    for rules in broadcast_slices(rest):
-        subject = F.when(F.col("ascii_only") | _letter("8"), F.col("_raw")).otherwise(
-            F.col("_view")
-        )
-        hit = view.join(rules, F.regexp_like(subject, F.col("forward")))
-        parts.append(hit.select(*keys, "rule_id"))
+    subject = F.when(F.col("ascii_only") | _letter("8"), F.col("_raw")).otherwise(F.col("_view"))
+    parts = [
+        view.join(rules, F.regexp_like(subject, F.col("forward"))).select(*keys, "rule_id")
+        for rules in broadcast_slices(rest)
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
