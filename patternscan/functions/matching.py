@@ -78,6 +78,7 @@ def bounded(rule: Rule, events):
     ext = rule.ext
     low, high = ext.get("min_offset"), ext.get("max_offset")
     shortest = ext.get("min_length")
+    shown = "L" in rule.flags or rule.kind == LEFTMOST
     for start, end in events:
         if low is not None and end < low:
             continue
@@ -85,7 +86,7 @@ def bounded(rule: Rule, events):
             continue
         if shortest is not None and end - start < shortest:
             continue
-        yield (start if "L" in rule.flags else 0), end
+        yield (start if shown else 0), end
         if "H" in rule.flags:
             return
 

@@ -267,10 +267,18 @@ class Writer:
 
     def assertion(self, at) -> str:
         many, end, data_ends = self.flags & re.M, self.end, self.eod
-        if at is C.AT_BOUNDARY:
-            return r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
-        if at is C.AT_NON_BOUNDARY:
-            return r"(?:(?<=\w)(?=\w)|(?<!\w)(?!\w))"
+        if at in (C.AT_BOUNDARY, C.AT_NON_BOUNDARY):
+            # what is beside the position: a word character, or not one; in an
+            # open stream the byte after the position must have arrived
+            before, not_before = r"(?<=\w)", r"(?<!\w)"
+            after, not_after = r"(?=\w)", r"(?!\w)"
+            if not data_ends and self.backward:
+                not_before = r"(?<=\W)"
+            elif not data_ends:
+                not_after = r"(?=\W)"
+            if at is C.AT_BOUNDARY:
+                return f"(?:{before}{not_after}|{not_before}{after})"
+            return f"(?:{before}{after}|{not_before}{not_after})"
         if at is C.AT_BEGINNING and many:
             if self.backward:
                 return rf"(?:{end}|(?!\A)(?=\n))"
@@ -545,8 +553,11 @@ def _end_class(tree) -> tuple[bool, bool]:
 
 def check_flags(rule: Rule) -> str:
     """Canonical flag letters; unknown ones, or ones the kind lacks, raise."""
-    known = LEFTMOST_FLAGS if rule.kind == LEFTMOST else "".join(FLAG_BITS)
-    letters = {DEPRECATED_FLAGS.get(c, c) for c in rule.flags}
+    if rule.kind == LEFTMOST:
+        known, letters = LEFTMOST_FLAGS, set(rule.flags)
+    else:
+        known = "".join(FLAG_BITS)
+        letters = {DEPRECATED_FLAGS.get(c, c) for c in rule.flags}
     for c in letters:
         if c not in known:
             raise RuleError(f"flag `{c}` invalid for {rule.kind} rules")

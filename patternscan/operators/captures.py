@@ -79,12 +79,10 @@ def scan_in_workers(
         subject = chars if "8" in m.rule.flags else view
         if m.rule.kind == LEFTMOST:
             found = [x.span() for x in m.forward.finditer(subject)]
-            for a, b in byte_offsets(m.rule, subject, found):
-                yield m.rule.rule_id, a, b, 0
         else:
-            found = byte_offsets(m.rule, subject, m.ends(subject))
-            for a, b in bounded(m.rule, found):
-                yield m.rule.rule_id, a, b, 0
+            found = m.ends(subject)
+        for a, b in bounded(m.rule, byte_offsets(m.rule, subject, found)):
+            yield m.rule.rule_id, a, b, 0
 
     kept = df
     if df.schema[text].dataType.typeName() == "string":
@@ -128,6 +126,8 @@ def scan_captures(
                 captures.append({"from_off": a, "to_off": b, "text": piece})
             a, b = offsets[spans[0]]
             yield m.rule.rule_id, a, b, 0, captures
+            if "H" in m.rule.flags:
+                return
 
     kept = df
     if df.schema[text].dataType.typeName() == "string":
