@@ -203,22 +203,23 @@ def parse(rule: Rule):
 # --------------------------------------------------------------------------
 # writing
 
+# By name: the parser's own constants cannot be sent to workers.
 _SHORT = {
-    C.CATEGORY_DIGIT: r"\d",
-    C.CATEGORY_NOT_DIGIT: r"\D",
-    C.CATEGORY_SPACE: r"\s",
-    C.CATEGORY_NOT_SPACE: r"\S",
-    C.CATEGORY_WORD: r"\w",
-    C.CATEGORY_NOT_WORD: r"\W",
+    "CATEGORY_DIGIT": r"\d",
+    "CATEGORY_NOT_DIGIT": r"\D",
+    "CATEGORY_SPACE": r"\s",
+    "CATEGORY_NOT_SPACE": r"\S",
+    "CATEGORY_WORD": r"\w",
+    "CATEGORY_NOT_WORD": r"\W",
 }
-_REPEATS = (C.MAX_REPEAT, C.MIN_REPEAT, C.POSSESSIVE_REPEAT)
+_REPEATS = {"MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"}
 _DENIED = {
-    C.GROUPREF: "back-reference",
-    C.GROUPREF_EXISTS: "conditional group",
-    C.ASSERT: "look-around",
-    C.ASSERT_NOT: "look-around",
-    C.ATOMIC_GROUP: "atomic group",
-    C.POSSESSIVE_REPEAT: "possessive quantifier",
+    "GROUPREF": "back-reference",
+    "GROUPREF_EXISTS": "conditional group",
+    "ASSERT": "look-around",
+    "ASSERT_NOT": "look-around",
+    "ATOMIC_GROUP": "atomic group",
+    "POSSESSIVE_REPEAT": "possessive quantifier",
 }
 
 
@@ -262,7 +263,7 @@ class Writer:
             elif op is C.RANGE:
                 out.append(f"{self.char(av[0])}-{self.char(av[1])}")
             elif op is C.CATEGORY:
-                out.append(_SHORT[av])
+                out.append(_SHORT[av.name])
         return "[" + "".join(out) + "]"
 
     def assertion(self, at) -> str:
@@ -314,7 +315,7 @@ class Writer:
             return self.assertion(av)
         if op is C.BRANCH:
             return "(?:" + "|".join(self.sequence(x) for x in av[1]) + ")"
-        if op in _REPEATS:
+        if op.name in _REPEATS:
             return self.repeat(op, *av)
         if op is C.SUBPATTERN:
             return self.group(*av)
@@ -378,7 +379,7 @@ class Writer:
 def _walk(items):
     for op, av in items:
         yield op, av
-        if op in _REPEATS:
+        if op.name in _REPEATS:
             yield from _walk(av[2])
         elif op is C.SUBPATTERN:
             yield from _walk(av[3])
@@ -451,7 +452,7 @@ def _stack_risk(tree) -> bool:
         if op in (C.MAX_REPEAT, C.MIN_REPEAT) and (av[1] == C.MAXREPEAT or av[1] > 256):
             body = list(_walk(av[2]))
             single = len(av[2]) == 1 and av[2][0][0] in (C.LITERAL, C.NOT_LITERAL, C.ANY, C.IN)
-            if not single and any(o is C.BRANCH or o in _REPEATS for o, _ in body):
+            if not single and any(o is C.BRANCH or o.name in _REPEATS for o, _ in body):
                 return True
     return False
 
@@ -471,7 +472,7 @@ def _ascii_only(tree) -> bool:
                     return False
                 if kind is C.RANGE and value[1] >= 0x80:
                     return False
-                if kind is C.CATEGORY and _SHORT[value].isupper():
+                if kind is C.CATEGORY and _SHORT[value.name].isupper():
                     return False
     return True
 
@@ -486,7 +487,7 @@ def _class_set(items) -> set[int]:
         elif kind is C.RANGE:
             chars.update(range(value[0], min(value[1], 255) + 1))
         elif kind is C.CATEGORY:
-            short = re.compile(_SHORT[value], re.ASCII)
+            short = re.compile(_SHORT[value.name], re.ASCII)
             chars.update(c for c in range(256) if short.match(chr(c)))
     return set(range(256)) - chars if negate else chars
 
@@ -544,7 +545,7 @@ def _end_class(tree) -> tuple[bool, bool]:
                 return True
             if op is C.BRANCH and all(must(x) for x in av[1]):
                 return True
-            if op in _REPEATS and av[0] > 0 and must(av[2]):
+            if op.name in _REPEATS and av[0] > 0 and must(av[2]):
                 return True
         return False
 
@@ -571,8 +572,8 @@ def prepare(rule: Rule, eod: bool = True) -> Prepared:
     leftmost = rule.kind == LEFTMOST
     if not leftmost:
         for op, _ in _walk(tree):
-            if op in _DENIED:
-                raise RuleError(f"{_DENIED[op]} not supported.")
+            if op.name in _DENIED:
+                raise RuleError(f"{_DENIED[op.name]} not supported.")
     low, high = _width(tree)
     if low == 0 and not leftmost and "V" not in rule.flags:
         raise RuleError("Pattern matches empty buffer; use AllowEmpty (V) to enable support.")

@@ -1,30 +1,19 @@
-"""Make this package importable in Python workers.
-
-Same effect as submitting with ``--py-files``: the package travels as a zip
-through the session.  Nothing happens if it was sent already.
-"""
+"""Make this package usable in Python workers that do not have it installed."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
-PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-
 
 def ship_package(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if getattr(context, "_patternscan_shipped", False):
-        return
-    path = os.path.join(tempfile.mkdtemp(prefix="patternscan-"), "patternscan.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, files in os.walk(PACKAGE):
-            for name in files:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(PACKAGE)))
-    context.addPyFile(path)
-    context._patternscan_shipped = True
+    """Functions of this package travel inside the job, by value.
+
+    Files added to a session (``--py-files``) do not reach the worker that
+    prepares a stateful streaming query, so the code itself is sent.
+    """
+    package = sys.modules[__name__.partition(".")[0]]
+    if package.__name__ not in cloudpickle.list_registry_pickle_by_value():
+        cloudpickle.register_pickle_by_value(package)
