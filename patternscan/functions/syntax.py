@@ -516,7 +516,10 @@ def _alphabet(tree, dotall: bool) -> set[int]:
 def _fence(tree, letters: str) -> str | None:
     if "8" in letters:
         return None
-    outside = sorted(set(range(256)) - _alphabet(tree, bool(tree.state.flags & re.S)))
+    matched = _alphabet(tree, bool(tree.state.flags & re.S))
+    if any(op is C.AT and av is C.AT_END for op, av in _walk(tree)):
+        matched.add(10)  # an end may look past a final newline
+    outside = sorted(set(range(256)) - matched)
     if not outside:
         return None
     ranges = []

@@ -42,7 +42,7 @@ def coalesce_events(
         raise ValueError(f"unknown scope {scope!r}")
     keys = list(keys)
     group = keys + (["rule_id"] if scope == "rule" else [])
-    slotted = events.withColumn("_slot", F.floor(F.col("to_off") / F.lit(SLOT)))
+    slotted = events.withColumn("_slot", F.col("to_off") - F.pmod("to_off", F.lit(SLOT)))
     # the event that follows, within the slot
     here = Window.partitionBy(*group, "_slot").orderBy("to_off", "rule_id", "from_off")
     with_next = slotted.withColumn("_next", F.lead(_order()).over(here))

@@ -19,10 +19,10 @@ from pyspark.sql import types as T
 from patternscan.functions.syntax import ALL_ENDS, LITERAL, Prepared, Rule, RuleError, prepare
 from patternscan.functions.views import binary_view, byte_view
 from patternscan.operators.events import coalesce_events, limit_events
-from patternscan.operators.scan import event_array
+from patternscan.operators.scan import _event, event_array
 from patternscan.plans.ruleset import RuleSet, load_rules
 
-BUCKET = 64  # chunks per run
+BUCKET = 256  # chunks per run: about 1 MB of 4 KB chunks
 TOTALS_BUCKET = 4096  # rows per run when only numbers are summed
 SEED_RUN = -(1 << 62)  # sorts before every run of chunks
 MAX_SEGMENT = 1 << 28  # bytes an unbounded rule may need at once
@@ -59,31 +59,45 @@ def chunk_text(
     )
 
 
+def run_of(order: Column, bucket: int) -> Column:
+    """First order number of the run of ``bucket`` numbers that holds this one."""
+    return order - F.pmod(order, F.lit(bucket))
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     values: dict[str, Column],
     bucket: int = TOTALS_BUCKET,
+    levels: int = 1,
 ) -> DataFrame:
     """``df`` with the sum of each value over the rows before this one.
 
     Sums run inside (key, run of ``bucket`` order numbers) groups and over the
-    run totals, so one long key is spread over many tasks.
+    run totals, so one long key is spread over many tasks.  More ``levels`` do
+    the same to the run totals.
     """
     keys = list(keys)
-    run = F.floor(F.col(order) / F.lit(bucket))
+    run = run_of(F.col(order).cast("long"), bucket)
     marked = df.select("*", run.alias("_run"), *(v.alias(f"_v_{n}") for n, v in values.items()))
     totals = marked.groupBy(*keys, "_run").agg(
         *(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values)
     )
-    before = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
-    totals = totals.select(
-        *keys,
-        "_run",
-        *(F.coalesce(F.sum(f"_t_{n}").over(before), zero).alias(f"_b_{n}") for n in values),
-    )
+    if levels > 1:
+        sums = {f"_b_{n}": F.col(f"_t_{n}") for n in values}
+        totals = totals.withColumnRenamed("_run", "_at")
+        totals = running_totals(totals, keys, "_at", sums, bucket * TOTALS_BUCKET, levels - 1)
+        totals = totals.select(*keys, F.col("_at").alias("_run"), *sums)
+    else:
+        before = Window.partitionBy(*keys).orderBy("_run")
+        before = before.rowsBetween(Window.unboundedPreceding, -1)
+        totals = totals.select(
+            *keys,
+            "_run",
+            *(F.coalesce(F.sum(f"_t_{n}").over(before), zero).alias(f"_b_{n}") for n in values),
+        )
     inside = (
         Window.partitionBy(*keys, "_run").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -131,7 +145,7 @@ def _runs(
         *keys, F.col(seq).cast("long").alias("_seq"), _view_of(chunks, chunk).alias("_view")
     ).filter("_view != ''")
     bodies = (
-        view.groupBy(*keys, F.floor(F.col("_seq") / F.lit(bucket)).alias("_run"))
+        view.groupBy(*keys, run_of(F.col("_seq"), bucket).alias("_run"))
         .agg(F.array_sort(F.collect_list(F.struct("_seq", "_view"))).alias("_c"))
         .select(
             *keys,
@@ -304,16 +318,20 @@ def _settle(events: DataFrame, keys: list[str], rules: Sequence[Rule], text: boo
     )
 
 
-def _scan_runs(runs: Runs, keys: list[str], local: _Local, seeded: bool) -> DataFrame:
+def _scan_runs(
+    runs: Runs, keys: list[str], local: _Local, seeded: bool, close: bool
+) -> DataFrame:
     """Events of bounded rules: each run is scanned behind the bytes that
     precede it, and reports only the ends inside itself."""
     rows = runs.bodies.drop("_last_seq").join(
-        runs.summary.select(*keys, "_run", "base", "carry", "ahead", "resumed"), [*keys, "_run"]
+        runs.summary.select(*keys, "_run", "base", "carry", "ahead", "resumed", "last"),
+        [*keys, "_run"],
     )
     rows = rows.select(
         *keys,
         "base",
         "resumed",
+        "last",
         "carry",
         F.char_length("carry").cast("long").alias("_c"),
         F.char_length("body").cast("long").alias("_n"),
@@ -333,6 +351,15 @@ def _scan_runs(runs: Runs, keys: list[str], local: _Local, seeded: bool) -> Data
         inside = F.when(
             F.col("resumed"), F.concat(F.array_except(edge(found), edge(known)), inside)
         ).otherwise(inside)
+    late = local.only(lambda p: p.looks_right)
+    if close and late.open:
+        end = F.right(view, F.lit(late.width + 2))
+        before = (F.char_length(view) - F.char_length(end)).cast("long")
+        closing = F.transform(
+            _closing(end, late),
+            lambda e: _event(e["to_off"] + before, e["rule_id"], e["from_off"] + before),
+        )
+        inside = F.when(F.col("last"), F.concat(inside, closing)).otherwise(inside)
     return _global(rows, keys, local, inside, F.col("base") - F.col("_c"), view)
 
 
@@ -412,11 +439,16 @@ def _segments(
     )
 
 
-def _scan_segments(segments: DataFrame, keys: list[str], local: _Local) -> DataFrame:
+def _scan_segments(
+    segments: DataFrame, keys: list[str], local: _Local, close: bool
+) -> DataFrame:
     view = F.col("_view")
     found = event_array(binary_text(view), RuleSet(local.open), view=view)
     # the first byte of a later segment was scanned in the one before
     inside = F.filter(found, lambda e: (F.col("_g") == 0) | (e["to_off"] > 1))
+    late = local.only(lambda p: p.looks_right)
+    if close and late.open:
+        inside = F.when(F.col("last"), F.concat(inside, _closing(view, late))).otherwise(inside)
     return _global(segments, keys, local, inside, F.col("base"), view)
 
 
@@ -433,10 +465,12 @@ def scan_stream(
     chunk: str = "chunk",
     state: DataFrame | None = None,
     with_text: bool = False,
+    close: bool = False,
     bucket: int = BUCKET,
 ) -> DataFrame:
     """All-ends events of streams of ordered chunks, offsets in the whole
-    stream, without the events of its end (see ``close_streams``).
+    stream.  The events of its end (see ``close_streams``) are included with
+    ``close``.
 
     ``seq`` orders the chunks of a stream and is unique in it; ``state`` (from
     ``export_state``) continues streams scanned before.
@@ -446,10 +480,11 @@ def scan_stream(
     parts = []
     bounded = local.only(lambda p: p.max_width is not None)
     if bounded.open:
-        runs = _runs(chunks, keys, seq, chunk, bounded.width, bucket, state)
-        parts.append(_scan_runs(runs, keys, bounded, state is not None))
+        runs = _runs(chunks, keys, seq, chunk, bounded.width + 2 * close, bucket, state)
+        parts.append(_scan_runs(runs, keys, bounded, state is not None, close))
     for fence, group in _by_fence(local):
-        parts.append(_scan_segments(_segments(chunks, keys, seq, chunk, fence), keys, group))
+        segments = _segments(chunks, keys, seq, chunk, fence)
+        parts.append(_scan_segments(segments, keys, group, close))
     events = reduce(DataFrame.unionByName, parts)
     return _settle(events, keys, local.rules, with_text)
 
@@ -478,7 +513,7 @@ def close_streams(
     parts = []
     bounded = local.only(lambda p: p.max_width is not None)
     if bounded.open:
-        width = bounded.width + 2
+        width = bounded.width + 2  # a final newline and one byte of context
         last = _runs(chunks, keys, seq, chunk, width, bucket, state).totals
         view = F.col("tail")
         shift = F.col("total") - F.char_length("tail")
@@ -589,9 +624,7 @@ def stream_match(
 ) -> DataFrame:
     """One row per stream: did the rule match anywhere in it?"""
     keys = list(keys)
-    events = scan_stream(chunks, rule, keys, seq, chunk).unionByName(
-        close_streams(chunks, rule, keys, seq, chunk)
-    )
+    events = scan_stream(chunks, rule, keys, seq, chunk, close=True)
     hit = events.select(*keys).distinct().withColumn("matched", F.lit(True))
     streams = chunks.select(*keys).distinct()
     return streams.join(hit, keys, "left").select(
@@ -611,13 +644,10 @@ def stream_find(
     """The first ``n`` merged matches of each stream (all if negative), one row
     each; ``with_text`` adds the matched bytes."""
     keys = list(keys)
-    args = (chunks, rules, keys, seq, chunk)
     local = _stream_rules(rules)
     starts = all("L" in r.flags for r in local)
     attach = with_text and starts
-    events = scan_stream(*args, with_text=attach).unionByName(
-        close_streams(*args, with_text=attach)
-    )
+    events = scan_stream(chunks, rules, keys, seq, chunk, with_text=attach, close=True)
     merged = coalesce_events(events, keys)
     if n >= 0:
         merged = limit_events(merged, n, keys).drop("truncated")
@@ -644,7 +674,7 @@ def stream_text(
 
     def cells(lo, hi):
         return F.explode(
-            F.sequence(F.floor(lo / F.lit(cell)), F.floor((hi - 1) / F.lit(cell)))
+            F.sequence(run_of(lo, cell), run_of(hi - 1, cell), F.lit(cell).cast("long"))
         ).alias("_cell")
 
     have = placed.select(
@@ -653,8 +683,8 @@ def stream_text(
     want = events.filter("to_off > from_off").select(
         *events.columns, cells(F.col("from_off"), F.col("to_off"))
     )
-    lo = F.greatest("from_off", "_base", F.col("_cell") * cell)
-    hi = F.least("to_off", F.col("_base") + F.col("_n"), (F.col("_cell") + 1) * cell)
+    lo = F.greatest("from_off", "_base", F.col("_cell"))
+    hi = F.least("to_off", F.col("_base") + F.col("_n"), F.col("_cell") + cell)
     pieces = (
         want.join(have, [*keys, "_cell"])
         .withColumn("_lo", lo)
