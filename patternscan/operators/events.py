@@ -13,6 +13,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from patternscan.functions.syntax import RuleError
+from patternscan.plans.shipping import ship_package
+
 SLOT = 1 << 20  # bytes of text whose events are handled together
 
 # 2^16 and 2^32 bytes; large keeps every start.
@@ -114,8 +117,6 @@ _FORMULA = re.compile(r"\s*(?:(\d+)|([()&|!]))")
 
 def parse_formula(text: str) -> list:
     """A formula of rule ids, ``!``, ``&``, ``|`` and brackets as nested lists."""
-    from patternscan.functions.syntax import RuleError
-
     tokens, at = [], 0
     text = text.rstrip()
     while at < len(text):
@@ -313,6 +314,7 @@ def apply_handler(
     ``handler(key, events, context)`` gets a pandas frame sorted by
     (to, rule, from) and yields output tuples.  ``context`` is broadcast.
     """
+    ship_package(events.sparkSession)
     shared = events.sparkSession.sparkContext.broadcast(context)
     names = [f.split()[0].split(":")[0] for f in schema.split(",")]
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patternscan.functions.views import byte_view
+from patternscan.functions.views import binary_view, byte_view
 from patternscan.operators.grams import MAX_INDEX_ROWS, gram_occurrences
-from patternscan.plans.ruleset import prepared_table
+from patternscan.plans.ruleset import broadcast_slices, prepared_table
 
 MIN_LITERAL = 3
 
@@ -23,49 +24,69 @@ def prefilter_verify(
 ) -> DataFrame:
     """``keys..., rule_id`` of every match: the literal a rule requires picks
     candidate pairs, the rule itself decides.  A rules table takes the gram
-    join at any size; rules without a literal of three bytes are tested as in
-    ``match_rules``."""
-    from patternscan.operators.scan import match_each, match_rules
+    join at any size; a list is unrolled with a substring test first."""
+    from patternscan.operators.scan import match_rules
 
     if not isinstance(rules, DataFrame):
         return match_rules(df, rules, text, keys)
-    table = prepared_table(rules)
-    usable = (
-        F.coalesce(F.length("literal") >= MIN_LITERAL, F.lit(False))
-        & ~F.contains(F.col("flags"), F.lit("8"))
-    )
-    found = verify_candidates(df, table.filter(usable), text, keys, max_index_rows)
-    rest = table.filter(~usable)
-    if not rest.limit(1).collect():
-        return found
-    return found.unionByName(match_each(df, rest, text, keys))
+    pairs = rule_pairs(df, prepared_table(rules), text, keys, max_index_rows)
+    return pairs.select(*keys, "rule_id")
 
 
-def verify_candidates(
+def rule_pairs(
     df: DataFrame,
     table: DataFrame,
     text: str,
     keys: Sequence[str],
     max_index_rows: int = MAX_INDEX_ROWS,
 ) -> DataFrame:
-    """Pairs (row, rule) whose required literal occurs and whose rule matches.
-
-    Only the first occurrence of a literal in a row is a candidate, so each
-    pair is verified once and needs no ``distinct``.
-    """
-    view = df.select(*keys, byte_view(F.col(text)).alias("_view"))
-    raw = view.withColumn("_raw", F.encode("_view", "ISO-8859-1"))
-    literals = table.select(
-        "rule_id", "forward", "literal", F.encode("literal", "ISO-8859-1").alias("lit")
-    )
+    """Every (row, rule) that match, with the row's text (``_text``), its byte
+    view (``_view``) and the columns of the prepared rule."""
+    utf8 = F.contains(F.col("flags"), F.lit("8"))
+    usable = F.coalesce(F.length("literal") >= MIN_LITERAL, F.lit(False)) & ~utf8
+    by_literal = table.filter(usable)
+    others = table.filter(~usable)
+    parts = []
+    if by_literal.limit(1).collect():
+        parts.append(_by_literal(df, by_literal, text, keys, max_index_rows))
+    if others.limit(1).collect() or not parts:
+        parts.append(_by_test(df, others, text, keys))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _texts(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
+    col = F.col(text)
+    if df.schema[text].dataType.typeName() == "binary":
+        return df.select(*keys, binary_view(col).alias("_text"), binary_view(col).alias("_view"))
+    return df.select(*keys, col.alias("_text"), byte_view(col).alias("_view"))
+
+
+def _by_literal(df, table, text, keys, max_index_rows) -> DataFrame:
+    """Only the first occurrence of a literal in a row is a candidate, so each
+    pair is verified once and needs no ``distinct``."""
+    texts = _texts(df, text, keys).withColumn("_raw", F.encode("_view", "ISO-8859-1"))
+    literals = table.withColumn("lit", F.encode("literal", "ISO-8859-1"))
     hits = gram_occurrences(
-        raw,
+        texts,
         literals,
         keys,
         "_raw",
-        keep=["rule_id", "forward", "literal"],
-        carry=["_view"],
+        keep=table.columns,
+        carry=["_text", "_view"],
         max_index_rows=max_index_rows,
     )
     first = F.instr(F.col("_view"), F.col("literal")) == F.col("_from") + 1
-    return hits.filter(first & F.regexp_like("_view", "forward")).select(*keys, "rule_id")
+    return hits.filter(first & F.regexp_like("_view", "forward")).drop("_from")
+
+
+def _by_test(df, table, text, keys) -> DataFrame:
+    """Every rule is tested on every row; the rules are broadcast, in slices if
+    there are many."""
+    texts = _texts(df, text, keys)
+    utf8 = F.contains(F.col("flags"), F.lit("8"))
+    subject = F.when(utf8, F.col("_text")).otherwise(F.col("_view"))
+    parts = [
+        texts.join(rules, F.regexp_like(subject, F.col("forward")))
+        for rules in broadcast_slices(table)
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -29,7 +29,6 @@ from patternscan.plans.ruleset import (
     START_WINDOW,
     START_ZERO,
     RuleSet,
-    broadcast_slices,
     load_rules,
     start_method,
 )
@@ -109,7 +108,7 @@ def match_rules(
     """One row per (text, rule that matches it): ``keys..., rule_id``."""
     rule_set = load_rules(rules)
     if rule_set.table is not None:
-        return _match_table(df, rule_set.table, text, keys)
+        return _pairs(df, rule_set.table, text, keys).select(*keys, "rule_id")
     raw = F.col(text)
     columns = [RuleColumns.of(p) for p in rule_set.prepared]
 
@@ -124,26 +123,11 @@ def match_rules(
     return df.select(*keys, F.explode(hits).alias("rule_id"))
 
 
-def _match_table(df: DataFrame, table: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
+def _pairs(df: DataFrame, table: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     # Imported here: the prefilter builds on this module.
-    from patternscan.operators.prefilter import MIN_LITERAL, verify_candidates
-
-    long_literal = F.coalesce(F.length("literal") >= MIN_LITERAL, F.lit(False)) & ~_letter("8")
-    filtered = verify_candidates(df, table.filter(long_literal), text, keys)
-    return filtered.unionByName(match_each(df, table.filter(~long_literal), text, keys))
-
-
-def match_each(df: DataFrame, table: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
-    """Test every rule of a prepared table on every row; the rules are
-    broadcast, in slices if there are many."""
-    rest = table.select("rule_id", "forward", "flags", "ascii_only")
-    view = df.select(*keys, F.col(text).alias("_raw"), byte_view(F.col(text)).alias("_view"))
-    subject = F.when(F.col("ascii_only") | _letter("8"), F.col("_raw")).otherwise(F.col("_view"))
-    parts = [
-        view.join(rules, F.regexp_like(subject, F.col("forward"))).select(*keys, "rule_id")
-        for rules in broadcast_slices(rest)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    from patternscan.operators.prefilter import rule_pairs
+
+    return rule_pairs(df, table, text, keys)
 
 
 def _letter(letter: str) -> Column:
@@ -393,6 +377,8 @@ def _scan_table(df, table: DataFrame, text, keys, strict, leftmost) -> DataFrame
     pairs first, then build the events of each pair from the rule's columns."""
     wanted = (LEFTMOST,) if leftmost else (ALL_ENDS, LITERAL)
     table = table.filter(F.col("kind").isin(*wanted))
+    if strict:
+        df = df.withColumn(text, _text_column(df, text, strict))
     shapes = table.select(
         "start_method",
         "looks_right",
@@ -432,27 +418,11 @@ def _scan_table(df, table: DataFrame, text, keys, strict, leftmost) -> DataFrame
             single=s["single"],
             ascii_only=False,
         )
-        col = _text_column(df, text, strict)
-        binary = _is_binary(df, text)
-        view = binary_view(col) if binary else byte_view(col)
-        base = df.select(
-            *keys,
-            (view if binary else col).alias("_text"),
-            view.alias("_view"),
+        pairs = _pairs(df, same, text, keys)
+        found = _rule_events(
+            F.col("_text"), F.col("_text").cast("binary"), F.col("_view"), r, leftmost
         )
-        subject = F.col("_text") if s["utf8"] else F.col("_view")
-        for rules in broadcast_slices(same):
-            pairs = base.join(
-                rules,
-                F.when(F.col("literal").isNull(), F.lit(True)).otherwise(
-                    F.contains(subject, F.col("literal"))
-                )
-                & F.regexp_like(subject, F.col("forward")),
-            )
-            events = _rule_events(
-                F.col("_text"), F.col("_text").cast("binary"), F.col("_view"), r, leftmost
-            )
-            parts.append(explode_events(pairs, events, keys))
+        parts.append(explode_events(pairs, found, keys))
     return reduce(DataFrame.unionByName, parts)
 
 

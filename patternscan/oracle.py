@@ -105,7 +105,7 @@ split_up AS (
 parsed AS (
   SELECT *,
     list_sort(list_distinct(list_filter(
-      string_split(translate(raw_flags, 'oeupfl', 'HV8WPL'), ''), x -> x <> ''))) AS letters,
+      string_split(translate(raw_flags, 'oeupfl', 'HV8WPL'), ''), lambda x: x <> ''))) AS letters,
     CASE
       WHEN id_text IS NOT NULL AND try_cast(id_text AS INTEGER) IS NULL
         THEN concat('pattern id `', id_text, '`')
@@ -123,7 +123,7 @@ oracle(
     "ingest_rules",
     f"""WITH {PARSED}
 SELECT line_no, rule_id, expression, array_to_string(letters, '') AS flags,
-  coalesce(list_sum(list_transform(letters, x -> {FLAG_VALUES}[x])), 0)::BIGINT AS flag_bits,
+  coalesce(list_sum(list_transform(letters, lambda x: {FLAG_VALUES}[x])), 0)::BIGINT AS flag_bits,
   min_offset, min_length
 FROM parsed WHERE error IS NULL""",
 )
@@ -472,9 +472,9 @@ oracle(
 oracle(
     "chunk_text",
     """WITH raw AS (SELECT doc_id, encode(text) AS b, strlen(text) AS n FROM documents),
-cuts AS (SELECT doc_id, b, unnest(range(0, n, 1000)) AS at FROM raw),
-parts AS (SELECT doc_id, at // 1000 AS seq, greatest(0, at - 16) AS start_off,
-            array_slice(b, greatest(0, at - 16) + 1, at + 1000) AS chunk FROM cuts)
+cuts AS (SELECT doc_id, b, unnest(range(0, n, 1000)) AS pos FROM raw),
+parts AS (SELECT doc_id, pos // 1000 AS seq, greatest(0, pos - 16) AS start_off,
+            array_slice(b, greatest(0, pos - 16) + 1, pos + 1000) AS chunk FROM cuts)
 SELECT doc_id, seq, start_off, octet_length(chunk)::BIGINT AS n_bytes, md5(chunk) AS digest
 FROM parts""",
 )

@@ -102,63 +102,64 @@ def load_rules(rules, kinds: Iterable[str] | None = None, eod: bool = True) -> R
     return RuleSet(prepared=prepared)
 
 
-PREPARED_SCHEMA = (
-    f"rule_id int, flags string, kind string, ext {EXT_TYPE}, forward string, backward string,"
-    " min_width long, max_width long, literal string, start_method string,"
-    " looks_right boolean, ascii_only boolean, nullable boolean"
+PREPARED_FIELDS = (
+    "rule_id int",
+    "flags string",
+    "kind string",
+    f"ext {EXT_TYPE}",
+    "forward string",
+    "backward string",
+    "min_width bigint",
+    "max_width bigint",
+    "literal string",
+    "start_method string",
+    "looks_right boolean",
+    "ascii_only boolean",
+    "nullable boolean",
+    "stack_risk boolean",
 )
 
 
 def prepared_table(rules: DataFrame) -> DataFrame:
-    """Prepare a large rules table in a Spark job; a bad rule fails the job."""
+    """Prepare a large rules table in a Spark job; a bad rule fails the job.
+
+    A table that fits the driver (it will be broadcast from there anyway) is
+    prepared once; a larger one stays a job.
+    """
     ship_package(rules.sparkSession)
+    names = [f.split()[0] for f in PREPARED_FIELDS]
+
+    def prepared_row(row) -> tuple:
+        p = prepare(row_to_rule(row))
+        return (
+            p.rule_id,
+            p.rule.flags,
+            p.rule.kind,
+            {k: p.rule.ext.get(k) for k in EXT_KEYS},
+            p.forward,
+            p.backward,
+            p.min_width,
+            p.max_width,
+            p.literal,
+            start_method(p),
+            p.looks_right,
+            p.ascii_only,
+            p.nullable,
+            p.stack_risk,
+        )
 
     def run(batches):
         for pdf in batches:
-            out = []
-            for row in pdf.to_dict("records"):
-                p = prepare(row_to_rule(row))
-                out.append(
-                    {
-                        "rule_id": p.rule_id,
-                        "flags": p.rule.flags,
-                        "kind": p.rule.kind,
-                        "ext": {k: p.rule.ext.get(k) for k in EXT_KEYS},
-                        "forward": p.forward,
-                        "backward": p.backward,
-                        "min_width": p.min_width,
-                        "max_width": p.max_width,
-                        "literal": p.literal,
-                        "start_method": start_method(p),
-                        "looks_right": p.looks_right,
-                        "ascii_only": p.ascii_only,
-                        "nullable": p.nullable,
-                    }
-                )
-            frame = pd.DataFrame(out, columns=[c.split()[0] for c in _fields()])
-            yield frame.astype({"max_width": "Int64"})
-
-    return rules.select("rule_id", "expression", "flags", "ext", "kind").mapInPandas(
-        run, PREPARED_SCHEMA
-    )
+            rows = [prepared_row(row) for row in pdf.to_dict("records")]
+            yield pd.DataFrame(rows, columns=names).astype({"max_width": "Int64"})
 
-
-def _fields() -> list[str]:
-    return [
-        "rule_id",
-        "flags",
-        "kind",
-        "ext",
-        "forward",
-        "backward",
-        "min_width",
-        "max_width",
-        "literal",
-        "start_method",
-        "looks_right",
-        "ascii_only",
-        "nullable",
-    ]
+    table = rules.select("rule_id", "expression", "flags", "ext", "kind").mapInPandas(
+        run, ", ".join(PREPARED_FIELDS)
+    )
+    rows = table.limit(MAX_BROADCAST_ROWS + 1).collect()
+    if len(rows) <= MAX_BROADCAST_ROWS:
+        return rules.sparkSession.createDataFrame(rows, table.schema)
+    return table
 
 
 def broadcast_slices(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> list[DataFrame]:

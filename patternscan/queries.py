@@ -105,7 +105,7 @@ def rule_canonical(spark, sf_dir):
 def rule_ids_required(spark, sf_dir):
     lines = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("line_no"),
-        F.expr("concat(IF(p_size % 5 = 0, p_brand, p_partkey), ':/', p_name, '/is')").alias("line"),
+        F.expr("concat(IF(p_size % 5 = 0, p_brand, string(p_partkey)), ':/', p_name, '/is')").alias("line"),
     )
     rules, _ = rule_lines.ingest_rules(lines, id_required=True)
     return rules.select(*big("line_no", "rule_id"), "expression", "flags")

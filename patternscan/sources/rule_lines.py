@@ -93,72 +93,111 @@ def _ext_error(text: Column) -> Column:
     return F.get(bad, F.lit(0))["value"]
 
 
-def _parse(df: DataFrame, kind: str, id_required: bool) -> DataFrame:
-    """Adds rule_id, expression, raw flags, ext text and error to ``line``."""
-    s = F.btrim(F.col("line"), F.lit(SPACE))
-    df = df.withColumn("_s", s).filter("_s != '' AND NOT startswith(_s, '#')")
-    df = df.withColumn("_given_id", F.lit(None).cast("string"))
-    if id_required:
-        # everything before the first colon, which must be there
-        colon = F.instr("_s", ":")
-        df = df.withColumn(
-            "_given_id", F.when(colon > 0, F.expr("substring(_s, 1, instr(_s, ':') - 1)"))
-        ).withColumn(
-            "_s", F.when(colon > 0, F.expr("substring(_s, instr(_s, ':') + 1)")).otherwise(F.lit(""))
-        )
-    at, last = F.instr("_s", ":/"), _last_slash(F.col("_s"))
-    df = df.withColumn("_id", F.when((at > 1) & (last > at + 1), F.substring("_s", 1, at - 1)))
-    df = df.withColumn(
-        "_rest",
-        F.when(F.col("_id").isNotNull(), F.substring("_s", F.length("_id") + 2, F.length("_s")))
-        .otherwise(F.col("_s")),
+def _named(**columns: Column) -> Column:
+    return F.struct(*(c.alias(n) for n, c in columns.items()))
+
+
+def _split_id(s: Column) -> Column:
+    """``id:/...`` to the id's text and the rest; no id if the slash after the
+    colon is the only one."""
+    at, last = F.instr(s, ":/"), _last_slash(s)
+    has_id = (at > 1) & (last > at + 1)
+    return _named(
+        id=F.when(has_id, F.substring(s, F.lit(1), at - 1)),
+        rest=F.when(has_id, F.substring(s, at + 1, F.length(s))).otherwise(s),
     )
-    n = _last_slash(F.col("_rest"))
-    quoted = F.startswith("_rest", F.lit("/")) & (n > 2)
-    df = df.withColumn(
-        "expression", F.when(quoted, F.substring("_rest", 2, n - 2)).otherwise(F.col("_rest"))
-    ).withColumn(
-        "_tail",
-        F.when(quoted, F.substring("_rest", n + 1, F.length("_rest"))).otherwise(F.lit("")),
-    )
-    brace = F.instr("_tail", "{")
-    if kind == ALL_ENDS:
-        has_ext = (brace > 0) & F.endswith("_tail", F.lit("}"))
-    else:
-        has_ext = F.lit(False)
-    df = df.withColumn(
-        "_ext", F.when(has_ext, F.substring("_tail", brace, F.length("_tail")))
-    ).withColumn(
-        "_flags",
-        F.when(has_ext, F.substring("_tail", F.lit(1), brace - 1)).otherwise(F.col("_tail")),
+
+
+def _split_expression(rest: Column) -> Column:
+    """``/expression/tail``, up to the last slash, or all of it bare."""
+    n = _last_slash(rest)
+    quoted = F.startswith(rest, F.lit("/")) & (n > 2)
+    return _named(
+        expression=F.when(quoted, F.substring(rest, F.lit(2), n - 2)).otherwise(rest),
+        tail=F.when(quoted, F.substring(rest, n + 1, F.length(rest))).otherwise(F.lit("")),
     )
-    bad_flag = _unknown_flag(F.col("_flags"), kind)
-    bad_value = _ext_error(F.col("_ext"))
-    given, own = _to_int(F.col("_given_id"), "int"), _to_int(F.col("_id"), "int")
-    error = F.when(
-        F.col("_id").isNotNull() & own.isNull(), F.concat(F.lit("pattern id `"), "_id", F.lit("`"))
+
+
+def _split_ext(tail: Column, kind: str) -> Column:
+    """Flag letters, and the braces after them; only all-ends rules have any."""
+    brace = F.instr(tail, "{")
+    has_ext = (brace > 0) & F.endswith(tail, F.lit("}")) if kind == ALL_ENDS else F.lit(False)
+    return _named(
+        flags=F.when(has_ext, F.substring(tail, F.lit(1), brace - 1)).otherwise(tail),
+        ext=F.when(has_ext, F.substring(tail, brace, F.length(tail))),
     )
-    if id_required:
-        error = F.when(
-            given.isNull(),
-            F.concat(F.lit("missing or bad id `"), F.coalesce("_given_id", F.lit("")), F.lit("`")),
-        ).otherwise(error)
+
+
+def _rule(given: Column | None, id_text: Column, expression: Column, c: Column, kind: str) -> Column:
+    """The parsed rule, with an error instead where a part is wrong."""
+
+    def ticked(label: str, value: Column) -> Column:
+        return F.concat(F.lit(f"{label} `"), value, F.lit("`"))
+
+    own = _to_int(id_text, "int")
+    bad_flag = _unknown_flag(c["flags"], kind)
+    bad_value = _ext_error(c["ext"])
     error = (
-        F.when(error.isNotNull(), error)
-        .when(bad_flag != "", F.concat(F.lit("flag `"), bad_flag, F.lit("`")))
-        .when(bad_value.isNotNull(), F.concat(F.lit("ext value `"), bad_value, F.lit("`")))
+        F.when(id_text.isNotNull() & own.isNull(), ticked("pattern id", id_text))
+        .when(bad_flag != "", ticked("flag", bad_flag))
+        .when(bad_value.isNotNull(), ticked("ext value", bad_value))
     )
-    letters = flag_letters(F.col("_flags"), kind)
-    return df.select(
+    rule_id = own
+    if given is not None:
+        rule_id = _to_int(given, "int")
+        missing = ticked("missing or bad id", F.coalesce(given, F.lit("")))
+        error = F.when(rule_id.isNull(), missing).otherwise(error)
+    return let(
+        flag_letters(c["flags"], kind),
+        lambda letters: _named(
+            rule_id=F.coalesce(rule_id, F.lit(0)),
+            expression=expression,
+            flags=letters,
+            flag_bits=flag_bits(letters),
+            ext=_ext_struct(c["ext"]),
+            error=error,
+        ),
+    )
+
+
+def _parse(df: DataFrame, kind: str, id_required: bool) -> DataFrame:
+    """``line_no, line`` and the parsed rule; blank lines and comments go."""
+    s = F.btrim(F.col("line"), F.lit(SPACE))
+    df = df.filter((s != "") & ~F.startswith(s, F.lit("#")))
+
+    def parse(s, given=None):
+        return let(
+            _split_id(s),
+            lambda a: let(
+                _split_expression(a["rest"]),
+                lambda b: let(
+                    _split_ext(b["tail"], kind),
+                    lambda c: _rule(given, a["id"], b["expression"], c, kind),
+                ),
+            ),
+        )
+
+    def parse_after_id(s):
+        # everything before the first colon, which must be there
+        colon = F.instr(s, ":")
+        given = F.when(colon > 0, F.substring(s, F.lit(1), colon - 1))
+        rest = F.when(colon > 0, F.substring(s, colon + 1, F.length(s))).otherwise(F.lit(""))
+        return let(
+            _named(given=given, rest=rest), lambda p: let(p["rest"], lambda r: parse(r, p["given"]))
+        )
+
+    parsed = let(s, parse_after_id if id_required else parse)
+    # exploding keeps filters on the result from repeating the parse
+    return df.select("line_no", "line", F.explode(F.array(parsed)).alias("r")).select(
         "line_no",
         "line",
-        F.coalesce(given if id_required else own, F.lit(0)).alias("rule_id"),
-        "expression",
-        F.when(error.isNull(), letters).alias("flags"),
-        F.when(error.isNull(), flag_bits(letters)).alias("flag_bits"),
-        _ext_struct(F.col("_ext")).alias("ext"),
+        "r.rule_id",
+        "r.expression",
+        "r.flags",
+        "r.flag_bits",
+        "r.ext",
         F.lit(kind).alias("kind"),
-        error.alias("error"),
+        "r.error",
     )
 
 
