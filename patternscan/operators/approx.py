@@ -8,12 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from patternscan.functions.syntax import Rule, RuleError, byte_text
-from patternscan.functions.views import binary_view, byte_view, let, positions, quote
-from patternscan.operators.scan import EVENTS, _event, explode_events
+from patternscan.functions.views import (
+    column_name,
+    cut_bytes,
+    each,
+    keep,
+    let,
+    positions,
+    quote,
+    sql_text,
+    view_of,
+    zipped,
+)
+from patternscan.operators.scan import NO_EVENTS, event, explode_events
 
 
 def _pieces(literal: str, k: int) -> list[tuple[int, str]]:
@@ -24,91 +34,86 @@ def _pieces(literal: str, k: int) -> list[tuple[int, str]]:
     return [(a, literal[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _anchors(view: Column, literal: str, k: int) -> Column:
+def _anchors(view: str, literal: str, k: int) -> str:
     """Where the literal would start if one piece were in place."""
-    def shifted(offset, piece):
-        return F.transform(positions(view, F.lit(quote(piece))), lambda p: p - offset)
-
-    found = [shifted(offset, piece) for offset, piece in _pieces(literal, k)]
-    return F.array_distinct(F.flatten(F.array(*found)))
 
+    def shifted(offset, piece):
+        return each(positions(view, sql_text(quote(piece))), lambda p: f"{p} - {offset}")
 
-def _some_piece(view: Column, literal: str, k: int) -> Column:
-    test = F.lit(False)
-    for _, piece in _pieces(literal, k):
-        test = test | F.contains(view, F.lit(piece))
-    return test
+    found = ", ".join(shifted(offset, piece) for offset, piece in _pieces(literal, k))
+    return f"array_distinct(flatten(array({found})))"
 
 
-def _cut(raw: Column, a: Column, b: Column) -> Column:
-    return binary_view(F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")))
+def _some_piece(view: str, literal: str, k: int) -> str:
+    tests = (f"contains({view}, {sql_text(piece)})" for _, piece in _pieces(literal, k))
+    return " OR ".join(tests)
 
 
-def hamming(a: Column, b: Column) -> Column:
+def hamming(a: str, b: str) -> str:
     """Number of positions at which two strings of equal length differ."""
-    unequal = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x != y).cast("int"))
-    return F.aggregate(unequal, F.lit(0), lambda n, x: n + x)
+    unequal = zipped(f"split({a}, '')", f"split({b}, '')", lambda x, y: f"CAST({x} <> {y} AS INT)")
+    return f"aggregate({unequal}, 0, (n, d) -> n + d)"
 
 
-def _hamming_events(raw: Column, view: Column, r: Rule, k: int) -> Column:
+def _hamming_events(raw: str, view: str, r: Rule, k: int) -> str:
     literal = byte_text(r.expression)
-    m, n = len(literal), F.octet_length(raw)
-    inside = F.filter(_anchors(view, literal, k), lambda a: (a >= 0) & (a + m <= n))
-    close = F.filter(inside, lambda a: hamming(_cut(raw, a, a + m), F.lit(literal)) <= k)
-    return F.transform(close, lambda a: _reported(r, a, a + m))
+    m = len(literal)
+    inside = keep(
+        _anchors(view, literal, k), lambda a: f"{a} >= 0 AND {a} + {m} <= octet_length({raw})"
+    )
+    close = keep(
+        inside,
+        lambda a: f"{hamming(cut_bytes(raw, a, f'{a} + {m}'), sql_text(literal))} <= {k}",
+    )
+    return each(close, lambda a: _reported(r, a, f"{a} + {m}"))
 
 
-def _edit_events(raw: Column, view: Column, r: Rule, k: int) -> Column:
+def _edit_events(raw: str, view: str, r: Rule, k: int) -> str:
     literal = byte_text(r.expression)
-    m, n = len(literal), F.octet_length(raw).cast("long")
-    zero = F.lit(0).cast("long")
-    ends = F.filter(
-        F.array_distinct(
-            F.flatten(
-                F.transform(
-                    _anchors(view, literal, k), lambda a: F.sequence(a + m - k, a + m + k)
-                )
-            )
-        ),
-        lambda e: (e >= max(0, m - k)) & (e <= n),
+    m = len(literal)
+    near = each(
+        _anchors(view, literal, k), lambda a: f"sequence({a} + {m - k}, {a} + {m + k})"
+    )
+    ends = keep(
+        f"array_distinct(flatten({near}))",
+        lambda e: f"{e} BETWEEN {max(0, m - k)} AND octet_length({raw})",
     )
 
-    def nearest(e):
+    def starts(e):
         # the leftmost start is the longest text that is still close enough
-        starts = F.sequence(F.greatest(zero, e - m - k), F.least(e, e - m + k))
-        close = F.filter(
-            starts, lambda s: F.levenshtein(_cut(raw, s, e), F.lit(literal), k) >= 0
+        every = f"sequence(greatest(0L, {e} - {m + k}), least({e}, {e} - {m - k}))"
+        return keep(
+            every,
+            lambda s: f"levenshtein({cut_bytes(raw, s, e)}, {sql_text(literal)}, {k}) >= 0",
         )
-        return _reported(r, F.get(close, F.lit(0)), e, F.get(close, F.lit(0)).isNotNull())
 
-    return F.filter(F.transform(ends, nearest), lambda x: x.isNotNull())
+    def nearest(e):
+        return let(
+            f"get({starts(e)}, 0)",
+            lambda s: f"CASE WHEN {s} IS NOT NULL THEN {_reported(r, s, e)} END",
+        )
+
+    return f"array_compact({each(ends, nearest)})"
 
 
-def _reported(r: Rule, start: Column, end: Column, when: Column | None = None) -> Column:
-    shown = start if "L" in r.flags else F.lit(0).cast("long")
-    event = _event(end, F.lit(r.rule_id).cast("int"), shown)
-    return event if when is None else F.when(when, event)
+def _reported(r: Rule, start: str, end: str) -> str:
+    return event(end, f"CAST({r.rule_id} AS INT)", start if "L" in r.flags else "0L")
 
 
 def _scan(df, rules: Sequence[Rule], k, text, keys, build, key: str) -> DataFrame:
     for r in rules:
-        _pieces(byte_text(r.expression), r.ext.get(key, k) or 0)
-    col = F.col(text)
+        _pieces(byte_text(r.expression), r.ext.get(key, k))
 
     def one(raw, view, r):
         limit = r.ext.get(key, k)
-        literal = byte_text(r.expression)
-        return F.when(_some_piece(view, literal, limit), build(raw, view, r, limit)).otherwise(
-            F.array().cast(EVENTS)
-        )
+        test = _some_piece(view, byte_text(r.expression), limit)
+        return f"CASE WHEN {test} THEN {build(raw, view, r, limit)} ELSE {NO_EVENTS} END"
 
-    events = let(
-        byte_view(col),
-        lambda v: let(
-            col.cast("binary"),
-            lambda raw: F.array_sort(F.flatten(F.array(*[one(raw, v, r) for r in rules]))),
-        ),
-    )
+    def every(raw, view):
+        return f"sort_array(flatten(array({', '.join(one(raw, view, r) for r in rules)})))"
+
+    raw = f"CAST({column_name(text)} AS BINARY)"
+    events = let(view_of(df, text), lambda v: let(raw, lambda b: every(b, v)))
     return explode_events(df, events, keys)
 
 

@@ -15,25 +15,34 @@ from pyspark.sql import types as T
 
 from patternscan.functions.matching import Matcher, bounded, byte_offsets
 from patternscan.functions.syntax import LEFTMOST, Prepared
-from patternscan.functions.views import byte_view, let
-from patternscan.operators.scan import RuleColumns, _any
+from patternscan.functions.views import (
+    byte_view,
+    column_name,
+    each,
+    is_binary,
+    let,
+    sql_text,
+    view_text,
+)
+from patternscan.operators.scan import any_hit
 from patternscan.plans.ruleset import load_rules
 from patternscan.plans.shipping import ship_package
 
 CAPTURES = "array<struct<from_off:bigint,to_off:bigint,text:string>>"
 
 
-def _may_match(text: Column, prepared: Sequence[Prepared]) -> Column:
-    """JVM test that keeps every row some rule may match."""
-    tests = F.lit(False)
-    for p in prepared:
-        if p.nullable or (p.stack_risk and not p.literal):
-            return text.isNotNull()
-        if p.stack_risk:
-            tests = tests | F.contains(byte_view(text), F.lit(p.literal))
-        else:
-            tests = tests | _any(text, RuleColumns.of(p))
-    return tests
+def _may_match(df: DataFrame, text: str, prepared: Sequence[Prepared]) -> DataFrame:
+    """Drop rows on the JVM that no rule can match."""
+    if is_binary(df, text) or any(p.nullable or (p.stack_risk and not p.literal) for p in prepared):
+        return df
+    name = column_name(text)
+    tests = [
+        f"contains({byte_view(name)}, {sql_text(p.literal)})" for p in prepared if p.stack_risk
+    ]
+    safe = [p for p in prepared if not p.stack_risk]
+    if safe:
+        tests.append(any_hit(name, safe))
+    return df.filter(F.expr(" OR ".join(tests)))
 
 
 def _schema(df: DataFrame, keys: Sequence[str], extra: str = "") -> T.StructType:
@@ -84,9 +93,7 @@ def scan_in_workers(
         for a, b in bounded(m.rule, byte_offsets(m.rule, subject, found)):
             yield m.rule.rule_id, a, b, 0
 
-    kept = df
-    if df.schema[text].dataType.typeName() == "string":
-        kept = df.filter(_may_match(F.col(text), prepared))
+    kept = _may_match(df, text, prepared)
     return _map_rows(kept, prepared, text, keys, _schema(df, keys), emit)
 
 
@@ -129,25 +136,18 @@ def scan_captures(
             if "H" in m.rule.flags:
                 return
 
-    kept = df
-    if df.schema[text].dataType.typeName() == "string":
-        kept = df.filter(_may_match(F.col(text), rule_set.prepared))
+    kept = _may_match(df, text, rule_set.prepared)
     schema = _schema(df, keys, f", captures {CAPTURES}")
     return _map_rows(kept, rule_set.prepared, text, keys, schema, emit)
 
 
-def group_texts(text: Column | str, rule, group: int = 1) -> Column:
+def group_texts(text: str, rule, group: int = 1) -> Column:
     """Text of one capture group for every match, on the JVM.  A group that
     took no part is an empty string here."""
-    text = F.col(text) if isinstance(text, str) else text
     (p,) = load_rules(rule, (LEFTMOST,)).prepared
-    if p.has("8") or p.ascii_only:
-        return F.regexp_extract_all(text, F.lit(p.forward), F.lit(group))
-    pieces = let(
-        byte_view(text),
-        lambda v: F.regexp_extract_all(v, F.lit(p.forward), F.lit(group)),
-    )
-    return F.transform(pieces, lambda x: F.encode(x, "ISO-8859-1").cast("string"))
-
+    pattern = sql_text(p.forward)
+    if p.has("8"):
+        return F.expr(f"regexp_extract_all({text}, {pattern}, {group})")
+    pieces = let(byte_view(text), lambda v: f"regexp_extract_all({v}, {pattern}, {group})")
+    return F.expr(each(pieces, view_text))
 
-__all__ = ["group_texts", "scan_captures", "scan_in_workers"]

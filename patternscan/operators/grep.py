@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patternscan.functions.syntax import Rule
-from patternscan.functions.views import binary_view
+from patternscan.functions.views import column_name, cut_bytes, is_binary, let, view_of, view_text
 from patternscan.operators.scan import event_array
 
 
-def _cut(raw: Column, a: Column, b: Column) -> Column:
-    return binary_view(F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")))
-
-
-def _decoded(view: Column) -> Column:
-    return F.encode(view, "ISO-8859-1").cast("string")
+def _events(df: DataFrame, expression: str, content: str) -> str:
+    rule = Rule(0, expression, "Ls")
+    if is_binary(df, content):
+        return let(view_of(df, content), lambda v: event_array(v, rule, view=v))
+    return event_array(column_name(content), rule)
 
 
 def grep_lines(
@@ -33,43 +32,38 @@ def grep_lines(
 
     A dot matches newlines and starts are tracked.
     """
-    rule = Rule(0, expression, "Ls")
-    col, keys = F.col(content), list(keys)
-    if df.schema[content].dataType.typeName() == "binary":
-        raw, events = col, event_array(binary_view(col), rule, view=binary_view(col))
-    else:
-        raw, events = col.cast("binary"), event_array(col, rule)
+    keys = list(keys)
     # the newlines around a match are looked for in the bytes beside it
-    found = df.select(*keys, raw.alias("_raw"), F.explode(events).alias("e"))
-    start, end = F.col("e.from_off"), F.col("e.to_off")
-    nothing = F.lit(0).cast("long")
-    left = F.substring_index(_cut(F.col("_raw"), nothing, start), "\n", -1)
-    right = F.substring_index(
-        _cut(F.col("_raw"), end, F.octet_length("_raw").cast("long")), "\n", 1
+    found = df.select(
+        *keys,
+        F.col(content).cast("binary").alias("_raw"),
+        F.explode(F.expr(_events(df, expression, content))).alias("e"),
+    ).select(
+        *keys,
+        "e.from_off",
+        "e.to_off",
+        F.expr(cut_bytes("_raw", "e.from_off", "e.to_off")).alias("_match"),
+        F.expr(f"substring_index({cut_bytes('_raw', '0L', 'e.from_off')}, '\\n', -1)").alias("_l"),
+        F.expr(
+            f"substring_index({cut_bytes('_raw', 'e.to_off', 'octet_length(_raw)')}, '\\n', 1)"
+        ).alias("_r"),
     )
     lines = found.select(
         *keys,
-        start.alias("from_off"),
-        end.alias("to_off"),
-        (start - F.char_length(left)).alias("line_off"),
-        _decoded(F.concat(left, _cut(F.col("_raw"), start, end), right)).alias("line"),
+        "from_off",
+        "to_off",
+        (F.col("from_off") - F.char_length("_l")).alias("line_off"),
+        F.expr(view_text("concat(_l, _match, _r)")).alias("line"),
     )
     return lines if byte_offset else lines.drop("line_off")
 
 
 def grep_totals(df: DataFrame, expression: str, content: str = "content") -> DataFrame:
     """Files and bytes scanned, files with a match, and matches."""
-    rule = Rule(0, expression, "Ls")
-    col = F.col(content)
-    if df.schema[content].dataType.typeName() == "binary":
-        events = event_array(binary_view(col), rule, view=binary_view(col))
-    else:
-        events = event_array(col, rule)
-    n = F.coalesce(F.size(events), F.lit(0))
-    return df.select(F.octet_length(col).alias("_n"), n.alias("_hits")).agg(
+    hits = F.coalesce(F.size(F.expr(_events(df, expression, content))), F.lit(0))
+    return df.select(F.octet_length(content).alias("_n"), hits.alias("_hits")).agg(
         F.count(F.lit(1)).alias("n_files"),
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_bytes"),
         F.count_if(F.col("_hits") > 0).alias("files_matched"),
         F.coalesce(F.sum("_hits"), F.lit(0)).cast("long").alias("n_matches"),
     )
-

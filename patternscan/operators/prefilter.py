@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patternscan.functions.views import binary_view, byte_view
+from patternscan.functions.views import is_binary, view_of
 from patternscan.operators.grams import MAX_INDEX_ROWS, gram_occurrences
 from patternscan.plans.ruleset import broadcast_slices, prepared_table
 
@@ -55,10 +55,10 @@ def rule_pairs(
 
 
 def _texts(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
-    col = F.col(text)
-    if df.schema[text].dataType.typeName() == "binary":
-        return df.select(*keys, binary_view(col).alias("_text"), binary_view(col).alias("_view"))
-    return df.select(*keys, col.alias("_text"), byte_view(col).alias("_view"))
+    view = F.expr(view_of(df, text))
+    return df.select(
+        *keys, (view if is_binary(df, text) else F.col(text)).alias("_text"), view.alias("_view")
+    )
 
 
 def _by_literal(df, table, text, keys, max_index_rows) -> DataFrame:

@@ -15,12 +15,20 @@ from pyspark.sql import functions as F
 
 from patternscan.functions.syntax import ALL_ENDS, LEFTMOST, LITERAL, Prepared
 from patternscan.functions.views import (
-    binary_view,
     byte_view,
     bytes_between,
+    column_name,
+    cut_bytes,
+    each,
+    each_indexed,
+    is_binary,
+    keep,
     let,
     positions,
     running_sums,
+    sql_text,
+    view_of,
+    zipped,
 )
 from patternscan.plans.ruleset import (
     START_FIXED,
@@ -33,23 +41,25 @@ from patternscan.plans.ruleset import (
     start_method,
 )
 
-EVENT = "struct<to_off:bigint,rule_id:int,from_off:bigint>"
-EVENTS = f"array<{EVENT}>"
+# what may follow a match at the end of a window: nothing, one or two characters
+ENDS_WITH = (r"\z", r"(?=[\s\S]\z)", r"(?=[\s\S]{2}\z)")
+
+NO_EVENTS = "CAST(array() AS ARRAY<STRUCT<to_off: BIGINT, rule_id: INT, from_off: BIGINT>>)"
 
 
 @dataclass(frozen=True)
-class RuleColumns:
-    """One rule as columns: literals, or the columns of a joined rules table."""
-
-    rule_id: Column
-    forward: Column
-    backward: Column
-    min_width: Column
-    max_width: Column
-    literal: Column | None
-    min_offset: Column | None
-    max_offset: Column | None
-    min_length: Column | None
+class RuleSql:
+    """One rule as SQL values: literals, or columns of a joined rules table."""
+
+    rule_id: str
+    forward: str
+    backward: str
+    min_width: str
+    max_width: str
+    literal: str | None
+    min_offset: str | None
+    max_offset: str | None
+    min_length: str | None
     start: str
     reports_start: bool
     looks_right: bool
@@ -58,15 +68,15 @@ class RuleColumns:
     ascii_only: bool
 
     @staticmethod
-    def of(p: Prepared) -> RuleColumns:
-        ext = {k: F.lit(v).cast("long") for k, v in p.rule.ext.items()}
-        return RuleColumns(
-            rule_id=F.lit(p.rule_id).cast("int"),
-            forward=F.lit(p.forward),
-            backward=F.lit(p.backward),
-            min_width=F.lit(p.min_width).cast("long"),
-            max_width=F.lit(p.max_width).cast("long"),
-            literal=F.lit(p.literal) if p.literal else None,
+    def of(p: Prepared) -> RuleSql:
+        ext = {k: f"{v}L" for k, v in p.rule.ext.items()}
+        return RuleSql(
+            rule_id=f"CAST({p.rule_id} AS INT)",
+            forward=sql_text(p.forward),
+            backward=sql_text(p.backward),
+            min_width=f"{p.min_width}L",
+            max_width=f"{p.max_width}L",
+            literal=sql_text(p.literal) if p.literal else None,
             min_offset=ext.get("min_offset"),
             max_offset=ext.get("max_offset"),
             min_length=ext.get("min_length"),
@@ -78,28 +88,40 @@ class RuleColumns:
             ascii_only=p.ascii_only,
         )
 
+    @property
+    def any_view(self) -> bool:
+        """Yes or no is the same on characters as on bytes, or wants characters."""
+        return self.ascii_only or self.utf8
+
 
-def _hit(view: Column, r: RuleColumns) -> Column:
+def hit(view: str, r: RuleSql) -> str:
     """Does the rule match at all?  A plain substring test goes first."""
-    test = F.regexp_like(view, r.forward)
-    return test if r.literal is None else F.contains(view, r.literal) & test
+    test = f"regexp_like({view}, {r.forward})"
+    return test if r.literal is None else f"(contains({view}, {r.literal}) AND {test})"
 
 
 # --------------------------------------------------------------------------
 # yes / no
 
 
-def match_any(text: Column | str, rule) -> Column:
-    """True where the rule matches the text somewhere; NULL for NULL text."""
-    text = F.col(text) if isinstance(text, str) else text
-    (p,) = load_rules(rule).prepared
-    return _any(text, RuleColumns.of(p))
+def match_any(text: str, rule) -> Column:
+    """True where the rule matches the text somewhere; NULL for NULL text.
+
+    ``text`` names a string column (or is a SQL expression of one).
+    """
+    return F.expr(any_hit(text, load_rules(rule).prepared))
+
+
+def any_hit(text: str, prepared: Sequence[Prepared]) -> str:
+    """Does any of the rules match?"""
+    rules = [RuleSql.of(p) for p in prepared]
 
+    def tests(view):
+        return " OR ".join(hit(text if r.any_view else view, r) for r in rules)
 
-def _any(text: Column, r: RuleColumns) -> Column:
-    if r.ascii_only or r.utf8:
-        return _hit(text, r)
-    return let(byte_view(text), lambda v: _hit(v, r))
+    if all(r.any_view for r in rules):
+        return f"({tests(text)})"
+    return let(byte_view(text), lambda v: f"({tests(v)})")
 
 
 def match_rules(
@@ -109,18 +131,19 @@ def match_rules(
     rule_set = load_rules(rules)
     if rule_set.table is not None:
         return _pairs(df, rule_set.table, text, keys).select(*keys, "rule_id")
-    raw = F.col(text)
-    columns = [RuleColumns.of(p) for p in rule_set.prepared]
+    raw = column_name(text)
+    listed = [RuleSql.of(p) for p in rule_set.prepared]
 
-    def ids(view: Column | None) -> Column:
-        tests = [
-            F.when(_hit(raw if (c.ascii_only or c.utf8) else view, c), c.rule_id) for c in columns
-        ]
-        return F.array_compact(F.array(*tests))
+    def ids(view):
+        tests = (
+            f"CASE WHEN {hit(raw if r.any_view else view, r)} THEN {r.rule_id} END" for r in listed
+        )
+        return f"array_compact(array({', '.join(tests)}))"
 
-    needs_view = any(not (c.ascii_only or c.utf8) for c in columns)
-    hits = let(byte_view(raw), ids) if needs_view else ids(None)
-    return df.select(*keys, F.explode(hits).alias("rule_id"))
+    if is_binary(df, text):
+        raw = view_of(df, text)
+    hits = ids(raw) if all(r.any_view for r in listed) else let(view_of(df, text), ids)
+    return df.select(*keys, F.explode(F.expr(hits)).alias("rule_id"))
 
 
 def _pairs(df: DataFrame, table: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
@@ -130,151 +153,132 @@ def _pairs(df: DataFrame, table: DataFrame, text: str, keys: Sequence[str]) -> D
     return rule_pairs(df, table, text, keys)
 
 
-def _letter(letter: str) -> Column:
-    return F.coalesce(F.contains(F.col("flags"), F.lit(letter)), F.lit(False))
-
-
 # --------------------------------------------------------------------------
 # all ends
 
 
-def _window(raw: Column, view: Column, r: RuleColumns, lo: Column, hi: Column) -> Column:
-    """Characters ``lo .. hi`` of the view; bytes are cut from the binary form
-    because cutting a string walks it from its first character."""
-    if r.utf8:
-        return F.substring(view, (lo + 1).cast("int"), (hi - lo).cast("int"))
-    return binary_view(F.substring(raw, (lo + 1).cast("int"), (hi - lo).cast("int")))
+def event(to_off: str, rule_id: str, from_off: str) -> str:
+    return (
+        f"named_struct('to_off', CAST({to_off} AS BIGINT), 'rule_id', {rule_id},"
+        f" 'from_off', CAST({from_off} AS BIGINT))"
+    )
 
 
-def _leftmost_start(raw: Column, view: Column, r: RuleColumns, n: Column, end: Column) -> Column:
+def _leftmost_start(raw: str, view: str, r: RuleSql, n: str, end: str) -> str:
     """Start of the longest match that ends at ``end``, by a search from the
     left in as much of the text as a match can cover."""
-    if r.start == START_WINDOW:
-        lo = F.greatest(F.lit(0).cast("long"), end - r.max_width - 1)
-    else:
-        lo = F.lit(0).cast("long")
-    if not r.looks_right:
-        window = _window(raw, view, r, lo, end)
-        return lo + F.regexp_instr(window, F.concat(r.forward, F.lit(r"\z"))) - 1
+    lo = f"greatest(0L, {end} - {r.max_width} - 1)" if r.start == START_WINDOW else "0L"
+
+    def window(hi):
+        if r.utf8:
+            return f"substring({view}, CAST({lo} + 1 AS INT), CAST({hi} - {lo} AS INT))"
+        return cut_bytes(raw, lo, hi)
+
+    def search(text, tail):
+        return f"regexp_instr({text}, concat({r.forward}, {sql_text(tail)}))"
 
+    if not r.looks_right:
+        return f"{lo} + {search(window(end), ENDS_WITH[0])} - 1"
     # Two more characters are enough for any assertion at the end.
-    def search(window, k):
-        return F.regexp_instr(window, F.concat(r.forward, F.lit(rf"(?=[\s\S]{{{k}}}\z)")))
-
-    after = F.least(F.lit(2).cast("long"), n - end)
-    return let(
-        _window(raw, view, r, lo, end + after),
-        lambda w: lo
-        - 1
-        + F.when(after == 0, search(w, 0)).when(after == 1, search(w, 1)).otherwise(search(w, 2)),
-    )
+    after = f"least(2L, {n} - {end})"
 
+    def by_rest(w):
+        cases = (f"WHEN {k} THEN {search(w, tail)}" for k, tail in enumerate(ENDS_WITH))
+        return f"{lo} - 1 + CASE {after} {' '.join(cases)} END"
 
-def _event(to_off: Column, rule_id: Column, from_off: Column) -> Column:
-    return F.struct(
-        to_off.cast("long").alias("to_off"),
-        rule_id.alias("rule_id"),
-        from_off.cast("long").alias("from_off"),
-    )
+    return let(window(f"({end} + {after})"), by_rest)
 
 
-def _ends(raw: Column, view: Column, r: RuleColumns) -> Column:
-    """Events of one rule, by ascending end."""
-    zero = F.lit(0).cast("long")
+def _ends(raw: str, view: str, r: RuleSql) -> str:
+    """Events of one rule, by ascending end: an end of the rule in the text is
+    a start of the reversed rule in the reversed text."""
+    n = f"CAST(char_length({view}) AS BIGINT)"
 
-    def build(rev: Column) -> Column:
-        n = F.char_length(view).cast("long")
+    def build(rev):
         found = positions(rev, r.backward)
         if r.start == START_REVERSE:
             # the reversed rule has one greedy variable part: its first match
             # is its longest, which gives the leftmost start
-            group = F.concat(F.lit("(?=("), r.backward, F.lit("))"))
-            texts = F.regexp_extract_all(rev, group, F.lit(1))
-            events = F.zip_with(
+            texts = f"regexp_extract_all({rev}, concat('(?=(', {r.backward}, '))'), 1)"
+            events = zipped(
                 found,
                 texts,
-                lambda at, m: _event(n - at, r.rule_id, n - at - F.char_length(m)),
+                lambda at, m: event(f"{n} - {at}", r.rule_id, f"{n} - {at} - char_length({m})"),
             )
         else:
 
             def one(at):
-                end = n - at
+                end = f"({n} - {at})"
                 if r.start == START_ZERO:
-                    start = zero
+                    start = "0L"
                 elif r.start == START_FIXED:
-                    start = end - r.min_width
+                    start = f"{end} - {r.min_width}"
                 else:
                     start = _leftmost_start(raw, view, r, n, end)
-                return _event(end, r.rule_id, start)
+                return event(end, r.rule_id, start)
 
-            events = F.transform(found, one)
-        return F.reverse(events)
+            events = each(found, one)
+        return f"reverse({events})"
 
-    return let(F.reverse(view), build)
+    return let(f"reverse({view})", build)
 
 
-def _finish(view: Column, events: Column, r: RuleColumns) -> Column:
+def _finish(view: str, events: str, r: RuleSql) -> str:
     """Byte offsets, offset bounds and the single-match flag, in that order."""
     if r.utf8:
-        at = lambda pos: F.octet_length(F.substring(view, F.lit(1), pos.cast("int")))
-        events = F.transform(
-            events, lambda e: _event(at(e["to_off"]), e["rule_id"], at(e["from_off"]))
+
+        def at(position):
+            return f"octet_length(substring({view}, 1, CAST({position} AS INT)))"
+
+        events = each(
+            events, lambda e: event(at(f"{e}.to_off"), f"{e}.rule_id", at(f"{e}.from_off"))
         )
     if r.min_offset is not None:
-        events = F.filter(events, lambda e: e["to_off"] >= r.min_offset)
+        events = keep(events, lambda e: f"{e}.to_off >= {r.min_offset}")
     if r.max_offset is not None:
-        events = F.filter(events, lambda e: e["to_off"] <= r.max_offset)
+        events = keep(events, lambda e: f"{e}.to_off <= {r.max_offset}")
     if r.min_length is not None:
-        events = F.filter(events, lambda e: e["to_off"] - e["from_off"] >= r.min_length)
+        events = keep(events, lambda e: f"{e}.to_off - {e}.from_off >= {r.min_length}")
         if not r.reports_start:
-            zero = F.lit(0).cast("long")
-            events = F.transform(events, lambda e: _event(e["to_off"], e["rule_id"], zero))
-    return F.slice(events, F.lit(1), F.lit(1)) if r.single else events
+            events = each(events, lambda e: event(f"{e}.to_off", f"{e}.rule_id", "0L"))
+    return f"slice({events}, 1, 1)" if r.single else events
 
 
-def _leftmost(view: Column, r: RuleColumns) -> Column:
+def _leftmost(view: str, r: RuleSql) -> str:
     """Non-overlapping leftmost-first events of one rule that is never empty:
     matches and the gaps between them alternate."""
-    matches = F.regexp_extract_all(view, r.forward, F.lit(0))
-    gaps = F.split(view, r.forward, -1)
+    gaps = f"split({view}, {r.forward}, -1)"
 
-    def build(pairs):
-        steps = F.transform(pairs, lambda p: p["gap"] + p["len"])
-        return let(
-            running_sums(steps),
-            lambda before: F.transform(
-                pairs,
-                lambda p, i: _event(
-                    F.get(before, i) + p["gap"] + p["len"],
-                    r.rule_id,
-                    F.get(before, i) + p["gap"],
-                ),
-            ),
+    def lengths(m):
+        return zipped(
+            f"slice({gaps}, 1, size({m}))",
+            m,
+            lambda g, x: f"named_struct('gap', CAST(char_length({g}) AS BIGINT),"
+            f" 'len', CAST(char_length({x}) AS BIGINT))",
         )
 
-    pairs = let(
-        matches,
-        lambda m: F.zip_with(
-            F.slice(gaps, F.lit(1), F.size(m)),
-            m,
-            lambda g, x: F.struct(
-                F.char_length(g).cast("long").alias("gap"),
-                F.char_length(x).cast("long").alias("len"),
-            ),
-        ),
-    )
+    def build(pairs):
+        def place(before):
+            def one(p, i):
+                start = f"get({before}, {i}) + {p}.gap"
+                return event(f"{start} + {p}.len", r.rule_id, start)
+
+            return each_indexed(pairs, one)
+
+        return let(running_sums(each(pairs, lambda p: f"{p}.gap + {p}.len")), place)
+
+    pairs = let(f"regexp_extract_all({view}, {r.forward}, 0)", lengths)
     return let(pairs, build)
 
 
-def _rule_events(text: Column, raw: Column, view: Column, r: RuleColumns, leftmost: bool) -> Column:
+def rule_events(text: str, raw: str, view: str, r: RuleSql, leftmost: bool) -> str:
+    """The events of one rule in one block."""
     subject = text if r.utf8 else view
     found = _leftmost(subject, r) if leftmost else _ends(raw, subject, r)
-    return F.when(_hit(subject, r), _finish(subject, found, r)).otherwise(
-        F.array().cast(EVENTS)
-    )
+    return f"CASE WHEN {hit(subject, r)} THEN {_finish(subject, found, r)} ELSE {NO_EVENTS} END"
 
 
-def event_array(text: Column, rules, view: Column | None = None) -> Column:
+def event_array(text: str, rules, view: str | None = None) -> str:
     """All events of one block as an array ordered by (to, rule, from).
 
     The order of the reference for events that end together is not defined;
@@ -287,22 +291,24 @@ def event_array(text: Column, rules, view: Column | None = None) -> Column:
     def build(v):
         def with_raw(raw):
             parts = [
-                _rule_events(text, raw, v, RuleColumns.of(p), p.rule.kind == LEFTMOST)
+                rule_events(text, raw, v, RuleSql.of(p), p.rule.kind == LEFTMOST)
                 for p in prepared
             ]
             if len(parts) == 1:
                 return parts[0]
-            return F.array_sort(F.flatten(F.array(*parts)))
+            return f"sort_array(flatten(array({', '.join(parts)})))"
 
-        needs_raw = any(start_method(p) in (START_WINDOW, START_PREFIX) for p in prepared)
-        return let(text.cast("binary"), with_raw) if needs_raw else with_raw(F.lit(None))
+        if any(start_method(p) in (START_WINDOW, START_PREFIX) for p in prepared):
+            raw = f"CAST({text} AS BINARY)" if view is None else f"encode({v}, 'ISO-8859-1')"
+            return let(raw, with_raw)
+        return with_raw("NULL")
 
     return let(byte_view(text) if view is None else view, build)
 
 
-def explode_events(df: DataFrame, events: Column, keys: Sequence[str]) -> DataFrame:
+def explode_events(df: DataFrame, events: str, keys: Sequence[str]) -> DataFrame:
     """Event arrays to the events table."""
-    return df.select(*keys, F.explode(events).alias("e")).select(
+    return df.select(*keys, F.explode(F.expr(events)).alias("e")).select(
         *keys,
         F.col("e.rule_id").alias("rule_id"),
         F.col("e.from_off").alias("from_off"),
@@ -311,16 +317,9 @@ def explode_events(df: DataFrame, events: Column, keys: Sequence[str]) -> DataFr
     )
 
 
-def _text_column(df: DataFrame, text: str, strict: bool) -> Column:
-    """The text as a string column; binary payloads become their byte view."""
-    col = F.col(text)
-    if strict:
-        col = F.when(col.isNull(), F.raise_error(F.lit("block is NULL"))).otherwise(col)
-    return col
-
-
-def _is_binary(df: DataFrame, text: str) -> bool:
-    return df.schema[text].dataType.typeName() == "binary"
+def _not_null(df: DataFrame, text: str) -> DataFrame:
+    raised = F.raise_error(F.lit("block is NULL")).cast(df.schema[text].dataType)
+    return df.withColumn(text, F.coalesce(F.col(text), raised))
 
 
 def scan_events(
@@ -346,82 +345,74 @@ def scan_leftmost(
     strict: bool = False,
 ) -> DataFrame:
     """Leftmost-first scan: non-overlapping matches, full offsets."""
-    rule_set = load_rules(rules, (LEFTMOST,))
-    return _scan(df, rule_set, text, keys, strict, True)
+    return _scan(df, load_rules(rules, (LEFTMOST,)), text, keys, strict, True)
 
 
 def _scan(df, rule_set: RuleSet, text, keys, strict, leftmost) -> DataFrame:
+    if strict:
+        df = _not_null(df, text)
     if rule_set.table is not None:
-        return _scan_table(df, rule_set.table, text, keys, strict, leftmost)
+        return _scan_table(df, rule_set.table, text, keys, leftmost)
     prepared = rule_set.prepared
     by_worker = [p for p in prepared if p.stack_risk or (leftmost and p.nullable)]
     builtin = [p for p in prepared if p not in by_worker]
     parts = []
     if builtin:
-        col = _text_column(df, text, strict)
-        if _is_binary(df, text):
-            view = binary_view(col)
-            events = event_array(view, RuleSet(tuple(builtin)), view=view)
+        if is_binary(df, text):
+            # a rule over characters sees one per byte of a binary payload
+            view = view_of(df, text)
+            events = let(view, lambda v: event_array(v, RuleSet(tuple(builtin)), view=v))
         else:
-            events = event_array(col, RuleSet(tuple(builtin)))
+            events = event_array(column_name(text), RuleSet(tuple(builtin)))
         parts.append(explode_events(df, events, keys))
     if by_worker:
+        # Imported here: captures build on this module.
         from patternscan.operators.captures import scan_in_workers
 
         parts.append(scan_in_workers(df, by_worker, text, keys))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _scan_table(df, table: DataFrame, text, keys, strict, leftmost) -> DataFrame:
+def _scan_table(df, table: DataFrame, text, keys, leftmost) -> DataFrame:
     """A rule set too large for one expression: find the matching (row, rule)
     pairs first, then build the events of each pair from the rule's columns."""
     wanted = (LEFTMOST,) if leftmost else (ALL_ENDS, LITERAL)
     table = table.filter(F.col("kind").isin(*wanted))
-    if strict:
-        df = df.withColumn(text, _text_column(df, text, strict))
-    shapes = table.select(
-        "start_method",
-        "looks_right",
-        _letter("8").alias("utf8"),
-        _letter("H").alias("single"),
-        _letter("L").alias("reports"),
-        F.col("ext.min_offset").isNotNull().alias("lo"),
-        F.col("ext.max_offset").isNotNull().alias("hi"),
-        F.col("ext.min_length").isNotNull().alias("len"),
-    ).distinct()
+    shape = {
+        "start_method": "start_method",
+        "looks_right": "looks_right",
+        "utf8": "contains(flags, '8')",
+        "single": "contains(flags, 'H')",
+        "reports": "contains(flags, 'L')",
+        "lo": "ext.min_offset IS NOT NULL",
+        "hi": "ext.max_offset IS NOT NULL",
+        "len": "ext.min_length IS NOT NULL",
+    }
+    shaped = table.select("*", *(F.expr(e).alias(f"_{n}") for n, e in shape.items()))
+    shapes = shaped.select(*(f"_{n}" for n in shape)).distinct().collect()
     parts = []
-    for s in shapes.collect():  # at most a few dozen shapes exist
-        same = table.filter(
-            (F.col("start_method") == s["start_method"])
-            & (F.col("looks_right") == s["looks_right"])
-            & (_letter("8") == s["utf8"])
-            & (_letter("H") == s["single"])
-            & (_letter("L") == s["reports"])
-            & (F.col("ext.min_offset").isNotNull() == s["lo"])
-            & (F.col("ext.max_offset").isNotNull() == s["hi"])
-            & (F.col("ext.min_length").isNotNull() == s["len"])
-        )
-        r = RuleColumns(
-            rule_id=F.col("rule_id"),
-            forward=F.col("forward"),
-            backward=F.col("backward"),
-            min_width=F.col("min_width"),
-            max_width=F.col("max_width"),
+    for s in shapes:  # at most a few dozen exist
+        same = reduce(lambda d, n: d.filter(F.col(n) == F.lit(s[n])), s.asDict(), shaped)
+        r = RuleSql(
+            rule_id="rule_id",
+            forward="forward",
+            backward="backward",
+            min_width="min_width",
+            max_width="max_width",
             literal=None,
-            min_offset=F.col("ext.min_offset") if s["lo"] else None,
-            max_offset=F.col("ext.max_offset") if s["hi"] else None,
-            min_length=F.col("ext.min_length") if s["len"] else None,
-            start=s["start_method"],
-            reports_start=s["reports"] or leftmost,
-            looks_right=s["looks_right"],
-            utf8=s["utf8"],
-            single=s["single"],
+            min_offset="ext.min_offset" if s["_lo"] else None,
+            max_offset="ext.max_offset" if s["_hi"] else None,
+            min_length="ext.min_length" if s["_len"] else None,
+            start=s["_start_method"],
+            reports_start=s["_reports"] or leftmost,
+            looks_right=s["_looks_right"],
+            utf8=s["_utf8"],
+            single=s["_single"],
             ascii_only=False,
         )
-        pairs = _pairs(df, same, text, keys)
-        found = _rule_events(
-            F.col("_text"), F.col("_text").cast("binary"), F.col("_view"), r, leftmost
-        )
+        pairs = _pairs(df, same.select(*table.columns), text, keys)
+        raw = "encode(_view, 'ISO-8859-1')"
+        found = let(raw, lambda b, r=r: rule_events("_text", b, "_view", r, leftmost))
         parts.append(explode_events(pairs, found, keys))
     return reduce(DataFrame.unionByName, parts)
 
@@ -452,76 +443,67 @@ def scan_vectored(
     return scan_events(df.select(*keys, joined.alias("_text")), rules, "_text", keys, strict)
 
 
-def piece_index(pieces: Column, offset: Column) -> Column:
+def piece_index(pieces: str, offset: str) -> Column:
     """0-based piece that holds the byte before ``offset`` (an event's end)."""
-    lengths = F.transform(pieces, lambda p: F.octet_length(p).cast("long"))
-    return let(
-        running_sums(lengths),
-        lambda s: F.size(F.filter(s, lambda b: b < offset)) - 1,
-    )
+    lengths = each(pieces, lambda p: f"CAST(octet_length({p}) AS BIGINT)")
+    return F.expr(f"size({keep(running_sums(lengths), lambda b: f'{b} < {offset}')}) - 1")
 
 
 # --------------------------------------------------------------------------
 # find
 
 
-def coalesced(events: Column) -> Column:
+def coalesced(events: str) -> str:
     """Merge an event into the one before it when rule and start agree and the
     end grows: only the last event of such a run stays."""
 
-    def keep(arr):
-        def last_of_run(e, i):
-            nxt = F.get(arr, i + 1)
-            return ~F.coalesce(
-                (nxt["rule_id"] == e["rule_id"])
-                & (nxt["from_off"] == e["from_off"])
-                & (nxt["to_off"] > e["to_off"]),
-                F.lit(False),
+    def last_of_runs(arr):
+        def grows(e, i):
+            nxt = f"get({arr}, {i} + 1)"
+            return (
+                f"NOT coalesce({nxt}.rule_id = {e}.rule_id AND {nxt}.from_off = {e}.from_off"
+                f" AND {nxt}.to_off > {e}.to_off, false)"
             )
 
-        return F.filter(arr, last_of_run)
+        return f"filter({arr}, (e, i) -> {grows('e', 'i')})"
 
-    return let(events, keep)
+    return let(events, last_of_runs)
 
 
-def find_all_index(text: Column | str, rules, n: int = -1) -> Column:
+def _find(text: str, rules, n: int) -> str:
+    prepared = load_rules(rules).prepared
+    found = event_array(text, RuleSet(prepared))
+    # leftmost-first matches are never merged
+    if not all(p.rule.kind == LEFTMOST for p in prepared):
+        found = coalesced(found)
+    limited = found if n < 0 else f"slice({found}, 1, {n})"
+    return let(limited, lambda a: f"CASE WHEN size({a}) > 0 THEN {a} END")
+
+
+def find_all_index(text: str, rules, n: int = -1) -> Column:
     """First ``n`` merged matches as an array of (from_off, to_off, rule_id);
     negative ``n`` gives all, 0 none; NULL when there is none."""
-    text = F.col(text) if isinstance(text, str) else text
-    events = _find_events(text, rules)
-    limited = events if n < 0 else F.slice(events, F.lit(1), F.lit(n))
-    out = F.transform(
-        limited,
-        lambda e: F.struct(
-            e["from_off"].alias("from_off"),
-            e["to_off"].alias("to_off"),
-            e["rule_id"].alias("rule_id"),
-        ),
-    )
-    return let(out, lambda a: F.when(F.size(a) > 0, a))
 
+    def shown(e):
+        return f"struct({e}.from_off AS from_off, {e}.to_off AS to_off, {e}.rule_id AS rule_id)"
 
-def _find_events(text: Column, rules) -> Column:
-    prepared = load_rules(rules).prepared
-    events = event_array(text, RuleSet(prepared))
-    # leftmost-first matches are never merged
-    return events if all(p.rule.kind == LEFTMOST for p in prepared) else coalesced(events)
+    return F.expr(each(_find(text, rules, n), shown))
 
 
-def find_first_index(text: Column | str, rules) -> Column:
+def find_first_index(text: str, rules) -> Column:
     """``[from, to]`` of the first merged match, or NULL."""
     return F.get(find_all_index(text, rules, 1), F.lit(0))
 
 
-def find_all(text: Column | str, rules, n: int = -1) -> Column:
+def find_all(text: str, rules, n: int = -1) -> Column:
     """Texts of the first ``n`` merged matches."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.transform(
-        find_all_index(text, rules, n),
-        lambda e: bytes_between(text, e["from_off"], e["to_off"]),
+    return F.expr(
+        each(
+            _find(text, rules, n), lambda e: bytes_between(text, f"{e}.from_off", f"{e}.to_off")
+        )
     )
 
 
-def find_first(text: Column | str, rules) -> Column:
+def find_first(text: str, rules) -> Column:
     """Text of the first merged match, or NULL."""
     return F.get(find_all(text, rules, 1), F.lit(0))

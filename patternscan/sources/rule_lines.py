@@ -18,7 +18,7 @@ from patternscan.functions.syntax import (
     LITERAL,
     RuleError,
 )
-from patternscan.functions.views import let
+from patternscan.functions.views import each, keep, let
 from patternscan.operators.audit import audit_rules
 from patternscan.plans.ruleset import EXT_KEYS, EXT_TYPE
 
@@ -33,162 +33,159 @@ def read_rule_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _last_slash(s: Column) -> Column:
+def _last_slash(s: str) -> str:
     """1-based position of the last slash, 0 if there is none."""
-    back = F.instr(F.reverse(s), "/")
-    return F.when(back == 0, F.lit(0)).otherwise(F.length(s) - back + 1)
+    return f"(CASE WHEN contains({s}, '/') THEN length({s}) - instr(reverse({s}), '/') + 1 ELSE 0 END)"
 
 
-def _to_int(text: Column, kind: str) -> Column:
-    return F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast(kind))
+def _to_int(text: str, kind: str) -> str:
+    return f"(CASE WHEN regexp_like({text}, '^[+-]?[0-9]+$') THEN try_cast({text} AS {kind}) END)"
 
 
-def flag_letters(flags: Column, kind: str) -> Column:
+def flag_letters(flags: str, kind: str) -> str:
     """Canonical letters: deprecated ones replaced, sorted, each once."""
     if kind != LEFTMOST:
-        flags = F.translate(flags, "".join(DEPRECATED_FLAGS), "".join(DEPRECATED_FLAGS.values()))
+        old, new = "".join(DEPRECATED_FLAGS), "".join(DEPRECATED_FLAGS.values())
+        flags = f"translate({flags}, '{old}', '{new}')"
     # a split at the empty pattern gives the letters, and one '' for no letter
-    return F.array_join(F.array_sort(F.array_distinct(F.split(flags, ""))), "")
+    return f"array_join(sort_array(array_distinct(split({flags}, ''))), '')"
 
 
-def flag_bits(letters: Column) -> Column:
-    bits = F.lit(0)
-    for letter, bit in FLAG_BITS.items():
-        bits = bits + F.when(F.contains(letters, F.lit(letter)), F.lit(bit)).otherwise(F.lit(0))
-    return bits
+def flag_bits(letters: str) -> str:
+    bits = (f"IF(contains({letters}, '{c}'), {bit}, 0)" for c, bit in FLAG_BITS.items())
+    return f"({' + '.join(bits)})"
 
 
-def _unknown_flag(flags: Column, kind: str) -> Column:
-    known = LEFTMOST_FLAGS if kind == LEFTMOST else "".join(FLAG_BITS) + "".join(DEPRECATED_FLAGS)
-    return F.regexp_extract(flags, f"[^{known}]", 0)
+def _known_flags(kind: str) -> str:
+    if kind == LEFTMOST:
+        return LEFTMOST_FLAGS
+    return "".join(FLAG_BITS) + "".join(DEPRECATED_FLAGS)
 
 
-def _ext_pairs(text: Column) -> Column:
+def _ext_pairs(text: str) -> str:
     """``{a=1,b=2}`` as an array of (key, text of the value)."""
-    inner = F.regexp_replace(text, r"\A\{|\}\z", "")
-    parts = F.filter(F.split(inner, ","), lambda p: F.contains(p, F.lit("=")))
-    return F.transform(
+    inner = f"substring({text}, 2, length({text}) - 2)"
+    parts = keep(f"split({inner}, ',')", lambda p: f"contains({p}, '=')")
+    return each(
         parts,
-        lambda p: F.struct(
-            F.lower(F.substring_index(p, "=", 1)).alias("key"),
-            F.regexp_replace(p, r"\A[^=]*=", "").alias("value"),
-        ),
+        lambda p: f"named_struct('key', lower(substring_index({p}, '=', 1)),"
+        f" 'value', substring({p}, instr({p}, '=') + 1))",
     )
 
 
-def _ext_struct(text: Column) -> Column:
+def _ext_struct(text: str) -> str:
     def build(pairs):
         def value(key):
-            mine = F.filter(pairs, lambda p: p["key"] == key)
-            return _to_int(F.try_element_at(mine, F.lit(-1))["value"], "bigint")
+            mine = keep(pairs, lambda p: f"{p}.key = '{key}'")
+            return _to_int(f"try_element_at({mine}, -1).value", "BIGINT")
 
-        types = {"edit_distance": "int", "hamming_distance": "int"}
-        return F.struct(*(value(k).try_cast(types.get(k, "bigint")).alias(k) for k in EXT_KEYS))
+        values = ", ".join(f"'{k}', {value(k)}" for k in EXT_KEYS)
+        return f"named_struct({values})"
 
-    return F.when(text.isNotNull(), let(_ext_pairs(text), build)).cast(EXT_TYPE)
+    filled = let(_ext_pairs(text), build)
+    return f"CAST(CASE WHEN {text} IS NOT NULL THEN {filled} END AS {EXT_TYPE})"
 
 
-def _ext_error(text: Column) -> Column:
-    bad = F.filter(_ext_pairs(text), lambda p: _to_int(p["value"], "bigint").isNull())
-    return F.get(bad, F.lit(0))["value"]
+def _ext_error(text: str) -> str:
+    bad = keep(_ext_pairs(text), lambda p: f"{_to_int(f'{p}.value', 'BIGINT')} IS NULL")
+    return f"get({bad}, 0).value"
 
 
-def _named(**columns: Column) -> Column:
-    return F.struct(*(c.alias(n) for n, c in columns.items()))
+def _named(**values: str) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in values.items()) + ")"
 
 
-def _split_id(s: Column) -> Column:
+def _split_id(s: str) -> str:
     """``id:/...`` to the id's text and the rest; no id if the slash after the
     colon is the only one."""
-    at, last = F.instr(s, ":/"), _last_slash(s)
-    has_id = (at > 1) & (last > at + 1)
+    at = f"instr({s}, ':/')"
+    has_id = f"{at} > 1 AND {_last_slash(s)} > {at} + 1"
     return _named(
-        id=F.when(has_id, F.substring(s, F.lit(1), at - 1)),
-        rest=F.when(has_id, F.substring(s, at + 1, F.length(s))).otherwise(s),
+        id=f"CASE WHEN {has_id} THEN substring({s}, 1, {at} - 1) END",
+        rest=f"CASE WHEN {has_id} THEN substring({s}, {at} + 1) ELSE {s} END",
     )
 
 
-def _split_expression(rest: Column) -> Column:
+def _split_expression(rest: str) -> str:
     """``/expression/tail``, up to the last slash, or all of it bare."""
     n = _last_slash(rest)
-    quoted = F.startswith(rest, F.lit("/")) & (n > 2)
+    quoted = f"startswith({rest}, '/') AND {n} > 2"
     return _named(
-        expression=F.when(quoted, F.substring(rest, F.lit(2), n - 2)).otherwise(rest),
-        tail=F.when(quoted, F.substring(rest, n + 1, F.length(rest))).otherwise(F.lit("")),
+        expression=f"CASE WHEN {quoted} THEN substring({rest}, 2, {n} - 2) ELSE {rest} END",
+        tail=f"CASE WHEN {quoted} THEN substring({rest}, {n} + 1) ELSE '' END",
     )
 
 
-def _split_ext(tail: Column, kind: str) -> Column:
+def _split_ext(tail: str, kind: str) -> str:
     """Flag letters, and the braces after them; only all-ends rules have any."""
-    brace = F.instr(tail, "{")
-    has_ext = (brace > 0) & F.endswith(tail, F.lit("}")) if kind == ALL_ENDS else F.lit(False)
+    brace = f"instr({tail}, '{{')"
+    has_ext = f"{brace} > 0 AND endswith({tail}, '}}')" if kind == ALL_ENDS else "false"
     return _named(
-        flags=F.when(has_ext, F.substring(tail, F.lit(1), brace - 1)).otherwise(tail),
-        ext=F.when(has_ext, F.substring(tail, brace, F.length(tail))),
+        flags=f"CASE WHEN {has_ext} THEN substring({tail}, 1, {brace} - 1) ELSE {tail} END",
+        ext=f"CASE WHEN {has_ext} THEN substring({tail}, {brace}) END",
     )
 
 
-def _rule(given: Column | None, id_text: Column, expression: Column, c: Column, kind: str) -> Column:
-    """The parsed rule, with an error instead where a part is wrong."""
+def _rule(given: str | None, own: str, expression: str, c: str, kind: str) -> str:
+    """The parsed rule, with an error where a part is wrong."""
 
-    def ticked(label: str, value: Column) -> Column:
-        return F.concat(F.lit(f"{label} `"), value, F.lit("`"))
+    def ticked(label: str, value: str) -> str:
+        return f"concat('{label} `', {value}, '`')"
 
-    own = _to_int(id_text, "int")
-    bad_flag = _unknown_flag(c["flags"], kind)
-    bad_value = _ext_error(c["ext"])
-    error = (
-        F.when(id_text.isNotNull() & own.isNull(), ticked("pattern id", id_text))
-        .when(bad_flag != "", ticked("flag", bad_flag))
-        .when(bad_value.isNotNull(), ticked("ext value", bad_value))
-    )
-    rule_id = own
+    rule_id = _to_int(own, "INT")
+    bad_flag = f"regexp_extract({c}.flags, '[^{_known_flags(kind)}]', 0)"
+    bad_value = _ext_error(f"{c}.ext")
+    errors = [
+        (f"{own} IS NOT NULL AND {rule_id} IS NULL", ticked("pattern id", own)),
+        (f"{bad_flag} <> ''", ticked("flag", bad_flag)),
+        (f"{bad_value} IS NOT NULL", ticked("ext value", bad_value)),
+    ]
     if given is not None:
-        rule_id = _to_int(given, "int")
-        missing = ticked("missing or bad id", F.coalesce(given, F.lit("")))
-        error = F.when(rule_id.isNull(), missing).otherwise(error)
+        rule_id = _to_int(given, "INT")
+        missing = ticked("missing or bad id", f"coalesce({given}, '')")
+        errors.insert(0, (f"{rule_id} IS NULL", missing))
+    cases = " ".join(f"WHEN {test} THEN {error}" for test, error in errors)
     return let(
-        flag_letters(c["flags"], kind),
+        flag_letters(f"{c}.flags", kind),
         lambda letters: _named(
-            rule_id=F.coalesce(rule_id, F.lit(0)),
+            rule_id=f"coalesce({rule_id}, 0)",
             expression=expression,
             flags=letters,
             flag_bits=flag_bits(letters),
-            ext=_ext_struct(c["ext"]),
-            error=error,
+            ext=_ext_struct(f"{c}.ext"),
+            error=f"CASE {cases} END",
         ),
     )
 
 
 def _parse(df: DataFrame, kind: str, id_required: bool) -> DataFrame:
     """``line_no, line`` and the parsed rule; blank lines and comments go."""
-    s = F.btrim(F.col("line"), F.lit(SPACE))
-    df = df.filter((s != "") & ~F.startswith(s, F.lit("#")))
+    df = df.withColumn("_s", F.btrim(F.col("line"), F.lit(SPACE)))
+    df = df.filter("_s <> '' AND NOT startswith(_s, '#')")
 
     def parse(s, given=None):
-        return let(
-            _split_id(s),
-            lambda a: let(
-                _split_expression(a["rest"]),
-                lambda b: let(
-                    _split_ext(b["tail"], kind),
-                    lambda c: _rule(given, a["id"], b["expression"], c, kind),
-                ),
-            ),
-        )
+        def with_tail(a):
+            return lambda b: let(
+                _split_ext(f"{b}.tail", kind),
+                lambda c: _rule(given, f"{a}.id", f"{b}.expression", c, kind),
+            )
 
-    def parse_after_id(s):
+        return let(_split_id(s), lambda a: let(_split_expression(f"{a}.rest"), with_tail(a)))
+
+    if id_required:
         # everything before the first colon, which must be there
-        colon = F.instr(s, ":")
-        given = F.when(colon > 0, F.substring(s, F.lit(1), colon - 1))
-        rest = F.when(colon > 0, F.substring(s, colon + 1, F.length(s))).otherwise(F.lit(""))
-        return let(
-            _named(given=given, rest=rest), lambda p: let(p["rest"], lambda r: parse(r, p["given"]))
+        colon = "instr(_s, ':')"
+        parsed = let(
+            _named(
+                given=f"CASE WHEN {colon} > 0 THEN substring(_s, 1, {colon} - 1) END",
+                rest=f"CASE WHEN {colon} > 0 THEN substring(_s, {colon} + 1) ELSE '' END",
+            ),
+            lambda p: parse(f"{p}.rest", f"{p}.given"),
         )
-
-    parsed = let(s, parse_after_id if id_required else parse)
+    else:
+        parsed = parse("_s")
     # exploding keeps filters on the result from repeating the parse
-    return df.select("line_no", "line", F.explode(F.array(parsed)).alias("r")).select(
+    return df.select("line_no", "line", F.explode(F.array(F.expr(parsed))).alias("r")).select(
         "line_no",
         "line",
         "r.rule_id",
@@ -274,7 +271,7 @@ def rules_from_strings(
     the rank by the column ``position`` of a table (or its ``rule_id`` as is).
     """
     no_ext = F.lit(None).cast(EXT_TYPE)
-    letters = flag_letters(F.lit(flags), kind)
+    letters = flag_letters(f"'{flags}'", kind)
     if df.schema[expression].dataType.typeName() == "array":
         df = df.select(F.posexplode(expression).alias("_at", "expression"))
         rule_id = F.col("_at") + 1
@@ -288,8 +285,8 @@ def rules_from_strings(
     return df.select(
         rule_id.cast("int").alias("rule_id"),
         F.col("expression" if "expression" in df.columns else expression).alias("expression"),
-        letters.alias("flags"),
-        flag_bits(letters).alias("flag_bits"),
+        F.expr(letters).alias("flags"),
+        F.expr(flag_bits(letters)).alias("flag_bits"),
         no_ext.alias("ext"),
         F.lit(kind).alias("kind"),
     )

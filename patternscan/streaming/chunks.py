@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patternscan.functions.syntax import ALL_ENDS, LITERAL, Prepared, Rule, RuleError, prepare
-from patternscan.functions.views import binary_view, byte_view
+from patternscan.functions.views import binary_view, each, keep, let, view_of, view_text
 from patternscan.operators.events import coalesce_events, limit_events
-from patternscan.operators.scan import _event, event_array
+from patternscan.operators.scan import event, event_array
 from patternscan.plans.ruleset import RuleSet, load_rules
 
 BUCKET = 256  # chunks per run: about 1 MB of 4 KB chunks
@@ -112,12 +112,6 @@ def running_totals(
     )
 
 
-def _view_of(df: DataFrame, chunk: str) -> Column:
-    if df.schema[chunk].dataType.typeName() == "binary":
-        return binary_view(F.col(chunk))
-    return byte_view(F.col(chunk))
-
-
 # --------------------------------------------------------------------------
 # runs with the bytes before and after them
 
@@ -142,7 +136,7 @@ def _runs(
 ) -> Runs:
     width = max(width, 1)
     view = chunks.select(
-        *keys, F.col(seq).cast("long").alias("_seq"), _view_of(chunks, chunk).alias("_view")
+        *keys, F.col(seq).cast("long").alias("_seq"), F.expr(view_of(chunks, chunk)).alias("_view")
     ).filter("_view != ''")
     bodies = (
         view.groupBy(*keys, run_of(F.col("_seq"), bucket).alias("_run"))
@@ -169,7 +163,7 @@ def _runs(
             F.lit(SEED_RUN).cast("long").alias("_run"),
             (F.col("next_seq") - 1).alias("_last_seq"),
             F.col("base").alias("n"),
-            F.right(binary_view(F.col("tail")), F.lit(width)).alias("tail"),
+            F.right(F.expr(binary_view("tail")), F.lit(width)).alias("tail"),
             F.lit("").alias("head"),
         )
         narrow = narrow.unionByName(seeded)
@@ -265,14 +259,19 @@ def _stream_rules(rules) -> list[Rule]:
     return [p.rule for p in loaded.prepared]
 
 
-def _global(df: DataFrame, keys: list[str], local: _Local, events: Column, shift: Column, view):
+def _global(
+    df: DataFrame, keys: list[str], local: _Local, events: str, shift: str, view: str
+) -> DataFrame:
     """Explode local events to global ones; texts come along for rules that
     know their starts."""
     known = [i for i, r in enumerate(local.rules) if "L" in r.flags or "l" in r.flags]
     starts = F.col("e.rule_id").isin(known) if known else F.lit(False)
     size = (F.col("e.to_off") - F.col("e.from_off")).cast("int")
     exploded = df.select(
-        *keys, view.alias("_bytes"), shift.alias("_shift"), F.explode(events).alias("e")
+        *keys,
+        F.expr(view).alias("_bytes"),
+        F.expr(shift).alias("_shift"),
+        F.explode(F.expr(events)).alias("e"),
     )
     return exploded.select(
         *keys,
@@ -307,7 +306,7 @@ def _settle(events: DataFrame, keys: list[str], rules: Sequence[Rule], text: boo
             .select(*keys, "_i", "e.from_off", "e.to_off", "e._text")
         )
         events = events.filter(~once).unionByName(first)
-    shown = [F.encode("_text", "ISO-8859-1").cast("string").alias("text")] if text else []
+    shown = [F.expr(view_text("_text")).alias("text")] if text else []
     return events.select(
         *keys,
         F.get(ids, F.col("_i")).alias("rule_id"),
@@ -337,47 +336,38 @@ def _scan_runs(
         F.char_length("body").cast("long").alias("_n"),
         F.concat("carry", "body", "ahead").alias("_view"),
     )
-    view = F.col("_view")
-    found = event_array(binary_text(view), RuleSet(local.open), view=view)
-    inside = F.filter(
-        found,
-        lambda e: (e["to_off"] > F.col("_c")) & (e["to_off"] <= F.col("_c") + F.col("_n")),
-    )
+    found = event_array("_view", RuleSet(local.open), view="_view")
+    inside = keep(found, lambda e: f"{e}.to_off > _c AND {e}.to_off <= _c + _n")
     if seeded and any(p.looks_right for p in local.open):
         # ends at the saved edge that had to wait for the next byte
-        carry = F.col("carry")
-        edge = lambda events: F.filter(events, lambda e: e["to_off"] == F.col("_c"))
-        known = event_array(binary_text(carry), RuleSet(local.open), view=carry)
-        inside = F.when(
-            F.col("resumed"), F.concat(F.array_except(edge(found), edge(known)), inside)
-        ).otherwise(inside)
+        known = event_array("carry", RuleSet(local.open), view="carry")
+        edge = (keep(events, lambda e: f"{e}.to_off = _c") for events in (found, known))
+        inside = (
+            f"CASE WHEN resumed THEN concat(array_except({', '.join(edge)}), {inside})"
+            f" ELSE {inside} END"
+        )
     late = local.only(lambda p: p.looks_right)
     if close and late.open:
-        end = F.right(view, F.lit(late.width + 2))
-        before = (F.char_length(view) - F.char_length(end)).cast("long")
-        closing = F.transform(
+        end = f"right(_view, {late.width + 2})"
+        before = f"char_length(_view) - char_length({end})"
+        closing = each(
             _closing(end, late),
-            lambda e: _event(e["to_off"] + before, e["rule_id"], e["from_off"] + before),
+            lambda e: event(
+                f"{e}.to_off + {before}", f"{e}.rule_id", f"{e}.from_off + {before}"
+            ),
         )
-        inside = F.when(F.col("last"), F.concat(inside, closing)).otherwise(inside)
-    return _global(rows, keys, local, inside, F.col("base") - F.col("_c"), view)
-
-
-def binary_text(view: Column) -> Column:
-    """A byte view as the text whose bytes it shows."""
-    return F.encode(view, "ISO-8859-1")
+        inside = f"CASE WHEN last THEN concat({inside}, {closing}) ELSE {inside} END"
+    return _global(rows, keys, local, inside, "base - _c", "_view")
 
 
-def _closing(view: Column, local: _Local) -> Column:
+def _closing(view: str, local: _Local) -> str:
     """Events that exist only because the data ends at the end of ``view``."""
-    raw = binary_text(view)
 
-    def late(events):
-        return F.filter(events, lambda e: e["to_off"] >= F.char_length(view) - 1)
+    def late(v, rules):
+        events = event_array(v, RuleSet(rules), view=v)
+        return keep(events, lambda e: f"{e}.to_off >= char_length({v}) - 1")
 
-    now = late(event_array(raw, RuleSet(local.closed), view=view))
-    before = late(event_array(raw, RuleSet(local.open), view=view))
-    return F.array_except(now, before)
+    return let(view, lambda v: f"array_except({late(v, local.closed)}, {late(v, local.open)})")
 
 
 def _segments(
@@ -391,7 +381,7 @@ def _segments(
     a silent cut.
     """
     view = chunks.select(
-        *keys, F.col(seq).cast("long").alias("_seq"), _view_of(chunks, chunk).alias("_view")
+        *keys, F.col(seq).cast("long").alias("_seq"), F.expr(view_of(chunks, chunk)).alias("_view")
     ).filter("_view != ''")
     n = F.char_length("_view").cast("long")
     fenced = F.lit(False) if fence is None else F.regexp_like("_view", F.lit(fence))
@@ -442,14 +432,14 @@ def _segments(
 def _scan_segments(
     segments: DataFrame, keys: list[str], local: _Local, close: bool
 ) -> DataFrame:
-    view = F.col("_view")
-    found = event_array(binary_text(view), RuleSet(local.open), view=view)
+    found = event_array("_view", RuleSet(local.open), view="_view")
     # the first byte of a later segment was scanned in the one before
-    inside = F.filter(found, lambda e: (F.col("_g") == 0) | (e["to_off"] > 1))
+    inside = keep(found, lambda e: f"_g = 0 OR {e}.to_off > 1")
     late = local.only(lambda p: p.looks_right)
     if close and late.open:
-        inside = F.when(F.col("last"), F.concat(inside, _closing(view, late))).otherwise(inside)
-    return _global(segments, keys, local, inside, F.col("base"), view)
+        closing = _closing("_view", late)
+        inside = f"CASE WHEN last THEN concat({inside}, {closing}) ELSE {inside} END"
+    return _global(segments, keys, local, inside, "base", "_view")
 
 
 def _no_state(rules: Sequence[Prepared], state) -> None:
@@ -515,14 +505,13 @@ def close_streams(
     if bounded.open:
         width = bounded.width + 2  # a final newline and one byte of context
         last = _runs(chunks, keys, seq, chunk, width, bucket, state).totals
-        view = F.col("tail")
-        shift = F.col("total") - F.char_length("tail")
-        parts.append(_global(last, keys, bounded, _closing(view, bounded), shift, view))
+        shift = "total - char_length(tail)"
+        parts.append(_global(last, keys, bounded, _closing("tail", bounded), shift, "tail"))
     for fence, group in _by_fence(local):
         # a fence byte may be the final newline that ``$`` looks past
         segments = _segments(chunks, keys, seq, chunk, fence).filter("last")
-        view = F.col("_view")
-        parts.append(_global(segments, keys, group, _closing(view, group), F.col("base"), view))
+        closing = _closing("_view", group)
+        parts.append(_global(segments, keys, group, closing, "base", "_view"))
     if not parts:
         columns = T._parse_datatype_string(
             "rule_id int, from_off bigint, to_off bigint, flags int"
@@ -604,7 +593,7 @@ def export_state(
     totals = _runs(chunks, keys, seq, chunk, local.width, bucket, None).totals
     return totals.select(
         *keys,
-        binary_text(F.col("tail")).alias("tail"),
+        F.encode("tail", "ISO-8859-1").alias("tail"),
         F.col("total").alias("base"),
         "next_seq",
         (F.char_length("tail") + 16).cast("long").alias("state_bytes"),
@@ -668,7 +657,7 @@ def stream_text(
     together from the chunks that hold them.  Chunks and events meet in cells
     of the offset range, so a long stream is spread over tasks."""
     keys = list(keys)
-    view = chunks.select(*keys, seq, _view_of(chunks, chunk).alias("_view")).filter("_view != ''")
+    view = chunks.select(*keys, seq, F.expr(view_of(chunks, chunk)).alias("_view")).filter("_view != ''")
     n = F.char_length("_view").cast("long")
     placed = running_totals(view, keys, seq, {"_base": n}, bucket=BUCKET).withColumn("_n", n)
 
