@@ -54,7 +54,7 @@ class Matcher:
             end = n - m.start()
             if end < after or (end == after and after > 0):
                 break
-            if not p.wants_start:
+            if not p.wants_start or p.anchored:
                 start = 0
             elif p.fixed_width:
                 start = end - p.min_width

@@ -81,10 +81,13 @@ class Prepared:
     min_width: int
     max_width: int | None  # None = unbounded
     literal: str | None  # text every match contains
+    caseless: bool
+    any_of: tuple[str, ...]  # every match contains one of these (lower case if caseless)
     at_end: bool  # may match only because the data ends
     only_at_end: bool
     looks_right: bool  # needs the bytes after a match
     one_variable: bool  # at most one part of the rule varies in width
+    anchored: bool  # matches only at the start of the data
     stack_risk: bool  # deep recursion in the JVM matcher on long runs
     ascii_only: bool  # same answer on characters and on bytes
     fence: str | None  # class of bytes no match can contain, None if there is none
@@ -428,7 +431,17 @@ def _one_variable(tree) -> bool:
     return True
 
 
+def _anchored(tree) -> bool:
+    for op, av in _flatten(tree):
+        start = (C.AT_BEGINNING, C.AT_BEGINNING_STRING)
+        if op is not C.AT or av not in start:
+            return False
+        return av is C.AT_BEGINNING_STRING or not tree.state.flags & re.M
+    return False
+
+
 def _required_literal(tree) -> str | None:
+    """Longest text that every match contains."""
     runs, run = [], []
     for op, av in _flatten(tree):
         if op is C.LITERAL:
@@ -447,6 +460,29 @@ def _required_literal(tree) -> str | None:
     return best or None
 
 
+MAX_ANY_OF = 16
+
+
+def _any_of(tree) -> tuple[str, ...]:
+    """A few texts of which every match contains one; empty if none are known.
+
+    The texts are only a cheap first test, so the shortest decides how good a
+    choice is.
+    """
+    own = _required_literal(tree)
+    choices = [(own,)] if own else []
+    for op, av in _flatten(tree):
+        if op is C.BRANCH and len(av[1]) <= MAX_ANY_OF:
+            texts = tuple(_required_literal(x) for x in av[1])
+            if all(texts):
+                choices.append(texts)
+    best = max(choices, key=lambda c: min(map(len, c)), default=())
+    if tree.state.flags & re.I:
+        # folding is safe for ASCII only
+        return tuple(t.lower() for t in best) if all(t.isascii() for t in best) else ()
+    return best
+
+
 def _stack_risk(tree) -> bool:
     for op, av in _walk(tree):
         if op in (C.MAX_REPEAT, C.MIN_REPEAT) and (av[1] == C.MAXREPEAT or av[1] > 256):
@@ -590,10 +626,13 @@ def prepare(rule: Rule, eod: bool = True) -> Prepared:
         min_width=low,
         max_width=high,
         literal=None if tree.state.flags & re.I else _required_literal(tree),
+        caseless=bool(tree.state.flags & re.I),
+        any_of=_any_of(tree),
         at_end=at_end,
         only_at_end=only_at_end,
         looks_right=any(op is C.AT for op, _ in _walk(tree)),
         one_variable=_one_variable(tree),
+        anchored=_anchored(tree),
         stack_risk=_stack_risk(tree),
         ascii_only=_ascii_only(tree),
         fence=None if leftmost else _fence(tree, rule.flags),

@@ -4,19 +4,18 @@ A literal of class k has at least 2^k bytes.  The text gives up one gram of
 ``q`` bytes at every ``stride``-th position, the dictionary the grams at the
 literal's first ``stride`` offsets, with q + stride - 1 = 2^k: every occurrence
 meets exactly one of them, so there is one candidate per occurrence and the
-text side shrinks by the stride.
+text side shrinks by the stride.  All classes share one pass over the text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TOP_CLASS = 4
-STRIDES = {0: 1, 1: 1, 2: 1, 3: 2, 4: 4}
+STRIDES = {0: 1, 1: 1, 2: 1, 3: 2, 4: 4, 5: 16, 6: 32}
+TOP_CLASS = max(STRIDES)
 MAX_INDEX_ROWS = 1_000_000  # index rows that may be broadcast, about 100 bytes each
 
 
@@ -24,6 +23,17 @@ def _gram_length(k: int) -> int:
     return (1 << k) - STRIDES[k] + 1
 
 
+def _by_class(column: str, value) -> str:
+    cases = " ".join(f"WHEN {k} THEN {value(k)}" for k in STRIDES)
+    return f"CASE {column} {cases} END"
+
+
+def _gram(raw: str, start: str) -> str:
+    """Hash of the gram at ``start``: a number joins faster than bytes, and
+    candidates are compared byte by byte anyway."""
+    return f"xxhash64(_k, substring({raw}, {start} + 1, {_by_class('_k', _gram_length)}))"
+
+
 def fold_ascii(text: Column) -> Column:
     """Lower case for A-Z only: what caseless means for bytes."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -46,49 +56,42 @@ def gram_occurrences(
     ``_from`` and the text columns ``carry`` of the row.
     """
     keys, keep, carry = list(keys), list(keep), list(carry)
+    top = f"CAST(least({TOP_CLASS}, floor(log2(octet_length(lit)))) AS INT)"
     sized = literals.select(
-        *keep,
-        "lit",
-        F.octet_length("lit").alias("_len"),
-        F.least(F.lit(TOP_CLASS), F.floor(F.log2(F.octet_length("lit")))).cast("int").alias("_k"),
+        *keep, "lit", F.expr("octet_length(lit) AS _len"), F.expr(f"{top} AS _k")
     ).filter("_len > 0")
     counts = {r["_k"]: r["count"] for r in sized.groupBy("_k").count().collect()}
-    parts = []
-    for k, n in sorted(counts.items()):  # at most five classes
-        stride, q = STRIDES[k], _gram_length(k)
-        index = (
-            sized.filter(F.col("_k") == k)
-            .withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(stride - 1))))
-            .withColumn("_gram", F.substring("lit", F.col("_j") + 1, F.lit(q)))
-            .drop("_k")
-        )
-        cuts = F.when(
-            F.octet_length(raw) >= q,
-            F.sequence(F.lit(0), F.octet_length(raw) - q, F.lit(stride)),
-        )
-        grams = df.select(*keys, *carry, raw, F.explode(cuts).alias("_p")).withColumn(
-            "_gram", F.substring(F.col(raw), F.col("_p") + 1, F.lit(q))
-        )
-        same = F.substring(F.col(raw), F.col("_p") - F.col("_j") + 1, F.col("_len")) == F.col("lit")
-        fits = F.col("_p") >= F.col("_j")
-        if n * stride <= max_index_rows:
-            hits = grams.join(F.broadcast(index), "_gram").filter(fits & same)
-        else:
-            # Too many to broadcast: shuffle grams without their text, then
-            # fetch the text again for the candidates.
-            candidates = (
-                grams.select(*keys, "_p", "_gram")
-                .join(index.hint("shuffle_hash"), "_gram")
-                .filter(fits)
-                .select(*keys, *keep, "lit", "_len", "_p", "_j")
-            )
-            hits = candidates.join(df.select(*keys, *carry, raw), keys).filter(same)
-        parts.append(
-            hits.select(
-                *keys, *keep, *carry, (F.col("_p") - F.col("_j")).cast("long").alias("_from")
-            )
+    offsets = f"explode(sequence(0, {_by_class('_k', lambda k: STRIDES[k] - 1)}))"
+    index = sized.select("*", F.expr(f"{offsets} AS _j")).withColumn(
+        "_gram", F.expr(_gram("lit", "_j"))
+    )
+
+    # class and position in one number: position * 8 + class
+    def cuts(k):
+        last, step = f"(octet_length({raw}) - {_gram_length(k)}) * 8L + {k}", STRIDES[k] * 8
+        enough = f"octet_length({raw}) >= {_gram_length(k)}"
+        nothing = "CAST(array() AS ARRAY<BIGINT>)"
+        return f"CASE WHEN {enough} THEN sequence({k}L, {last}, {step}L) ELSE {nothing} END"
+
+    every = ", ".join(cuts(k) for k in sorted(counts)) or "CAST(array() AS ARRAY<BIGINT>)"
+    grams = (
+        df.select(*keys, *carry, raw, F.expr(f"explode(concat({every})) AS _cut"))
+        .withColumn("_k", F.expr("CAST(_cut & 7 AS INT)"))
+        .withColumn("_p", F.expr("CAST(shiftright(_cut, 3) AS INT)"))
+        .withColumn("_gram", F.expr(_gram(raw, "_p")))
+        .drop("_cut", "_k")
+    )
+    same = F.expr(f"_p >= _j AND substring({raw}, _p - _j + 1, _len) = lit")
+    if sum(n * STRIDES[k] for k, n in counts.items()) <= max_index_rows:
+        hits = grams.join(F.broadcast(index.drop("_k")), "_gram").filter(same)
+    else:
+        # Too many to broadcast: shuffle grams without their text, then fetch
+        # the text again for the candidates.
+        candidates = (
+            grams.select(*keys, "_p", "_gram")
+            .join(index.drop("_k").hint("shuffle_hash"), "_gram")
+            .filter("_p >= _j")
+            .drop("_gram")
         )
-    if not parts:
-        nothing = df.join(F.broadcast(sized), F.lit(False))
-        return nothing.select(*keys, *keep, *carry, F.lit(0).cast("long").alias("_from"))
-    return reduce(DataFrame.unionByName, parts)
+        hits = candidates.join(df.select(*keys, *carry, raw), keys).filter(same)
+    return hits.select(*keys, *keep, *carry, F.expr("CAST(_p - _j AS BIGINT) AS _from"))

@@ -56,7 +56,8 @@ class RuleSql:
     backward: str
     min_width: str
     max_width: str
-    literal: str | None
+    any_of: tuple[str, ...]
+    caseless: bool
     min_offset: str | None
     max_offset: str | None
     min_length: str | None
@@ -76,7 +77,8 @@ class RuleSql:
             backward=sql_text(p.backward),
             min_width=f"{p.min_width}L",
             max_width=f"{p.max_width}L",
-            literal=sql_text(p.literal) if p.literal else None,
+            any_of=tuple(sql_text(t) for t in p.any_of),
+            caseless=p.caseless,
             min_offset=ext.get("min_offset"),
             max_offset=ext.get("max_offset"),
             min_length=ext.get("min_length"),
@@ -95,9 +97,19 @@ class RuleSql:
 
 
 def hit(view: str, r: RuleSql) -> str:
-    """Does the rule match at all?  A plain substring test goes first."""
+    """Does the rule match at all?  Plain substring tests go first."""
     test = f"regexp_like({view}, {r.forward})"
-    return test if r.literal is None else f"(contains({view}, {r.literal}) AND {test})"
+    if not r.any_of:
+        return test
+    if r.caseless:
+        first = let(f"lower({view})", lambda v: _contains_any(v, r.any_of))
+    else:
+        first = _contains_any(view, r.any_of)
+    return f"({first} AND {test})"
+
+
+def _contains_any(view: str, texts: Sequence[str]) -> str:
+    return "(" + " OR ".join(f"contains({view}, {t})" for t in texts) + ")"
 
 
 # --------------------------------------------------------------------------
@@ -399,7 +411,8 @@ def _scan_table(df, table: DataFrame, text, keys, leftmost) -> DataFrame:
             backward="backward",
             min_width="min_width",
             max_width="max_width",
-            literal=None,
+            any_of=(),
+            caseless=False,
             min_offset="ext.min_offset" if s["_lo"] else None,
             max_offset="ext.max_offset" if s["_hi"] else None,
             min_length="ext.min_length" if s["_len"] else None,

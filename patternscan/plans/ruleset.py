@@ -47,7 +47,7 @@ START_ZERO, START_FIXED, START_REVERSE, START_WINDOW, START_PREFIX = (
 
 
 def start_method(p: Prepared) -> str:
-    if not p.wants_start:
+    if not p.wants_start or p.anchored:
         return START_ZERO
     if p.fixed_width:
         return START_FIXED

@@ -19,6 +19,7 @@ from patternscan.functions.syntax import ALL_ENDS, LEFTMOST, LITERAL, Rule
 from patternscan.operators import approx, audit, captures, events, grep, literals, packets, scan
 from patternscan.operators.prefilter import prefilter_verify
 from patternscan.operators.tagging import tag_pii
+from patternscan.plans.layout import spread
 from patternscan.plans.ruleset import EXT_TYPE
 from patternscan.sources import rule_lines
 from patternscan.streaming import chunks, live
@@ -37,7 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def pages(spark, sf_dir) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
 
 
 def big(*names: str) -> list[Column]:
@@ -675,8 +680,7 @@ def stream_live(spark, sf_dir):
 
 @query
 def grep_lines(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
-    found = grep.grep_lines(pages, "<title>[A-Z]", "html", ("page_id",), byte_offset=True)
+    found = grep.grep_lines(pages(spark, sf_dir), "<title>[A-Z]", "html", ("page_id",), byte_offset=True)
     return found.select(*big("page_id", "from_off", "to_off", "line_off"), "line")
 
 
@@ -688,7 +692,7 @@ def grep_documents(spark, sf_dir):
 
 @query
 def grep_totals(spark, sf_dir):
-    return grep.grep_totals(table(spark, sf_dir, "pages"), "href", "html")
+    return grep.grep_totals(pages(spark, sf_dir), "href", "html")
 
 
 def captured(spark, sf_dir) -> DataFrame:
