@@ -45,24 +45,34 @@ def coalesce_events(
         raise ValueError(f"unknown scope {scope!r}")
     keys = list(keys)
     group = keys + (["rule_id"] if scope == "rule" else [])
-    slotted = events.withColumn("_slot", F.col("to_off") - F.pmod("to_off", F.lit(SLOT)))
-    # the event that follows, within the slot
-    here = Window.partitionBy(*group, "_slot").orderBy("to_off", "rule_id", "from_off")
-    with_next = slotted.withColumn("_next", F.lead(_order()).over(here))
-    # and, for the last event of a slot, the first one of the next slot in use
-    firsts = slotted.groupBy(*group, "_slot").agg(F.min(_order()).alias("_first"))
-    across = Window.partitionBy(*group).orderBy("_slot")
-    firsts = firsts.select(*group, "_slot", F.lead("_first").over(across).alias("_after")).filter(
-        "_after IS NOT NULL"
-    )
-    joined = with_next.join(firsts, [*group, "_slot"], "left")
-    nxt = F.coalesce(F.col("_next"), F.col("_after"))
-    grows = (
-        (nxt["rule_id"] == F.col("rule_id"))
-        & (nxt["from_off"] == F.col("from_off"))
-        & (nxt["to_off"] > F.col("to_off"))
+    order = ("to_off", "rule_id", "from_off")
+    slot = F.col("to_off") - F.pmod("to_off", F.lit(SLOT))
+    here = Window.partitionBy(*group, "_slot").orderBy(*order)
+
+    def grows(nxt: Column) -> Column:
+        """The next event continues this one."""
+        return F.coalesce(
+            (nxt["rule_id"] == F.col("rule_id"))
+            & (nxt["from_off"] == F.col("from_off"))
+            & (nxt["to_off"] > F.col("to_off")),
+            F.lit(False),
+        )
+
+    # First within slots of the text; the first and last events of a slot stay
+    # to meet their neighbours in other slots, which are few per key.
+    inside = (
+        events.withColumn("_slot", slot)
+        .withColumn("_next", F.lead(_order()).over(here))
+        .withColumn("_first", F.lag("to_off").over(here).isNull())
+        .withColumn("_merged", grows(F.col("_next")))
+        .filter("NOT _merged OR _first")
+        .withColumn("_last", F.col("_next").isNull())
     )
-    return joined.filter(~F.coalesce(grows, F.lit(False))).select(*events.columns)
+    edge = F.when(~(F.col("_first") | F.col("_last")), F.col("_slot"))
+    across = Window.partitionBy(*group, "_edge").orderBy(*order)
+    met = inside.withColumn("_edge", edge).withColumn("_next", F.lead(_order()).over(across))
+    merged = F.when(F.col("_last"), grows(F.col("_next"))).otherwise(F.col("_merged"))
+    return met.filter(~merged).select(*events.columns)
 
 
 def single_match(events: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -280,7 +290,12 @@ def limit_events(
 def stop_after(
     events: DataFrame, stop: Column, keys: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """End each scan with the first event for which ``stop`` is true."""
+    """End each scan with the first event for which ``stop`` is true.
+
+    ``events`` is read twice (once for the stops alone); write it out first if
+    it comes straight from an expensive scan.  A hot key is only ever joined,
+    which the engine can split.
+    """
     keys = list(keys)
     stops = events.filter(stop).groupBy(*keys).agg(F.min(_order()).alias("_stop"))
     joined = events.join(stops, keys, "left")

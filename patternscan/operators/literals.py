@@ -14,6 +14,9 @@ from patternscan.operators.grams import MAX_INDEX_ROWS, fold_ascii, gram_occurre
 from patternscan.operators.scan import scan_events
 from patternscan.plans.ruleset import MAX_UNROLLED, row_to_rule
 
+SHORT = 8  # bytes
+FEW_SHORT = 8
+
 
 def scan_literals(
     df: DataFrame,
@@ -43,7 +46,23 @@ def scan_dictionary(
     keys: Sequence[str] = ("doc_id",),
     max_index_rows: int = MAX_INDEX_ROWS,
 ) -> DataFrame:
-    """The dictionary path of ``scan_literals`` for a rules table."""
+    """The dictionary path of ``scan_literals`` for a rules table.
+
+    Grams of short literals are taken at every byte of the text, so if only
+    a few literals are short they are scanned as expressions instead.
+    """
+    few = rules.filter(F.octet_length("expression") < SHORT).limit(FEW_SHORT + 1).collect()
+    if 0 < len(few) <= FEW_SHORT:
+        short = [row_to_rule(r) for r in few]
+        long = rules.filter(F.octet_length("expression") >= SHORT)
+        parts = [scan_literals(df, short, text, keys)]
+        if long.limit(1).collect():
+            parts.append(_scan_grams(df, long, text, keys, max_index_rows))
+        return reduce(DataFrame.unionByName, parts)
+    return _scan_grams(df, rules, text, keys, max_index_rows)
+
+
+def _scan_grams(df, rules, text, keys, max_index_rows) -> DataFrame:
     flags = F.coalesce(F.col("flags"), F.lit(""))
     rules = rules.select(
         "rule_id",

@@ -116,6 +116,19 @@ def running_totals(
 # runs with the bytes before and after them
 
 
+def _views(chunks: DataFrame, keys: list[str], seq: str, chunk: str) -> DataFrame:
+    """Chunks as byte views, empty ones left out.
+
+    A chunk needs a stream and a place in it.  Saying so here, and not leaving
+    it to the joins further on, keeps the shuffles of both their sides equal,
+    so that one is reused for the other.
+    """
+    placed = reduce(lambda df, c: df.filter(F.col(c).isNotNull()), [*keys, seq], chunks)
+    return placed.select(
+        *keys, F.col(seq).cast("long").alias("_seq"), F.expr(view_of(chunks, chunk)).alias("_view")
+    ).filter("_view != ''")
+
+
 @dataclass(frozen=True)
 class Runs:
     """Runs of chunks: ``body`` rows and their summary."""
@@ -135,9 +148,7 @@ def _runs(
     state: DataFrame | None,
 ) -> Runs:
     width = max(width, 1)
-    view = chunks.select(
-        *keys, F.col(seq).cast("long").alias("_seq"), F.expr(view_of(chunks, chunk)).alias("_view")
-    ).filter("_view != ''")
+    view = _views(chunks, keys, seq, chunk)
     bodies = (
         view.groupBy(*keys, run_of(F.col("_seq"), bucket).alias("_run"))
         .agg(F.array_sort(F.collect_list(F.struct("_seq", "_view"))).alias("_c"))
@@ -325,6 +336,7 @@ def _scan_runs(
     rows = runs.bodies.drop("_last_seq").join(
         runs.summary.select(*keys, "_run", "base", "carry", "ahead", "resumed", "last"),
         [*keys, "_run"],
+        "left",  # every run has a summary; an inner join would filter one side
     )
     rows = rows.select(
         *keys,
@@ -371,18 +383,16 @@ def _closing(view: str, local: _Local) -> str:
 
 
 def _segments(
-    chunks: DataFrame, keys: list[str], seq: str, chunk: str, fence: str | None
+    chunks: DataFrame, keys: list[str], seq: str, chunk: str, fence: str | None, ends: bool
 ) -> DataFrame:
     """Cut streams at fence bytes, which no match of the rule can contain.
 
     ``keys, _g, base, view, last``: every segment but the first begins with the
     fence byte that ended the one before, as context.  Without a fence a stream
-    is one segment.  A segment beyond ``MAX_SEGMENT`` bytes is an error, never
+    is one segment.  ``last`` is known if ``ends`` asks for it.  A segment beyond ``MAX_SEGMENT`` bytes is an error, never
     a silent cut.
     """
-    view = chunks.select(
-        *keys, F.col(seq).cast("long").alias("_seq"), F.expr(view_of(chunks, chunk)).alias("_view")
-    ).filter("_view != ''")
+    view = _views(chunks, keys, seq, chunk)
     n = F.char_length("_view").cast("long")
     fenced = F.lit(False) if fence is None else F.regexp_like("_view", F.lit(fence))
     totals = running_totals(
@@ -418,14 +428,16 @@ def _segments(
         F.array_sort(F.collect_list(F.struct("base", "text"))).alias("_p"),
         F.when(size > MAX_SEGMENT, too_long).otherwise(size).alias("_size"),
     )
-    last = grouped.groupBy(*keys).agg(F.max("g").alias("_last"))
-    joined = grouped.join(last, keys) if keys else grouped.crossJoin(last)
-    return joined.filter("_size > 0").select(
+    if ends:
+        last = pieces.groupBy(*keys).agg(F.max("g").alias("_last"))
+        grouped = grouped.join(last, keys)
+    is_last = F.col("g") == F.col("_last") if ends else F.lit(False)
+    return grouped.filter("_size > 0").select(
         *keys,
         F.col("g").alias("_g"),
         "base",
         F.array_join(F.transform("_p", lambda p: p["text"]), "").alias("_view"),
-        (F.col("g") == F.col("_last")).alias("last"),
+        is_last.alias("last"),
     )
 
 
@@ -473,8 +485,9 @@ def scan_stream(
         runs = _runs(chunks, keys, seq, chunk, bounded.width + 2 * close, bucket, state)
         parts.append(_scan_runs(runs, keys, bounded, state is not None, close))
     for fence, group in _by_fence(local):
-        segments = _segments(chunks, keys, seq, chunk, fence)
-        parts.append(_scan_segments(segments, keys, group, close))
+        ends = close and any(p.looks_right for p in group.open)
+        segments = _segments(chunks, keys, seq, chunk, fence, ends)
+        parts.append(_scan_segments(segments, keys, group, ends))
     events = reduce(DataFrame.unionByName, parts)
     return _settle(events, keys, local.rules, with_text)
 
@@ -509,7 +522,7 @@ def close_streams(
         parts.append(_global(last, keys, bounded, _closing("tail", bounded), shift, "tail"))
     for fence, group in _by_fence(local):
         # a fence byte may be the final newline that ``$`` looks past
-        segments = _segments(chunks, keys, seq, chunk, fence).filter("last")
+        segments = _segments(chunks, keys, seq, chunk, fence, True).filter("last")
         closing = _closing("_view", group)
         parts.append(_global(segments, keys, group, closing, "base", "_view"))
     if not parts:
@@ -657,9 +670,9 @@ def stream_text(
     together from the chunks that hold them.  Chunks and events meet in cells
     of the offset range, so a long stream is spread over tasks."""
     keys = list(keys)
-    view = chunks.select(*keys, seq, F.expr(view_of(chunks, chunk)).alias("_view")).filter("_view != ''")
+    view = _views(chunks, keys, seq, chunk)
     n = F.char_length("_view").cast("long")
-    placed = running_totals(view, keys, seq, {"_base": n}, bucket=BUCKET).withColumn("_n", n)
+    placed = running_totals(view, keys, "_seq", {"_base": n}, bucket=BUCKET).withColumn("_n", n)
 
     def cells(lo, hi):
         return F.explode(
