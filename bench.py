@@ -72,6 +72,8 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        # a scan costs far more per byte than a shuffle: keep its tasks small
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

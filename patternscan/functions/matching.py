@@ -47,6 +47,10 @@ class Matcher:
     def rule(self) -> Rule:
         return self.prepared.rule
 
+    def may_match(self, subject: str) -> bool:
+        """A cheap test first: the text every match contains."""
+        return self.prepared.literal is None or self.prepared.literal in subject
+
     def ends(self, view: str, after: int = 0):
         """(start, end) of every event with ``end > after``, by ascending end."""
         p, n, found = self.prepared, len(view), []

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from patternscan.functions.views import (
     view_text,
 )
 from patternscan.operators.scan import any_hit
-from patternscan.plans.ruleset import load_rules
+from patternscan.plans.ruleset import MAX_UNROLLED, load_rules
 from patternscan.plans.shipping import ship_package
 
 CAPTURES = "array<struct<from_off:bigint,to_off:bigint,text:string>>"
@@ -33,7 +33,11 @@ CAPTURES = "array<struct<from_off:bigint,to_off:bigint,text:string>>"
 
 def _may_match(df: DataFrame, text: str, prepared: Sequence[Prepared]) -> DataFrame:
     """Drop rows on the JVM that no rule can match."""
-    if is_binary(df, text) or any(p.nullable or (p.stack_risk and not p.literal) for p in prepared):
+    if (
+        is_binary(df, text)
+        or len(prepared) > MAX_UNROLLED
+        or any(p.nullable or (p.stack_risk and not p.literal) for p in prepared)
+    ):
         return df
     name = column_name(text)
     tests = [
@@ -86,6 +90,8 @@ def scan_in_workers(
 
     def emit(m: Matcher, chars, view, raw):
         subject = chars if "8" in m.rule.flags else view
+        if not m.may_match(subject):
+            return
         if m.rule.kind == LEFTMOST:
             found = [x.span() for x in m.forward.finditer(subject)]
         else:
@@ -97,6 +103,45 @@ def scan_in_workers(
     return _map_rows(kept, prepared, text, keys, _schema(df, keys), emit)
 
 
+def match_in_workers(
+    df: DataFrame, prepared: Sequence[Prepared], text: str, keys: Sequence[str]
+) -> DataFrame:
+    """``keys..., rule_id`` of rules the JVM must not run."""
+
+    def emit(m: Matcher, chars, view, raw):
+        subject = chars if "8" in m.rule.flags else view
+        if m.may_match(subject) and m.forward.search(subject):
+            yield m.rule.rule_id, 0, 0, 0
+
+    kept = _may_match(df, text, prepared)
+    hits = _map_rows(kept, prepared, text, keys, _schema(df, keys), emit)
+    return hits.select(*keys, "rule_id")
+
+
+def matches_in_worker(text: str, p: Prepared) -> Column:
+    """Yes or no for one rule the JVM must not run; rows without the text it
+    requires do not reach the worker's matcher."""
+    ship_package(SparkSession.active())
+
+    @F.pandas_udf("boolean")
+    def found(texts: pd.Series) -> pd.Series:
+        m = Matcher.of(p)
+
+        def one(value):
+            if value is None:
+                return None
+            view = value if "8" in p.rule.flags else value.encode("utf-8").decode("latin-1")
+            return m.forward.search(view) is not None
+
+        return texts.map(one)
+
+    if not (p.literal and p.literal.isascii()):
+        return found(F.expr(text))
+    # a row that lacks the literal is sent as an empty text
+    needed = F.expr(f"contains({text}, {sql_text(p.literal)})")
+    return needed & found(F.expr(f"IF(contains({text}, {sql_text(p.literal)}), {text}, '')"))
+
+
 def scan_captures(
     df: DataFrame,
     rules,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from patternscan.functions.views import is_binary, view_of
 from patternscan.operators.grams import MAX_INDEX_ROWS, gram_occurrences
-from patternscan.plans.ruleset import broadcast_slices, prepared_table
+from patternscan.plans.ruleset import broadcast_slices, prepared_table, worker_rules
 
 MIN_LITERAL = 3
 
@@ -25,12 +25,14 @@ def prefilter_verify(
     """``keys..., rule_id`` of every match: the literal a rule requires picks
     candidate pairs, the rule itself decides.  A rules table takes the gram
     join at any size; a list is unrolled with a substring test first."""
-    from patternscan.operators.scan import match_rules
+    from patternscan.operators.scan import _with_worker_hits, match_rules
 
     if not isinstance(rules, DataFrame):
         return match_rules(df, rules, text, keys)
-    pairs = rule_pairs(df, prepared_table(rules), text, keys, max_index_rows)
-    return pairs.select(*keys, "rule_id")
+    table = prepared_table(rules)
+    risky = worker_rules(table, F.col("stack_risk"))
+    pairs = rule_pairs(df, table.filter("NOT stack_risk"), text, keys, max_index_rows)
+    return _with_worker_hits(pairs.select(*keys, "rule_id"), df, risky, text, keys)
 
 
 def rule_pairs(

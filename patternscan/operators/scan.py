@@ -39,6 +39,7 @@ from patternscan.plans.ruleset import (
     RuleSet,
     load_rules,
     start_method,
+    worker_rules,
 )
 
 # what may follow a match at the end of a window: nothing, one or two characters
@@ -121,7 +122,16 @@ def match_any(text: str, rule) -> Column:
 
     ``text`` names a string column (or is a SQL expression of one).
     """
-    return F.expr(any_hit(text, load_rules(rule).prepared))
+    prepared = load_rules(rule).prepared
+    if any(p.stack_risk for p in prepared):
+        from patternscan.operators.captures import matches_in_worker
+
+        tests = [
+            matches_in_worker(text, p) if p.stack_risk else F.expr(any_hit(text, [p]))
+            for p in prepared
+        ]
+        return reduce(Column.__or__, tests)
+    return F.expr(any_hit(text, prepared))
 
 
 def any_hit(text: str, prepared: Sequence[Prepared]) -> str:
@@ -142,9 +152,16 @@ def match_rules(
     """One row per (text, rule that matches it): ``keys..., rule_id``."""
     rule_set = load_rules(rules)
     if rule_set.table is not None:
-        return _pairs(df, rule_set.table, text, keys).select(*keys, "rule_id")
+        risky = worker_rules(rule_set.table, F.col("stack_risk"))
+        safe = rule_set.table.filter("NOT stack_risk")
+        hits = _pairs(df, safe, text, keys).select(*keys, "rule_id")
+        return _with_worker_hits(hits, df, risky, text, keys)
+    risky = [p for p in rule_set.prepared if p.stack_risk]
+    safe = [p for p in rule_set.prepared if not p.stack_risk]
+    if not safe:
+        return _with_worker_hits(None, df, risky, text, keys)
     raw = column_name(text)
-    listed = [RuleSql.of(p) for p in rule_set.prepared]
+    listed = [RuleSql.of(p) for p in safe]
 
     def ids(view):
         tests = (
@@ -154,8 +171,19 @@ def match_rules(
 
     if is_binary(df, text):
         raw = view_of(df, text)
-    hits = ids(raw) if all(r.any_view for r in listed) else let(view_of(df, text), ids)
-    return df.select(*keys, F.explode(F.expr(hits)).alias("rule_id"))
+    found = ids(raw) if all(r.any_view for r in listed) else let(view_of(df, text), ids)
+    hits = df.select(*keys, F.explode(F.expr(found)).alias("rule_id"))
+    return _with_worker_hits(hits, df, risky, text, keys)
+
+
+def _with_worker_hits(hits: DataFrame | None, df, risky, text, keys) -> DataFrame:
+    """Adds the hits of rules that would recurse too deeply on the JVM."""
+    if not risky:
+        return hits
+    from patternscan.operators.captures import match_in_workers
+
+    more = match_in_workers(df, risky, text, keys)
+    return more if hits is None else hits.unionByName(more)
 
 
 def _pairs(df: DataFrame, table: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
@@ -390,6 +418,9 @@ def _scan_table(df, table: DataFrame, text, keys, leftmost) -> DataFrame:
     pairs first, then build the events of each pair from the rule's columns."""
     wanted = (LEFTMOST,) if leftmost else (ALL_ENDS, LITERAL)
     table = table.filter(F.col("kind").isin(*wanted))
+    by_worker = F.col("stack_risk") | (F.col("nullable") & F.lit(leftmost))
+    risky = worker_rules(table, by_worker)
+    table = table.filter(~by_worker)
     shape = {
         "start_method": "start_method",
         "looks_right": "looks_right",
@@ -427,6 +458,10 @@ def _scan_table(df, table: DataFrame, text, keys, leftmost) -> DataFrame:
         raw = "encode(_view, 'ISO-8859-1')"
         found = let(raw, lambda b, r=r: rule_events("_text", b, "_view", r, leftmost))
         parts.append(explode_events(pairs, found, keys))
+    if risky:
+        from patternscan.operators.captures import scan_in_workers
+
+        parts.append(scan_in_workers(df, risky, text, keys))
     return reduce(DataFrame.unionByName, parts)
 
 

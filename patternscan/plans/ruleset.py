@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patternscan.functions.syntax import (
@@ -104,6 +104,7 @@ def load_rules(rules, kinds: Iterable[str] | None = None, eod: bool = True) -> R
 
 PREPARED_FIELDS = (
     "rule_id int",
+    "expression string",
     "flags string",
     "kind string",
     f"ext {EXT_TYPE}",
@@ -133,6 +134,7 @@ def prepared_table(rules: DataFrame) -> DataFrame:
         p = prepare(row_to_rule(row))
         return (
             p.rule_id,
+            p.rule.expression,
             p.rule.flags,
             p.rule.kind,
             {k: p.rule.ext.get(k) for k in EXT_KEYS},
@@ -162,6 +164,14 @@ def prepared_table(rules: DataFrame) -> DataFrame:
     return table
 
 
+def worker_rules(table: DataFrame, test: Column) -> tuple[Prepared, ...]:
+    """The rules of a prepared table that must run in Python workers."""
+    rows = table.filter(test).limit(MAX_BROADCAST_ROWS + 1).collect()
+    if len(rows) > MAX_BROADCAST_ROWS:
+        raise RuleError("too many rules that cannot run on the JVM")
+    return tuple(prepare(row_to_rule(r)) for r in rows)
+
+
 def broadcast_slices(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> list[DataFrame]:
     """Cut a table into parts of about ``limit`` rows, each safe to broadcast."""
     n = table.count()
@@ -173,17 +183,3 @@ def broadcast_slices(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> list[
     part = F.pmod(F.xxhash64(*table.columns), F.lit(parts))
     return [F.broadcast(table.filter(part == i)) for i in range(parts)]
 
-
-__all__ = [
-    "ALL_ENDS",
-    "LEFTMOST",
-    "MAX_BROADCAST_ROWS",
-    "MAX_UNROLLED",
-    "RULES_SCHEMA",
-    "RuleSet",
-    "broadcast_slices",
-    "load_rules",
-    "prepared_table",
-    "row_to_rule",
-    "start_method",
-]

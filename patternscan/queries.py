@@ -697,7 +697,7 @@ def grep_totals(spark, sf_dir):
 
 def captured(spark, sf_dir) -> DataFrame:
     """Events in the shape of captured packets."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events"), "event_id").selectExpr(
         "event_id AS seq",
         "IF(event_id % 10 = 0, 6, 4) AS ip_version",
         "IF(event_id % 7 = 0, 8, 0) AS frag_offset",

@@ -130,8 +130,13 @@ def test_long_run_of_matches(spark):
 
 def test_deep_rules_do_not_overflow(spark):
     df = texts(spark, "ab" * 20000 + "c")
-    found = scan.scan_events(df, Rule(0, "(?:a|ba?)*c", "L"))
-    assert spans(found) == [(0, 40001)]
+    deep = Rule(0, "(?:a|ba?)*c", "L")
+    assert spans(scan.scan_events(df, deep)) == [(0, 40001)]
+    rules = [deep, Rule(1, "(?:a|ba?)*d"), Rule(2, "bac")]
+    assert [r["rule_id"] for r in scan.match_rules(df, rules).collect()] == [0]
+    row = df.select(*(scan.match_any("text", r).alias(str(r.rule_id)) for r in rules)).first()
+    assert tuple(row) == (True, False, False)
+    assert spans(scan.scan_events(df, rule_table(spark, [deep] * 200))) == [(0, 40001)] * 200
 
 
 def test_captures(spark):
