@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 
 from patternscan.functions.syntax import RuleError, prepare
 from patternscan.operators.events import parse_formula
-from patternscan.plans.layout import spread
-from patternscan.plans.ruleset import row_to_rule
+from patternscan.plans.ruleset import over_all_cores, row_to_rule
 from patternscan.plans.shipping import ship_package
 
 AUDIT = (
@@ -61,7 +60,7 @@ def audit_rules(rules: DataFrame) -> DataFrame:
             yield pd.concat([pdf, found], axis=1)
 
     schema = T.StructType(rules.schema.fields + T._parse_datatype_string(AUDIT).fields)
-    return spread(rules, "expression").mapInPandas(run, schema)
+    return over_all_cores(rules).mapInPandas(run, schema)
 
 
 def valid_rules(audited: DataFrame) -> DataFrame:

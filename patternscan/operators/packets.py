@@ -13,7 +13,7 @@ from patternscan.streaming.chunks import running_totals, scan_stream
 # IP protocol numbers.
 TCP, UDP = 6, 17
 FLOW = ("protocol", "src_addr", "dst_addr", "src_port", "dst_port")
-MODES = {"block": "block", "nostream": "block", "stream": "stream"}
+MODES = {"block": "block", "nostream": "block", "stream": "stream", "vectored": "vectored"}
 
 
 def parse_mode(mode: str) -> str:
@@ -77,7 +77,10 @@ def scan_packets(packets: DataFrame, rules, mode: str = "block") -> DataFrame:
     """Events of every payload: by packet (``seq``) in block mode, by flow
     (``stream_id``) in stream mode, where the matches that need the end of a
     flow come when it is closed."""
-    if parse_mode(mode) == "block":
+    mode = parse_mode(mode)
+    if mode == "vectored":
+        raise RuleError("packets are scanned in block or stream mode")
+    if mode == "block":
         return scan_events(packets, rules, "payload", ("seq",))
     chunks = assign_streams(packets).select("stream_id", "seq", "payload")
     return scan_stream(chunks, rules, ("stream_id",), "seq", "payload", close=True)

@@ -321,8 +321,8 @@ def rule_events(text: str, raw: str, view: str, r: RuleSql, leftmost: bool) -> s
 def event_array(text: str, rules, view: str | None = None) -> str:
     """All events of one block as an array ordered by (to, rule, from).
 
-    The order of the reference for events that end together is not defined;
-    this one is total.  ``rules`` must be known to the driver.
+    Events that end together have no natural order; this one is total.
+    ``rules`` must be known to the driver.
     """
     prepared = load_rules(rules).prepared
     if prepared is None:

@@ -10,7 +10,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
     A file with one row group is one split, and a scan of it would run on one
     core.  Inputs with a split per core, as any large table has, stay as they
-    are and are not shuffled.
+    are and are not shuffled.  Meant for tables as read, whose number of splits
+    is known without running anything.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

@@ -121,6 +121,11 @@ PREPARED_FIELDS = (
 )
 
 
+def over_all_cores(rules: DataFrame) -> DataFrame:
+    """Parsing a rule costs far more than moving it."""
+    return rules.repartition(rules.sparkSession.sparkContext.defaultParallelism)
+
+
 def prepared_table(rules: DataFrame) -> DataFrame:
     """Prepare a large rules table in a Spark job; a bad rule fails the job.
 
@@ -155,9 +160,8 @@ def prepared_table(rules: DataFrame) -> DataFrame:
             rows = [prepared_row(row) for row in pdf.to_dict("records")]
             yield pd.DataFrame(rows, columns=names).astype({"max_width": "Int64"})
 
-    table = rules.select("rule_id", "expression", "flags", "ext", "kind").mapInPandas(
-        run, ", ".join(PREPARED_FIELDS)
-    )
+    written = over_all_cores(rules.select("rule_id", "expression", "flags", "ext", "kind"))
+    table = written.mapInPandas(run, ", ".join(PREPARED_FIELDS))
     rows = table.limit(MAX_BROADCAST_ROWS + 1).collect()
     if len(rows) <= MAX_BROADCAST_ROWS:
         return rules.sparkSession.createDataFrame(rows, table.schema)

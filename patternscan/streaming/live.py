@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -213,6 +213,21 @@ def scan_stream_live(
     )
 
 
+def export_live_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Where the streams of a live scan stand, read from its checkpoint, in the
+    shape of ``export_state``: it can seed a batch or another live scan."""
+    stored = (
+        spark.read.format("statestore").option("stateVarName", "position").load(checkpoint)
+    )
+    return stored.select(
+        "key.*",
+        "value.tail",
+        "value.base",
+        "value.next_seq",
+        (F.octet_length("value.tail") + 16).cast("long").alias("state_bytes"),
+    )
+
+
 def _need_width(prepared: Sequence[Prepared]) -> None:
     for p in prepared:
         if p.max_width is None:

@@ -6,7 +6,7 @@ from conftest import all_ends, by_rule
 from patternscan.functions.syntax import Rule, RuleError, prepare
 from patternscan.operators.scan import scan_events
 from patternscan.streaming import chunks as ch
-from patternscan.streaming.live import scan_stream_live
+from patternscan.streaming.live import export_live_state, scan_stream_live
 
 SCHEMA = "stream_id long, seq long, chunk string, control string"
 
@@ -183,5 +183,9 @@ def test_live_starts_from_saved_state(spark, tmp_path):
     rows = [(0, 2, "c456", None), (0, 1, "b", None)]
     got = run_live(spark, tmp_path, rows, "live_seed", 2, rules=rule, initial_state=state)
     assert [(r["from_off"], r["to_off"]) for r in got] == [(3, 6)]
+    saved = export_live_state(spark, str(tmp_path / "checkpoint"))
+    assert [(r["stream_id"], r["base"], r["next_seq"]) for r in saved.collect()] == [(0, 9, 3)]
+    more = ch.scan_stream(table(spark, (0, 3, "ab"), (0, 4, "c")), rule, state=saved)
+    assert spans(more) == [(9, 12)]
     with pytest.raises(RuleError):
         run_live(spark, tmp_path, rows, "live_wide", rules=Rule(0, "a+"))
