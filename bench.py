@@ -78,7 +78,8 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    run(spark.range(1000).repartition(4))  # start the executor threads
+    # start the executor threads and the Python workers
+    run(spark.range(1000).repartition(int(cpus)).mapInPandas(lambda it: it, "id long"))
 
     times = {}
     for name in HEADLINE:

@@ -335,6 +335,8 @@ class Writer:
         raise RuleError(f"{str(op).lower()} not supported.")
 
     def repeat(self, op, low, high, body) -> str:
+        if high == C.MAXREPEAT and not self.captures:
+            body = _unnested(body)
         text = self.sequence(body)
         grouped = (C.LITERAL, C.NOT_LITERAL, C.ANY, C.IN, C.SUBPATTERN)
         if len(body) != 1 or body[0][0] not in grouped:
@@ -379,6 +381,20 @@ class Writer:
 # properties of a parsed rule
 
 
+def _unnested(body):
+    """``(n x+)*`` as ``(n x)*`` where ``n`` may be empty: the same language,
+    but no longer exponentially many ways to match one text."""
+    parts = list(_flatten(body))
+    if not parts or parts[-1][0] not in (C.MAX_REPEAT, C.MIN_REPEAT):
+        return body
+    low, high, inner = parts[-1][1]
+    if low != 1 or high != C.MAXREPEAT:
+        return body
+    if any(_part_width(body, op, av)[0] > 0 or op is C.AT for op, av in parts[:-1]):
+        return body
+    return _parser.SubPattern(body.state, parts[:-1] + list(inner))
+
+
 def _walk(items):
     for op, av in items:
         yield op, av
@@ -463,21 +479,28 @@ def _required_literal(tree) -> str | None:
 MAX_ANY_OF = 16
 
 
-def _any_of(tree) -> tuple[str, ...]:
+def _any_of(tree, caseless: bool) -> tuple[str, ...]:
     """A few texts of which every match contains one; empty if none are known.
 
     The texts are only a cheap first test, so the shortest decides how good a
     choice is.
     """
-    own = _required_literal(tree)
-    choices = [(own,)] if own else []
-    for op, av in _flatten(tree):
-        if op is C.BRANCH and len(av[1]) <= MAX_ANY_OF:
-            texts = tuple(_required_literal(x) for x in av[1])
-            if all(texts):
-                choices.append(texts)
-    best = max(choices, key=lambda c: min(map(len, c)), default=())
-    if tree.state.flags & re.I:
+
+    def choose(items) -> tuple[str, ...]:
+        own = _required_literal(items)
+        choices = [(own,)] if own else []
+        for op, av in _flatten(items):
+            if op is C.BRANCH:
+                sets = [choose(x) for x in av[1]]
+                if all(sets):
+                    choices.append(tuple(dict.fromkeys(t for s in sets for t in s)))
+            elif op in (C.MAX_REPEAT, C.MIN_REPEAT) and av[0] >= 1:
+                choices.append(choose(av[2]))
+        fit = [c for c in choices if 0 < len(c) <= MAX_ANY_OF]
+        return max(fit, key=lambda c: min(map(len, c)), default=())
+
+    best = choose(tree)
+    if caseless:
         # folding is safe for ASCII only
         return tuple(t.lower() for t in best) if all(t.isascii() for t in best) else ()
     return best
@@ -617,6 +640,8 @@ def prepare(rule: Rule, eod: bool = True) -> Prepared:
     if low == 0 and not leftmost and "V" not in rule.flags:
         raise RuleError("Pattern matches empty buffer; use AllowEmpty (V) to enable support.")
     at_end, only_at_end = _end_class(tree)
+    caseless = bool(tree.state.flags & re.I)
+    wide = "8" in rule.flags or "W" in rule.flags
     forward = Writer(captures=leftmost, eod=eod).write(tree, rule.flags)
     backward = None if leftmost else Writer(backward=True, eod=eod).write(tree, rule.flags)
     return Prepared(
@@ -626,16 +651,17 @@ def prepare(rule: Rule, eod: bool = True) -> Prepared:
         min_width=low,
         max_width=high,
         literal=None if tree.state.flags & re.I else _required_literal(tree),
-        caseless=bool(tree.state.flags & re.I),
-        any_of=_any_of(tree),
+        caseless=caseless,
+        # with Unicode folding, other letters than A-Z equal a-z
+        any_of=() if caseless and wide else _any_of(tree, caseless),
         at_end=at_end,
         only_at_end=only_at_end,
         looks_right=any(op is C.AT for op, _ in _walk(tree)),
         one_variable=_one_variable(tree),
         anchored=_anchored(tree),
         stack_risk=_stack_risk(tree),
-        ascii_only=_ascii_only(tree),
-        fence=None if leftmost else _fence(tree, rule.flags),
+        ascii_only="W" not in rule.flags and _ascii_only(tree),
+        fence=None if leftmost or "W" in rule.flags else _fence(tree, rule.flags),
     )
 
 

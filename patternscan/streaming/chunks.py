@@ -429,7 +429,8 @@ def _segments(
         F.when(size > MAX_SEGMENT, too_long).otherwise(size).alias("_size"),
     )
     if ends:
-        last = pieces.groupBy(*keys).agg(F.max("g").alias("_last"))
+        # a stream has one segment more than chunks with a fence
+        last = view.groupBy(*keys).agg(F.sum(fenced.cast("long")).alias("_last"))
         grouped = grouped.join(last, keys)
     is_last = F.col("g") == F.col("_last") if ends else F.lit(False)
     return grouped.filter("_size > 0").select(

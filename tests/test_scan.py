@@ -73,7 +73,7 @@ ALL_ENDS_RULES = [
     ("a+b?", "L"), (r"\ba[bc]{0,2}\b", "L"), (r"(?:ab\b|c)", "L"), ("a*", "VL"),
     ("(a|bc)+", "L"), ("a.*c", "sL"), ("^", "V"), ("a[^b]*c", ""), ("ab", "iL"), ("é", "L"),
     (".", "8L"), ("[^a]b", "8L"), ("a$", "mHL"), (r"\Bb", "L"), (r"a\Z", "L"), (r"b\z", "L"),
-    ("a*?b+", "L"), ("AB|ca", "i"), ("^a[bc]+", "L"), ("(?i:A)b", "L"),
+    ("a*?b+", "L"), ("^a((c?[ab]+)*)c", "L"), ("(?:a?(bc)+)+", "L"), ("(1?a+)*b", ""), (r"\w+", "WL"), (r"[\w]b", "8WiL"), ("AB|ca", "i"), ("^a[bc]+", "L"), ("(?i:A)b", "L"),
 ]
 
 
@@ -139,6 +139,12 @@ def test_deep_rules_do_not_overflow(spark):
     assert spans(scan.scan_events(df, rule_table(spark, [deep] * 200))) == [(0, 40001)] * 200
 
 
+def test_nested_repeats_stay_polynomial(spark):
+    rule = Rule(0, "^((x?a+)*)@b$", "L")
+    assert scan.match_rules(texts(spark, "a" * 2000 + "@"), [rule]).count() == 0
+    assert spans(scan.scan_events(texts(spark, "a" * 50 + "@b"), rule)) == [(0, 52)]
+
+
 def test_captures(spark):
     df = texts(spark, "abctestdeftest")
     rows = scan_captures(df, Rule(0, "(t)(x)?est", kind=LEFTMOST)).orderBy("from_off").collect()
