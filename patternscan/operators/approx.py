@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from patternscan.functions.syntax import Rule, RuleError, byte_text
 from patternscan.functions.views import (
+    binary_view,
     column_name,
     cut_bytes,
     each,
@@ -23,6 +25,7 @@ from patternscan.functions.views import (
     view_of,
     zipped,
 )
+from patternscan.operators.grams import gram_occurrences
 from patternscan.operators.scan import NO_EVENTS, event, explode_events
 
 
@@ -117,27 +120,88 @@ def _scan(df, rules: Sequence[Rule], k, text, keys, build, key: str) -> DataFram
     return explode_events(df, events, keys)
 
 
+def _scan_table(df, rules: DataFrame, k: int, text, keys, key: str) -> DataFrame:
+    """A rules table of any size: its pieces are a dictionary, and only the
+    places they point to are compared."""
+    keys = list(keys)
+    whole = rules.selectExpr(
+        "rule_id",
+        "contains(coalesce(flags, ''), 'L') AS _starts",
+        "CAST(expression AS BINARY) AS _whole",
+        "CAST(octet_length(expression) AS BIGINT) AS _width",
+        f"CAST(coalesce(ext.{key}, {k}) AS INT) AS _errors",
+    )
+    short = whole.filter("_width <= _errors").limit(1).collect()
+    if short:
+        raise RuleError("Approximate matching patterns that reduce to vacuous patterns.")
+    at = "CAST(_width * {} DIV (_errors + 1) AS INT)"
+    pieces = whole.select("*", F.expr("explode(sequence(0, _errors)) AS _i")).selectExpr(
+        "*",
+        f"{at.format('_i')} AS _off",
+        f"substring(_whole, {at.format('_i')} + 1,"
+        f" {at.format('(_i + 1)')} - {at.format('_i')}) AS lit",
+    )
+    texts = df.select(*keys, F.col(text).cast("binary").alias("_raw"))
+    texts = texts.withColumn("_text", F.col("_raw"))
+    rule = ["rule_id", "_starts", "_whole", "_width", "_errors"]
+    seeds = gram_occurrences(
+        texts, pieces.drop("_i"), keys, "_raw", keep=[*rule, "_off"], carry=["_text"]
+    ).withColumn("_a", F.col("_from") - F.col("_off"))
+    literal = binary_view("_whole")
+    if key == "hamming_distance":
+        close = f"{hamming(cut_bytes('_text', '_a', '_a + _width'), literal)} <= _errors"
+        found = seeds.filter("_a >= 0 AND _a + _width <= octet_length(_text)").filter(F.expr(close))
+        found = found.selectExpr(*keys, "rule_id", "_starts", "_a AS _s", "_a + _width AS to_off")
+    else:
+        ends = seeds.select(
+            *keys,
+            *rule,
+            "_text",
+            F.expr("explode(sequence(_a + _width - _errors, _a + _width + _errors)) AS to_off"),
+        ).filter("to_off >= greatest(0L, _width - _errors) AND to_off <= octet_length(_text)")
+        starts = keep(
+            "sequence(greatest(0L, to_off - _width - _errors),"
+            " least(to_off, to_off - _width + _errors))",
+            lambda s: f"levenshtein({cut_bytes('_text', s, 'to_off')}, {literal}, _errors) >= 0",
+        )
+        found = ends.selectExpr(*keys, "rule_id", "_starts", f"get({starts}, 0) AS _s", "to_off")
+        found = found.filter("_s IS NOT NULL")
+    # several seeds may lead to one event
+    return (
+        found.groupBy(*keys, "rule_id", "to_off")
+        .agg(F.min("_s").alias("_s"), F.any_value("_starts").alias("_starts"))
+        .selectExpr(
+            *keys, "rule_id", "IF(_starts, _s, 0L) AS from_off", "to_off", "0 AS flags"
+        )
+    )
+
+
 def scan_edit_distance(
     df: DataFrame,
-    rules: Sequence[Rule],
+    rules: Sequence[Rule] | DataFrame,
     k: int = 1,
     text: str = "text",
     keys: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
     """Every end at which some text is within ``k`` edits of the literal.
 
-    A rule's own ``edit_distance`` overrides ``k``.  Literals only.
+    A rule's own ``edit_distance`` overrides ``k``.  Literals only: a list, or
+    a rules table of any size.
     """
+    if isinstance(rules, DataFrame):
+        return _scan_table(df, rules, k, text, keys, "edit_distance")
     return _scan(df, rules, k, text, keys, _edit_events, "edit_distance")
 
 
 def scan_hamming_distance(
     df: DataFrame,
-    rules: Sequence[Rule],
+    rules: Sequence[Rule] | DataFrame,
     k: int = 1,
     text: str = "text",
     keys: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
     """Every end at which a text of the literal's length differs from it in at
     most ``k`` bytes.  A rule's own ``hamming_distance`` overrides ``k``."""
+    if isinstance(rules, DataFrame):
+        return _scan_table(df, rules, k, text, keys, "hamming_distance")
     return _scan(df, rules, k, text, keys, _hamming_events, "hamming_distance")

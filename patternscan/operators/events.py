@@ -18,6 +18,8 @@ from patternscan.plans.shipping import ship_package
 
 SLOT = 1 << 20  # bytes of text whose events are handled together
 
+MAX_FORMULAS = 256  # each becomes an expression
+
 # 2^16 and 2^32 bytes; large keeps every start.
 HORIZONS = {"small": 1 << 16, "medium": 1 << 32, "large": None}
 
@@ -252,7 +254,10 @@ def combine_rules(
 def combination_formulas(rules) -> dict[int, str]:
     """Formulas (flag ``C``) of a list of rules or of a rules table."""
     if isinstance(rules, DataFrame):
-        rows = rules.filter(F.contains(F.col("flags"), F.lit("C"))).collect()
+        found = rules.filter(F.contains(F.col("flags"), F.lit("C")))
+        rows = found.limit(MAX_FORMULAS + 1).collect()
+        if len(rows) > MAX_FORMULAS:
+            raise RuleError(f"more than {MAX_FORMULAS} combinations")
         return {r["rule_id"]: r["expression"] for r in rows}
     return {r.rule_id: r.expression for r in rules if "C" in r.flags}
 
@@ -327,7 +332,9 @@ def apply_handler(
     """Run user code over the ordered events of each scan.
 
     ``handler(key, events, context)`` gets a pandas frame sorted by
-    (to, rule, from) and yields output tuples.  ``context`` is broadcast.
+    (to, rule, from) and yields output tuples.  ``context`` is broadcast.  The
+    events of a scan are in one task at once, as for the handler they must be:
+    keys are blocks, or streams whose events were limited or merged before.
     """
     ship_package(events.sparkSession)
     shared = events.sparkSession.sparkContext.broadcast(context)

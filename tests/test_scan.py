@@ -276,3 +276,5 @@ def test_approximate(spark, k, literal):
     for op, want in ((scan_edit_distance, by_edit), (scan_hamming_distance, by_hamming)):
         got = [(r["doc_id"], r["from_off"], r["to_off"]) for r in op(df, [rule], k).collect()]
         assert len(got) == len(want) and set(got) == want
+        rows = op(df, rule_table(spark, [rule]), k).collect()
+        assert sorted((r["doc_id"], r["from_off"], r["to_off"]) for r in rows) == sorted(got)
