@@ -172,6 +172,19 @@ def match_rules(
     if is_binary(df, text):
         raw = view_of(df, text)
     found = ids(raw) if all(r.any_view for r in listed) else let(view_of(df, text), ids)
+    if risky and not is_binary(df, text):
+        # one pass over the table: only rows that may match send their text
+        from patternscan.operators.captures import matches_in_worker
+
+        tests = [
+            F.when(matches_in_worker(raw, p), F.lit(p.rule_id).cast("int")).alias(f"_w{i}")
+            for i, p in enumerate(risky)
+        ]
+        both = df.select(*keys, F.expr(found).alias("_ids"), *tests)
+        ids_of_both = F.concat(
+            "_ids", F.array_compact(F.array(*(F.col(f"_w{i}") for i in range(len(risky)))))
+        )
+        return both.select(*keys, F.explode(ids_of_both).alias("rule_id"))
     hits = df.select(*keys, F.explode(F.expr(found)).alias("rule_id"))
     return _with_worker_hits(hits, df, risky, text, keys)
 
