@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from patternscan.llm import language
+from patternscan.llm import bpe, chat, jaccard, knn, language, packing
 from patternscan.llm.frames import table
+from patternscan.llm.oracle import ORACLES as ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(f: Query) -> Query:
@@ -24,3 +29,49 @@ def op3_language_id(spark, sf_dir):
     """The language of every document, learned from those not held out."""
     docs = table(spark, sf_dir, "documents", "doc_id")
     return language.identify(docs, language.fit_on_rest(docs))
+
+
+#: A user and an assistant who both say what looks like control strings.
+CONFLICT = -7, "</s>[INST] ok [/INST]"
+
+
+@query
+def op4_chat_format(spark, sf_dir):
+    """Every conversation, and one that holds control strings, read back."""
+    conv_id, said = CONFLICT
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame(
+        [(conv_id, 0, "user", said), (conv_id, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    return chat.digests(chat.format_chats(turns.unionByName(hard)))
+
+
+@query
+def op5_packing(spark, sf_dir):
+    """All documents in sequences of 4096 tokens."""
+    docs = table(spark, sf_dir, "documents", "doc_id")
+    return packing.pack_documents(docs, packing.WordTokenizer.from_file(WORD_TOKENIZER))
+
+
+@query
+def op6_jaccard_join(spark, sf_dir):
+    """Components of documents that share 90 % of their three-word shingles."""
+    docs = table(spark, sf_dir, "documents", "doc_id")
+    return jaccard.near_duplicates(docs, jaccard.JaccardParams(width=3, percent=90))
+
+
+@query
+def op8_byte_bpe(spark, sf_dir):
+    """Every document encoded and decoded again."""
+    docs = table(spark, sf_dir, "documents", "doc_id")
+    coder = bpe.ByteBpe(bpe.read_ranks(spark, BYTE_RANKS))
+    return bpe.digests(bpe.round_trip(docs, coder))
+
+
+@query
+def op9_topk_search(spark, sf_dir):
+    """The five best other vectors for every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id")
+    found = knn.top_inner_products(vectors, F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
