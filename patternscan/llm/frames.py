@@ -41,7 +41,7 @@ def saved(df: DataFrame, folder: str, name: str) -> DataFrame:
     This cuts the lineage: a lost executor costs no more than what reads it.
     """
     path = f"{folder}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
