@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patternscan.llm import bpe, chat, jaccard, knn, language, packing
+from patternscan.llm import bpe, chat, fingerprint, jaccard, knn, language, licenses, packing, pii, quality
 from patternscan.llm.frames import table
 from patternscan.llm.oracle import ORACLES as ORACLES
 
@@ -24,6 +24,24 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op1_quality(spark, sf_dir):
+    """The quality of every document, learned from the votes of heuristics."""
+    docs = table(spark, sf_dir, "documents", "doc_id")
+    return quality.classify(docs, quality.fit(docs))
+
+
+#: The key of surrogates; a real run takes its own.
+PII_KEY = "patternscan"
+
+
+@query
+def op2_pii_surrogates(spark, sf_dir):
+    """All documents with surrogates for personal data."""
+    docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
+    return pii.replace_entities(docs, pii.PiiParams(key=PII_KEY), count_col="n_entities")
+
+
 @query
 def op3_language_id(spark, sf_dir):
     """The language of every document, learned from those not held out."""
@@ -61,6 +79,12 @@ def op6_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(docs, jaccard.JaccardParams(width=3, percent=90))
 
 
+@query
+def op7_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_byte_bpe(spark, sf_dir):
     """Every document encoded and decoded again."""
@@ -75,3 +99,9 @@ def op9_topk_search(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings", "vec_id")
     found = knn.top_inner_products(vectors, F.col("vec_id") % 50 == 0)
     return found.select("query_id", "rank", "vec_id", "score")
+
+
+@query
+def op10_license_scan(spark, sf_dir):
+    """License phrases and rules in every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents", "doc_id"))
