@@ -45,13 +45,15 @@ class JaccardParams:
     ``100 * intersection >= percent * union``.
 
     ``groups`` is the number of coordinates of a point, ``block`` the number of
-    points that a task searches at once, ``step`` the ratio of the sizes at the
-    ends of a level (sets of a level are sliced alike)."""
+    points in one tree, ``together`` about the number that a task holds, ``step``
+    the ratio of the sizes at the ends of a level (sets of a level are sliced
+    alike)."""
 
     width: int = 3
     percent: int = 90
-    groups: int = 32
+    groups: int = 128
     block: int = 1024
+    together: int = 20_000
     step: float = 1.5
 
     def __post_init__(self):
@@ -180,7 +182,7 @@ class CountTree:
     coordinate, each node with the largest count of each group in its box and
     the least number of shingles."""
 
-    leaf = 16
+    leaf = 32
 
     def __init__(self, counts: np.ndarray, sizes: np.ndarray):
         self.counts, self.sizes = counts, sizes
@@ -243,12 +245,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame
     return joined.mapInPandas(verify, pairs.select("a", "b").schema)
 
 
-def _search(members: DataFrame, p: JaccardParams) -> DataFrame:
+def _search(members: DataFrame, p: JaccardParams, folder: str) -> DataFrame:
     """Pairs ``a, b`` of different components in buckets (``sig, node, root, n,
     counts, size``) that the bound does not exclude.
 
-    A bucket larger than a block is dealt into blocks, and each pair of blocks
-    is searched by one task, so that a task holds two blocks.
+    A bucket larger than a block is dealt into blocks, and each pair of blocks is
+    a unit; a task gets units of some ``together`` points at a time.
     """
     blocks = F.ceil(F.col("size") / p.block).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -259,25 +261,27 @@ def _search(members: DataFrame, p: JaccardParams) -> DataFrame:
         "block", "node", "root", "n", "counts",
     )
 
+    dealt = saved(dealt, folder, "blocks")
+    bins = max(1, -(-dealt.count() // p.together))
+
     def join(frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        frame = frame.sort_values("node", kind="stable").reset_index(drop=True)
-        counts = np.array(frame["counts"].tolist(), np.int64).reshape(len(frame), p.groups)
-        sizes, root = frame["n"].to_numpy(np.int64), frame["root"].to_numpy()
-        indexed = np.flatnonzero(frame["block"].to_numpy() == i)
-        asking = np.flatnonzero(frame["block"].to_numpy() == j)
-        tree = CountTree(counts[indexed], sizes[indexed])
-        node, found = frame["node"].to_numpy(), []
-        for q in asking.tolist():
-            near = indexed[tree.search(counts[q], int(sizes[q]), p)]
-            found += [(node[k], node[q]) for k in near.tolist() if root[k] != root[q] and (i < j or k < q)]
+        found: list[tuple] = []
+        for (_, i, j), unit in frame.groupby(["sig", "i", "j"], sort=False):
+            counts = np.array(unit["counts"].tolist(), np.int64).reshape(len(unit), p.groups)
+            sizes, root = unit["n"].to_numpy(np.int64), unit["root"].to_numpy()
+            block, node = unit["block"].to_numpy(), unit["node"].to_numpy()
+            indexed = np.flatnonzero(block == i)
+            tree = CountTree(counts[indexed], sizes[indexed])
+            for q in np.flatnonzero(block == j).tolist():
+                near = indexed[tree.search(counts[q], int(sizes[q]), p)]
+                near = near[(root[near] != root[q]) & ((i < j) | (near < q))]
+                found += [(node[k], node[q]) for k in near.tolist()]
         out = pd.DataFrame(found, columns=["x", "y"], dtype=frame["node"].dtype)
         return pd.DataFrame({"a": out[["x", "y"]].min(axis=1), "b": out[["x", "y"]].max(axis=1)})
 
     node = members.schema["node"].dataType
-    pairs = dealt.groupBy("sig", "i", "j").applyInPandas(
-        join, StructType([StructField("a", node), StructField("b", node)])
-    )
+    binned = dealt.withColumn("bin", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(bins)))
+    pairs = binned.groupBy("bin").applyInPandas(join, StructType([StructField("a", node), StructField("b", node)]))
     return pairs.distinct()
 
 
@@ -341,7 +345,7 @@ def near_duplicates(
     sent = texts.select("node", F.explode(buckets("text")).alias("sig"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     sent = sent.repartition(parts, "sig")  # one shuffle for both sides below
-    met = sent.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    met = sent.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
     stand = placed.filter("class_node is not null").select("node", "class_node").distinct()
     shared = sent.join(met.select("sig"), "sig").join(stand, "node")
     shared = saved(shared.select("sig", F.col("class_node").alias("node")).distinct(), folder, "shared")
@@ -361,7 +365,7 @@ def near_duplicates(
     ).filter("lo <> hi")
     once = apart.groupBy("size", "all").agg(F.min("sig").alias("sig")).select("sig")  # a bucket's members once
     left = joined.join(once, "sig", "leftsemi").join(chosen, "node")
-    pairs = saved(_search(left, p), folder, "pairs")
+    pairs = saved(_search(left, p, folder), folder, "pairs")
     final = roots
     if not pairs.isEmpty():
         more = saved(_verified(pairs, _texts(texts, pairs), p), folder, "pair-links")
