@@ -33,12 +33,15 @@ _UNIT = 1 << 52
 
 @dataclass(frozen=True)
 class SketchParams:
-    """``bins``: a power of two, the samples of a text; ``portion``: the largest
-    weight of a term; ``spread``: tasks that count words, as a multiple of
+    """``bins``: a power of two, the samples of a text; ``weight``: SQL for the
+    weight of a word that occurs ``tf`` times; ``portion``: the largest weight of
+    a term (the larger it is, the fewer terms and the larger the bias of short
+    texts); ``spread``: tasks that count words, as a multiple of
     ``spark.sql.shuffle.partitions``."""
 
     bins: int = 128
-    portion: int = 2
+    weight: str = "tf"
+    portion: float = 1.0
     spread: int = 3
 
 
@@ -52,7 +55,7 @@ def sample_order(h: str, weight: str) -> Column:
     r = -F.log(_uniform(h, 1) * _uniform(h, 2))
     c = -F.log(_uniform(h, 3) * _uniform(h, 4))
     b = _uniform(h, 5)
-    t = F.floor(F.log(F.col(weight).cast("double")) / r + b)
+    t = F.floor(F.log(F.col(weight)) / r + b)
     return F.log(c) - r * (t - b + 1)
 
 
@@ -67,10 +70,11 @@ def sketches(texts: DataFrame, key: str, sides: dict[str, str], params: SketchPa
     bags = texts.select(key, F.posexplode(F.array(*(F.col(c) for c in sides.values()))).alias("_side", "_text"))
     words = bags.select(key, "_side", F.explode(F.split("_text", r"\s+")).alias("_word")).filter("_word <> ''")
     counted = words.select(key, "_side", F.xxhash64("_word").alias("_h")).groupBy(key, "_side", "_h").agg(
-        F.count(F.lit(1)).alias("_w")
+        F.count(F.lit(1)).alias("tf")
     )
-    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("_w") - 1) / params.portion)))
-    terms = counted.select(key, "_side", "_h", "_w", part.alias("_part")).select(
+    weighed = counted.select(key, "_side", "_h", F.expr(params.weight).cast("double").alias("_w"))
+    part = F.explode(F.sequence(F.lit(0), F.ceil(F.col("_w") / params.portion).cast("int") - 1))
+    terms = weighed.filter("_w > 0").select(key, "_side", "_h", "_w", part.alias("_part")).select(
         key,
         "_side",
         F.when(F.col("_part") == 0, F.col("_h")).otherwise(F.xxhash64("_h", "_part")).alias("_h"),
@@ -112,11 +116,12 @@ def successors(ids: DataFrame, col: str = "id") -> DataFrame:
         return ids.withColumn("next_id", F.col("id"))
 
     def after(keys: DataFrame, low: int, high: int) -> DataFrame:
-        window = F.shiftright("id", _FINE)
+        last = high - low < 1 << _FINE
+        window = F.lit(0) if last else F.shiftright("id", _FINE)
         parted = keys.withColumn("_w", window)
         order = Window.partitionBy("_w").orderBy("id")
         parted = parted.withColumn("next_id", F.lead("id").over(order))
-        if low >> _FINE == high >> _FINE:
+        if last:
             return parted.drop("_w")
         first = keys.groupBy(window.alias("id")).agg(F.min("id").alias("_first"))
         chain = after(first.select("id"), low >> _FINE, high >> _FINE)

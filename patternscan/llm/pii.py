@@ -42,7 +42,7 @@ ENTITIES = {
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)(?!\p{{L}})",
     "ssn": r"(?<![\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{N}\-])",
     "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .\-]?\(\d{1,5}\)[ .\-]?\d{2,5}(?:[ .\-]\d{2,5}){0,3}"
-    r"|\+\d{1,3}(?:[ .\-]\d{2,5}){2,4}|\+\d{8,15}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
+    r"|\+\d{1,3}(?:[ .\-]\d{2,8}){2,4}|\+\d{8,15}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
     "card": r"(?<![\p{L}\p{N}+])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}(?:[ \-]\d{1,3})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\p{N}])",
 } | {kind: _after_title(titles) for kind, titles in TITLES.items()}
 KINDS = tuple(ENTITIES)
@@ -116,7 +116,7 @@ def _poured(canon: Column, digits: Column, letters: Column) -> Column:
     """The text with each digit and each letter replaced by that of a stream."""
     return F.array_join(
         F.transform(
-            F.split(canon, "(?!^)"),
+            F.split(canon, ""),
             lambda c, i: F.when(c.rlike(r"\p{N}"), F.substring(digits, i % 64 + 1, F.lit(1)))
             .when(c.rlike(r"\p{L}"), F.substring(letters, i % 64 + 1, F.lit(1)))
             .otherwise(c),
@@ -132,7 +132,7 @@ def _luhn(digits: Column) -> Column:
         return c.try_cast("int")
 
     places = F.transform(
-        F.split(F.reverse(digits), "(?!^)"),
+        F.split(F.reverse(digits), ""),
         lambda c, i: F.when(i % 2 == 0, digit(c)).otherwise(2 * digit(c) - F.when(digit(c) > 4, 9).otherwise(0)),
     )
     return F.aggregate(places, F.lit(0), lambda s, x: s + x) % 10
@@ -157,7 +157,7 @@ def _surrogate(params: PiiParams) -> Column:
     )
     secret = F.array_join(
         F.transform(
-            F.split(canon, "(?!^)"),
+            F.split(canon, ""),
             lambda c, i: F.when(c.rlike("[0-9a-f]"), F.substring(F.concat(stream, more), i % 128 + 1, F.lit(1)))
             .when(c.rlike("[a-z]"), F.substring(letters, i % 64 + 1, F.lit(1)))
             .otherwise(c),
@@ -221,7 +221,7 @@ def surrogates(found: DataFrame, params: PiiParams, folder: str) -> DataFrame:
 
 def in_format(kind: Column, raw: Column, surrogate: Column) -> Column:
     """A surrogate written as the mention is: its separators, country code, case."""
-    characters = F.split(raw, "(?!^)")
+    characters = F.split(raw, "")
     skip = F.char_length(F.regexp_extract(raw, r"^\+(\d{1,3}(?!\d))?", 1))
 
     def digit(c: Column, i: Column) -> Column:
@@ -258,16 +258,15 @@ def replace_entities(
     has = F.coalesce(text.rlike(GATE) & text.rlike(ENTITY), F.lit(False))
     dirty = docs.filter(has).withColumn("_llm_hash", F.xxhash64(text))
     mentions = dirty.select(
-        F.col(id_col).alias("_id"), F.col("_llm_hash").alias("_hash"), F.posexplode(entities(text)).alias("_pos", "_e")
-    ).select("_id", "_hash", "_pos", "_e.kind", "_e.raw").distinct()
+        F.col(id_col).alias("_llm_id"), F.col("_llm_hash").alias("_llm_same"), F.posexplode(entities(text)).alias("pos", "e")
+    ).select("_llm_id", "_llm_same", "pos", "e.kind", "e.raw").distinct()
     mentions = saved(mentions.withColumn("canon", canonical(F.col("kind"), F.col("raw"))), folder, "mentions")
     table = surrogates(mentions, params, folder)
-    written = mentions.join(table, ["kind", "canon"]).select(
-        "_id", "_hash", F.struct("_pos", in_format(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("s")).alias("_s")
-    )
-    gathered = written.groupBy("_id", "_hash").agg(F.sort_array(F.collect_list("_s"))["s"].alias("_llm_new"))
+    new = in_format(F.col("kind"), F.col("raw"), F.col("surrogate"))
+    written = mentions.join(table, ["kind", "canon"]).select("_llm_id", "_llm_same", F.struct("pos", new.alias("s")).alias("s"))
+    gathered = written.groupBy("_llm_id", "_llm_same").agg(F.sort_array(F.collect_list("s"))["s"].alias("_llm_new"))
     joined = dirty.join(
-        gathered, dirty[id_col].eqNullSafe(gathered["_id"]) & (dirty["_llm_hash"] == gathered["_hash"])
+        gathered, dirty[id_col].eqNullSafe(gathered["_llm_id"]) & (dirty["_llm_hash"] == gathered["_llm_same"])
     )
     pieces = F.arrays_zip(F.split(text, ENTITY, -1).alias("a"), F.col("_llm_new").alias("b"))
     again = F.array_join(F.transform(pieces, lambda p: F.concat(p["a"], F.coalesce(p["b"], F.lit("")))), "")

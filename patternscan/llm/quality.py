@@ -251,7 +251,7 @@ def fit(
             yield pd.DataFrame({"q": q, "x": x})
 
     part = min(_SAMPLE, int(_SAMPLE * p.fit_rows / counts.sum()))
-    chosen = rows.filter(F.pmod(F.xxhash64("_id"), F.lit(_SAMPLE)) < part).dropDuplicates(["_id"])
+    chosen = rows.filter("_id is not null").filter(F.pmod(F.xxhash64("_id"), F.lit(_SAMPLE)) < part).dropDuplicates(["_id"])
     sample = sorted(chosen.select("_id", measured("_text").alias("m")).select("_id", "m.*").collect())
     x = np.array([np.frombuffer(r.x, np.float16) for r in sample], np.float32).reshape(len(sample), p.dims)
     w, b = fit_scorer(x, np.array([r.q for r in sample]), p)
