@@ -134,6 +134,22 @@ def successors(ids: DataFrame, col: str = "id") -> DataFrame:
     return after(ids, low, high).withColumn("next_id", F.coalesce("next_id", F.lit(low)))
 
 
+def _drawn(texts: DataFrame, params: SketchParams) -> DataFrame:
+    """Facts and samples of texts and of what they are with the head of another."""
+    kept = "substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"
+    edited = texts.select("id", "text", F.concat(F.expr(kept), F.coalesce("head", F.lit(""))).alias("edited"))
+    facts = edited.select(
+        "id",
+        F.char_length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
+    )
+    drawn = sketches(edited, "id", {"own": "text", "changed": "edited"}, params)
+    empty = F.array().cast("array<int>")
+    return facts.join(drawn, "id", "left").select(
+        "id", "n_chars", "edited_sha256", F.coalesce("own", empty).alias("own"), F.coalesce("changed", empty).alias("changed")
+    )
+
+
 def fingerprints(
     docs: DataFrame,
     params: SketchParams = SketchParams(),
@@ -158,8 +174,9 @@ def fingerprints(
     plain = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    dealt = plain.repartition(parts, "id").groupBy("id").agg(F.min("text").alias("text"))
-    follow = saved(successors(plain.select("id")), folder, "next")
+    known = plain.filter("id is not null")  # said once, so that all uses share one shuffle of the texts
+    dealt = known.repartition(parts, "id").groupBy("id").agg(F.min("text").alias("text"))
+    follow = saved(successors(known.select("id")), folder, "next")
 
     # each document asks the next one for as many characters as it replaces
     asked = dealt.select("id", F.floor(F.char_length("text") / 2).cast("int").alias("half"))
@@ -167,27 +184,11 @@ def fingerprints(
     given = dealt.join(asked.repartition(parts, "id"), "id").select(
         F.col("for_id").alias("id"), F.expr("substring(text, 1, half)").alias("head")
     )
-    edited = dealt.join(given.repartition(parts, "id"), "id", "left").select(
-        "id",
-        "text",
-        F.concat(
-            F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"),
-            F.coalesce("head", F.lit("")),
-        ).alias("edited"),
-    )
-    facts = edited.select(
-        "id",
-        F.char_length("text").cast("bigint").alias("n_chars"),
-        F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
-    )
-    drawn = sketches(edited, "id", {"own": "text", "changed": "edited"}, params)
-    empty = F.array().cast("array<int>")
-    made = facts.join(drawn, facts["id"].eqNullSafe(drawn["id"]), "left").select(
-        facts["id"],
-        "n_chars",
-        "edited_sha256",
-        F.coalesce("own", empty).alias("own"),
-        F.coalesce("changed", empty).alias("changed"),
+    with_head = dealt.join(given.repartition(parts, "id"), "id", "left")
+    alone = plain.filter("id is null").agg(F.min("text").alias("text")).filter("text is not null")
+    alone = alone.select(F.lit(0).cast("bigint").alias("id"), "text", F.lit("").alias("head"))
+    made = _drawn(with_head, params).unionByName(
+        _drawn(alone, params).withColumn("id", F.lit(None).cast("bigint"))
     )
     made = saved(made, folder, "sketches")
     after = follow.join(made.select(F.col("id").alias("next_id"), F.col("own").alias("next_own")), "next_id")
