@@ -7,11 +7,13 @@ A literal cut into k + 1 pieces keeps at least one piece intact under k errors
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patternscan.functions.syntax import Rule, RuleError, byte_text
+from patternscan.functions.syntax import LITERAL, Rule, RuleError, byte_text, check_flags
 from patternscan.functions.views import (
     binary_view,
     column_name,
@@ -25,8 +27,12 @@ from patternscan.functions.views import (
     view_of,
     zipped,
 )
-from patternscan.operators.grams import gram_occurrences
-from patternscan.operators.scan import NO_EVENTS, event, explode_events
+from patternscan.operators.events import single_match
+from patternscan.operators.grams import fold_ascii, gram_occurrences
+from patternscan.operators.scan import NO_EVENTS, bounded_events, event, explode_events
+from patternscan.sources.rule_lines import checked_flags
+
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def _pieces(literal: str, k: int) -> list[tuple[int, str]]:
@@ -104,13 +110,27 @@ def _reported(r: Rule, start: str, end: str) -> str:
 
 
 def _scan(df, rules: Sequence[Rule], k, text, keys, build, key: str) -> DataFrame:
+    rules = [replace(r, flags=check_flags(r)) for r in rules]
+    caseless = [replace(r, flags=r.flags.replace("i", "")) for r in rules if "i" in r.flags]
+    if caseless:
+        # the text and the literals in one case (of A to Z; offsets stay)
+        folded = [replace(r, expression=r.expression.translate(_LOWER)) for r in caseless]
+        low = df.select(*keys, fold_ascii(F.col(text)).alias(text))
+        parts = [_scan(low, folded, k, text, keys, build, key)]
+        plain = [r for r in rules if "i" not in r.flags]
+        if plain:
+            parts.append(_scan(df, plain, k, text, keys, build, key))
+        return reduce(DataFrame.unionByName, parts)
     for r in rules:
         _pieces(byte_text(r.expression), r.ext.get(key, k))
 
     def one(raw, view, r):
         limit = r.ext.get(key, k)
         test = _some_piece(view, byte_text(r.expression), limit)
-        return f"CASE WHEN {test} THEN {build(raw, view, r, limit)} ELSE {NO_EVENTS} END"
+        # a bound on the length needs the start, shown or not
+        tracked = replace(r, flags=r.flags + "L") if "min_length" in r.ext else r
+        found = bounded_events(f"sort_array({build(raw, view, tracked, limit)})", r)
+        return f"CASE WHEN {test} THEN {found} ELSE {NO_EVENTS} END"
 
     def every(raw, view):
         return f"sort_array(flatten(array({', '.join(one(raw, view, r) for r in rules)})))"
@@ -124,8 +144,23 @@ def _scan_table(df, rules: DataFrame, k: int, text, keys, key: str) -> DataFrame
     """A rules table of any size: its pieces are a dictionary, and only the
     places they point to are compared."""
     keys = list(keys)
+    letters = checked_flags("flags", LITERAL)
+    caseless = rules.filter(F.contains(letters, F.lit("i")))
+    if caseless.limit(1).collect():
+        low = df.select(*keys, fold_ascii(F.col(text)).alias(text))
+        folded = caseless.withColumn("expression", fold_ascii(F.col("expression")))
+        folded = folded.withColumn("flags", F.replace(letters, F.lit("i"), F.lit("")))
+        plain = rules.filter(~F.contains(letters, F.lit("i")))
+        return _scan_table(low, folded, k, text, keys, key).unionByName(
+            _scan_table(df, plain, k, text, keys, key)
+        )
+    rules = rules.withColumn("flags", letters)
     whole = rules.selectExpr(
         "rule_id",
+        "contains(flags, 'H') AS _single",
+        "ext.min_offset AS _lo",
+        "ext.max_offset AS _hi",
+        "ext.min_length AS _least",
         "contains(coalesce(flags, ''), 'L') AS _starts",
         "CAST(expression AS BINARY) AS _whole",
         "CAST(octet_length(expression) AS BIGINT) AS _width",
@@ -143,7 +178,8 @@ def _scan_table(df, rules: DataFrame, k: int, text, keys, key: str) -> DataFrame
     )
     texts = df.select(*keys, F.col(text).cast("binary").alias("_raw"))
     texts = texts.withColumn("_text", F.col("_raw"))
-    rule = ["rule_id", "_starts", "_whole", "_width", "_errors"]
+    bounds = ["_single", "_lo", "_hi", "_least"]
+    rule = ["rule_id", "_starts", "_whole", "_width", "_errors", *bounds]
     seeds = gram_occurrences(
         texts, pieces.drop("_i"), keys, "_raw", keep=[*rule, "_off"], carry=["_text"]
     ).withColumn("_a", F.col("_from") - F.col("_off"))
@@ -151,7 +187,9 @@ def _scan_table(df, rules: DataFrame, k: int, text, keys, key: str) -> DataFrame
     if key == "hamming_distance":
         close = f"{hamming(cut_bytes('_text', '_a', '_a + _width'), literal)} <= _errors"
         found = seeds.filter("_a >= 0 AND _a + _width <= octet_length(_text)").filter(F.expr(close))
-        found = found.selectExpr(*keys, "rule_id", "_starts", "_a AS _s", "_a + _width AS to_off")
+        found = found.selectExpr(
+            *keys, "rule_id", "_starts", "_a AS _s", "_a + _width AS to_off", *bounds
+        )
     else:
         ends = seeds.select(
             *keys,
@@ -164,16 +202,26 @@ def _scan_table(df, rules: DataFrame, k: int, text, keys, key: str) -> DataFrame
             " least(to_off, to_off - _width + _errors))",
             lambda s: f"levenshtein({cut_bytes('_text', s, 'to_off')}, {literal}, _errors) >= 0",
         )
-        found = ends.selectExpr(*keys, "rule_id", "_starts", f"get({starts}, 0) AS _s", "to_off")
+        found = ends.selectExpr(
+            *keys, "rule_id", "_starts", f"get({starts}, 0) AS _s", "to_off", *bounds
+        )
         found = found.filter("_s IS NOT NULL")
     # several seeds may lead to one event
-    return (
-        found.groupBy(*keys, "rule_id", "to_off")
-        .agg(F.min("_s").alias("_s"), F.any_value("_starts").alias("_starts"))
-        .selectExpr(
-            *keys, "rule_id", "IF(_starts, _s, 0L) AS from_off", "to_off", "0 AS flags"
+    events = (
+        found.groupBy(*keys, "rule_id", "to_off", "_starts", *bounds)
+        .agg(F.min("_s").alias("_s"))
+        .withColumn("from_off", F.expr("IF(_starts, _s, 0L)"))
+        .filter(
+            "to_off >= coalesce(_lo, to_off) AND to_off <= coalesce(_hi, to_off)"
+            " AND to_off - _s >= coalesce(_least, to_off - _s)"
         )
+        .withColumn("flags", F.lit(0))
     )
+    columns = [*keys, "rule_id", "from_off", "to_off", "flags"]
+    if not rules.filter("contains(flags, 'H')").limit(1).collect():
+        return events.select(*columns)
+    first = single_match(events.filter("_single"), keys)
+    return events.filter("NOT _single").select(*columns).unionByName(first.select(*columns))
 
 
 def scan_edit_distance(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from patternscan.plans.shipping import ship_package
 
 SLOT = 1 << 20  # bytes of text whose events are handled together
 
-MAX_FORMULAS = 256  # each becomes an expression
+MAX_FORMULAS = 256  # of one projection; more take several
 
 # 2^16 and 2^32 bytes; large keeps every start.
 HORIZONS = {"small": 1 << 16, "medium": 1 << 32, "large": None}
@@ -204,6 +205,13 @@ def combine_rules(
     also reported, at the end of a block in which no operand ever matched.
     """
     keys = list(keys)
+    if len(formulas) > MAX_FORMULAS:
+        listed = list(formulas.items())
+        parts = [
+            combine_rules(events, dict(listed[i : i + MAX_FORMULAS]), keys, blocks)
+            for i in range(0, len(listed), MAX_FORMULAS)
+        ]
+        return reduce(DataFrame.unionByName, parts)
     trees = {rule_id: parse_formula(text) for rule_id, text in formulas.items()}
     operands = sorted(set().union(*(_operands(t) for t in trees.values())))
     firsts = (
@@ -254,11 +262,8 @@ def combine_rules(
 def combination_formulas(rules) -> dict[int, str]:
     """Formulas (flag ``C``) of a list of rules or of a rules table."""
     if isinstance(rules, DataFrame):
-        found = rules.filter(F.contains(F.col("flags"), F.lit("C")))
-        rows = found.limit(MAX_FORMULAS + 1).collect()
-        if len(rows) > MAX_FORMULAS:
-            raise RuleError(f"more than {MAX_FORMULAS} combinations")
-        return {r["rule_id"]: r["expression"] for r in rows}
+        rows = rules.filter(F.contains(F.col("flags"), F.lit("C"))).select("rule_id", "expression")
+        return {r["rule_id"]: r["expression"] for r in rows.collect()}
     return {r.rule_id: r.expression for r in rules if "C" in r.flags}
 
 

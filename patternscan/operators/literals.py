@@ -13,6 +13,7 @@ from patternscan.operators.events import single_match
 from patternscan.operators.grams import MAX_INDEX_ROWS, fold_ascii, gram_occurrences
 from patternscan.operators.scan import scan_events
 from patternscan.plans.ruleset import MAX_UNROLLED, row_to_rule
+from patternscan.sources.rule_lines import checked_flags
 
 SHORT = 8  # bytes
 FEW_SHORT = 8
@@ -51,6 +52,21 @@ def scan_dictionary(
     Grams of short literals are taken at every byte of the text, so if only
     a few literals are short they are scanned as expressions instead.
     """
+    # one meaning whatever the size of the set: the flags of a list of rules
+    empty = F.raise_error(F.lit("Pattern matches empty buffer; a literal must not be empty.")).cast("string")
+    rules = rules.withColumn("flags", checked_flags("flags", LITERAL)).withColumn(
+        "expression", F.when(F.col("expression") == "", empty).otherwise(F.col("expression"))
+    )
+    rules = rules.filter(~F.contains("flags", F.lit("C")))
+    # Unicode case folding is more than bytes can tell
+    wide = F.contains("flags", F.lit("i")) & F.col("flags").rlike("[8W]")
+    folded = rules.filter(wide)
+    if folded.limit(1).collect():
+        parts = [scan_events(df, folded.withColumn("kind", F.lit(LITERAL)), text, keys)]
+        rules = rules.filter(~wide)
+        if rules.limit(1).collect():
+            parts.append(scan_dictionary(df, rules, text, keys, max_index_rows))
+        return reduce(DataFrame.unionByName, parts)
     few = rules.filter(F.octet_length("expression") < SHORT).limit(FEW_SHORT + 1).collect()
     if 0 < len(few) <= FEW_SHORT:
         short = [row_to_rule(r) for r in few]

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patternscan.functions.syntax import ALL_ENDS, LEFTMOST, LITERAL, Prepared
+from patternscan.functions.syntax import ALL_ENDS, LEFTMOST, LITERAL, Prepared, Rule
 from patternscan.functions.views import (
     byte_view,
     bytes_between,
@@ -297,6 +298,13 @@ def _finish(view: str, events: str, r: RuleSql) -> str:
     return f"slice({events}, 1, 1)" if r.single else events
 
 
+def bounded_events(events: str, rule: Rule) -> str:
+    """The offset bounds and the single-match flag of a rule over bytes."""
+    bounds = {k: f"{rule.ext[k]}L" if k in rule.ext else None for k in ("min_offset", "max_offset", "min_length")}
+    flags = {"utf8": False, "reports_start": "L" in rule.flags, "single": "H" in rule.flags}
+    return _finish("NULL", events, SimpleNamespace(**bounds, **flags))
+
+
 def _leftmost(view: str, r: RuleSql) -> str:
     """Non-overlapping leftmost-first events of one rule that is never empty:
     matches and the gaps between them alternate."""

@@ -162,8 +162,8 @@ FROM w""",
 )
 
 SENTENCES = """sentences AS (
-  SELECT min(item_id * 1000 + pos)::BIGINT AS rule_id, expression FROM (
-    SELECT item_id, unnest(s) AS expression, unnest(range(0, len(s))) AS pos
+  SELECT min(item_id * widest + pos)::BIGINT AS rule_id, expression FROM (
+    SELECT item_id, max(len(s)) OVER () AS widest, unnest(s) AS expression, unnest(range(0, len(s))) AS pos
     FROM (SELECT item_id, string_split_regex(text, '[.\\n]+ ?') AS s FROM benchmark))
   WHERE expression <> '' GROUP BY expression)"""
 
@@ -241,14 +241,13 @@ FROM docs WHERE regexp_matches(t, {quoted(r)})"""
 )
 
 SENTENCE_RULES = f"""{SENTENCES}, rules AS (
-  SELECT rule_id, expression[1:10] || '[a-z]* ' AS expression FROM sentences
-  WHERE regexp_matches(expression, '^[A-Za-z ]{{10}}'))"""
+  SELECT rule_id, expression AS plain, regexp_escape(expression) || '[.\\n]' AS expression FROM sentences)"""
 
 oracle(
     "prefilter_rules",
     f"""WITH {SENTENCE_RULES}
 SELECT doc_id, rule_id FROM documents, rules
-WHERE contains(text, expression[1:10]) AND regexp_matches(text, expression)""",
+WHERE contains(text, plain) AND regexp_matches(text, expression)""",
 )
 
 # --------------------------------------------------------------------------
@@ -301,7 +300,7 @@ oracle(
     "scan_events_rule_table",
     f"""WITH {SENTENCE_RULES}, hits AS (
   SELECT doc_id, rule_id, unnest(regexp_extract_all(text, expression)) AS x FROM documents, rules
-  WHERE contains(text, expression[1:10]) AND regexp_matches(text, expression))
+  WHERE contains(text, plain) AND regexp_matches(text, expression))
 SELECT doc_id, rule_id, count(*)::BIGINT AS n_matches FROM hits GROUP BY doc_id, rule_id""",
 )
 oracle(
@@ -419,7 +418,7 @@ oracle(
 )
 oracle(
     "som_horizon",
-    f"""WITH {DOCS}, {RUNS}, ends AS ({RUN_ENDS})
+    f"""WITH {DOCS.replace("SELECT doc_id, lang, text, ", "SELECT doc_id, ").replace("(text,", "(repeat(text, 3),")}, {RUNS}, ends AS ({RUN_ENDS})
 SELECT doc_id, rule_id, CASE WHEN to_off <= 65536 THEN 0::BIGINT END AS from_off, to_off
 FROM ends WHERE to_off >= 2""",
 )
@@ -519,7 +518,7 @@ SELECT stream_id, epoch, 1::BIGINT AS rule_id, from_off, to_off FROM m""",
 oracle(
     "stream_fork",
     f"""WITH {TURNS}, prefix AS (
-  SELECT b.stream_id * 1000 + b.turn AS branch_id, b.t AS again,
+  SELECT b.stream_id * (SELECT max(turn) + 1 FROM turns) + b.turn AS branch_id, b.t AS again,
     string_agg(a.t, '' ORDER BY a.turn) AS head
   FROM turns a JOIN turns b ON a.stream_id = b.stream_id AND a.turn <= b.turn
   GROUP BY b.stream_id, b.turn, b.t),
@@ -639,3 +638,45 @@ SELECT 'stream' AS mode, n::BIGINT AS n_matches, b AS n_bytes, n / (b / 1024.0::
   AS matches_per_kb FROM s, size
 UNION ALL SELECT 'block', n, b, n / (b / 1024.0::DOUBLE) FROM p, size""",
 )
+
+# --------------------------------------------------------------------------
+# rule sets and flags
+
+NEAR_CASELESS = windows().replace("regexp_extract_all(t,", "regexp_extract_all(lower(t),")
+oracle(
+    "edit_distance_flags",
+    f"""WITH {DOCS}, {NEAR_CASELESS}, pairs AS (
+  SELECT doc_id, p, p + n AS e FROM (SELECT doc_id, p, w, unnest([6, 7, 8]) AS n FROM places)
+  WHERE strlen(w) >= n AND levenshtein(substr(w, 1, n), 'license') <= 1),
+ends AS (SELECT doc_id, e, min(p) AS p FROM pairs WHERE e >= 200 GROUP BY doc_id, e)
+SELECT doc_id, 1::BIGINT AS rule_id, min_by(p, e)::BIGINT AS from_off, min(e)::BIGINT AS to_off
+FROM ends GROUP BY doc_id""",
+)
+oracle(
+    "rule_set",
+    f"""WITH {FIRSTS}, {RUNS}, {windows()}
+SELECT doc_id, 104::BIGINT AS rule_id, 0::BIGINT AS from_off,
+  greatest(c, least(coalesce(a, b), coalesce(b, a))) AS to_off
+FROM firsts WHERE c IS NOT NULL AND coalesce(a, b) IS NOT NULL
+UNION ALL SELECT doc_id, 105, 0, c FROM firsts WHERE c < coalesce(a, c + 1)
+UNION ALL SELECT doc_id, 106, 0, n FROM firsts WHERE a IS NULL AND b IS NULL AND c IS NULL
+UNION ALL SELECT doc_id, 103, 0, unnest(range(from_off + 4, to_off + 1)) FROM runs WHERE to_off - from_off >= 4
+UNION ALL SELECT doc_id, 107, 0, p + 7 FROM places
+WHERE strlen(w) >= 7 AND hamming(substr(w, 1, 7), 'License') <= 2""",
+)
+oracle(
+    "flag_prefilter_mode",
+    f"""WITH {DOCS}, {leftmost('m', 'License')} SELECT doc_id, 1::BIGINT AS rule_id, from_off, to_off FROM m""",
+)
+oracle(
+    "flag_unicode_classes",
+    """SELECT doc_id, len(m)::BIGINT AS n_matches FROM (
+  SELECT doc_id, list_filter(regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+'),
+    lambda w: length(w) = 3 AND w[1] = 'é') AS m FROM documents) WHERE len(m) > 0""",
+)
+oracle(
+    "stream_seed_single",
+    f"""WITH {WHOLE}, {ACROSS}, first_turn AS (SELECT stream_id, strlen(t) AS n FROM turns WHERE turn = 0)
+SELECT {STREAM_EVENT} FROM m JOIN first_turn USING (stream_id) WHERE i = 1 AND to_off > n""",
+)
+ORACLES["q_stream_scan_small_runs"] = ORACLES["q_stream_scan"]

@@ -75,6 +75,15 @@ class RuleSet:
     table: DataFrame | None = None
 
 
+def _exact(rule: Rule) -> None:
+    """An exact scan must not pass over a distance in silence."""
+    if rule.ext.get("edit_distance") or rule.ext.get("hamming_distance"):
+        raise RuleError(
+            f"rule {rule.rule_id} is approximate: use scan_edit_distance, scan_hamming_distance"
+            " or scan_rule_set"
+        )
+
+
 def load_rules(rules, kinds: Iterable[str] | None = None, eod: bool = True) -> RuleSet:
     """Accept one rule, a list of rules, or a rules table of any size.
 
@@ -95,6 +104,8 @@ def load_rules(rules, kinds: Iterable[str] | None = None, eod: bool = True) -> R
     rules = [r for r in rules if "C" not in r.flags]
     if not rules:
         raise RuleError("no rules")
+    for r in rules:
+        _exact(r)
     prepared = tuple(prepare(r, eod) for r in rules)
     for p in prepared:
         if kinds is not None and p.rule.kind not in kinds:
@@ -136,7 +147,9 @@ def prepared_table(rules: DataFrame) -> DataFrame:
     names = [f.split()[0] for f in PREPARED_FIELDS]
 
     def prepared_row(row) -> tuple:
-        p = prepare(row_to_rule(row))
+        rule = row_to_rule(row)
+        _exact(rule)
+        p = prepare(rule)
         return (
             p.rule_id,
             p.rule.expression,

@@ -7,7 +7,6 @@ bigint so that results compare with other engines.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -18,6 +17,7 @@ from patternscan.functions.presets import preset_rules
 from patternscan.functions.syntax import ALL_ENDS, LEFTMOST, LITERAL, Rule
 from patternscan.operators import approx, audit, captures, events, grep, literals, packets, scan
 from patternscan.operators.prefilter import prefilter_verify
+from patternscan.operators.rule_sets import scan_rule_set
 from patternscan.operators.tagging import tag_pii
 from patternscan.plans.layout import spread
 from patternscan.plans.ruleset import EXT_TYPE
@@ -143,15 +143,18 @@ def rule_audit(spark, sf_dir):
 SENTENCE = r"[.\n]+ ?"
 
 
+def widest(df: DataFrame, size: Column) -> int:
+    """The largest size, so that ``id * widest + position`` is unique."""
+    return df.agg(F.max(size)).first()[0] or 1
+
+
 def sentences(spark, sf_dir) -> DataFrame:
     """Distinct sentences of ``benchmark``: id of the first one, text."""
-    pieces = table(spark, sf_dir, "benchmark").select(
-        "item_id", F.posexplode(F.split("text", SENTENCE)).alias("pos", "expression")
-    )
+    arrays = table(spark, sf_dir, "benchmark").select("item_id", F.split("text", SENTENCE).alias("s"))
+    pieces = arrays.select("item_id", F.posexplode("s").alias("pos", "expression"))
+    number = F.col("item_id") * widest(arrays, F.size("s")) + F.col("pos")
     return (
-        pieces.filter("expression != ''")
-        .groupBy("expression")
-        .agg(F.min(F.col("item_id") * 1000 + F.col("pos")).alias("rule_id"))
+        pieces.filter("expression != ''").groupBy("expression").agg(F.min(number).alias("rule_id"))
     )
 
 
@@ -170,7 +173,8 @@ def rules_from_strings(spark, sf_dir):
     arrays = table(spark, sf_dir, "benchmark").select("item_id", F.split("text", SENTENCE).alias("e"))
     numbered = arrays.select("item_id", F.posexplode("e").alias("_at", "expression"))
     # positions over the whole feed: the array's own position made global
-    df = numbered.select((F.col("item_id") * 1000 + F.col("_at")).alias("position"), "expression")
+    position = F.col("item_id") * widest(arrays, F.size("e")) + F.col("_at")
+    df = numbered.select(position.alias("position"), "expression")
     return rule_lines.rules_from_strings(df).select(*big("rule_id"), "expression", "kind")
 
 
@@ -232,12 +236,9 @@ def flags_multiline_dotall(spark, sf_dir):
 
 
 def sentence_patterns(spark, sf_dir) -> DataFrame:
-    """A rule per ``benchmark`` sentence: how it starts, then any word."""
-    usable = sentences(spark, sf_dir).filter(r"expression RLIKE '^[A-Za-z ]{10}'")
-    df = usable.select(
-        "rule_id", F.concat(F.substring("expression", 1, 10), F.lit("[a-z]* ")).alias("expression")
-    )
-    return rule_lines.rules_from_strings(df)
+    """A rule per ``benchmark`` sentence: all of it and the sign that ends it."""
+    whole = F.concat(F.lit(r"\Q"), "expression", F.lit(r"\E[.\n]")).alias("expression")
+    return rule_lines.rules_from_strings(sentences(spark, sf_dir).select("rule_id", whole))
 
 
 @query
@@ -372,6 +373,13 @@ def scan_literals_dictionary(spark, sf_dir):
     return doc_events(literals.scan_dictionary(documents(spark, sf_dir), rules))
 
 
+@query
+def edit_distance_flags(spark, sf_dir):
+    """Caseless, from an offset on, the first one only."""
+    rule = Rule(1, "LICENSE", "iHL", {"edit_distance": 1, "min_offset": 200}, LITERAL)
+    return doc_events(approx.scan_edit_distance(documents(spark, sf_dir), [rule]))
+
+
 def lines_of(spark, sf_dir) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", F.split("text", "\n").alias("pieces"))
 
@@ -429,7 +437,9 @@ def start_of_match(spark, sf_dir):
 
 @query
 def som_horizon(spark, sf_dir):
-    reaching_back = scan.scan_events(documents(spark, sf_dir), Rule(1, r"\A.+[0-9]", "Ls"))
+    # three times the text, so that matches reach back beyond the horizon
+    docs = documents(spark, sf_dir).select("doc_id", F.repeat("text", 3).alias("text"))
+    reaching_back = scan.scan_events(docs, Rule(1, r"\A.+[0-9]", "Ls"))
     return doc_events(events.som_horizon(reaching_back, "small"))
 
 
@@ -463,6 +473,26 @@ def quiet(spark, sf_dir):
     return doc_events(events.drop_quiet(found, COMBINED))
 
 
+@query
+def rule_set(spark, sf_dir):
+    """Rules, quiet rules, formulas over them and an approximate rule in one scan."""
+    near = Rule(107, "License", "", {"hamming_distance": 2}, LITERAL)
+    return doc_events(scan_rule_set(documents(spark, sf_dir), [*COMBINED, near]))
+
+
+@query
+def flag_prefilter_mode(spark, sf_dir):
+    """``P`` rules are exact here."""
+    return doc_events(scan.scan_events(documents(spark, sf_dir), Rule(1, "License", "LP")))
+
+
+@query
+def flag_unicode_classes(spark, sf_dir):
+    rule = Rule(1, r"\bé\w\w\b", "8W", kind=LEFTMOST)
+    found = scan.scan_leftmost(documents(spark, sf_dir), rule)
+    return events.count_events(found, ("doc_id",)).select(*big("doc_id", "n_matches"))
+
+
 @query
 def stop_after(spark, sf_dir):
     return doc_events(events.stop_after(number_events(spark, sf_dir), F.col("rule_id") == 2))
@@ -593,7 +623,7 @@ def stream_reset(spark, sf_dir):
 def stream_fork(spark, sf_dir):
     """Every turn forks its conversation, and the branch says it again."""
     turns = conversations(spark, sf_dir)
-    branch = (F.col("stream_id") * 1000 + F.col("seq")).alias("branch_id")
+    branch = (F.col("stream_id") * widest(turns, F.col("seq") + 1) + F.col("seq")).alias("branch_id")
     forks = turns.select(branch, "stream_id", F.col("seq").alias("fork_seq"))
     again = turns.select(branch, F.col("seq") + 1, "chunk").toDF("branch_id", "seq", "chunk")
     return stream_events(chunks.fork_streams(turns, forks, again, ACROSS), "branch_id")
@@ -616,6 +646,23 @@ def stream_seed(spark, sf_dir):
     return stream_events(rest)
 
 
+ONCE = Rule(1, r"\.[A-Z][a-z]", "LH")
+
+
+@query
+def stream_seed_single(spark, sf_dir):
+    """A single-match rule goes on from a saved state: found before, not again."""
+    turns = conversations(spark, sf_dir)
+    state = chunks.export_state(turns.filter("seq = 0"), ONCE)
+    return stream_events(chunks.scan_stream(turns.filter("seq > 0"), ONCE, state=state))
+
+
+@query
+def stream_scan_small_runs(spark, sf_dir):
+    """Runs of two turns, so that matches cross them."""
+    return stream_events(chunks.scan_stream(conversations(spark, sf_dir), ACROSS, bucket=2))
+
+
 @query
 def stream_match(spark, sf_dir):
     return chunks.stream_match(conversations(spark, sf_dir), ACROSS).select(
@@ -638,10 +685,12 @@ def stream_find_prefix(spark, sf_dir):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder where the cluster wants checkpoints; a local one only if
-    the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="patternscan-")
-    return os.path.join(base, f"patternscan-{uuid.uuid4().hex}")
+    """A new folder that all executors see: where the cluster wants checkpoints,
+    or else beside its tables."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base.rstrip('/')}/patternscan-{uuid.uuid4().hex}"
 
 
 @query

@@ -56,6 +56,14 @@ def flag_bits(letters: str) -> str:
     return f"({' + '.join(bits)})"
 
 
+def checked_flags(flags: str, kind: str) -> Column:
+    """Canonical letters of a flags column; an unknown letter is an error."""
+    letters = F.expr(flag_letters(f"coalesce({flags}, '')", kind))
+    unknown = F.regexp_replace(letters, f"[{_known_flags(kind)}]", "")
+    message = F.concat(F.lit("flags `"), unknown, F.lit(f"` invalid for {kind} rules"))
+    return F.when(unknown != "", F.raise_error(message).cast("string")).otherwise(letters)
+
+
 def _known_flags(kind: str) -> str:
     if kind == LEFTMOST:
         return LEFTMOST_FLAGS

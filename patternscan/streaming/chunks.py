@@ -489,8 +489,24 @@ def scan_stream(
         ends = close and any(p.looks_right for p in group.open)
         segments = _segments(chunks, keys, seq, chunk, fence, ends)
         parts.append(_scan_segments(segments, keys, group, ends))
-    events = reduce(DataFrame.unionByName, parts)
-    return _settle(events, keys, local.rules, with_text)
+    events = _settle(reduce(DataFrame.unionByName, parts), keys, local.rules, with_text)
+    return _not_again(events, keys, local.rules, state)
+
+
+def _not_again(events: DataFrame, keys: list[str], rules: Sequence[Rule], state) -> DataFrame:
+    """Without the events of single-match rules that matched before the state
+    was saved."""
+    if state is None or "found" not in state.columns or not _single(rules):
+        return events
+    before = state.select(*keys, F.explode(F.split("found", ",")).alias("_id"))
+    before = before.select(*keys, F.col("_id").try_cast("int").alias("rule_id")).filter("rule_id IS NOT NULL")
+    once = F.col("rule_id").isin([r.rule_id for r in _single(rules)])
+    late = events.filter(once).join(before, [*keys, "rule_id"], "left_anti").select(*events.columns)
+    return events.filter(~once).unionByName(late)
+
+
+def _single(rules: Sequence[Rule]) -> list[Rule]:
+    return [r for r in rules if "H" in r.flags or "o" in r.flags]
 
 
 def _by_fence(local: _Local):
@@ -533,7 +549,8 @@ def close_streams(
         )
         schema = T.StructType([chunks.schema[k] for k in keys] + columns.fields)
         return chunks.sparkSession.createDataFrame([], schema)
-    return _settle(reduce(DataFrame.unionByName, parts), keys, local.rules, with_text)
+    events = _settle(reduce(DataFrame.unionByName, parts), keys, local.rules, with_text)
+    return _not_again(events, keys, local.rules, state)
 
 
 # --------------------------------------------------------------------------
@@ -600,18 +617,25 @@ def export_state(
     bucket: int = BUCKET,
 ) -> DataFrame:
     """Where each stream stands after its last chunk: the bytes a match may
-    still begin in, the offset, the next ``seq`` and the size of it all."""
+    still begin in, the offset, the next ``seq`` and the size of it all; with
+    single-match rules also ``found``, the ids of those that have matched."""
     keys, local = list(keys), _Local.of(_stream_rules(rules))
     if any(p.max_width is None for p in local.open):
         raise RuleError("the state of an unbounded rule has no fixed size")
     totals = _runs(chunks, keys, seq, chunk, local.width, bucket, None).totals
-    return totals.select(
+    stand = totals.select(
         *keys,
         F.encode("tail", "ISO-8859-1").alias("tail"),
         F.col("total").alias("base"),
         "next_seq",
         (F.char_length("tail") + 16).cast("long").alias("state_bytes"),
     )
+    single = _single(local.rules)
+    if not single:
+        return stand
+    seen = scan_stream(chunks, single, keys, seq, chunk, bucket=bucket).groupBy(*keys)
+    seen = seen.agg(F.array_join(F.sort_array(F.collect_set("rule_id")).cast("array<string>"), ",").alias("found"))
+    return stand.join(seen, keys, "left").withColumn("found", F.coalesce("found", F.lit("")))
 
 
 # --------------------------------------------------------------------------

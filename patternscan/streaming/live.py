@@ -39,11 +39,12 @@ class _Scanner:
     def _report(self, i, events, found: set[int]):
         """Global events of rule ``i`` that its bounds and flags let through."""
         r = self.rules[i]
-        if "H" in r.flags and i in found:
+        if "H" in r.flags and r.rule_id in found:
             return
         plain = replace(r, ext={k: v for k, v in r.ext.items() if k != "min_length"})
         for a, b in bounded(plain, events):
-            found.add(i)
+            if "H" in r.flags:
+                found.add(r.rule_id)
             yield r.rule_id, a, b, 0
 
     def _kept(self, m: Matcher, events):
@@ -77,6 +78,10 @@ class _Scanner:
             yield from self._report(i, shifted, found)
 
 
+# what a chunk that could not be scanned is reported as
+LOST, LOST_FLAG = -1, 1
+
+
 class StreamScan(StatefulProcessor):
     """Scans each stream in order of ``seq``.
 
@@ -114,8 +119,10 @@ class StreamScan(StatefulProcessor):
                 tail, base = (tail + text)[-self.scanner.width :], base + len(text)
             if control in ("close", "reset"):
                 out.extend(self.scanner.close(tail, base, found))
-                tail, base, found = "", 0, set()
                 closed = control == "close"
+                if closed:
+                    out.extend(self._lost(waiting, base))
+                tail, base, found = "", 0, set()
         if closed:
             self._clear()
         else:
@@ -135,13 +142,16 @@ class StreamScan(StatefulProcessor):
         """An idle stream is closed."""
         tail, base, _, found = self._load()
         out = list(self.scanner.close(tail, base, found))
+        if self.pending.exists():
+            out.extend(self._lost({k[0] for k, _ in self.pending.iterator()}, base))
         self._clear()
         yield self._frame(key, out)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         row = initialState.iloc[0]
         tail = bytes(row["tail"]).decode("latin-1")
-        self._save(tail, int(row["base"]), int(row["next_seq"]), set())
+        found = {int(i) for i in (row["found"] or "").split(",") if i}
+        self._save(tail, int(row["base"]), int(row["next_seq"]), found)
 
     def close(self) -> None:
         pass
@@ -161,6 +171,10 @@ class StreamScan(StatefulProcessor):
         seen = ",".join(str(i) for i in sorted(found))
         self.position.update((tail.encode("latin-1"), base, next_seq, seen))
 
+    def _lost(self, waiting, base: int) -> list[tuple]:
+        """A row for each chunk that still waited for an earlier one."""
+        return [(LOST, base, base, LOST_FLAG)] * len(waiting)
+
     def _clear(self) -> None:
         self.position.clear()
         self.pending.clear()
@@ -184,7 +198,9 @@ def scan_stream_live(
 
     ``seq`` counts the chunks of a stream from 0 without gaps; chunks may
     arrive in any order.  ``control`` names a column with ``close`` or
-    ``reset``; a stream that is idle for ``idle_ms`` is closed.
+    ``reset``; a stream that is idle for ``idle_ms`` is closed.  Chunks that wait
+    for an earlier one when their stream closes cannot be scanned: each gives a
+    row with ``rule_id`` -1 and ``flags`` 1 at the offset that was reached.
     ``initial_state`` comes from ``export_state``.  The session must use the
     RocksDB state store (``STATE_STORE``).
     """
@@ -203,7 +219,8 @@ def scan_stream_live(
     schema = T.StructType([chunks.schema[k] for k in keys] + tail.fields)
     start = None
     if initial_state is not None:
-        start = initial_state.select(*keys, "tail", "base", "next_seq").groupBy(*keys)
+        found = "found" if "found" in initial_state.columns else F.lit("").alias("found")
+        start = initial_state.select(*keys, "tail", "base", "next_seq", found).groupBy(*keys)
     return prepared.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=StreamScan(listed, keys, idle_ms),
         outputStructType=schema,
@@ -225,6 +242,7 @@ def export_live_state(spark: SparkSession, checkpoint: str) -> DataFrame:
         "value.base",
         "value.next_seq",
         (F.octet_length("value.tail") + 16).cast("long").alias("state_bytes"),
+        "value.found",
     )
 
 

@@ -189,3 +189,22 @@ def test_live_starts_from_saved_state(spark, tmp_path):
     assert spans(more) == [(9, 12)]
     with pytest.raises(RuleError):
         run_live(spark, tmp_path, rows, "live_wide", rules=Rule(0, "a+"))
+
+
+def test_live_reports_chunks_that_cannot_be_scanned(spark, tmp_path):
+    """Chunk 3 waits for chunk 2 when the stream closes."""
+    rows = [(0, 0, "xabc", None), (0, 3, "abc", None), (0, 1, "", "close")]
+    got = run_live(spark, tmp_path, rows, "live_gap", 1, rules=Rule(0, "abc", "L"))
+    assert sorted((r["rule_id"], r["from_off"], r["to_off"], r["flags"]) for r in got) == [(-1, 4, 4, 1), (0, 1, 4, 0)]
+
+
+def test_single_match_goes_on_from_a_state(spark, tmp_path):
+    rules = [Rule(5, "test", "LH"), Rule(6, "late", "LH"), Rule(7, "t", "L")]
+    first, rest = table(spark, (0, 0, "a test ")), table(spark, (0, 1, "b test late"))
+    state = ch.export_state(first, rules)
+    whole = sorted(map(tuple, ch.scan_stream(first.unionByName(rest), rules).collect()))
+    parts = ch.scan_stream(first, rules).collect() + ch.scan_stream(rest, rules, state=state).collect()
+    assert sorted(map(tuple, parts)) == whole
+    rows = [(0, 1, "b test late", None)]
+    live = run_live(spark, tmp_path, rows, "live_single", 1, rules=rules, initial_state=state)
+    assert sorted(map(tuple, live)) == sorted(map(tuple, ch.scan_stream(rest, rules, state=state).collect()))
