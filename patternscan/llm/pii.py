@@ -32,13 +32,14 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 def _after_title(titles: str) -> str:
     title = rf"(?<![\p{{L}}\-])(?:{titles})\.? "
-    return rf"(?<={title}){_TOKEN}|(?<={title}{_SHORT} ){_TOKEN}"
+    # cheap tests first: a capital after a space
+    return rf"(?=\p{{Lu}})(?<= )(?:(?<={title})|(?<={title}{_SHORT} )){_TOKEN}"
 
 
 #: Kind and expression of each entity; an earlier kind goes first.
 ENTITIES = {
     "email": r"(?<![\p{L}\p{N}._%+\-@])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]*[\p{L}\p{N}])+",
-    "secret": r"(?<![\p{L}\p{N}])(?:(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,}+|(?:sk|pk|ghp|gho|xoxb|AKIA)[\-_A-Za-z0-9]{16,}+)(?![\p{L}\p{N}])",
+    "secret": r"(?<![\p{L}\p{N}])(?:(?=[0-9A-Fa-f]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}+|(?:(?:sk|pk|ghp|gho|xoxb)[\-_]|AKIA)[\-_A-Za-z0-9]{16,}+)(?![\p{L}\p{N}])",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)(?!\p{{L}})",
     "ssn": r"(?<![\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{N}\-])",
     "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .\-]?\(\d{1,5}\)[ .\-]?\d{2,5}(?:[ .\-]\d{2,5}){0,3}"
@@ -47,8 +48,12 @@ ENTITIES = {
 } | {kind: _after_title(titles) for kind, titles in TITLES.items()}
 KINDS = tuple(ENTITIES)
 ENTITY = "|".join(f"({pattern})" for pattern in ENTITIES.values())
-#: Every entity holds a digit or an @, or follows a title.
-GATE = r"[\d@]|(?:sk|pk|ghp|gho|xoxb)[\-_]|AKIA|" + "|".join(rf"(?:{t})\.? \p{{Lu}}" for t in TITLES.values())
+NAMED = "|".join(rf"(?:{t})\.? \p{{Lu}}" for t in TITLES.values())
+#: Every entity holds a digit or an @, begins with a key's prefix or follows a title.
+CLUES = (
+    "sk-", "sk_", "pk-", "pk_", "ghp-", "ghp_", "gho-", "gho_", "xoxb-", "xoxb_", "AKIA",
+    *(title for titles in TITLES.values() for title in titles.split("|")),
+)
 
 #: Syllables and endings of made-up names by script; endings are
 #: for a man, a woman, and either.
@@ -85,18 +90,32 @@ class PiiParams:
 
 def entities(text: Column) -> Column:
     """``array<struct<kind, raw>>``: the entities of a text in order."""
-    groups = [F.regexp_extract_all(text, F.lit(ENTITY), F.lit(1 + k)).alias(kind) for k, kind in enumerate(KINDS)]
+    named = text.rlike(NAMED)
+    groups = [F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)).alias("raw")]
+    for kind in TITLES:  # what a name is depends on the title before it; other kinds show themselves
+        group = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(1 + KINDS.index(kind)))
+        groups.append(F.when(named, group).otherwise(F.array().cast("array<string>")).alias(kind))
 
     def one(found: Column) -> Column:
-        kind, raw = F.lit(KINDS[-1]), found[KINDS[-1]]
-        for k in reversed(KINDS[:-1]):
-            kind = F.when(found[k] != "", F.lit(k)).otherwise(kind)
-            raw = F.when(found[k] != "", found[k]).otherwise(raw)
-        return F.struct(kind.alias("kind"), raw.alias("raw"))
+        kind = F.lit(None).cast("string")
+        for k in reversed(KINDS):
+            is_kind = found[k] != "" if k in TITLES else found["raw"].rlike(f"^(?:{ENTITIES[k]})$")
+            kind = F.when(is_kind, F.lit(k)).otherwise(kind)
+        return F.struct(kind.alias("kind"), found["raw"].alias("raw"))
 
     return F.transform(F.arrays_zip(*groups), one)
 
 
+def may_hold_entity(text: Column) -> Column:
+    """A cheap test that every text with an entity passes."""
+    found = text.rlike("[0-9@]")
+    for clue in CLUES:
+        if any(other != clue and other in clue for other in CLUES):
+            continue  # the shorter one tells
+        found = found | text.contains(clue)
+    return found
+
+
 def canonical(kind: Column, raw: Column) -> Column:
     """What all mentions of an entity have in common."""
     numeric = kind.isin("phone", "card", "ssn")
@@ -255,7 +274,7 @@ def replace_entities(
     check_columns(docs, id_col, text_col)
     folder = shared_folder(docs.sparkSession)
     text = F.col(text_col).cast("string")
-    has = F.coalesce(text.rlike(GATE) & text.rlike(ENTITY), F.lit(False))
+    has = F.coalesce(may_hold_entity(text) & text.rlike(ENTITY), F.lit(False))
     dirty = docs.filter(has).withColumn("_llm_hash", F.xxhash64(text))
     mentions = dirty.select(
         F.col(id_col).alias("_llm_id"), F.col("_llm_hash").alias("_llm_same"), F.posexplode(entities(text)).alias("pos", "e")
@@ -266,8 +285,10 @@ def replace_entities(
     written = mentions.join(table, ["kind", "canon"]).select("_llm_id", "_llm_same", F.struct("pos", new.alias("s")).alias("s"))
     gathered = written.groupBy("_llm_id", "_llm_same").agg(F.sort_array(F.collect_list("s"))["s"].alias("_llm_new"))
     joined = dirty.join(
-        gathered, dirty[id_col].eqNullSafe(gathered["_llm_id"]) & (dirty["_llm_hash"] == gathered["_llm_same"])
+        gathered, dirty[id_col].eqNullSafe(gathered["_llm_id"]) & (dirty["_llm_hash"] == gathered["_llm_same"]), "left"
     )
+    lost = F.raise_error(F.lit("an entity has no surrogate")).cast("array<string>")
+    joined = joined.withColumn("_llm_new", F.coalesce("_llm_new", lost))
     pieces = F.arrays_zip(F.split(text, ENTITY, -1).alias("a"), F.col("_llm_new").alias("b"))
     again = F.array_join(F.transform(pieces, lambda p: F.concat(p["a"], F.coalesce(p["b"], F.lit("")))), "")
     count = {count_col: F.size("_llm_new").cast("bigint")} if count_col else {}
