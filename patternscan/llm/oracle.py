@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from patternscan.llm import licenses
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op4_chat_format"] = r"""
@@ -83,3 +85,70 @@ WITH v AS (
 )
 SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    """Rules as values.  Words have a space of their own on either side, so that
+    a rule's match can begin where another one ends."""
+    rules = ",\n".join(
+        f"({k}, {_quoted(r.label)}, {r.priority}, {_quoted(r.keyword)}, {_quoted(' (?:' + r.pattern.replace(' ', '  ') + ') ')})"
+        for k, r in enumerate(licenses.license_rules())
+    )
+    base = ", ".join(f"({_quoted(f' {p} '.replace(' ', '  ')[1:-1])}, {_quoted(label)})" for p, label in licenses.BASE)
+    share = " ".join(f"WHEN {level} THEN {sure}" for level, sure in licenses.SHARE.items())
+    return rf"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
+    FROM documents
+), norm AS (
+    SELECT doc_id, len(w) AS n_words, ' ' || array_to_string(w, '  ') || ' ' AS t FROM split
+), rules(rule, label, priority, keyword, pattern) AS (VALUES {rules}
+), base(phrase, label) AS (VALUES {base}
+), places AS (
+    SELECT doc_id, label, string_split(t, phrase) AS g, phrase FROM norm JOIN base ON contains(t, phrase)
+), base_gaps AS (
+    SELECT doc_id, label, unnest(g[1:len(g) - 1]) AS gap, unnest(range(1, len(g))) AS i, phrase FROM places
+), base_found AS (
+    SELECT doc_id, label, sum(len(regexp_extract_all(gap, '[^ ]+')) + len(regexp_extract_all(phrase, '[^ ]+')))
+        OVER (PARTITION BY doc_id, label ORDER BY i) - len(regexp_extract_all(phrase, '[^ ]+')) AS place
+    FROM base_gaps
+), based AS (
+    SELECT doc_id, count(*) AS n_base, min(place)::BIGINT AS first_word, max(place)::BIGINT AS last_word,
+        list(DISTINCT label) AS labels
+    FROM base_found GROUP BY doc_id
+), hits AS (
+    SELECT doc_id, rule, label, priority, regexp_extract_all(t, pattern) AS m, string_split_regex(t, pattern) AS g
+    FROM norm JOIN rules ON contains(t, ' ' || keyword || ' ') AND regexp_matches(t, pattern)
+), gaps AS (
+    SELECT doc_id, rule, label, priority, unnest(m) AS x, unnest(g[1:len(m)]) AS gap, unnest(range(1, len(m) + 1)) AS i
+    FROM hits
+), counted AS (
+    SELECT *, len(regexp_extract_all(x, '[^ ]+')) AS xw, len(regexp_extract_all(gap, '[^ ]+')) AS gw FROM gaps
+), found AS (
+    SELECT doc_id, rule, label, priority, xw,
+        sum(xw + gw) OVER (PARTITION BY doc_id, rule ORDER BY i) - xw AS a
+    FROM counted
+), kept AS (
+    SELECT * FROM found d WHERE NOT EXISTS (
+        SELECT 1 FROM found e WHERE e.doc_id = d.doc_id AND e.a <= d.a AND e.a + e.xw >= d.a + d.xw
+            AND e.priority >= d.priority
+            AND (e.xw > d.xw OR e.priority > d.priority OR e.rule < d.rule))
+), summed AS (
+    SELECT doc_id, list(DISTINCT label) AS labels, max(CASE priority {share} END) AS sure FROM kept GROUP BY doc_id
+)
+SELECT doc_id, n_words::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+    array_to_string(list_sort(coalesce(based.labels, [])), ',') AS base_labels,
+    array_to_string(list_sort(list_distinct(list_concat(coalesce(based.labels, []), coalesce(summed.labels, [])))), ',')
+        AS labels,
+    greatest(coalesce(sure, 0.0), CASE WHEN n_base > 0 THEN 0.5 ELSE 0.0 END)::DOUBLE AS score
+FROM norm LEFT JOIN based USING (doc_id) LEFT JOIN summed USING (doc_id)
+"""
+
+
+ORACLES["op10_license_scan"] = _license_sql()
