@@ -3,6 +3,7 @@ import os
 
 import duckdb
 import pytest
+from test_pairs import plain_components
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -54,6 +55,15 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == kept[3]
 
 
+def test_near_duplicate_stage_equals_all_pairs(spark):
+    docs = table(spark, SF_DIR, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    groups = plain_components(rows, 5, 80)
+    assert len(set(groups.values())) < len(groups)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(groups.values()))
+
+
 def test_pipeline_of_awkward_rows(spark, awkward, nothing):
     for docs in (awkward, nothing):
         folder = shared_folder(spark)
