@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patternscan.llm import jaccard, language, packing, pii, quality
-from patternscan.llm.frames import saved, shared_folder, table
+from patternscan.llm.frames import keep_ids, saved, shared_folder, table
 
 #: Near duplicates: five words, a similarity of 0.8.
 NEAR = jaccard.JaccardParams(width=5, percent=80)
@@ -45,8 +45,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeat an id are one document and stay or go together.
     """
     groups = jaccard.near_duplicates(docs, NEAR)
-    later = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("_llm_id")).distinct()
-    return docs.join(later, docs["doc_id"] == F.col("_llm_id"), "leftanti")
+    groups = saved(groups.select("doc_id", "component_id"), shared_folder(spark), "groups")
+    return keep_ids(docs, "doc_id", groups.filter("component_id <> doc_id").select("doc_id").distinct(), others=True)
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from patternscan.plans.layout import spread
 
@@ -45,6 +46,18 @@ def saved(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Ids up to this number (some 30 MB) go to every executor; more are joined.
+MOST_BROADCAST_IDS = 2_000_000
+
+
+def keep_ids(df: DataFrame, col: str, ids: DataFrame, others: bool = False) -> DataFrame:
+    """The rows whose ``col`` is among ``ids`` (one column of that name), or the
+    others.  Wide rows are not shuffled as long as the ids, which are counted,
+    are few enough to broadcast."""
+    few = ids.count() <= MOST_BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, col, "leftanti" if others else "leftsemi").select(*df.columns)
+
+
 def check_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

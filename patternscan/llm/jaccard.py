@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from patternscan.llm.components import connected_components
-from patternscan.llm.frames import check_columns, saved, shared_folder
+from patternscan.llm.frames import check_columns, keep_ids, saved, shared_folder
 from patternscan.llm.textops import chunks, mix, prefix_hashes, span_hashes, utf8_bytes, words
 
 _SPACE = np.zeros(256, bool)
@@ -352,8 +352,10 @@ def near_duplicates(
     met = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"))
     members = saved(shared.join(met.filter("size > 1"), "sig"), folder, "members")
 
+    # texts that may be compared, fetched once
+    texts = saved(keep_ids(texts, "node", members.select("node").distinct()), folder, "texts")
     stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = saved(_verified(_bounded(stars, chosen, p), _texts(texts, stars), p), folder, "star-links")
+    links = saved(_verified(_bounded(stars, chosen, p), texts, p), folder, "star-links")
     roots = saved(connected_components(links, f"{folder}/star"), folder, "star-roots")
 
     joined = members.join(roots, "node", "left").select(
@@ -368,7 +370,7 @@ def near_duplicates(
     pairs = saved(_search(left, p, folder), folder, "pairs")
     final = roots
     if not pairs.isEmpty():
-        more = saved(_verified(pairs, _texts(texts, pairs), p), folder, "pair-links")
+        more = saved(_verified(pairs, texts, p), folder, "pair-links")
         final = saved(connected_components(links.unionByName(more), f"{folder}/all"), folder, "roots")
 
     end = final.select(F.col("node").alias("class_node"), "root")
@@ -377,12 +379,6 @@ def near_duplicates(
     return found.select(F.col("node").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _texts(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Texts of the documents in pairs only."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return texts.join(ends, "node", "leftsemi")
-
-
 def _bounded(pairs: DataFrame, chosen: DataFrame, p: JaccardParams) -> DataFrame:
     """The pairs that the counts do not exclude."""
     for end in ("a", "b"):
