@@ -3,7 +3,9 @@
 A text is a vector of hashed character n-grams, weighted by TF-IDF and scaled
 to length one.  Each language has a few centroids (spherical k-means over its
 own texts); the language of the nearest centroid by cosine is the prediction,
-and a text too far from its nearest centroid is rejected.
+and a text too far from its nearest centroid is rejected.  How far that is, each
+language's own texts, held apart from the centroids, and those of the other
+languages decide.
 """
 
 from __future__ import annotations
@@ -28,7 +30,13 @@ _SAMPLE = 1 << 30
 class LanguageParams:
     """``fit_rows`` bounds the labelled rows per language that the fit uses and
     ``languages`` the number of languages, hence what the driver holds and what
-    each worker gets (languages x centroids x dims floats)."""
+    each worker gets (languages x centroids x dims floats).  A low quantile needs
+    ``least_rows`` rows.  ``folds`` is in how many parts the rows
+    of a language are held apart, ``tail`` the share of them below their low
+    quantile, ``mixed`` the share of another language's rows above its high one
+    (texts with passages of two languages), and a cluster of less than ``small``
+    of the rows is none.
+    ``reject_share`` is the least cosine if no language has two rows."""
 
     dims: int = 4096
     centroids: int = 4
@@ -36,6 +44,11 @@ class LanguageParams:
     languages: int = 64
     rounds: int = 12
     reject_share: float = 0.3
+    least_rows: int = 16
+    folds: int = 4
+    tail: float = 0.01
+    mixed: float = 0.05
+    small: float = 0.02
 
 
 @dataclass(frozen=True)
@@ -92,6 +105,7 @@ def _sampled(train: DataFrame, id_col: str, text_col: str, lang_col: str, p: Lan
         F.col(lang_col).cast("string").alias("_lang"),
         F.col(text_col).cast("string").alias("_text"),
     ).filter("_id is not null and _lang is not null and _text is not null")
+    most = p.fit_rows * p.languages // p.least_rows
     sizes = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(p.languages)
     share = F.lit(0)
     for lang, size in sizes.collect():
@@ -133,36 +147,77 @@ def fit(
     languages = sorted({r._lang for r in rows})
     if not rows:
         return LanguageModel(p, [], np.ones(p.dims, np.float32), np.zeros((0, p.dims), np.float32), np.zeros(0, int), np.zeros(0))
-    tf = np.stack([np.frombuffer(r._v, np.float16) for r in rows]).astype(np.float32)
-    idf = np.log((1 + len(rows)) / (1 + (tf > 0).sum(axis=0))).astype(np.float32) + 1
-    unit = _unit(tf * idf)
+    tf = np.stack([np.frombuffer(r._v, np.float16) for r in rows])
     label = np.array([languages.index(r._lang) for r in rows])
-    centroids, owner, nearest = [], [], []
-    for k in range(len(languages)):
-        own = unit[label == k]
-        found = cluster(own, p.centroids, p.rounds)
-        cosine = own @ found.T
-        home = cosine.argmax(axis=1)
-        for j in range(len(found)):
-            members = cosine[home == j, j]
-            centroids.append(found[j])
-            owner.append(k)
-            nearest.append(p.reject_share * float(np.quantile(members, 0.01)) if len(members) else 1.0)
-    return LanguageModel(p, languages, idf, np.array(centroids, np.float32), np.array(owner), np.array(nearest))
-
-
-def cluster(rows: np.ndarray, k: int, rounds: int) -> np.ndarray:
-    """Spherical k-means: begins with rows far from each other, so that it needs
-    no random numbers; ties go to the first."""
+    del rows
+    groups = [np.flatnonzero(label == k) for k in range(len(languages))]
+    idf = np.log((1 + len(tf)) / (1 + sum((tf[g] > 0).sum(axis=0) for g in groups))).astype(np.float32) + 1
+    centroids, owner, apart = [], [], []
+    for k, g in enumerate(groups):
+        own = _unit(tf[g].astype(np.float32) * idf)
+        found = cluster(own, p.centroids, p.rounds, p.small)
+        centroids.extend(found)
+        owner.extend([k] * len(found))
+        apart.append(held_apart(own, p))
+    found, owner = np.array(centroids, np.float32), np.array(owner)
+    high = np.zeros((len(languages), len(languages)))  # how near the rows of one come to the centroids of another
+    first = np.searchsorted(owner, range(len(languages)))
+    for k, g in enumerate(groups):
+        near = np.maximum.reduceat(_unit(tf[g].astype(np.float32) * idf) @ found.T, first, axis=1)
+        high[k] = np.quantile(near, 1 - p.mixed, axis=0)
+    np.fill_diagonal(high, -1)
+    return LanguageModel(p, languages, idf, found, owner, _limits(apart, high.max(axis=0), p)[owner])
+
+
+def held_apart(rows: np.ndarray, p: LanguageParams) -> np.ndarray:
+    """The cosine of each row with the nearest centroid of the other parts."""
+    part = np.arange(len(rows)) % p.folds
+    out = [
+        (rows[part == f] @ cluster(rows[part != f], p.centroids, p.rounds, p.small).T).max(axis=1)
+        for f in range(min(p.folds, len(rows)))
+        if (part != f).any()
+    ]
+    return np.concatenate(out) if out else np.zeros(0, rows.dtype)
+
+
+def _limits(apart: list[np.ndarray], others: np.ndarray, p: LanguageParams) -> np.ndarray:
+    """The least cosine that each language accepts.
+
+    Midway between the low quantile of its rows held apart and the high one of
+    the language that comes nearest, but never above the former.  Languages of a
+    few rows take the low quantile of all the others' rows.
+    """
+    known = [a for a in apart if len(a) >= p.least_rows] or apart
+    pooled = np.concatenate(known)
+    all_low = float(np.quantile(pooled, p.tail)) if len(pooled) else p.reject_share
+    low = np.array([float(np.quantile(a, p.tail)) if len(a) >= p.least_rows else all_low for a in apart])
+    # one language alone: what is unlike it shows nowhere, a cosine of zero included
+    return np.where(others < 0, low, np.minimum(low, (low + others) / 2))
+
+
+def cluster(rows: np.ndarray, k: int, rounds: int, small: float = 0.0) -> np.ndarray:
+    """Spherical k-means: rows are drawn as seeds with a chance that grows with
+    their distance from those drawn before, by fixed random numbers, so that a
+    few far rows do not take all of them; ties go to the first.  Then clusters of
+    less than ``small`` of the rows are dissolved, the smallest first."""
+    chance = np.random.default_rng(len(rows))
     seeds = [int((rows @ rows.mean(axis=0)).argmax())]
     while len(seeds) < min(k, len(rows)):
-        seeds.append(int((rows @ rows[seeds].T).max(axis=1).argmin()))
+        far = np.clip(1 - (rows @ rows[seeds].T).max(axis=1).astype(float), 0, None)
+        far[far < 1e-6] = 0
+        if not far.any():
+            break
+        seeds.append(min(int(np.searchsorted(np.cumsum(far), chance.random() * far.sum(), side="right")), len(rows) - 1))
     centroids = rows[sorted(set(seeds))]
-    for _ in range(rounds):
-        home = (rows @ centroids.T).argmax(axis=1)
-        moved = [rows[home == j].sum(axis=0) if (home == j).any() else centroids[j] for j in range(len(centroids))]
-        centroids = _unit(np.array(moved, rows.dtype))
-    return centroids
+    while True:
+        for _ in range(rounds):
+            home = (rows @ centroids.T).argmax(axis=1)
+            moved = [rows[home == j].sum(axis=0) if (home == j).any() else centroids[j] for j in range(len(centroids))]
+            centroids = _unit(np.array(moved, rows.dtype))
+        sizes = np.bincount((rows @ centroids.T).argmax(axis=1), minlength=len(centroids))
+        if len(centroids) == 1 or sizes.min() >= small * len(rows):
+            return centroids
+        centroids = np.delete(centroids, sizes.argmin(), axis=0)
 
 
 def predict_texts(texts: list[str | None], model: LanguageModel) -> pd.DataFrame:

@@ -102,3 +102,32 @@ def test_quality_of_awkward_rows(awkward, nothing):
     assert len({r.score for r in rows if r.doc_id in (4, 5, None)}) == 1
     assert quality.keep_good(awkward, model).columns == awkward.columns
     assert quality.classify(nothing, quality.fit(nothing)).collect() == []
+
+
+def test_language_rejects_unlearned_latin_languages(docs):
+    """Each language left out in turn is rejected, and the learned ones are not."""
+    texts = docs.filter("lang is not null").select("text", "lang", language.held_out().alias("held")).collect()
+    for left in ("de", "es", "fr"):
+        model = language.fit_on_rest(docs.filter(language.F.col("lang") != left))
+        taken = language.predict_texts([r.text for r in texts if r.lang == left], model)["accepted"]
+        own = language.predict_texts([r.text for r in texts if r.lang != left and r.held], model)["accepted"]
+        assert taken.mean() < 0.05 and own.mean() > 0.97
+    found = language.predict_texts(
+        [
+            "La vita è bella e il sole splende sopra le montagne della nostra città, dove i bambini giocano.",
+            "O tempo está muito bom hoje e as crianças brincam no jardim da escola com os seus amigos.",
+            "Bugün hava çok güzel ve çocuklar bahçede arkadaşlarıyla birlikte oyun oynuyorlar.",
+            "qwx zkvj plmnb qazwsx edcrfv tgbyhn ujmikol pzxcvb nmasdf ghjklq wertyu iopzxc",
+        ],
+        language.fit_on_rest(docs),
+    )
+    assert not found["accepted"].any()
+
+
+def test_language_clusters_are_not_single_outliers():
+    chance = np.random.default_rng(1)
+    rows = np.abs(chance.normal(1, 0.2, (400, 64))).astype(np.float32)
+    rows[:4] = np.eye(64, dtype=np.float32)[:4]
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    found = language.cluster(rows, 4, 12, 0.02)
+    assert np.bincount((rows @ found.T).argmax(axis=1)).min() >= 8
