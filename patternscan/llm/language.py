@@ -28,10 +28,11 @@ _SAMPLE = 1 << 30
 
 @dataclass(frozen=True)
 class LanguageParams:
-    """``fit_rows`` bounds the labelled rows per language that the fit uses and
-    ``languages`` the number of languages, hence what the driver holds and what
-    each worker gets (languages x centroids x dims floats).  A low quantile needs
-    ``least_rows`` rows.  ``folds`` is in how many parts the rows
+    """``fit_rows`` bounds the labelled rows per language that the fit uses.  Of
+    more than ``languages`` languages each gives fewer, so that the driver holds
+    ``fit_rows * languages`` rows at most, but ``least_rows`` at least: more
+    languages than that leaves room for are an error.  Each worker gets
+    languages x centroids x dims floats.  ``folds`` is in how many parts the rows
     of a language are held apart, ``tail`` the share of them below their low
     quantile, ``mixed`` the share of another language's rows above its high one
     (texts with passages of two languages), and a cluster of less than ``small``
@@ -106,12 +107,15 @@ def _sampled(train: DataFrame, id_col: str, text_col: str, lang_col: str, p: Lan
         F.col(text_col).cast("string").alias("_text"),
     ).filter("_id is not null and _lang is not null and _text is not null")
     most = p.fit_rows * p.languages // p.least_rows
-    sizes = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(p.languages)
-    share = F.lit(0)
-    for lang, size in sizes.collect():
-        share = F.when(F.col("_lang") == lang, min(_SAMPLE, _SAMPLE * p.fit_rows // size)).otherwise(share)
-    chosen = labelled.filter(F.pmod(F.xxhash64("_id"), F.lit(_SAMPLE)) < share)
-    return chosen.dropDuplicates(["_id"])
+    sizes = labelled.groupBy("_lang").count().limit(most + 1).collect()
+    if len(sizes) > most:
+        raise ValueError(f"more than {most} languages in {lang_col}: each needs {p.least_rows} rows of the sample")
+    rows = min(p.fit_rows, p.fit_rows * p.languages // max(1, len(sizes)))
+    shares = train.sparkSession.createDataFrame(
+        [(lang, min(_SAMPLE, _SAMPLE * rows // size)) for lang, size in sizes], "_lang string, _share long"
+    )
+    chosen = labelled.join(F.broadcast(shares), "_lang").filter(F.pmod(F.xxhash64("_id"), F.lit(_SAMPLE)) < F.col("_share"))
+    return chosen.drop("_share").dropDuplicates(["_id"])
 
 
 def fit(
@@ -124,7 +128,7 @@ def fit(
     """Learn centroids from a bounded sample of the labelled rows.
 
     Rows without id, text or language are not learned from; of rows with one
-    id only one is.  Without any row the model knows no language and rejects
+    id only one is.  Every language is learned.  Without any row the model knows no language and rejects
     every text.  The sample is chosen by a hash of the id, so the same rows
     give the same model.
     """

@@ -131,3 +131,15 @@ def test_language_clusters_are_not_single_outliers():
     rows /= np.linalg.norm(rows, axis=1, keepdims=True)
     found = language.cluster(rows, 4, 12, 0.02)
     assert np.bincount((rows @ found.T).argmax(axis=1)).min() >= 8
+
+
+def test_every_language_is_learned(spark):
+    """More languages than have full samples, and more than have any."""
+    rows = [(100 * i + j, f"{chr(0x4E00 + 50 * i) * 3}{chr(0x4E01 + 50 * i)} " * (2 + j), f"l{i:03d}") for i in range(70) for j in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df)
+    assert model.languages == sorted({r[2] for r in rows})
+    assert language.predict_texts([r[1] for r in rows], model)["lang_pred"].tolist() == [r[2] for r in rows]
+    few = language.LanguageParams(fit_rows=32, languages=4, least_rows=16)
+    with pytest.raises(ValueError, match="more than 8 languages"):
+        language.fit(df, few)
