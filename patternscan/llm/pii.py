@@ -78,6 +78,12 @@ SCRIPTS = {
     ),
 }
 
+#: What a telephone number keeps, a trunk zero or the country code
+#: (no code begins with another one); a number that still collides after so many
+#: attempts keeps neither.
+CODE = r"^(?:0|\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}))"
+_KEEP_CODE = 8
+
 
 @dataclass(frozen=True)
 class PiiParams:
@@ -118,8 +124,12 @@ def may_hold_entity(text: Column) -> Column:
 
 def canonical(kind: Column, raw: Column) -> Column:
     """What all mentions of an entity have in common."""
-    numeric = kind.isin("phone", "card", "ssn")
-    return F.when(numeric, F.regexp_replace(raw, "[^0-9]", "")).otherwise(F.lower(raw))
+    digits = F.regexp_replace(raw, "[^0-9]", "")
+    return (
+        F.when((kind == "phone") & raw.startswith("+"), F.concat(F.lit("+"), digits))
+        .when(kind.isin("phone", "card", "ssn"), digits)
+        .otherwise(F.lower(raw))
+    )
 
 
 def _stream(params: PiiParams, salt: str) -> Column:
@@ -184,7 +194,8 @@ def _surrogate(params: PiiParams) -> Column:
         "",
     )
     ip = F.array_join(F.array(*((_byte(stream, 2 * k) % 254 + 1).cast("string") for k in range(4))), ".")
-    number = F.substring(digits, F.lit(1), F.char_length(canon))
+    begin = F.when(F.col("attempt") <= _KEEP_CODE, F.regexp_extract(canon, CODE, 0)).otherwise(F.regexp_extract(canon, r"^\+?", 0))
+    number = F.concat(begin, F.substring(digits, F.lit(1), F.char_length(canon) - F.char_length(begin)))
     ssn = F.concat(F.lit("9"), F.substring(digits, 2, 8))
     body = F.substring(digits, F.lit(1), F.char_length(canon) - 1)
     check = ((10 - _luhn(F.concat(body, F.lit("0")))) % 10).cast("int")
@@ -239,13 +250,15 @@ def surrogates(found: DataFrame, params: PiiParams, folder: str) -> DataFrame:
 
 
 def in_format(kind: Column, raw: Column, surrogate: Column) -> Column:
-    """A surrogate written as the mention is: its separators, country code, case."""
-    characters = F.split(raw, "")
-    skip = F.char_length(F.regexp_extract(raw, r"^\+(\d{1,3}(?!\d))?", 1))
+    """A surrogate written as the mention is: its separators and case.
+
+    Every digit of the surrogate is written, so what is distinct stays so.
+    """
+    characters, plain = F.split(raw, ""), F.regexp_replace(surrogate, r"^\+", "")
 
     def digit(c: Column, i: Column) -> Column:
         nth = F.char_length(F.regexp_replace(F.substring(raw, F.lit(1), i + 1), "[^0-9]", ""))
-        return F.when(c.rlike("[0-9]") & (nth > skip), F.substring(surrogate, nth, F.lit(1))).otherwise(c)
+        return F.when(c.rlike("[0-9]"), F.substring(plain, nth, F.lit(1))).otherwise(c)
 
     numeric = F.array_join(F.transform(characters, digit), "")
     all_upper = (raw == F.upper(raw)) & (raw != F.lower(raw))

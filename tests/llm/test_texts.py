@@ -260,3 +260,21 @@ def test_pii_of_awkward_rows(awkward, nothing):
         else:
             assert r.n == 0 and tuple(r)[:-1] == tuple(before[r.doc_id])
     assert pii.replace_entities(nothing).collect() == []
+
+
+def test_written_phone_numbers_stay_distinct(spark):
+    """Many +1 numbers and short ones: none shares what is written or is a real one."""
+    chance = random.Random(3)
+    long = {f"+1 {chance.randint(200, 209)} 555 {n:04d}" for n in chance.sample(range(10_000), 1500)}
+    short = {f"+49 {n // 100:02d} {n % 100:02d}" for n in chance.sample(range(10_000), 1500)}
+    rows = list(enumerate(sorted(long | short)))
+    got = rewritten(spark, rows)
+    new = {got[i].text for i, _ in rows}
+    assert len(new) == len(rows) and not new & {s for _, s in rows}
+    assert all(got[i].text[:3] == s[:3] for i, s in rows)
+
+
+def test_phone_number_is_one_with_and_without_separators(spark):
+    got = rewritten(spark, [(1, "+49 30 1234567 or +49301234567 or +49-30-1234567")])
+    a, b, c = got[1].text.split(" or ")
+    assert a != "+49 30 1234567" and a[:4] == "+49 " and re.sub(r"\D", "", a) == b[1:] == re.sub(r"\D", "", c)
