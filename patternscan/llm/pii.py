@@ -1,6 +1,7 @@
 """Surrogates for personal data.
 
-Entities are found by rules; each different entity of a corpus gets one
+Entities are found by rules, names by the title before them and from there in the
+whole document; each different entity of a corpus gets one
 surrogate, derived from a secret key: of the same kind, in the same format, for
 names of the same gender and script.  A surrogate that another entity has too,
 or that occurs in the corpus as a real entity, is derived again, so that
@@ -12,6 +13,7 @@ Everything is DataFrame functions.  Only texts with an entity are shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,30 +27,44 @@ TITLES = {
     "name_f": "Mrs|Ms|Frau|Madame|Mme|Mlle|Señora|г-жа|госпожа|κυρία",
     "name_n": "Mx|Dr|Prof",
 }
-_TOKEN = r"\p{Lu}[\p{L}'’\-]++"
-_SHORT = r"\p{Lu}[\p{L}'’\-]{1,30}"
+_TITLE = "|".join(TITLES.values())
+_L = r"[\p{L}\p{M}]"
+#: A capitalised word, without a possessive s and not a title; a name is a run of them.
+TOKEN = rf"(?<!{_L})(?!(?:{_TITLE})(?:\. |[ .]?$| \p{{Lu}}))\p{{Lu}}(?=['’\-]?{_L}){_L}*+(?:['’\-](?!s(?!{_L})){_L}++)*+"
+_BETWEEN = r"(?:\p{Lu}\.|von(?: der| dem| den)?|van(?: der| den| de)?|de(?: la| los| las)?|di|bin|ibn|al)"
+_RUN = rf"(?:(?:\p{{Lu}}|{_BETWEEN}) ){{0,4}}{TOKEN}(?: (?:{_BETWEEN} ){{0,3}}{TOKEN})*+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-
-
-def _after_title(titles: str) -> str:
-    title = rf"(?<![\p{{L}}\-])(?:{titles})\.? "
-    # cheap tests first: a capital after a space
-    return rf"(?=\p{{Lu}})(?<= )(?:(?<={title})|(?<={title}{_SHORT} )){_TOKEN}"
+_HEX = "[0-9A-Fa-f]{1,4}"
+# cheap tests first: a capital or a particle after a space
+_BEGIN = r"(?=\p{Lu}|v[ao]n |d[ei] |bin |ibn |al )"
+_NAME = rf"{_BEGIN}(?<= )(?<=(?<![\p{{L}}\-])(?:{_TITLE})\.? ){_RUN}"
+#: Countries with account numbers of this form.
+_IBAN = (
+    "A[DELTZ]|B[AEGHRY]|C[HRYZ]|D[EKO]|E[EGS]|F[IOR]|G[BEILRT]|H[RU]|I[ELQST]|JO|K[WZ]|L[BCITUVY]|M[CDEKRTU]|N[LO]"
+    "|P[KLST]|QA|R[OS]|S[ACDEIKMTV]|T[LNR]|UA|V[AG]|XK"
+)
 
 
 #: Kind and expression of each entity; an earlier kind goes first.
 ENTITIES = {
     "email": r"(?<![\p{L}\p{N}._%+\-@])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]*[\p{L}\p{N}])+",
     "secret": r"(?<![\p{L}\p{N}])(?:(?=[0-9A-Fa-f]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}+|(?:(?:sk|pk|ghp|gho|xoxb)[\-_]|AKIA)[\-_A-Za-z0-9]{16,}+)(?![\p{L}\p{N}])",
+    "iban": rf"(?<![\p{{L}}\p{{N}}])(?:{_IBAN})\d{{2}}(?:(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?|[A-Z0-9]{{11,30}})(?![\p{{L}}\p{{N}}])",
+    "ipv6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9A-Fa-f:]{{0,39}}[0-9])(?:(?:{_HEX}:){{7}}{_HEX}"
+    rf"|(?=[0-9A-Fa-f]{{3,4}}:)(?!(?:[0-9A-Fa-f]*:+){{8}}){_HEX}(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\p{{L}}\p{{N}}:])",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)(?!\p{{L}})",
     "ssn": r"(?<![\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{N}\-])",
     "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .\-]?\(\d{1,5}\)[ .\-]?\d{2,5}(?:[ .\-]\d{2,5}){0,3}"
-    r"|\+\d{1,3}(?:[ .\-]\d{2,8}){2,4}|\+\d{8,15}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
+    r"|\+\d{1,3}(?:[ .\-]\d{2,8}){2,4}|\+\d{8,15}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)"
+    # without a country code: French, German, Spanish
+    r"|(?<![\p{L}\p{N}])(?<!\d[ .\-/])(?:0[1-9](?:[ .\-]\d{2}){4}|0[1-9]\d{8}|0\d{2,4}[ /\-]\d{5,8}|\(0\d{1,4}\) ?\d{4,8}"
+    r"|[6-9]\d{2}(?: \d{2}){3}|[67]\d{2} \d{3} \d{3}|9\d \d{3} \d{2} \d{2})(?![ .\-/]?\d|\p{L})",
     "card": r"(?<![\p{L}\p{N}+])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}(?:[ \-]\d{1,3})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\p{N}])",
-} | {kind: _after_title(titles) for kind, titles in TITLES.items()}
-KINDS = tuple(ENTITIES)
-ENTITY = "|".join(f"({pattern})" for pattern in ENTITIES.values())
-NAMED = "|".join(rf"(?:{t})\.? \p{{Lu}}" for t in TITLES.values())
+}
+ENTITY = "|".join(f"(?:{pattern})" for pattern in (*ENTITIES.values(), _NAME))
+#: The same and all capitalised words: a text with names is cut at these.
+ENTITY_OR_WORD = f"{ENTITY}|(?:{TOKEN})"
+NAMED = rf"(?:{_TITLE})\.? {_BEGIN}"
 #: Every entity holds a digit or an @, begins with a key's prefix or follows a title.
 CLUES = (
     "sk-", "sk_", "pk-", "pk_", "ghp-", "ghp_", "gho-", "gho_", "xoxb-", "xoxb_", "AKIA",
@@ -94,22 +110,74 @@ class PiiParams:
     rounds: int = 24
 
 
-def entities(text: Column) -> Column:
-    """``array<struct<kind, raw>>``: the entities of a text in order."""
-    named = text.rlike(NAMED)
-    groups = [F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)).alias("raw")]
-    for kind in TITLES:  # what a name is depends on the title before it; other kinds show themselves
-        group = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(1 + KINDS.index(kind)))
-        groups.append(F.when(named, group).otherwise(F.array().cast("array<string>")).alias(kind))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with the value worked out once."""
+    return F.transform(F.array(value), body)[0]
 
-    def one(found: Column) -> Column:
-        kind = F.lit(None).cast("string")
-        for k in reversed(KINDS):
-            is_kind = found[k] != "" if k in TITLES else found["raw"].rlike(f"^(?:{ENTITIES[k]})$")
-            kind = F.when(is_kind, F.lit(k)).otherwise(kind)
-        return F.struct(kind.alias("kind"), found["raw"].alias("raw"))
 
-    return F.transform(F.arrays_zip(*groups), one)
+def _key(kind: Column, raw: Column) -> Column:
+    return F.concat(kind, F.lit("\x1f"), raw)
+
+
+def entities(text: Column) -> Column:
+    """``array<struct<before, kind, raw>>``: the text in order, cut into what is
+    before an entity and the entity; the last has neither kind nor ``raw``.
+
+    A name is what follows a title, and every later or earlier mention of one of
+    its words in the text.  Its gender is that of the title before it or else of
+    the first title in the text that shows one for this word.  A capitalised
+    word that is no name has no kind.
+    """
+    none = F.lit(None).cast("string")
+
+    def one(e: Column) -> Column:
+        """A run of names in words, any other entity as it is."""
+        before, raw = e["before"], e["raw"]
+        end = F.right(before, F.lit(40))
+        named = none
+        for kind in reversed(TITLES):
+            title = rf"(?<![\p{{L}}\-])(?:{TITLES[kind]})\.? (?:(?:{TITLES['name_n']})\.? ){{0,2}}$"
+            named = F.when(end.rlike(title), F.lit(kind)).otherwise(named)
+        other = none
+        for kind in reversed(ENTITIES):
+            other = F.when(raw.rlike(f"^(?:{ENTITIES[kind]})$"), F.lit(kind)).otherwise(other)
+        words = F.arrays_zip(F.split(raw, TOKEN, -1).alias("gap"), F.regexp_extract_all(raw, F.lit(TOKEN), F.lit(0)).alias("word"))
+        run = F.transform(
+            F.filter(words, lambda w: w["word"].isNotNull()),
+            lambda w, i: F.struct(
+                F.when(i == 0, F.concat(before, w["gap"])).otherwise(w["gap"]).alias("before"),
+                F.coalesce(named, F.lit("word")).alias("kind"),
+                w["word"].alias("raw"),
+            ),
+        )
+        is_run = raw.rlike(f"^{_RUN}$") & ~raw.rlike(f"^(?:{ENTITIES['secret']})$")
+        whole = F.array(F.struct(before.alias("before"), other.alias("kind"), raw.alias("raw")))
+        return F.when(raw.isNull(), F.array(F.struct(before.alias("before"), none.alias("kind"), raw.alias("raw")))).when(
+            is_run, run
+        ).otherwise(whole)
+
+    def resolved(flat: Column) -> Column:
+        def names(kinds: list[str]) -> Column:
+            held = F.filter(flat, lambda e: e["kind"].isin(kinds))
+            return F.transform(held, lambda e: F.struct(F.lower(e["raw"]).alias("word"), e["kind"].alias("kind")))
+
+        def judged(known: Column) -> Column:
+            def kind(e: Column) -> Column:
+                word = F.lower(e["raw"])
+                at = F.array_position(known["shown"]["word"], word)
+                shown = F.when(at > 0, F.try_element_at(known["shown"]["kind"], at.cast("int")))
+                any_title = F.when(F.array_contains(known["all"]["word"], word), F.lit("name_n"))
+                return F.when(e["kind"].isin("word", "name_n"), F.coalesce(shown, any_title)).otherwise(e["kind"])
+
+            return F.transform(flat, lambda e: F.struct(e["before"].alias("before"), kind(e).alias("kind"), e["raw"].alias("raw")))
+
+        return _let(F.struct(names(["name_m", "name_f"]).alias("shown"), names(list(TITLES)).alias("all")), judged)
+
+    def cuts(rule: str) -> Column:
+        return F.arrays_zip(F.split(text, rule, -1).alias("before"), F.regexp_extract_all(text, F.lit(rule), F.lit(0)).alias("raw"))
+
+    found = F.when(text.rlike(NAMED), cuts(ENTITY_OR_WORD)).otherwise(cuts(ENTITY))
+    return _let(F.flatten(F.transform(found, one)), resolved)
 
 
 def may_hold_entity(text: Column) -> Column:
@@ -125,8 +193,18 @@ def may_hold_entity(text: Column) -> Column:
 def canonical(kind: Column, raw: Column) -> Column:
     """What all mentions of an entity have in common."""
     digits = F.regexp_replace(raw, "[^0-9]", "")
+
+    def groups(part: Column) -> Column:
+        return F.filter(F.split(part, ":"), lambda g: g != "")
+
+    left = groups(F.substring_index(raw, "::", 1))
+    right = F.when(raw.contains("::"), groups(F.substring_index(raw, "::", -1))).otherwise(F.array().cast("array<string>"))
+    zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.size(left) - F.size(right)))
+    address = F.transform(F.concat(left, zeros, right), lambda g: F.lpad(F.lower(g), 4, "0"))
     return (
-        F.when((kind == "phone") & raw.startswith("+"), F.concat(F.lit("+"), digits))
+        F.when(kind == "iban", F.upper(F.regexp_replace(raw, " ", "")))
+        .when(kind == "ipv6", F.array_join(address, ":"))
+        .when((kind == "phone") & raw.startswith("+"), F.concat(F.lit("+"), digits))
         .when(kind.isin("phone", "card", "ssn"), digits)
         .otherwise(F.lower(raw))
     )
@@ -167,6 +245,15 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(places, F.lit(0), lambda s, x: s + x) % 10
 
 
+def _mod97(account: Column) -> Column:
+    """The remainder of an account number, letters as 10 to 35."""
+
+    def add(s: Column, c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), s * 10 + F.ascii(c) - 48).otherwise(s * 100 + F.ascii(c) - 55) % 97
+
+    return F.aggregate(F.split(account, ""), F.lit(0), add)
+
+
 def _surrogate(params: PiiParams) -> Column:
     """The surrogate of ``kind, canon, attempt`` in canonical form."""
     stream, more = _stream(params, "a"), _stream(params, "b")
@@ -202,6 +289,14 @@ def _surrogate(params: PiiParams) -> Column:
     valid = _luhn(canon) == 0
     card = F.concat(body, F.when(valid, check).otherwise((check + 1 + _byte(more, 3) % 9) % 10).cast("string"))
 
+    documents = F.array(F.lit("2001"), F.lit("0db8"), *(F.substring(more, 1 + 4 * k, 4) for k in range(6)))  # 2001:db8::/32
+    country = F.substring(canon, 1, 2)
+    account = F.expr("substring(canon, 5)")
+    account = F.upper(_poured(account, digits, letters))
+    right_sum = _mod97(F.concat(F.expr("substring(canon, 5)"), F.substring(canon, 1, 4))) == 1
+    sum_digits = F.lpad((98 - _mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0")
+    iban = F.concat(country, F.when(right_sum, sum_digits).otherwise(F.substring(digits, 61, 2)), account)
+
     def name(kind: int) -> Column:
         made = None
         for script, (syllables, *endings) in SCRIPTS.items():
@@ -221,6 +316,7 @@ def _surrogate(params: PiiParams) -> Column:
 
     by_kind = {
         "email": email, "secret": secret, "ip": ip, "ssn": ssn, "phone": number, "card": card,
+        "iban": iban, "ipv6": F.array_join(documents, ":"),
         "name_m": name(0), "name_f": name(1), "name_n": name(2),
     }
     out = F.lit(None).cast("string")
@@ -234,14 +330,17 @@ def surrogates(found: DataFrame, params: PiiParams, folder: str) -> DataFrame:
 
     Of entities with one surrogate the smallest keeps it and the others try
     again, as do those whose surrogate is a real entity of the same kind.
+    Names are of one kind here, whatever their gender.
     """
+    alike = F.when(F.col("kind").startswith("name"), F.lit("name")).otherwise(F.col("kind")).alias("alike")
     real = saved(found.select("kind", "canon").distinct(), folder, "entities")
     made = saved(real.withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(params)), folder, "made-0")
-    names = real.select("kind", F.col("canon").alias("surrogate"), F.lit(True).alias("is_real"))
+    names = real.select(alike, F.col("canon").alias("surrogate"), F.lit(True).alias("is_real")).distinct()
     for k in range(1, params.rounds + 1):
-        first = made.groupBy("kind", "surrogate").agg(F.min("canon").alias("owner"))
-        judged = made.join(first, ["kind", "surrogate"]).join(names, ["kind", "surrogate"], "left")
-        judged = judged.withColumn("again", (F.col("canon") != F.col("owner")) | F.col("is_real").isNotNull())
+        tried = made.withColumn("alike", alike)
+        first = tried.groupBy("alike", "surrogate").agg(F.min(F.struct("canon", "kind")).alias("owner"))
+        judged = tried.join(first, ["alike", "surrogate"]).join(names, ["alike", "surrogate"], "left")
+        judged = judged.withColumn("again", (F.struct("canon", "kind") != F.col("owner")) | F.col("is_real").isNotNull())
         if judged.filter("again").isEmpty():
             return made.select("kind", "canon", "surrogate")
         judged = judged.select("kind", "canon", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
@@ -260,10 +359,16 @@ def in_format(kind: Column, raw: Column, surrogate: Column) -> Column:
         nth = F.char_length(F.regexp_replace(F.substring(raw, F.lit(1), i + 1), "[^0-9]", ""))
         return F.when(c.rlike("[0-9]"), F.substring(plain, nth, F.lit(1))).otherwise(c)
 
+    def sign(c: Column, i: Column) -> Column:
+        nth = F.char_length(F.regexp_replace(F.substring(raw, F.lit(1), i + 1), " ", ""))
+        return F.when(c != " ", F.substring(surrogate, nth, F.lit(1))).otherwise(c)
+
     numeric = F.array_join(F.transform(characters, digit), "")
+    account = F.array_join(F.transform(characters, sign), "")
     all_upper = (raw == F.upper(raw)) & (raw != F.lower(raw))
     return (
         F.when(kind.isin("phone", "card", "ssn"), numeric)
+        .when(kind == "iban", account)
         .when(all_upper, F.upper(surrogate))
         .when(kind.startswith("name"), F.initcap(surrogate))
         .otherwise(surrogate)
@@ -289,23 +394,39 @@ def replace_entities(
     text = F.col(text_col).cast("string")
     has = F.coalesce(may_hold_entity(text) & text.rlike(ENTITY), F.lit(False))
     dirty = docs.filter(has).withColumn("_llm_hash", F.xxhash64(text))
+    parts = entities(text)
     mentions = dirty.select(
-        F.col(id_col).alias("_llm_id"), F.col("_llm_hash").alias("_llm_same"), F.posexplode(entities(text)).alias("pos", "e")
-    ).select("_llm_id", "_llm_same", "pos", "e.kind", "e.raw").distinct()
+        F.col(id_col).alias("_llm_id"),
+        F.col("_llm_hash").alias("_llm_same"),
+        F.explode(F.array_distinct(F.transform(F.filter(parts, lambda e: e["kind"].isNotNull()), lambda e: F.struct(e["kind"].alias("kind"), e["raw"].alias("raw"))))).alias("e"),
+    ).select("_llm_id", "_llm_same", "e.kind", "e.raw").distinct()
     mentions = saved(mentions.withColumn("canon", canonical(F.col("kind"), F.col("raw"))), folder, "mentions")
     table = surrogates(mentions, params, folder)
     new = in_format(F.col("kind"), F.col("raw"), F.col("surrogate"))
-    written = mentions.join(table, ["kind", "canon"]).select("_llm_id", "_llm_same", F.struct("pos", new.alias("s")).alias("s"))
-    gathered = written.groupBy("_llm_id", "_llm_same").agg(F.sort_array(F.collect_list("s"))["s"].alias("_llm_new"))
+    written = mentions.join(table, ["kind", "canon"]).select(
+        "_llm_id", "_llm_same", F.struct(_key(F.col("kind"), F.col("raw")).alias("k"), new.alias("s")).alias("s")
+    )
+    gathered = written.groupBy("_llm_id", "_llm_same").agg(F.map_from_entries(F.collect_list("s")).alias("_llm_new"))
     joined = dirty.join(
         gathered, dirty[id_col].eqNullSafe(gathered["_llm_id"]) & (dirty["_llm_hash"] == gathered["_llm_same"]), "left"
     )
-    lost = F.raise_error(F.lit("an entity has no surrogate")).cast("array<string>")
-    joined = joined.withColumn("_llm_new", F.coalesce("_llm_new", lost))
-    pieces = F.arrays_zip(F.split(text, ENTITY, -1).alias("a"), F.col("_llm_new").alias("b"))
-    again = F.array_join(F.transform(pieces, lambda p: F.concat(p["a"], F.coalesce(p["b"], F.lit("")))), "")
-    count = {count_col: F.size("_llm_new").cast("bigint")} if count_col else {}
+    lost = F.raise_error(F.lit("an entity has no surrogate")).cast("string")
+
+    def rewritten(e: Column) -> Column:
+        new = F.when(e["kind"].isNull(), F.coalesce(e["raw"], F.lit(""))).otherwise(
+            F.coalesce(F.try_element_at(F.col("_llm_new"), _key(e["kind"], e["raw"])), lost)
+        )
+        return F.concat(e["before"], new)
+
+    def whole(p: Column) -> Column:
+        return F.struct(
+            F.array_join(F.transform(p, rewritten), "").alias("text"),
+            F.size(F.filter(p, lambda e: e["kind"].isNotNull())).cast("bigint").alias("count"),
+        )
+
+    joined = joined.withColumn("_llm_out", _let(parts, whole))
+    count = {count_col: F.col("_llm_out")["count"]} if count_col else {}
     zero = {count_col: F.lit(0).cast("bigint")} if count_col else {}
     columns = [*docs.columns, *count]
-    changed = joined.withColumns({text_col: again} | count).select(*columns)
+    changed = joined.withColumns({text_col: F.col("_llm_out")["text"]} | count).select(*columns)
     return docs.filter(~has).withColumns(zero).select(*columns).unionByName(changed)

@@ -278,3 +278,39 @@ def test_phone_number_is_one_with_and_without_separators(spark):
     got = rewritten(spark, [(1, "+49 30 1234567 or +49301234567 or +49-30-1234567")])
     a, b, c = got[1].text.split(" or ")
     assert a != "+49 30 1234567" and a[:4] == "+49 " and re.sub(r"\D", "", a) == b[1:] == re.sub(r"\D", "", c)
+
+
+def test_names_are_carried_through_a_document(spark):
+    rows = [
+        (1, "Dr. Elena Petrova came. Later Petrova said Elena's car and PETROVA's house. Petrovas stay."),
+        (2, "Mr. Martin Luther King and Mr. J. R. van der Berg"),
+        (3, "Smith left. Mr. Smith knows Dr. Smith; Frau Dr. Weiß, Prof. Dr. von Braun"),
+        (4, "Petrova and Smith have no title here"),
+    ]
+    got = rewritten(spark, rows)
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) came\. Later (\w+) said (\w+)'s car and (\w+)'s house\. Petrovas stay\.", got[1].text)
+    assert m[2] == m[3] == m[5].title() != "Petrova" and m[1] == m[4] != "Elena" and got[1].n == 5
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) (\w+) and Mr\. J\. R\. van der (\w+)", got[2].text)
+    assert not {"Martin", "Luther", "King", "Berg"} & set(m.groups()) and len(set(m.groups())) == 4
+    m = re.fullmatch(r"(\w+) left\. Mr\. (\w+) knows Dr\. (\w+); Frau Dr\. (\w+), Prof\. Dr\. von (\w+)", got[3].text)
+    assert m[1] == m[2] == m[3] != "Smith" and m[1].endswith(pii.SCRIPTS["Latin"][1]) and m[4].endswith(pii.SCRIPTS["Latin"][2])
+    assert got[4].text == rows[3][1] and got[4].n == 0
+
+
+def test_more_formats(spark):
+    olds = [
+        "06 12 34 56 78", "0612345678", "030 1234567", "(030) 1234567", "912 34 56 78", "612 345 678",
+        "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "fe80::1ff:fe23:4567:890a", "2001:db8:85a3:0:0:8a2e:370:7334",
+    ]
+    rows = [(i, f"See {s}, ok") for i, s in enumerate(olds)]
+    got = rewritten(spark, [*rows, (99, "fe80::1ff:fe23:4567:890a FE80:0:0:0:1ff:fe23:4567:890a")])
+    for i, old in enumerate(olds):
+        new = re.fullmatch("See (.+), ok", got[i].text)[1]
+        assert got[i].n == 1 and new != old
+        if ":" not in old:
+            assert re.sub(r"\d", "0", new)[:2] == re.sub(r"\d", "0", old)[:2] and len(new) == len(old)
+    for i in (6, 7):
+        new = re.fullmatch("See (.+), ok", got[i].text)[1].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
+    a, b = got[99].text.split(" ")
+    assert a.lower() == b.lower()
