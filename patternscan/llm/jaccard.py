@@ -353,7 +353,13 @@ def near_duplicates(
     members = saved(shared.join(met.filter("size > 1"), "sig"), folder, "members")
 
     # texts that may be compared, fetched once
-    texts = saved(keep_ids(texts, "node", members.select("node").distinct()), folder, "texts")
+    texts = keep_ids(texts, "node", members.select("node").distinct())
+    again = placed.filter("class_node is not null").groupBy("node").count().filter("count > 1").select("node")
+    again = saved(again, folder, "again")
+    if not again.isEmpty():  # copies of a row would multiply its pairs
+        copies = keep_ids(texts, "node", again).dropDuplicates(["node", "text"])
+        texts = keep_ids(texts, "node", again, others=True).unionByName(copies)
+    texts = saved(texts, folder, "texts")
     stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = saved(_verified(_bounded(stars, chosen, p), texts, p), folder, "star-links")
     roots = saved(connected_components(links, f"{folder}/star"), folder, "star-roots")

@@ -173,7 +173,7 @@ def detections(texts: DataFrame, key: list[str], params: LicenseParams = License
     zipped = F.arrays_zip(_places(F.col("_marked"), "first").alias("first"), _places(F.col("_marked"), "end").alias("end"))
     found = marked.select(*key, "rule", "label", "priority", F.explode(zipped).alias("_at")).select(
         *key, "rule", "label", "priority", F.col("_at.first").alias("first"), F.col("_at.end").alias("end")
-    )
+    ).distinct()  # copies of a row would all be sorted in one task
     before = (
         Window.partitionBy(*key)
         .orderBy("first", F.desc("end"), F.desc("priority"), "rule")

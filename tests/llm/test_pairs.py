@@ -195,3 +195,18 @@ def test_fingerprints_of_awkward_rows(awkward, nothing):
     assert rows[4].near_next == 1.0 and rows[None].near_next == 0.0
     assert rows[7].n_chars == len("mail ann@example.com or ann@example.com 😀 café İstanbul")
     assert fingerprint.fingerprints(nothing).collect() == []
+
+
+def test_copies_of_a_row_are_compared_once(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text)] * 30 + [(2, text + " end")] * 30 + [(2, text + " other")] * 2 + [(3, "far away from all")]
+    most, verified = [], jaccard._verified
+
+    def counted(pairs, texts, p):
+        most.append(texts.groupBy("node").count().agg({"count": "max"}).first()[0])
+        return verified(pairs, texts, p)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), jaccard.JaccardParams(width=3, percent=80))
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(1, 1)] * 30 + [(2, 1)] * 32 + [(3, 3)]
+    assert max(most) == 2

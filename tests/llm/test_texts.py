@@ -314,3 +314,14 @@ def test_more_formats(spark):
         assert int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
     a, b = got[99].text.split(" ")
     assert a.lower() == b.lower()
+
+
+def test_copies_are_not_sorted_in_a_window(spark):
+    rows = [(1, "licensed under the MIT License")] * 40 + [(None, "the Apache License")] * 40 + [(2, "none")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in licenses.scan_licenses(df).collect():
+        assert tuple(r)[1:] == plain_licenses({1: rows[0][1], None: rows[40][1], 2: "none"}[r.doc_id])
+    texts = df.select("doc_id", licenses.normal(F.col("text")).alias("normal"))
+    plan = licenses.detections(texts, ["doc_id"])._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.rindex("Window [") :]
+    assert "Aggregate [" in below
