@@ -103,7 +103,8 @@ def _solve(asking: DataFrame, data: DataFrame, width: int, p: SearchParams) -> D
 
     key = ["cell", "block", "list"]
     kind = data.schema["id"].dataType.simpleString()
-    named = asking.select("query_id", "v", "floor", *(F.col(c).alias(f"q_{c}") for c in key))
+    # both sides come from one table: the alias tells the two vectors apart
+    named = asking.select("query_id", F.col("v").alias("v"), "floor", *(F.col(c).alias(f"q_{c}") for c in key))
     return named.groupBy(*(f"q_{c}" for c in key)).cogroup(data.groupBy(*key)).applyInPandas(
         local, f"query_id {kind}, id {kind}, score long"
     )
