@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from patternscan.llm.frames import check_columns
 from patternscan.llm.pieces import PieceCache
-from patternscan.llm.textops import char_table, chunks, code_points, prefix_hashes, ragged, span_hashes
+from patternscan.llm.textops import char_table, chunks, code_points, ragged
 
 _NONE = 1 << 62
 
@@ -152,16 +152,14 @@ class ByteBpe:
             points, starts = code_points(own)
             cuts = split_pieces(points, starts)
             first, end = cuts[:-1], cuts[1:]
-            joined = "".join(own)
-
-            def make(at, first=first, end=end, joined=joined):
-                return [merge(joined[first[k] : end[k]].encode(), self.ranks) for k in at]
-
-            ids, lengths = self._cache.ids(span_hashes(prefix_hashes(points), first, end), make)
+            ids, lengths = self._cache.ids(points, first, end, self._merged)
             ends = np.concatenate([[0], np.cumsum(lengths)])
             out += np.split(ids, ends[np.searchsorted(first, starts[1:-1])])
         return out
 
+    def _merged(self, pieces: list[str]) -> list[list[int]]:
+        return [merge(p.encode(), self.ranks) for p in pieces]
+
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each sequence of ids; an id without a rank is an error."""
         if self._bytes is None:
@@ -210,11 +208,25 @@ def decode_column(spark: SparkSession, bpe: ByteBpe, ids: Column) -> Column:
 def round_trip(docs: DataFrame, bpe: ByteBpe, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id>, ids, decoded`` for each row: the ids of the whole text and what
     they decode to.  Every row gives one row, repeated ones too; a null or empty
-    text has no ids and decodes to no bytes."""
+    text has no ids and decodes to no bytes.
+
+    One worker a task does both, so that ranks and tables are held once."""
     check_columns(docs, id_col, text_col)
-    spark = docs.sparkSession
-    ids = docs.select(id_col, encode_column(spark, bpe, F.col(text_col)).alias("ids"))
-    return ids.select(id_col, "ids", decode_column(spark, bpe, F.col("ids")).alias("decoded"))
+    shared = docs.sparkSession.sparkContext.broadcast(bpe)
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in parts:
+            whole = ["" if t is None else t for t in texts]
+            ids, decoded = [], []
+            for part in chunks(whole, rows=1 << 14):
+                found = shared.value.encode([whole[i] for i in part])
+                ids += [x.astype("<u4").tobytes() for x in found]
+                decoded += shared.value.decode(found)
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
+
+    coded = docs.select(id_col, both(F.col(text_col).cast("string")).alias("_coded"))
+    return coded.select(id_col, "_coded.ids", "_coded.decoded")
 
 
 def digests(coded: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from patternscan.llm.frames import check_columns, saved, shared_folder
 from patternscan.llm.pieces import PieceCache
-from patternscan.llm.textops import char_table, chunks, code_points, prefix_hashes, span_hashes
+from patternscan.llm.textops import char_table, chunks, code_points
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -121,11 +121,7 @@ class WordTokenizer:
             return [np.zeros(0, np.uint32)] * len(texts)
         points = self._lower[points]
         first, end = self._cuts(points, starts)
-        folded = points.astype("<u4").tobytes().decode("utf-32-le")
-        ids, lengths = self._cache.ids(
-            span_hashes(prefix_hashes(points), first, end),
-            lambda at: self._each([folded[first[k] : end[k]] for k in at]),
-        )
+        ids, lengths = self._cache.ids(points, first, end, self._each)
         ends = np.concatenate([[0], np.cumsum(lengths)])
         return np.split(ids, ends[np.searchsorted(first, starts[1:-1])])
 

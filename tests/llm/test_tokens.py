@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from patternscan.llm import bpe, packing
+from patternscan.llm import bpe, packing, pieces
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -150,3 +150,16 @@ def test_packing_pads_little(spark, tokenizers, words):
     packed = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), own)
     filled = [r[0] for r in packed.select("sequence_tokens", "sequence_id").distinct().collect()]
     assert sum(4096 - n for n in filled) < 4096 + 0.02 * sum(filled)
+
+
+def test_pieces_of_equal_hash_keep_their_own_ids(monkeypatch):
+    """A hash that collides everywhere changes nothing."""
+    monkeypatch.setattr(pieces, "span_hashes", lambda prefix, first, end: np.zeros(len(first), np.uint64))
+    text = "one two tow one abc acb bac one"
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    first = np.array([i for i in range(len(text)) if i == 0 or text[i - 1] == " "])
+    end = np.array([len(w) for w in text.split()]) + first
+    cache = pieces.PieceCache(limit=300)  # starts anew again and again
+    for _ in range(3):
+        ids, lengths = cache.ids(points, first, end, lambda new: [[ord(c) for c in x] for x in new])
+        assert lengths.tolist() == [3] * 8 and bytes(ids.astype(np.uint8)).decode() == text.replace(" ", "")
