@@ -2,7 +2,7 @@ import random
 import re
 
 import pytest
-from conftest import all_ends, by_rule
+from matches import all_ends, by_rule
 
 from patternscan.functions.syntax import (
     LEFTMOST,

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import all_ends, by_rule
+from matches import all_ends, by_rule
 
 from patternscan.functions.syntax import Rule, RuleError, prepare
 from patternscan.operators.scan import scan_events
