@@ -6,31 +6,34 @@ sets is at most the sum of the smaller counts, and for a box of points (a node
 of an R-tree) at most the sum with the largest counts in the box.
 
 Points must first meet on one machine.  Two sets that are similar enough differ
-in at most t shingles, so when the hash space is cut into t + 1 slices, at least
-one slice has the same shingles in both: a document is sent to a bucket for the
-content of each of its slices, and no link is lost.
+in at most t shingles.  The hash space is cut into more than t + 1 slices, and a
+document is sent to a bucket for the content of each slice in which it has a
+shingle.  If one of the two has t + 1 such slices or more, one of them has the
+same shingles in the other, and no link is lost; sets that have fewer are sliced
+again by another hash, and after some rounds go by their t + 1 smallest hashes.
+No bucket stands for an empty slice, which unlike texts would share.
 
 1. Equal sets are one class; its smallest id stands for all.
-2. In each bucket every member is compared with the smallest one: bound first,
-   then the exact sets.  This joins most members of large buckets in linear work.
+2. The smallest member of a bucket, its hub, asks an R-tree over the points of
+   all that share a bucket with it; what the bound leaves is compared exactly.
+   This joins most members of large buckets in linear work.
 3. Buckets whose members are still apart are searched with an R-tree, in blocks,
    for pairs of different components that the bound does not exclude.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from patternscan.llm.components import connected_components
-from patternscan.llm.frames import check_columns, keep_ids, saved, shared_folder
+from patternscan.llm.frames import MOST_BROADCAST_IDS, check_columns, keep_ids, saved, shared_folder
 from patternscan.llm.textops import chunks, mix, prefix_hashes, span_hashes, utf8_bytes, words
 
 _SPACE = np.zeros(256, bool)
@@ -64,18 +67,30 @@ class JaccardParams:
         """The least intersection of a link between sets of so many shingles together."""
         return -(-self.percent * sizes // (100 + self.percent))
 
-    def levels(self, largest: int) -> tuple[np.ndarray, np.ndarray]:
-        """The first size of each level, and the number of its slices.
+    def levels(self, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each level: its first size, the slices that a set needs (one more
+        than the shingles in which linked sets differ), the slices that are cut.
 
         The smaller set of a link has a size in the level; the other one is at
-        most 100 / percent times that, and they differ in t shingles at most.
+        most 100 / percent times that.
         """
         first = [1]
         while first[-1] <= largest:
             first.append(max(first[-1] + 1, int(first[-1] * self.step)))
         last = np.array(first[1:], np.int64) - 1
         both = last + 100 * last // self.percent
-        return np.array(first[:-1], np.int64), (100 - self.percent) * both // (100 + self.percent) + 1
+        need = (100 - self.percent) * both // (100 + self.percent) + 1
+        cuts = [_cuts(f, k) for f, k in zip(first, need.tolist())]
+        return np.array(first[:-1], np.int64), need, np.array(cuts, np.int64)
+
+
+def _cuts(size: int, need: int) -> int:
+    """Slices, so that ``size`` shingles most often fill ``need`` of them."""
+    for cuts in range(need, 2 * need + 1):
+        empty = cuts * (1 - 1 / cuts) ** size
+        if cuts - empty - 2 * empty**0.5 >= need:
+            return cuts
+    return need + max(1, need // 4)
 
 
 def shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,50 +131,68 @@ def _wrapped_sums(key: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def points(texts: list[str], p: JaccardParams) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Of each text: the number of shingles, their counts by group, and a
-    128-bit fingerprint of the set."""
-    owner, s = shingles(texts, p.width)
-    n = np.bincount(owner, minlength=len(texts))
+def points(owner: np.ndarray, s: np.ndarray, n: np.ndarray, p: JaccardParams) -> tuple[np.ndarray, list[bytes]]:
+    """Of each text with ``n`` shingles: their counts by group, and a 128-bit
+    fingerprint of the set."""
     group = ((s >> np.uint64(32)) * np.uint64(p.groups) >> np.uint64(32)).astype(np.int64)
-    counts = np.bincount(owner * p.groups + group, minlength=len(texts) * p.groups)
-    halves = [_wrapped_sums(owner, mix(s + np.uint64(k)), len(texts)) for k in (1, 2)]
+    counts = np.bincount(owner * p.groups + group, minlength=len(n) * p.groups)
+    halves = [_wrapped_sums(owner, mix(s + np.uint64(k)), len(n)) for k in (1, 2)]
     prints = np.stack(halves, axis=1).astype("<u8")
-    return n, counts.reshape(len(texts), p.groups), [x.tobytes() for x in prints]
-
-
-def slices(texts: list[str], p: JaccardParams) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of each text: index of the text, hash of a slice's content."""
-    owner, s = shingles(texts, p.width)
-    n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
+    return counts.reshape(len(n), p.groups), [x.tobytes() for x in prints]
+
+
+def _content(
+    owner: np.ndarray, s: np.ndarray, level: np.ndarray, cuts: np.ndarray, use: np.ndarray, salt: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slices with a shingle: index of the text, hash of the content; and how
+    many of them each text has."""
+    k = np.where(use, cuts, 0)
+    base = np.cumsum(k) - k
+    mine = use[owner]
+    h, o = s[mine], owner[mine]
+    seed = mix(level[o].astype(np.uint64) * np.uint64(16) + np.uint64(77 + salt))
+    where = (mix(h ^ seed) >> np.uint64(32)) * k[o].astype(np.uint64) >> np.uint64(32)
+    place = base[o] + where.astype(np.int64)
+    sums = _wrapped_sums(place, mix(h + np.uint64(3)), int(k.sum()))
+    full = np.flatnonzero(np.bincount(place, minlength=len(sums)))
+    text = np.repeat(np.arange(len(use)), k)[full]
+    number = (full - base[text]).astype(np.uint64) + np.uint64(salt << 28)
+    tag = mix((level[text].astype(np.uint64) << np.uint64(32)) + number)
+    return text, mix(sums[full] ^ tag).view(np.int64), np.bincount(text, minlength=len(use))
+
+
+#: Rounds of slices before the smallest hashes.
+ROUNDS = 4
+
+
+def slices(owner: np.ndarray, s: np.ndarray, n: np.ndarray, p: JaccardParams) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of texts with ``n`` shingles each: index of the text, key."""
     if not len(s):
         return owner, s.astype(np.int64)
-    first, cuts = p.levels(int(n.max()))
+    first, needs, cuts = p.levels(int(n.max()))
     low = -(-p.percent * n // 100)  # the smallest partner
-    found_text, found = [], []
+    found_text, found = [owner[:0]], [s[:0].view(np.int64)]
     level_of = np.searchsorted(first, n, side="right") - 1
     lowest = np.searchsorted(first, np.maximum(low, 1), side="right") - 1
+    start = np.cumsum(n) - n
     for back in range(int((level_of - lowest).max()) + 1):
         level = level_of - back
-        # one slice is the whole set: such links join equal sets, which are one class
-        use = (n > 0) & (level >= lowest) & (cuts[np.maximum(level, 0)] > 1)
-        texts_used = np.flatnonzero(use)
-        if not len(texts_used):
-            continue
-        k = np.where(use, cuts[np.maximum(level, 0)], 0)
-        base = np.cumsum(k) - k
-        mine = use[owner]
-        h, o = s[mine], owner[mine]
-        seed = mix(level[o].astype(np.uint64) + np.uint64(77))
-        where = (mix(h ^ seed) >> np.uint64(32)) * k[o].astype(np.uint64) >> np.uint64(32)
-        sums = _wrapped_sums(base[o] + where.astype(np.int64), mix(h + np.uint64(3)), int(k.sum()))
-        text = np.repeat(texts_used, k[texts_used])
-        number = np.arange(len(sums)) - base[text]
-        tag = mix((level[text].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64))
+        at = np.maximum(level, 0)
+        # where no shingle may differ, links join equal sets, which are one class
+        use = (n > 0) & (level >= lowest) & (needs[at] > 1)
+        for salt in range(ROUNDS):
+            if not use.any():
+                break
+            text, key, filled = _content(owner, s, level, cuts[at], use, salt)
+            found_text.append(text)
+            found.append(key)
+            use &= filled < needs[at]
+        taken = np.where(use, np.minimum(needs[at], n), 0)  # shingles of a text are in order of their hash
+        text = np.repeat(np.arange(len(n)), taken)
+        number = np.arange(len(text)) - (np.cumsum(taken) - taken)[text]
+        tag = mix((level[text].astype(np.uint64) << np.uint64(32)) + np.uint64(0xFFFFFFFF))
         found_text.append(text)
-        found.append(mix(sums ^ tag).view(np.int64))
-    if not found:
-        return owner[:0], s[:0].view(np.int64)
+        found.append(mix(s[start[text] + number] ^ tag).view(np.int64))
     return np.concatenate(found_text), np.concatenate(found)
 
 
@@ -215,34 +248,97 @@ class CountTree:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def _bound(a: str, b: str) -> Column:
-    """The largest overlap that two points allow."""
-    smaller = F.zip_with(a, b, lambda x, y: F.least(x, y))
-    return F.aggregate(smaller, F.lit(0), lambda s, x: s + x)
+def exact_sets(text: str, width: int) -> set:
+    """The shingles of a text, as tuples of words."""
+    found = text.encode("utf-8", "surrogatepass").translate(_LOWER.tobytes()).split()
+    return {tuple(found[i : i + width]) for i in range(max(1, len(found) - width + 1))} if found else set()
 
 
-def _may_link(p: JaccardParams) -> Column:
-    return F.expr(f"100 + {p.percent}") * _bound("a_counts", "b_counts") >= F.lit(p.percent) * (
-        F.col("a_n") + F.col("b_n")
-    )
+def linked(left: list[str], right: list[str], p: JaccardParams) -> np.ndarray:
+    """Which pairs of texts link.  Sets are compared by 64-bit hashes; pairs so
+    near to the limit that a collision could matter are compared by words."""
+    keep = np.zeros(len(left), bool)
+    for part in chunks([x + y for x, y in zip(left, right)]):
+        common, union = overlaps(left[part.start : part.stop], right[part.start : part.stop], p.width)
+        margin = 100 * common - p.percent * union
+        for k in np.flatnonzero(np.abs(margin) <= 4 * (100 + p.percent)).tolist():
+            a, b = (exact_sets(side[part.start + k], p.width) for side in (left, right))
+            margin[k] = 100 * len(a & b) - p.percent * len(a | b)
+        keep[part.start : part.stop] = margin >= 0
+    return keep
+
+
+#: Members that are compared with one copy of their hub's text.
+COMPARED = 64
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough; ``texts`` has ``node, text``."""
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
-    b = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
+    """The pairs ``a, b`` whose sets are similar enough; ``texts`` has ``node, text``.
+
+    Each ``a`` meets its partners in units of some ``COMPARED``, so that its text
+    travels once a unit; a task reads unit after unit and holds one text.
+    """
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / COMPARED).cast("int").alias("units"))
+    own = F.pmod(F.xxhash64("b"), F.col("units")).cast("int")
+    members = pairs.join(sizes, "a").select("a", own.alias("unit"), F.col("b").alias("node"), F.lit(1).alias("side"))
+    hubs = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("units") - 1)).alias("unit"))
+    rows = members.unionByName(hubs.withColumn("node", F.col("a")).withColumn("side", F.lit(0))).join(texts, "node")
+    rows = rows.select("a", "unit", "side", "node", "text").repartition("a", "unit")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unit, hub = None, []
         for batch in batches:
-            left, right = batch["a_text"].tolist(), batch["b_text"].tolist()
-            keep = np.zeros(len(batch), bool)
-            for part in chunks([x + y for x, y in zip(left, right)]):
-                common, union = overlaps(left[part.start : part.stop], right[part.start : part.stop], p.width)
-                keep[part.start : part.stop] = 100 * common >= p.percent * union
-            yield batch.loc[keep, ["a", "b"]]
-
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "a_text", "b_text")
-    return joined.mapInPandas(verify, pairs.select("a", "b").schema)
+            left, right, ends = [], [], []
+            for a, k, side, node, text in batch.itertuples(index=False, name=None):
+                if (a, k) != unit:
+                    unit, hub = (a, k), []
+                if side == 0:
+                    hub.append(text)
+                    continue
+                for other in hub:
+                    left.append(other)
+                    right.append(text)
+                    ends.append((a, node))
+            keep = linked(left, right, p)
+            yield pd.DataFrame([e for e, k in zip(ends, keep) if k], columns=["a", "b"])
+
+    found = rows.sortWithinPartitions("a", "unit", "side").mapInPandas(verify, pairs.select("a", "b").schema)
+    return found.distinct()
+
+
+def _hub_pairs(stars: DataFrame, chosen: DataFrame, p: JaccardParams) -> DataFrame:
+    """Pairs ``a, b`` of hub and member that the bound does not exclude.
+
+    The members of a hub are dealt into blocks; the hub asks the R-tree of each.
+    """
+    bins = max(1, -(-stars.count() // p.together))
+    sizes = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / p.block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
+    members = stars.join(sizes, "a").select("a", own.alias("block"), F.col("b").alias("node"))
+    hubs = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("a").alias("node"))
+    rows = members.unionByName(hubs).join(chosen, "node")
+
+    def ask(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["a", "block"], kind="stable", ignore_index=True)
+        counts = np.array(frame["counts"].tolist(), np.int64).reshape(len(frame), p.groups)
+        sizes = frame["n"].to_numpy(np.int64)
+        unit = frame.groupby(["a", "block"], sort=False).ngroup().to_numpy()
+        asks = (frame["node"] == frame["a"]).to_numpy()
+        hub = np.full(int(unit[-1]) + 1, -1)
+        hub[unit[asks]] = np.flatnonzero(asks)
+        there = np.flatnonzero(~asks & (hub[unit] >= 0))
+        size = np.bincount(unit[there], minlength=len(hub))
+        small = there[size[unit[there]] <= CountTree.leaf]  # a tree of one leaf
+        bound = np.minimum(counts[small], counts[hub[unit[small]]]).sum(axis=1)
+        found = [small[bound >= p.least_overlap(sizes[small] + sizes[hub[unit[small]]])]]
+        for u in np.flatnonzero(size > CountTree.leaf).tolist():
+            at = there[unit[there] == u]
+            found.append(at[CountTree(counts[at], sizes[at]).search(counts[hub[u]], int(sizes[hub[u]]), p)])
+        kept = frame.iloc[np.concatenate(found)]
+        return pd.DataFrame({"a": kept["a"], "b": kept["node"]})
+
+    binned = rows.withColumn("bin", F.pmod(F.xxhash64("a", "block"), F.lit(bins)))
+    return binned.groupBy("bin").applyInPandas(ask, stars.select("a", "b").schema)
 
 
 def _search(members: DataFrame, p: JaccardParams, folder: str) -> DataFrame:
@@ -297,63 +393,54 @@ def near_duplicates(
     included.  A null text, an empty one and one without words have 0 shingles
     and link with nothing.  A row without id counts its shingles, links with
     nothing and has a null component.  Ids should be unique; a repeated row gives
-    the same result again.  Whole texts are compared and every link is found; a
-    64-bit hash stands for a shingle and a 128-bit one for a set.
+    the same result again.  Whole texts are compared and every link is found;
+    pairs near the limit are compared word by word, and a 128-bit hash stands for
+    a set only where equal sets are brought together.
     """
     check_columns(docs, id_col, text_col)
     p, spark = params, docs.sparkSession
     folder = shared_folder(spark)
     plain = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text"))
 
-    @F.pandas_udf("n long, print binary, counts array<int>")
+    @F.pandas_udf("n long, print binary, counts array<int>, sigs array<long>")
     def measure(column: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in column:
             texts = ["" if t is None else t for t in batch]
-            n, counts, prints = [], [], []
+            n, counts, prints, sigs = [], [], [], []
             for part in chunks(texts):
-                found = points(texts[part.start : part.stop], p)
-                n += found[0].tolist()
-                counts += list(found[1].astype(np.int32))
-                prints += found[2]
-            yield pd.DataFrame({"n": n, "print": prints, "counts": counts})
+                owner, s = shingles(texts[part.start : part.stop], p.width)
+                size = np.bincount(owner, minlength=len(part)).astype(np.int64)
+                point = points(owner, s, size, p)
+                n += size.tolist()
+                counts += list(point[0].astype(np.int32))
+                prints += point[1]
+                text, sig = slices(owner, s, size, p)
+                ends = np.cumsum(np.bincount(text, minlength=len(part)))
+                sigs += np.split(sig[np.argsort(text, kind="stable")], ends[:-1])
+            yield pd.DataFrame({"n": n, "print": prints, "counts": counts, "sigs": pd.Series(sigs, dtype=object)})
 
     measured = plain.select("node", measure("text").alias("_p"))
-    rows = saved(measured.select("node", "_p.n", "_p.print", "_p.counts"), folder, "points")
+    rows = saved(measured.select("node", "_p.n", "_p.print", "_p.counts", "_p.sigs"), folder, "points")
     full = rows.filter("n > 0 and node is not null")
-    classes = full.groupBy("n", "print").agg(F.min("node").alias("class_node"))
-    placed = saved(rows.join(classes, ["n", "print"], "left"), folder, "placed")
-    chosen = placed.filter("node = class_node").dropDuplicates(["node"]).select("node", "n", "counts")
+    classes = full.groupBy("n", "print").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    several = saved(classes.filter("lo < hi").select("n", "print", F.col("lo").alias("stands")), folder, "classes")
+    few = several.count() <= MOST_BROADCAST_IDS
+    own = F.when((F.col("n") > 0) & F.col("node").isNotNull(), F.coalesce("stands", "node"))
+    classed = rows.join(F.broadcast(several) if few else several, ["n", "print"], "left").withColumn("class_node", own)
+    placed = saved(classed.select("node", "n", "class_node"), folder, "placed")
+    chosen = classed.filter("node = class_node")
 
-    @F.pandas_udf("array<long>")
-    def buckets(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        met: set[bytes] = set()  # of copies in one task, the first is sent
-        for batch in column:
-            texts = batch.tolist()
-            out: list[np.ndarray] = []
-            for k, t in enumerate(texts):
-                key = hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                texts[k] = "" if key in met else t
-                met.add(key)
-            for part in chunks(texts):
-                text, sig = slices(texts[part.start : part.stop], p)
-                order = np.argsort(text, kind="stable")
-                ends = np.cumsum(np.bincount(text, minlength=len(part)))
-                out += np.split(sig[order], ends[:-1])
-            yield pd.Series(out, dtype=object)
-
-    texts = plain.filter("node is not null and text is not null")
-    sent = texts.select("node", F.explode(buckets("text")).alias("sig"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    sent = sent.repartition(parts, "sig")  # one shuffle for both sides below
-    met = sent.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
-    stand = placed.filter("class_node is not null").select("node", "class_node").distinct()
-    shared = sent.join(met.select("sig"), "sig").join(stand, "node")
-    shared = saved(shared.select("sig", F.col("class_node").alias("node")).distinct(), folder, "shared")
-    met = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"))
-    members = saved(shared.join(met.filter("size > 1"), "sig"), folder, "members")
-
-    # texts that may be compared, fetched once
-    texts = keep_ids(texts, "node", members.select("node").distinct())
+    sent = chosen.select("node", F.explode("sigs").alias("sig"))
+    sent = sent.repartition(parts, "sig").dropDuplicates(["sig", "node"])  # one shuffle for both sides below
+    met = sent.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"))
+    members = saved(sent.join(met.filter("size > 1"), "sig"), folder, "members")
+
+    # points and texts that may be compared, fetched once
+    asked = saved(members.select("node").distinct(), folder, "asked")
+    chosen = keep_ids(chosen, "node", asked).select("node", "n", "counts").dropDuplicates(["node"])
+    chosen = saved(chosen, folder, "chosen")
+    texts = keep_ids(plain.filter("node is not null and text is not null"), "node", asked)
     again = placed.filter("class_node is not null").groupBy("node").count().filter("count > 1").select("node")
     again = saved(again, folder, "again")
     if not again.isEmpty():  # copies of a row would multiply its pairs
@@ -361,7 +448,9 @@ def near_duplicates(
         texts = keep_ids(texts, "node", again, others=True).unionByName(copies)
     texts = saved(texts, folder, "texts")
     stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = saved(_verified(_bounded(stars, chosen, p), texts, p), folder, "star-links")
+    stars = saved(stars, folder, "stars")
+    near = saved(_hub_pairs(stars, chosen, p), folder, "star-pairs")
+    links = saved(_verified(near, texts, p), folder, "star-links")
     roots = saved(connected_components(links, f"{folder}/star"), folder, "star-roots")
 
     joined = members.join(roots, "node", "left").select(
@@ -383,13 +472,3 @@ def near_duplicates(
     found = placed.join(end, "class_node", "left")
     component = F.when(F.col("node").isNotNull(), F.coalesce("root", "class_node", "node"))
     return found.select(F.col("node").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
-
-
-def _bounded(pairs: DataFrame, chosen: DataFrame, p: JaccardParams) -> DataFrame:
-    """The pairs that the counts do not exclude."""
-    for end in ("a", "b"):
-        pairs = pairs.join(
-            chosen.select(F.col("node").alias(end), F.col("n").alias(f"{end}_n"), F.col("counts").alias(f"{end}_counts")),
-            end,
-        )
-    return pairs.filter(_may_link(p)).select("a", "b")
