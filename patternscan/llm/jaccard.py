@@ -272,17 +272,27 @@ def linked(left: list[str], right: list[str], p: JaccardParams) -> np.ndarray:
 COMPARED = 64
 
 
+def _dealt(pairs: DataFrame, per: int) -> DataFrame:
+    """``a, unit, node``: the members of each hub in units of some ``per``, and
+    the hub itself in each.  Only hubs of more members are counted by a join, and
+    no task gets all members of one."""
+    units = F.ceil(F.count(F.lit(1)) / per).cast("int").alias("units")
+    folder = shared_folder(pairs.sparkSession)
+    many = saved(pairs.groupBy("a").agg(units).filter("units > 1"), folder, "many")
+    few = many.count() <= MOST_BROADCAST_IDS
+    own = F.pmod(F.xxhash64("b"), F.coalesce("units", F.lit(1))).cast("int")
+    members = pairs.join(F.broadcast(many) if few else many, "a", "left").select("a", own.alias("unit"), "b")
+    hubs = members.select("a", "unit").distinct().withColumn("node", F.col("a"))
+    return members.withColumnRenamed("b", "node").unionByName(hubs)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar enough; ``texts`` has ``node, text``.
 
     Each ``a`` meets its partners in units of some ``COMPARED``, so that its text
     travels once a unit; a task reads unit after unit and holds one text.
     """
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / COMPARED).cast("int").alias("units"))
-    own = F.pmod(F.xxhash64("b"), F.col("units")).cast("int")
-    members = pairs.join(sizes, "a").select("a", own.alias("unit"), F.col("b").alias("node"), F.lit(1).alias("side"))
-    hubs = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("units") - 1)).alias("unit"))
-    rows = members.unionByName(hubs.withColumn("node", F.col("a")).withColumn("side", F.lit(0))).join(texts, "node")
+    rows = _dealt(pairs, COMPARED).withColumn("side", (F.col("node") != F.col("a")).cast("int")).join(texts, "node")
     rows = rows.select("a", "unit", "side", "node", "text").repartition("a", "unit")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -312,17 +322,13 @@ def _hub_pairs(stars: DataFrame, chosen: DataFrame, p: JaccardParams) -> DataFra
     The members of a hub are dealt into blocks; the hub asks the R-tree of each.
     """
     bins = max(1, -(-stars.count() // p.together))
-    sizes = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / p.block).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
-    members = stars.join(sizes, "a").select("a", own.alias("block"), F.col("b").alias("node"))
-    hubs = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("a").alias("node"))
-    rows = members.unionByName(hubs).join(chosen, "node")
+    rows = _dealt(stars, p.block).join(chosen, "node")
 
     def ask(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["a", "block"], kind="stable", ignore_index=True)
+        frame = frame.sort_values(["a", "unit"], kind="stable", ignore_index=True)
         counts = np.array(frame["counts"].tolist(), np.int64).reshape(len(frame), p.groups)
         sizes = frame["n"].to_numpy(np.int64)
-        unit = frame.groupby(["a", "block"], sort=False).ngroup().to_numpy()
+        unit = frame.groupby(["a", "unit"], sort=False).ngroup().to_numpy()
         asks = (frame["node"] == frame["a"]).to_numpy()
         hub = np.full(int(unit[-1]) + 1, -1)
         hub[unit[asks]] = np.flatnonzero(asks)
@@ -337,7 +343,7 @@ def _hub_pairs(stars: DataFrame, chosen: DataFrame, p: JaccardParams) -> DataFra
         kept = frame.iloc[np.concatenate(found)]
         return pd.DataFrame({"a": kept["a"], "b": kept["node"]})
 
-    binned = rows.withColumn("bin", F.pmod(F.xxhash64("a", "block"), F.lit(bins)))
+    binned = rows.withColumn("bin", F.pmod(F.xxhash64("a", "unit"), F.lit(bins)))
     return binned.groupBy("bin").applyInPandas(ask, stars.select("a", "b").schema)
 
 
