@@ -87,6 +87,30 @@ SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
 """
 
 
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same, list_dot_product(a.c, d.c)::BIGINT AS score
+    FROM v a JOIN v d ON d.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+        row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+    FROM scored WHERE same
+), ranked AS (
+    SELECT p.anchor_id, positive_id, positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS r
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id
+    WHERE place <= 5 AND NOT n.same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, r::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE r <= 3
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patternscan.llm import bpe, chat, fingerprint, jaccard, knn, language, licenses, packing, pii, quality
+from patternscan.llm import (
+    bpe,
+    chat,
+    fingerprint,
+    jaccard,
+    knn,
+    language,
+    licenses,
+    negatives,
+    packing,
+    pii,
+    quality,
+    simhash,
+    whitening,
+)
 from patternscan.llm.frames import table
 from patternscan.llm.oracle import ORACLES as ORACLES
 
@@ -105,3 +119,24 @@ def op9_topk_search(spark, sf_dir):
 def op10_license_scan(spark, sf_dir):
     """License phrases and rules in every document."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents", "doc_id"))
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    """All vectors on the 32 first principal components, whitened."""
+    found, model = whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id"))
+    return whitening.by_component(found, model)
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every fiftieth vector; every seventh label is moved on."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_simhash(spark, sf_dir):
+    """Components of documents whose fingerprints differ in four bits at most."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id"))
