@@ -40,14 +40,14 @@ class SimHashParams:
     different bits.
 
     ``bits`` is the least number of bits that deal variants out (more where
-    there are more fingerprints), ``group`` the fingerprints that meet before a
-    group is dealt again by ``step`` more bits, ``together`` about the rows of a
+    there are more fingerprints), ``variants`` what a group may write out before
+    it is dealt again by ``step`` more bits, ``together`` about the rows of a
     task."""
 
     width: int = 4
     radius: int = 4
     bits: int = 10
-    group: int = 4096
+    variants: int = 1 << 21
     step: int = 6
     together: int = 200_000
 
@@ -93,6 +93,11 @@ def _masks(width: int, most: int) -> np.ndarray:
     return np.array([m for m, _ in changes(width, most)], np.uint64)
 
 
+def _costs(width: int, most: int) -> list[int]:
+    """How many values of ``width`` bits have 0, 1, ... ``most`` bits set at most."""
+    return [sum(math.comb(width, k) for k in range(r + 1)) for r in range(most + 1)]
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -155,10 +160,6 @@ def _meet(key: np.ndarray, depth: np.ndarray, fp: np.ndarray, left: np.ndarray)
     return links[0], links[1]
 
 
-#: Variants that a task writes out at a time, if no group has more.
-_VARIANTS = 1 << 21
-
-
 def ball_links(prints: DataFrame, params: SimHashParams = SimHashParams(), folder: str | None = None) -> DataFrame:
     """``a, b``: links that tie together all of ``prints`` (different values
     ``fp``, a long) within ``radius`` bits of each other, directly or by others.
@@ -171,16 +172,18 @@ def ball_links(prints: DataFrame, params: SimHashParams = SimHashParams(), folde
     if p.radius % 2:
         raise ValueError("the radius must be even")
     count = prints.count()
-    depth = min(64, max(p.bits, math.ceil(math.log2(max(1, count) / 1000 + 1))))
+    ball = sum(math.comb(64, k) for k in range(half + 1))
+    depth = min(64, max(p.bits, math.ceil(math.log2(4 * ball * max(1, count) / p.variants))))  # a quarter on average
     rows = prints.select(F.lit(0).cast("long").alias("key"), "fp", F.lit(half).alias("left"))
     rows = _dealt(rows, 0, depth, half)
     ready, last = None, None
     while True:
-        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
         if depth >= 64:
             last = rows
             break
-        many = sizes.filter(F.col("size") > p.group).select("key")
+        costs = F.array(*(F.lit(c).cast("long") for c in _costs(64 - depth, half)))
+        sizes = rows.groupBy("key").agg(F.sum(F.get(costs, F.col("left"))).alias("size"))
+        many = sizes.filter(F.col("size") > p.variants).select("key")
         many = saved(many, folder or shared_folder(prints.sparkSession), f"many-{depth}")
         crowded = not many.isEmpty()
         some = keep_ids(rows, "key", many, others=True) if crowded else rows
@@ -197,12 +200,12 @@ def ball_links(prints: DataFrame, params: SimHashParams = SimHashParams(), folde
         fp, left = frame["fp"].to_numpy(np.int64), frame["left"].to_numpy()
         cost = np.zeros(len(frame), np.int64)
         for d, r in set(zip(depth.tolist(), left.tolist())):
-            cost[(depth == d) & (left == r)] = sum(math.comb(64 - d, k) for k in range(r + 1))
+            cost[(depth == d) & (left == r)] = _costs(64 - d, r)[r]
         new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (depth[1:] != depth[:-1])])
         before = np.r_[np.cumsum(cost) - cost, cost.sum()]
         edge, a, b = [0], [fp[:0]], [fp[:0]]
         for start, end in zip(new.tolist(), [*new[1:].tolist(), len(frame)]):
-            if start > edge[-1] and before[end] - before[edge[-1]] > _VARIANTS:
+            if start > edge[-1] and before[end] - before[edge[-1]] > p.variants:
                 edge.append(start)
         for start, end in zip(edge, [*edge[1:], len(frame)]):
             at = slice(start, end)

@@ -192,8 +192,8 @@ def plain_classes(prints, radius=4):
 
 
 @pytest.mark.parametrize("params", [
-    simhash.SimHashParams(), simhash.SimHashParams(bits=3, group=2, step=7, together=50), simhash.SimHashParams(radius=2),
-    simhash.SimHashParams(bits=1, group=1, step=21),
+    simhash.SimHashParams(), simhash.SimHashParams(bits=3, variants=3000, step=7, together=50), simhash.SimHashParams(radius=2),
+    simhash.SimHashParams(bits=1, variants=1, step=21),
 ])
 def test_balls_find_all_links(spark, params):
     chance = random.Random(9)
