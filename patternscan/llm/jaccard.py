@@ -292,7 +292,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame
     Each ``a`` meets its partners in units of some ``COMPARED``, so that its text
     travels once a unit; a task reads unit after unit and holds one text.
     """
-    rows = _dealt(pairs, COMPARED).withColumn("side", (F.col("node") != F.col("a")).cast("int")).join(texts, "node")
+    dealt = _dealt(pairs, COMPARED).withColumn("side", (F.col("node") != F.col("a")).cast("int"))
+    dealt = saved(dealt, shared_folder(pairs.sparkSession), "units")
+    few = dealt.count() <= MOST_BROADCAST_IDS  # narrow rows: then texts are not shuffled to find their units
+    rows = texts.join(F.broadcast(dealt) if few else dealt, "node")
     rows = rows.select("a", "unit", "side", "node", "text").repartition("a", "unit")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
