@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 from types import SimpleNamespace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from patternscan.functions.syntax import ALL_ENDS, LEFTMOST, LITERAL, Prepared, Rule
@@ -441,7 +441,25 @@ def _scan_table(df, table: DataFrame, text, keys, leftmost) -> DataFrame:
     table = table.filter(F.col("kind").isin(*wanted))
     by_worker = F.col("stack_risk") | (F.col("nullable") & F.lit(leftmost))
     risky = worker_rules(table, by_worker)
-    table = table.filter(~by_worker)
+    found = table_events(df, table.filter(~by_worker), text, keys, leftmost)
+    parts = [found.withColumn("flags", F.lit(0))]
+    if risky:
+        from patternscan.operators.captures import scan_in_workers
+
+        parts.append(scan_in_workers(df, risky, text, keys))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def table_events(
+    df: DataFrame,
+    table: DataFrame,
+    text: str,
+    keys: Sequence[str],
+    leftmost: bool = False,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """``keys, rule_id, from_off, to_off`` of the rules of a prepared table, with
+    columns ``carry`` of the rule or the pair (``_view`` is the text's)."""
     shape = {
         "start_method": "start_method",
         "looks_right": "looks_right",
@@ -454,6 +472,8 @@ def _scan_table(df, table: DataFrame, text, keys, leftmost) -> DataFrame:
     }
     shaped = table.select("*", *(F.expr(e).alias(f"_{n}") for n, e in shape.items()))
     shapes = shaped.select(*(f"_{n}" for n in shape)).distinct().collect()
+    if not shapes:  # an empty table: one shape keeps the columns
+        shapes = [Row(_start_method=START_ZERO, **{f"_{n}": False for n in shape if n != "start_method"})]
     parts = []
     for s in shapes:  # at most a few dozen exist
         same = reduce(lambda d, n: d.filter(F.col(n) == F.lit(s[n])), s.asDict(), shaped)
@@ -478,11 +498,8 @@ def _scan_table(df, table: DataFrame, text, keys, leftmost) -> DataFrame:
         pairs = _pairs(df, same.select(*table.columns), text, keys)
         raw = "encode(_view, 'ISO-8859-1')"
         found = let(raw, lambda b, r=r: rule_events("_text", b, "_view", r, leftmost))
-        parts.append(explode_events(pairs, found, keys))
-    if risky:
-        from patternscan.operators.captures import scan_in_workers
-
-        parts.append(scan_in_workers(df, risky, text, keys))
+        exploded = pairs.select(*keys, *carry, F.explode(F.expr(found)).alias("_e"))
+        parts.append(exploded.select(*keys, "_e.rule_id", "_e.from_off", "_e.to_off", *carry))
     return reduce(DataFrame.unionByName, parts)
 
 

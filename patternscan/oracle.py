@@ -680,3 +680,15 @@ oracle(
 SELECT {STREAM_EVENT} FROM m JOIN first_turn USING (stream_id) WHERE i = 1 AND to_off > n""",
 )
 ORACLES["q_stream_scan_small_runs"] = ORACLES["q_stream_scan"]
+WORDS = """words AS (
+  SELECT min(item_id * widest + pos)::BIGINT AS rule_id, w FROM (
+    SELECT item_id, max(len(s)) OVER () AS widest, unnest(s) AS w, unnest(range(0, len(s))) AS pos
+    FROM (SELECT item_id, string_split_regex(text, '[^A-Za-z]+') AS s FROM benchmark))
+  WHERE length(w) >= 5 GROUP BY w)"""
+oracle(
+    "stream_rule_table",
+    f"""WITH {DOCS}, {WORDS}, {leftmost('m', '[0-9A-Za-z_]+')}
+SELECT doc_id, rule_id, from_off, to_off + 1 AS to_off
+FROM m JOIN words ON x = w JOIN docs USING (doc_id)
+WHERE substr(t, to_off + 1, 1) IN (' ', ',', '.', chr(10))""",
+)

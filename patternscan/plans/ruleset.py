@@ -137,7 +137,7 @@ def over_all_cores(rules: DataFrame) -> DataFrame:
     return rules.repartition(rules.sparkSession.sparkContext.defaultParallelism)
 
 
-def prepared_table(rules: DataFrame) -> DataFrame:
+def prepared_table(rules: DataFrame, eod: bool = True) -> DataFrame:
     """Prepare a large rules table in a Spark job; a bad rule fails the job.
 
     A table that fits the driver (it will be broadcast from there anyway) is
@@ -149,7 +149,7 @@ def prepared_table(rules: DataFrame) -> DataFrame:
     def prepared_row(row) -> tuple:
         rule = row_to_rule(row)
         _exact(rule)
-        p = prepare(rule)
+        p = prepare(rule, eod)
         return (
             p.rule_id,
             p.rule.expression,

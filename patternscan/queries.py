@@ -588,6 +588,24 @@ def stream_documents(spark, sf_dir):
 DIGITS_5 = Rule(1, "[0-9]{5}", "L")
 
 
+def word_rules(spark, sf_dir, flags: str = "L") -> DataFrame:
+    """A rule per different word of ``benchmark`` (five letters or more): the
+    word and the sign after it."""
+    arrays = table(spark, sf_dir, "benchmark").select("item_id", F.split("text", "[^A-Za-z]+").alias("s"))
+    words = arrays.select("item_id", F.posexplode("s").alias("pos", "word"))
+    number = F.col("item_id") * widest(arrays, F.size("s")) + F.col("pos")
+    first = words.filter("char_length(word) >= 5").groupBy("word").agg(F.min(number).alias("rule_id"))
+    whole = F.concat(F.lit(r"\b"), "word", F.lit(r"[ ,.\n]")).alias("expression")
+    return rule_lines.rules_from_strings(first.select("rule_id", whole), flags=flags)
+
+
+@query
+def stream_rule_table(spark, sf_dir):
+    """Hundreds of rules over documents that are cut inside words."""
+    cut = chunks.chunk_text(documents(spark, sf_dir), size=512)
+    return doc_events(chunks.scan_stream(cut, word_rules(spark, sf_dir), ("doc_id",), bucket=4))
+
+
 @query
 def stream_close(spark, sf_dir):
     return stream_events(chunks.close_streams(conversations(spark, sf_dir), CLOSING[0]))

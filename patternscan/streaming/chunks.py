@@ -478,7 +478,13 @@ def scan_stream(
     ``seq`` orders the chunks of a stream and is unique in it; ``state`` (from
     ``export_state``) continues streams scanned before.
     """
-    keys, local = list(keys), _Local.of(_stream_rules(rules))
+    # Imported here: rule tables build on this module.
+    from patternscan.streaming import rule_tables
+
+    keys = list(keys)
+    if (table := rule_tables.as_table(rules)) is not None:
+        return rule_tables.scan(chunks, table, keys, seq, chunk, state, with_text, close, bucket)
+    local = _Local.of(_stream_rules(rules))
     _no_state(local.open, state)
     parts = []
     bounded = local.only(lambda p: p.max_width is not None)
@@ -527,7 +533,12 @@ def close_streams(
 ) -> DataFrame:
     """The events that streams report when they end: matches that need the end
     of the data, such as those of ``end$``."""
-    keys, local = list(keys), _Local.of(_stream_rules(rules))
+    from patternscan.streaming import rule_tables
+
+    keys = list(keys)
+    if (table := rule_tables.as_table(rules)) is not None:
+        return rule_tables.close(chunks, table, keys, seq, chunk, state, with_text, bucket)
+    local = _Local.of(_stream_rules(rules))
     local = local.only(lambda p: p.looks_right)
     _no_state(local.open, state)
     parts = []
@@ -591,8 +602,13 @@ def fork_streams(
         .filter(F.col(seq) <= F.col("fork_seq"))
         .select("branch_id", seq, chunk)
     )
-    prepared = _Local.of(_stream_rules(rules)).open
-    if all(p.max_width is not None for p in prepared):
+    from patternscan.streaming import rule_tables
+
+    if (table := rule_tables.as_table(rules)) is not None:
+        bounded = not rule_tables.stream_table(table, False).filter("max_width IS NULL").limit(1).collect()
+    else:
+        bounded = all(p.max_width is not None for p in _Local.of(_stream_rules(rules)).open)
+    if bounded:
         state = export_state(prefix, rules, ("branch_id",), seq, chunk, bucket)
         return scan_stream(branches, rules, ("branch_id",), seq, chunk, state, bucket=bucket)
     # an unbounded rule may reach back through the whole prefix
@@ -619,10 +635,17 @@ def export_state(
     """Where each stream stands after its last chunk: the bytes a match may
     still begin in, the offset, the next ``seq`` and the size of it all; with
     single-match rules also ``found``, the ids of those that have matched."""
-    keys, local = list(keys), _Local.of(_stream_rules(rules))
-    if any(p.max_width is None for p in local.open):
-        raise RuleError("the state of an unbounded rule has no fixed size")
-    totals = _runs(chunks, keys, seq, chunk, local.width, bucket, None).totals
+    from patternscan.streaming import rule_tables
+
+    keys = list(keys)
+    if (table := rule_tables.as_table(rules)) is not None:
+        width, single = rule_tables.stand(chunks, table, keys, seq, chunk, bucket)
+    else:
+        local = _Local.of(_stream_rules(rules))
+        if any(p.max_width is None for p in local.open):
+            raise RuleError("the state of an unbounded rule has no fixed size")
+        width, single = local.width, _single(local.rules)
+    totals = _runs(chunks, keys, seq, chunk, width, bucket, None).totals
     stand = totals.select(
         *keys,
         F.encode("tail", "ISO-8859-1").alias("tail"),
@@ -630,7 +653,6 @@ def export_state(
         "next_seq",
         (F.char_length("tail") + 16).cast("long").alias("state_bytes"),
     )
-    single = _single(local.rules)
     if not single:
         return stand
     seen = scan_stream(chunks, single, keys, seq, chunk, bucket=bucket).groupBy(*keys)
@@ -671,8 +693,12 @@ def stream_find(
     """The first ``n`` merged matches of each stream (all if negative), one row
     each; ``with_text`` adds the matched bytes."""
     keys = list(keys)
-    local = _stream_rules(rules)
-    starts = all("L" in r.flags for r in local)
+    from patternscan.streaming import rule_tables
+
+    if (table := rule_tables.as_table(rules)) is not None:
+        starts = not rule_tables.stream_table(table, False).filter("NOT _starts").limit(1).collect()
+    else:
+        starts = all("L" in r.flags for r in _stream_rules(rules))
     attach = with_text and starts
     events = scan_stream(chunks, rules, keys, seq, chunk, with_text=attach, close=True)
     merged = coalesce_events(events, keys)
