@@ -479,7 +479,14 @@ def _required_literal(tree) -> str | None:
 MAX_ANY_OF = 16
 
 
-def _any_of(tree, caseless: bool) -> tuple[str, ...]:
+def _folded(text: str, wide: bool) -> str:
+    """The longest part of a text that any spelling in other cases contains in
+    lower case: ASCII, and with Unicode folding without the letters that others
+    beyond ASCII equal (a dotless i, a long s, the Kelvin sign)."""
+    return max(re.split(r"[^\x00-\x7f]|[iksIKS]" if wide else r"[^\x00-\x7f]", text), key=len).lower()
+
+
+def _any_of(tree, caseless: bool, wide: bool) -> tuple[str, ...]:
     """A few texts of which every match contains one; empty if none are known.
 
     The texts are only a cheap first test, so the shortest decides how good a
@@ -501,8 +508,8 @@ def _any_of(tree, caseless: bool) -> tuple[str, ...]:
 
     best = choose(tree)
     if caseless:
-        # folding is safe for ASCII only
-        return tuple(t.lower() for t in best) if all(t.isascii() for t in best) else ()
+        parts = tuple(dict.fromkeys(_folded(t, wide) for t in best))
+        return parts if all(parts) else ()
     return best
 
 
@@ -652,8 +659,7 @@ def prepare(rule: Rule, eod: bool = True) -> Prepared:
         max_width=high,
         literal=None if tree.state.flags & re.I else _required_literal(tree),
         caseless=caseless,
-        # with Unicode folding, other letters than A-Z equal a-z
-        any_of=() if caseless and wide else _any_of(tree, caseless),
+        any_of=_any_of(tree, caseless, wide),
         at_end=at_end,
         only_at_end=only_at_end,
         looks_right=any(op is C.AT for op, _ in _walk(tree)),

@@ -40,22 +40,25 @@ def fold_ascii(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
-def gram_occurrences(
-    df: DataFrame,
-    literals: DataFrame,
-    keys: Sequence[str],
-    raw: str,
-    keep: Sequence[str] = (),
-    carry: Sequence[str] = (),
-    max_index_rows: int = MAX_INDEX_ROWS,
+def _row_hash(keys: Sequence[str], raw: str) -> Column:
+    return F.xxhash64(*keys, raw).alias("_row")
+
+
+def _same_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    for i, k in enumerate(keys):
+        df = df.filter(F.col(k).eqNullSafe(F.col(f"_key{i}")))
+    return df
+
+
+def _candidates(
+    df: DataFrame, literals: DataFrame, keys: Sequence[str], raw: str, keep: Sequence[str], max_index_rows: int
 ) -> DataFrame:
-    """Every occurrence of every literal.
+    """``keys, _row, _p, keep, lit, _len, _j``: a gram of the text at ``_p`` that
+    equals the literal's gram at ``_j``.
 
-    ``df`` has ``keys`` and the binary column ``raw``; ``literals`` has the
-    binary column ``lit`` and the columns ``keep``.  Returns ``keys``, ``keep``,
-    ``_from`` and the text columns ``carry`` of the row.
+    Grams leave their text behind: carried along, a text would be copied once for
+    each of its bytes.  ``_row``, a hash of the row, brings them back to it.
     """
-    keys, keep, carry = list(keys), list(keep), list(carry)
     top = f"CAST(least({TOP_CLASS}, floor(log2(octet_length(lit)))) AS INT)"
     sized = literals.select(
         *keep, "lit", F.expr("octet_length(lit) AS _len"), F.expr(f"{top} AS _k")
@@ -74,24 +77,58 @@ def gram_occurrences(
         return f"CASE WHEN {enough} THEN sequence({k}L, {last}, {step}L) ELSE {nothing} END"
 
     every = ", ".join(cuts(k) for k in sorted(counts)) or "CAST(array() AS ARRAY<BIGINT>)"
-    grams = (
-        df.select(*keys, *carry, raw, F.expr(f"explode(concat({every})) AS _cut"))
-        .withColumn("_k", F.expr("CAST(_cut & 7 AS INT)"))
-        .withColumn("_p", F.expr("CAST(shiftright(_cut, 3) AS INT)"))
-        .withColumn("_gram", F.expr(_gram(raw, "_p")))
-        .drop("_cut", "_k")
-    )
-    same = F.expr(f"_p >= _j AND substring({raw}, _p - _j + 1, _len) = lit")
-    if sum(n * STRIDES[k] for k, n in counts.items()) <= max_index_rows:
-        hits = grams.join(F.broadcast(index.drop("_k")), "_gram").filter(same)
-    else:
-        # Too many to broadcast: shuffle grams without their text, then fetch
-        # the text again for the candidates.
-        candidates = (
-            grams.select(*keys, "_p", "_gram")
-            .join(index.drop("_k").hint("shuffle_hash"), "_gram")
-            .filter("_p >= _j")
-            .drop("_gram")
-        )
-        hits = candidates.join(df.select(*keys, *carry, raw), keys).filter(same)
+    place = "CAST(shiftright(c, 3) AS INT)"
+    gram = _gram(raw, place).replace("_k", "CAST(c & 7 AS INT)")
+    cut = f"explode(transform(concat({every}), c -> named_struct('_gram', {gram}, '_p', {place})))"
+    grams = df.select(*keys, _row_hash(keys, raw), F.expr(cut).alias("_at")).select(*keys, "_row", "_at.*")
+    index = index.drop("_k")
+    few = sum(n * STRIDES[k] for k, n in counts.items()) <= max_index_rows
+    candidates = grams.join(F.broadcast(index) if few else index.hint("shuffle_hash"), "_gram")
+    return candidates.filter("_p >= _j").drop("_gram")
+
+
+def gram_occurrences(
+    df: DataFrame,
+    literals: DataFrame,
+    keys: Sequence[str],
+    raw: str,
+    keep: Sequence[str] = (),
+    carry: Sequence[str] = (),
+    max_index_rows: int = MAX_INDEX_ROWS,
+) -> DataFrame:
+    """Every occurrence of every literal.
+
+    ``df`` has ``keys`` and the binary column ``raw``; ``literals`` has the
+    binary column ``lit`` and the columns ``keep``.  Returns ``keys``, ``keep``,
+    ``_from`` and the text columns ``carry`` of the row.
+    """
+    keys, keep, carry = list(keys), list(keep), list(carry)
+    candidates = _candidates(df, literals, keys, raw, keep, max_index_rows)
+    # each different row once; rows that repeat one have candidates of their own
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    rows = df.select(*named, *carry, raw, _row_hash(keys, raw)).repartition("_row")
+    rows = rows.dropDuplicates(["_row", *(f"_key{i}" for i in range(len(keys)))])
+    same = F.expr(f"substring({raw}, _p - _j + 1, _len) = lit")
+    hits = _same_keys(candidates.join(rows, "_row"), keys).filter(same)
     return hits.select(*keys, *keep, *carry, F.expr("CAST(_p - _j AS BIGINT) AS _from"))
+
+
+def gram_pairs(
+    df: DataFrame,
+    factors: DataFrame,
+    keys: Sequence[str],
+    raw: str,
+    carry: Sequence[str],
+    max_index_rows: int = MAX_INDEX_ROWS,
+) -> DataFrame:
+    """``keys, _rid, carry``: each row with each rule (``_rid``, a long) that may
+    find one of its texts there, once; whoever asks decides.
+
+    ``factors`` has ``_rid`` and the binary column ``lit``.  Pairs are narrow until
+    they are different, and then fetch the columns ``carry`` of their row.
+    """
+    keys = list(keys)
+    found = _candidates(df, factors, keys, raw, ["_rid"], max_index_rows).select(*keys, "_row", "_rid").distinct()
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    rows = df.select(*named, *carry, _row_hash(keys, raw))
+    return _same_keys(found.join(rows, "_row"), keys).select(*keys, "_rid", *carry)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patternscan.functions.views import is_binary, view_of
-from patternscan.operators.grams import MAX_INDEX_ROWS, gram_occurrences
-from patternscan.plans.ruleset import broadcast_slices, prepared_table, worker_rules
+from patternscan.operators.grams import MAX_INDEX_ROWS, fold_ascii, gram_pairs
+from patternscan.plans.ruleset import MAX_BROADCAST_ROWS, broadcast_slices, prepared_table, worker_rules
 
 MIN_LITERAL = 3
 
@@ -43,19 +43,53 @@ def rule_pairs(
     max_index_rows: int = MAX_INDEX_ROWS,
 ) -> DataFrame:
     """Every (row, rule) that match, with the row's text (``_text``), its byte
-    view (``_view``) and the columns of the prepared rule."""
+    view (``_view``) and the columns of the prepared rule.
+
+    Rules are found by the literal they require, or else by a set of texts of
+    which every match contains one.  Only rules without any such text of
+    ``MIN_LITERAL`` bytes are tested on each row.
+    """
     utf8 = F.contains(F.col("flags"), F.lit("8"))
-    usable = F.coalesce(F.length("literal") >= MIN_LITERAL, F.lit(False)) & ~utf8
-    by_literal = table.filter(usable)
-    others = table.filter(~usable)
+    literal = F.coalesce(F.length("literal") >= MIN_LITERAL, F.lit(False)) & ~utf8
+    factors = F.array_min(F.transform(_factors(table), F.char_length))
+    sets_of = ~literal & F.coalesce(factors >= MIN_LITERAL, F.lit(False))
+    if is_binary(df, text):  # a byte there is a character to a rule over characters
+        sets_of = sets_of & (~utf8 | ~F.exists("any_of", lambda t: t.rlike(r"[^\x00-\x7f]")))
+    one = F.when(literal, F.array("literal")).otherwise(_factors(table))
+    sets = table.withColumn("_set", one).withColumn("_rid", F.xxhash64(*table.columns))
     parts = []
-    if by_literal.limit(1).collect():
-        parts.append(_by_literal(df, by_literal, text, keys, max_index_rows))
+    for caseless, these in ((False, literal | (sets_of & ~F.col("caseless"))), (True, sets_of & F.col("caseless"))):
+        same = sets.filter(these)
+        if same.limit(1).collect():
+            parts.append(_by_factors(df, same, table.columns, text, keys, caseless, max_index_rows))
+    others = table.filter(~literal & ~sets_of)
     if others.limit(1).collect() or not parts:
         parts.append(_by_test(df, others, text, keys))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _factors(table: DataFrame) -> Column:
+    """The texts of ``any_of`` as byte views."""
+    wide = F.transform("any_of", lambda t: F.decode(F.encode(t, "UTF-8"), "ISO-8859-1"))
+    return F.when(F.contains(F.col("flags"), F.lit("8")), wide).otherwise(F.col("any_of"))
+
+
+def _by_factors(df, sets, columns, text, keys, caseless, max_index_rows) -> DataFrame:
+    """Rules (with ``_set`` and ``_rid``) on the rows that may hold one of the
+    rule's texts; caseless texts are looked up in the folded row."""
+    texts = _texts(df, text, keys)
+    folded = fold_ascii(F.col("_view")) if caseless else F.col("_view")
+    texts = texts.withColumn("_raw", F.encode(folded, "ISO-8859-1"))
+    factors = sets.select("_rid", F.explode("_set").alias("_one")).distinct()
+    factors = factors.select("_rid", F.encode("_one", "ISO-8859-1").alias("lit"))
+    pairs = gram_pairs(texts, factors, keys, "_raw", ["_text", "_view"], max_index_rows)
+    rules = sets.select("_rid", *columns)
+    few = rules.count() <= MAX_BROADCAST_ROWS
+    found = pairs.join(F.broadcast(rules) if few else rules, "_rid")
+    subject = F.when(F.contains(F.col("flags"), F.lit("8")), F.col("_text")).otherwise(F.col("_view"))
+    return found.filter(F.regexp_like(subject, F.col("forward"))).select(*keys, "_text", "_view", *columns)
+
+
 def _texts(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     view = F.expr(view_of(df, text))
     return df.select(
@@ -63,24 +97,6 @@ def _texts(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _by_literal(df, table, text, keys, max_index_rows) -> DataFrame:
-    """Only the first occurrence of a literal in a row is a candidate, so each
-    pair is verified once and needs no ``distinct``."""
-    texts = _texts(df, text, keys).withColumn("_raw", F.encode("_view", "ISO-8859-1"))
-    literals = table.withColumn("lit", F.encode("literal", "ISO-8859-1"))
-    hits = gram_occurrences(
-        texts,
-        literals,
-        keys,
-        "_raw",
-        keep=table.columns,
-        carry=["_text", "_view"],
-        max_index_rows=max_index_rows,
-    )
-    first = F.instr(F.col("_view"), F.col("literal")) == F.col("_from") + 1
-    return hits.filter(first & F.regexp_like("_view", "forward")).drop("_from")
-
-
 def _by_test(df, table, text, keys) -> DataFrame:
     """Every rule is tested on every row; the rules are broadcast, in slices if
     there are many."""

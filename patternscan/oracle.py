@@ -692,3 +692,17 @@ SELECT doc_id, rule_id, from_off, to_off + 1 AS to_off
 FROM m JOIN words ON x = w JOIN docs USING (doc_id)
 WHERE substr(t, to_off + 1, 1) IN (' ', ',', '.', chr(10))""",
 )
+oracle(
+    "match_rules_caseless",
+    f"""WITH {DOCS}, {WORDS}, {leftmost('m', '[0-9A-Za-z_]+')}, marked AS (
+  SELECT doc_id, x FROM m JOIN docs USING (doc_id) WHERE substr(t, to_off + 1, 1) IN (' ', ',', '.', chr(10)))
+SELECT DISTINCT doc_id, rule_id FROM marked, words
+WHERE lower(x) = lower(w) AND (rule_id % 2 = 0 OR x = w OR x = upper(w))""",
+)
+oracle(
+    "flag_allow_empty",
+    f"""WITH urls AS (SELECT page_id, {bytes_of('url')} AS t FROM pages), ends AS (
+  SELECT page_id, t, unnest(range(0, strlen(t) + 1)) AS to_off FROM urls)
+SELECT page_id, 1::BIGINT AS rule_id, to_off - strlen(regexp_extract(left(t, to_off), '[a-z]*$')) AS from_off, to_off
+FROM ends""",
+)

@@ -129,6 +129,8 @@ PREPARED_FIELDS = (
     "ascii_only boolean",
     "nullable boolean",
     "stack_risk boolean",
+    "any_of array<string>",
+    "caseless boolean",
 )
 
 
@@ -166,6 +168,8 @@ def prepared_table(rules: DataFrame, eod: bool = True) -> DataFrame:
             p.ascii_only,
             p.nullable,
             p.stack_risk,
+            list(p.any_of),
+            p.caseless,
         )
 
     def run(batches):

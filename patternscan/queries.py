@@ -247,6 +247,25 @@ def prefilter_rules(spark, sf_dir):
     return hits.select(*big("doc_id", "rule_id"))
 
 
+def case_rules(spark, sf_dir) -> DataFrame:
+    """A rule per different word of ``benchmark``: caseless, or the word in small
+    or large letters, so that no rule requires one fixed text."""
+    plain = word_rules(spark, sf_dir, "")
+    word = F.regexp_extract("expression", r"^\\b([A-Za-z]+)", 1)
+    either = F.concat(F.lit(r"\b(?:"), word, F.lit("|"), F.upper(word), F.lit(r")[ ,.\n]"))
+    odd = F.col("rule_id") % 2 == 1
+    return plain.withColumn("expression", F.when(odd, either).otherwise(F.col("expression"))).withColumn(
+        "flags", F.when(odd, F.lit("")).otherwise(F.lit("i"))
+    )
+
+
+@query
+def match_rules_caseless(spark, sf_dir):
+    """Hundreds of rules without one fixed text each, found by sets of texts."""
+    hits = scan.match_rules(documents(spark, sf_dir), case_rules(spark, sf_dir))
+    return hits.select(*big("doc_id", "rule_id"))
+
+
 # --------------------------------------------------------------------------
 # event scans
 
@@ -258,6 +277,13 @@ def scan_events_digits(spark, sf_dir):
     return doc_events(scan.scan_events(documents(spark, sf_dir), DIGITS))
 
 
+@query
+def flag_allow_empty(spark, sf_dir):
+    """A rule that may match nothing: it ends at every position."""
+    found = scan.scan_events(pages(spark, sf_dir), Rule(1, "[a-z]*", "VL"), "url", ("page_id",))
+    return found.select(*big("page_id", *EVENT))
+
+
 ENDING = Rule(1, r"(?:ing|tion|ation|ed)[ ,.]", "L")
 
 
