@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from patternscan.functions.syntax import LITERAL, Rule, RuleError
 from patternscan.operators.approx import scan_edit_distance, scan_hamming_distance
 from patternscan.operators.events import combination_formulas, combine_rules, drop_quiet
-from patternscan.operators.scan import scan_events
+from patternscan.operators.scan import scan_exact
 
 DISTANCES = {"edit_distance": scan_edit_distance, "hamming_distance": scan_hamming_distance}
 
@@ -53,7 +53,7 @@ def _of_list(df, rules: Sequence[Rule], text, keys) -> list[DataFrame]:
         if near:
             parts.append(scan(df, near, text=text, keys=keys))
     if plain:
-        parts.append(scan_events(df, plain, text, keys))
+        parts.append(scan_exact(df, plain, text, keys))
     return parts
 
 
@@ -69,5 +69,5 @@ def _of_table(df, rules: DataFrame, text, keys) -> list[DataFrame]:
         if near.limit(1).collect():
             parts.append(scan(df, near, text=text, keys=keys))
     if plain.limit(1).collect():
-        parts.append(scan_events(df, plain, text, keys))
+        parts.append(scan_exact(df, plain, text, keys))
     return parts

@@ -14,7 +14,7 @@ from types import SimpleNamespace
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from patternscan.functions.syntax import ALL_ENDS, LEFTMOST, LITERAL, Prepared, Rule
+from patternscan.functions.syntax import ALL_ENDS, LEFTMOST, LITERAL, Prepared, Rule, RuleError
 from patternscan.functions.views import (
     byte_view,
     bytes_between,
@@ -39,6 +39,7 @@ from patternscan.plans.ruleset import (
     START_ZERO,
     RuleSet,
     load_rules,
+    reject_set_flags,
     start_method,
     worker_rules,
 )
@@ -124,6 +125,8 @@ def match_any(text: str, rule) -> Column:
     ``text`` names a string column (or is a SQL expression of one).
     """
     prepared = load_rules(rule).prepared
+    if prepared is None:
+        raise RuleError("a column holds a rule set up to the unroll limit; use match_rules for a larger table")
     if any(p.stack_risk for p in prepared):
         from patternscan.operators.captures import matches_in_worker
 
@@ -393,8 +396,17 @@ def scan_events(
     """All-ends scan: one event per (rule, end offset).
 
     ``from_off`` is 0 unless the rule has flag ``L``.  NULL blocks give no
-    events, or an error with ``strict``; ``null_blocks`` lists them.
+    events, or an error with ``strict``; ``null_blocks`` lists them.  Formulas
+    (``C``) and quiet rules (``Q``) are errors here: see ``scan_rule_set``.
     """
+    reject_set_flags(rules)
+    return scan_exact(df, rules, text, keys, strict)
+
+
+def scan_exact(
+    df: DataFrame, rules, text: str = "text", keys: Sequence[str] = ("doc_id",), strict: bool = False
+) -> DataFrame:
+    """``scan_events`` for a part of a rule set: quiet rules report, formulas do not."""
     return _scan(df, load_rules(rules, (ALL_ENDS, LITERAL)), text, keys, strict, False)
 
 
@@ -558,6 +570,8 @@ def coalesced(events: str) -> str:
 
 def _find(text: str, rules, n: int) -> str:
     prepared = load_rules(rules).prepared
+    if prepared is None:
+        raise RuleError("a column holds a rule set up to the unroll limit; use scan_events for a larger table")
     found = event_array(text, RuleSet(prepared))
     # leftmost-first matches are never merged
     if not all(p.rule.kind == LEFTMOST for p in prepared):

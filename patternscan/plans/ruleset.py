@@ -84,6 +84,19 @@ def _exact(rule: Rule) -> None:
         )
 
 
+def reject_set_flags(rules) -> None:
+    """A scan of single rules must not pass over what a rule says about the
+    whole set: formulas (``C``) and quiet rules (``Q``)."""
+    if isinstance(rules, DataFrame):
+        flagged = rules.filter(F.coalesce(F.col("flags"), F.lit("")).rlike("[CQ]")).select("rule_id").limit(1).collect()
+        named = [r["rule_id"] for r in flagged]
+    else:
+        listed = [rules] if isinstance(rules, (str, Rule)) else rules if isinstance(rules, (list, tuple)) else []
+        named = [r.rule_id for r in listed if isinstance(r, Rule) and set(r.flags) & set("CQ")]
+    if named:
+        raise RuleError(f"rule {named[0]} is a formula or quiet: use scan_rule_set")
+
+
 def load_rules(rules, kinds: Iterable[str] | None = None, eod: bool = True) -> RuleSet:
     """Accept one rule, a list of rules, or a rules table of any size.
 

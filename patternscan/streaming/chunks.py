@@ -20,7 +20,7 @@ from patternscan.functions.syntax import ALL_ENDS, LITERAL, Prepared, Rule, Rule
 from patternscan.functions.views import binary_view, each, keep, let, view_of, view_text
 from patternscan.operators.events import coalesce_events, limit_events
 from patternscan.operators.scan import event, event_array
-from patternscan.plans.ruleset import RuleSet, load_rules
+from patternscan.plans.ruleset import RuleSet, load_rules, reject_set_flags
 
 BUCKET = 256  # chunks per run: about 1 MB of 4 KB chunks
 TOTALS_BUCKET = 4096  # rows per run when only numbers are summed
@@ -261,6 +261,7 @@ class _Local:
 
 
 def _stream_rules(rules) -> list[Rule]:
+    reject_set_flags(rules)
     loaded = load_rules(rules, (ALL_ENDS, LITERAL))
     if loaded.prepared is None:
         raise ValueError("a stream scan needs a rule set that fits the driver")

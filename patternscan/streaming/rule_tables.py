@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from patternscan.functions.syntax import ALL_ENDS, LITERAL, Rule, RuleError
 from patternscan.functions.views import view_text
 from patternscan.operators.scan import table_events
-from patternscan.plans.ruleset import MAX_UNROLLED, prepared_table, row_to_rule
+from patternscan.plans.ruleset import MAX_UNROLLED, prepared_table, reject_set_flags, row_to_rule
 from patternscan.streaming import chunks as ch
 
 #: What a rule says about the whole stream: it waits until offsets are global.
@@ -30,7 +30,7 @@ def as_table(rules) -> DataFrame | None:
     """The rules if they are a table too large to unroll."""
     if not isinstance(rules, DataFrame):
         return None
-    rules = rules.filter(~F.coalesce(F.col("flags"), F.lit("")).contains("C"))
+    reject_set_flags(rules)
     return rules if len(rules.limit(MAX_UNROLLED + 1).collect()) > MAX_UNROLLED else None
 
 

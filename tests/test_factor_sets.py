@@ -4,10 +4,11 @@ import random
 
 import pytest
 
-from patternscan.functions.syntax import Rule, prepare
+from patternscan.functions.syntax import Rule, RuleError, prepare
 from patternscan.operators import scan
 from patternscan.operators.prefilter import prefilter_verify
 from patternscan.plans.ruleset import RULES_SCHEMA
+from patternscan.streaming.chunks import scan_stream
 
 STEMS = ["alpha", "Beta", "gamma", "straße", "größe", "license", "KELVIN", "naïve", "delta", "omega"]
 
@@ -65,3 +66,17 @@ def test_no_rule_with_a_required_text_is_tested_on_each_row(spark):
 ])
 def test_folded_texts(expression, flags, has):
     assert prepare(Rule(1, expression, flags)).any_of == has
+
+
+def test_whole_set_flags_and_large_tables_are_not_passed_over(spark):
+    texts = some_texts(spark)
+    for rule in (Rule(1, "alpha", "Q"), Rule(2, "1 & 2", "C")):
+        for rules in (rule, [Rule(3, "beta"), rule], rule_table(spark, [Rule(3, "beta"), rule])):
+            with pytest.raises(RuleError, match="scan_rule_set"):
+                scan.scan_events(texts, rules)
+            with pytest.raises(RuleError, match="scan_rule_set"):
+                scan_stream(texts.selectExpr("doc_id AS stream_id", "0L AS seq", "text AS chunk"), rules)
+    with pytest.raises(RuleError, match="match_rules"):
+        scan.match_any("text", rule_table(spark, some_rules()))
+    with pytest.raises(RuleError, match="scan_events"):
+        scan.find_first("text", rule_table(spark, some_rules()))
