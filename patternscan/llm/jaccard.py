@@ -42,6 +42,10 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
+#: Characters that are hashed at a time: some 100 bytes of arrays for each.
+_TOGETHER = 1 << 18
+
+
 @dataclass(frozen=True)
 class JaccardParams:
     """Shingles of ``width`` words; a link needs
@@ -258,7 +262,7 @@ def linked(left: list[str], right: list[str], p: JaccardParams) -> np.ndarray:
     """Which pairs of texts link.  Sets are compared by 64-bit hashes; pairs so
     near to the limit that a collision could matter are compared by words."""
     keep = np.zeros(len(left), bool)
-    for part in chunks([x + y for x, y in zip(left, right)]):
+    for part in chunks([range(len(x) + len(y)) for x, y in zip(left, right)], _TOGETHER):  # only lengths count
         common, union = overlaps(left[part.start : part.stop], right[part.start : part.stop], p.width)
         margin = 100 * common - p.percent * union
         for k in np.flatnonzero(np.abs(margin) <= 4 * (100 + p.percent)).tolist():
@@ -301,7 +305,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unit, hub = None, []
         for batch in batches:
-            left, right, ends = [], [], []
+            found, left, right, ends = [], [], [], []
             for a, k, side, node, text in batch.itertuples(index=False, name=None):
                 if (a, k) != unit:
                     unit, hub = (a, k), []
@@ -312,8 +316,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame
                     left.append(other)
                     right.append(text)
                     ends.append((a, node))
-            keep = linked(left, right, p)
-            yield pd.DataFrame([e for e, k in zip(ends, keep) if k], columns=["a", "b"])
+                if len(ends) >= 256:
+                    found += [e for e, k in zip(ends, linked(left, right, p)) if k]
+                    left, right, ends = [], [], []
+            found += [e for e, k in zip(ends, linked(left, right, p)) if k]
+            yield pd.DataFrame(found, columns=["a", "b"])
 
     found = rows.sortWithinPartitions("a", "unit", "side").mapInPandas(verify, pairs.select("a", "b").schema)
     return found.distinct()
@@ -416,7 +423,7 @@ def near_duplicates(
         for batch in column:
             texts = ["" if t is None else t for t in batch]
             n, counts, prints, sigs = [], [], [], []
-            for part in chunks(texts):
+            for part in chunks(texts, _TOGETHER):
                 owner, s = shingles(texts[part.start : part.stop], p.width)
                 size = np.bincount(owner, minlength=len(part)).astype(np.int64)
                 point = points(owner, s, size, p)
