@@ -51,7 +51,8 @@ def _same_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _candidates(
-    df: DataFrame, literals: DataFrame, keys: Sequence[str], raw: str, keep: Sequence[str], max_index_rows: int
+    df: DataFrame, literals: DataFrame, keys: Sequence[str], raw: str, keep: Sequence[str], max_index_rows: int,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``keys, _row, _p, keep, lit, _len, _j``: a gram of the text at ``_p`` that
     equals the literal's gram at ``_j``.
@@ -80,9 +81,10 @@ def _candidates(
     place = "CAST(shiftright(c, 3) AS INT)"
     gram = _gram(raw, place).replace("_k", "CAST(c & 7 AS INT)")
     cut = f"explode(transform(concat({every}), c -> named_struct('_gram', {gram}, '_p', {place})))"
-    grams = df.select(*keys, _row_hash(keys, raw), F.expr(cut).alias("_at")).select(*keys, "_row", "_at.*")
-    index = index.drop("_k")
     few = sum(n * STRIDES[k] for k, n in counts.items()) <= max_index_rows
+    carry = list(carry) if few else []  # within one stage a text is not copied
+    grams = df.select(*keys, *carry, _row_hash(keys, raw), F.expr(cut).alias("_at")).select(*keys, *carry, "_row", "_at.*")
+    index = index.drop("_k")
     candidates = grams.join(F.broadcast(index) if few else index.hint("shuffle_hash"), "_gram")
     return candidates.filter("_p >= _j").drop("_gram")
 
@@ -103,7 +105,10 @@ def gram_occurrences(
     ``_from`` and the text columns ``carry`` of the row.
     """
     keys, keep, carry = list(keys), list(keep), list(carry)
-    candidates = _candidates(df, literals, keys, raw, keep, max_index_rows)
+    candidates = _candidates(df, literals, keys, raw, keep, max_index_rows, [*carry, raw])
+    if raw in candidates.columns:
+        hits = candidates.filter(F.expr(f"substring({raw}, _p - _j + 1, _len) = lit"))
+        return hits.select(*keys, *keep, *carry, F.expr("CAST(_p - _j AS BIGINT) AS _from"))
     # each different row once; rows that repeat one have candidates of their own
     named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
     rows = df.select(*named, *carry, raw, _row_hash(keys, raw)).repartition("_row")
