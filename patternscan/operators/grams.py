@@ -83,7 +83,10 @@ def _candidates(
     cut = f"explode(transform(concat({every}), c -> named_struct('_gram', {gram}, '_p', {place})))"
     few = sum(n * STRIDES[k] for k, n in counts.items()) <= max_index_rows
     carry = list(carry) if few else []  # within one stage a text is not copied
-    grams = df.select(*keys, *carry, _row_hash(keys, raw), F.expr(cut).alias("_at")).select(*keys, *carry, "_row", "_at.*")
+    # the hash is made before grams are: above them it would be made for each
+    wanted = list(dict.fromkeys([*keys, *carry, raw]))
+    grams = df.select(*wanted, _row_hash(keys, raw)).select(*keys, *carry, "_row", F.expr(cut).alias("_at"))
+    grams = grams.select(*keys, *carry, "_row", "_at.*")
     index = index.drop("_k")
     candidates = grams.join(F.broadcast(index) if few else index.hint("shuffle_hash"), "_gram")
     return candidates.filter("_p >= _j").drop("_gram")
