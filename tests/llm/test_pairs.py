@@ -154,14 +154,12 @@ def edited(text, following):
     return text[: len(text) - half] + following[:half]
 
 
-@pytest.mark.parametrize(
-    "sql, portion, weight", [("tf", 1.0, lambda n: n), ("1 + ln(tf)", 0.2, lambda n: 1 + math.log(n))]
-)
-def test_fingerprints_estimate_likeness(spark, words, sql, portion, weight):
+@pytest.mark.parametrize("sql, weight", [("tf", lambda n: n), ("1 + ln(tf)", lambda n: 1 + math.log(n))])
+def test_fingerprints_estimate_likeness(spark, words, sql, weight):
     chance = random.Random(9)
     rows = [(7 * i**3, " ".join(chance.choices(words[: 40 + i], k=300))) for i in range(60)]
     rows += [(5_000_000_000 + i, rows[0][1]) for i in range(3)]
-    params = fingerprint.SketchParams(weight=sql, portion=portion)
+    params = fingerprint.SketchParams(weight=sql)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in fingerprint.fingerprints(df, params).collect()}
     errors = []
@@ -187,8 +185,9 @@ def test_successors(spark):
 
 
 def test_fingerprints_of_awkward_rows(awkward, nothing):
-    rows = {r.doc_id: r for r in fingerprint.fingerprints(awkward).collect()}
-    assert len(rows) == 9
+    got = fingerprint.fingerprints(awkward).collect()
+    assert len(got) == awkward.count()
+    rows = {r.doc_id: r for r in got}
     for doc_id in (1, 2, 3):
         assert rows[doc_id].fingerprint == ""
     assert rows[1].near_next == rows[1].near_edited == 1.0 and rows[3].near_next == 0.0
@@ -198,6 +197,29 @@ def test_fingerprints_of_awkward_rows(awkward, nothing):
     assert fingerprint.fingerprints(nothing).collect() == []
 
 
+def test_rows_that_repeat_an_id_or_have_none_keep_their_own_fingerprint(spark):
+    texts = [(0, "a b c d"), (0, "q r"), (None, "a b c d"), (None, "x y z"), (None, "x y z"), (9, "m n o p"), (9, "m n o p")]
+    got = fingerprint.fingerprints(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or -1, r.n_chars) for r in got) == sorted((d or -1, len(t)) for d, t in texts)
+
+    def new(doc_id, text):
+        following = {0: "m n o p", 9: "q r"}.get(doc_id, "")
+        return hashlib.sha256(edited(text, following).encode()).hexdigest()
+
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in got) == sorted((str(d), new(d, t)) for d, t in texts)
+    assert all(r.near_next == 0.0 for r in got if r.doc_id is None)
+    assert len({r.fingerprint for r in got}) == 4
+
+
+def test_weights_decide_samples(spark):
+    """Texts with the same words, unlike only in their counts, are as like as their counts."""
+    rows = [(2 * i, " ".join([f"w{i}"] * 8 + [f"v{i}"] * 2)) for i in range(40)]
+    rows += [(2 * i + 1, " ".join([f"w{i}"] * 2 + [f"v{i}"] * 8)) for i in range(40)]
+    got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+    near = [r.near_next for r in got.collect() if r.doc_id % 2 == 0]
+    assert abs(np.mean(near) - 4 / 16) < 0.03
+
+
 def test_copies_of_a_row_are_compared_once(spark, monkeypatch):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(1, text)] * 30 + [(2, text + " end")] * 30 + [(2, text + " other")] * 2 + [(3, "far away from all")]
