@@ -2,15 +2,19 @@
 
 A literal cut into k + 1 pieces keeps at least one piece intact under k errors
 (pigeonhole), so exact occurrences of the pieces are the only places to look.
+
+Distances count bytes.  Caseless UTF-8 rules (``i8``) fold every character whose
+other case has as many bytes; the others equal only themselves (the Kelvin sign
+is no ``k``, the long s no ``s``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
-from functools import reduce
+from functools import cache, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patternscan.functions.syntax import LITERAL, Rule, RuleError, byte_text, check_flags
@@ -35,6 +39,23 @@ from patternscan.sources.rule_lines import checked_flags
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+@cache
+def _characters() -> dict[str, str]:
+    """Characters and their fold where it is another character of as many bytes,
+    so that offsets stay."""
+    every = (chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    folds = ((c, c.casefold()) for c in every)
+    return {c: f for c, f in folds if c != f and len(f) == 1 and len(c.encode()) == len(f.encode())}
+
+
+def _folded(text: Column, wide: bool) -> Column:
+    """A text in one case: of A to Z, or of all characters."""
+    if not wide:
+        return fold_ascii(text)
+    table = _characters()
+    return F.translate(text.cast("string"), "".join(table), "".join(table.values()))
+
+
 def _pieces(literal: str, k: int) -> list[tuple[int, str]]:
     """(offset, text) of k + 1 pieces of about equal size."""
     if len(literal) <= k:
@@ -111,12 +132,16 @@ def _reported(r: Rule, start: str, end: str) -> str:
 
 def _scan(df, rules: Sequence[Rule], k, text, keys, build, key: str) -> DataFrame:
     rules = [replace(r, flags=check_flags(r)) for r in rules]
-    caseless = [replace(r, flags=r.flags.replace("i", "")) for r in rules if "i" in r.flags]
-    if caseless:
-        # the text and the literals in one case (of A to Z; offsets stay)
-        folded = [replace(r, expression=r.expression.translate(_LOWER)) for r in caseless]
-        low = df.select(*keys, fold_ascii(F.col(text)).alias(text))
-        parts = [_scan(low, folded, k, text, keys, build, key)]
+    if any("i" in r.flags for r in rules):
+        # the text and the literals in one case (offsets stay): of characters for UTF-8 rules
+        parts = []
+        for wide in (False, True):
+            alike = [r for r in rules if "i" in r.flags and ("8" in r.flags) == wide]
+            table = str.maketrans(_characters()) if wide else _LOWER
+            folded = [replace(r, flags=r.flags.replace("i", ""), expression=r.expression.translate(table)) for r in alike]
+            if folded:
+                low = df.select(*keys, _folded(F.col(text), wide).alias(text))
+                parts.append(_scan(low, folded, k, text, keys, build, key))
         plain = [r for r in rules if "i" not in r.flags]
         if plain:
             parts.append(_scan(df, plain, k, text, keys, build, key))
@@ -145,15 +170,17 @@ def _scan_table(df, rules: DataFrame, k: int, text, keys, key: str) -> DataFrame
     places they point to are compared."""
     keys = list(keys)
     letters = checked_flags("flags", LITERAL)
-    caseless = rules.filter(F.contains(letters, F.lit("i")))
-    if caseless.limit(1).collect():
-        low = df.select(*keys, fold_ascii(F.col(text)).alias(text))
-        folded = caseless.withColumn("expression", fold_ascii(F.col("expression")))
-        folded = folded.withColumn("flags", F.replace(letters, F.lit("i"), F.lit("")))
-        plain = rules.filter(~F.contains(letters, F.lit("i")))
-        return _scan_table(low, folded, k, text, keys, key).unionByName(
-            _scan_table(df, plain, k, text, keys, key)
-        )
+    caseless, wide = F.contains(letters, F.lit("i")), F.contains(letters, F.lit("8"))
+    kinds = {r.wide for r in rules.filter(caseless).select(wide.alias("wide")).distinct().collect()}
+    if kinds:  # at most two
+        found = _scan_table(df, rules.filter(~caseless), k, text, keys, key)
+        for kind in sorted(kinds):
+            low = df.select(*keys, _folded(F.col(text), kind).alias(text))
+            alike = rules.filter(caseless & (wide == F.lit(kind))).withColumns(
+                {"expression": _folded(F.col("expression"), kind), "flags": F.replace(letters, F.lit("i"), F.lit(""))}
+            )
+            found = found.unionByName(_scan_table(low, alike, k, text, keys, key))
+        return found
     rules = rules.withColumn("flags", letters)
     whole = rules.selectExpr(
         "rule_id",

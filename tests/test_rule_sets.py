@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patternscan.functions.syntax import LITERAL, Rule, RuleError
-from patternscan.operators.approx import scan_edit_distance
+from patternscan.operators.approx import scan_edit_distance, scan_hamming_distance
 from patternscan.operators.events import combine_rules
 from patternscan.operators.literals import scan_literals
 from patternscan.operators.rule_sets import scan_rule_set
@@ -102,3 +102,17 @@ def test_more_formulas_than_one_projection_takes(spark):
     events = spark.createDataFrame([(1, 7, 0, 3, 0)], "doc_id long, rule_id int, from_off long, to_off long, flags int")
     got = combine_rules(events, {1000 + i: "7 | 8" for i in range(300)})
     assert got.select("rule_id").distinct().count() == 300 and got.filter(F.col("to_off") == 3).count() == 300
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+@pytest.mark.parametrize("scan, bound", [(scan_edit_distance, "edit_distance"), (scan_hamming_distance, "hamming_distance")])
+def test_caseless_utf8_rules_fold_characters(spark, as_table, scan, bound):
+    docs = spark.createDataFrame([(1, "wörd9x"), (2, "ab WÖRD9x"), (3, "ΣΊΣΥΦΟΣ"), (4, "wrd")], "doc_id long, text string")
+    rules = [Rule(1, "WÖRD9Y", "i8L", {bound: 1}, LITERAL), Rule(2, "σίσυφος", "i8L", {bound: 1}, LITERAL), Rule(3, "wÖrd9x", "iL", {bound: 1}, LITERAL)]
+    if as_table:
+        rules = rule_table(spark, rules)
+    got = {(r.doc_id, r.rule_id) for r in scan(docs, rules, 1).collect()}
+    # bytes of other letters than A to Z keep their case without flag 8, and differ in one byte here
+    assert got >= {(1, 1), (2, 1), (3, 2), (2, 3), (1, 3)} and not {d for d, _ in got} & {4}
+    ends = {(r.doc_id, r.from_off, r.to_off) for r in scan(docs, rules, 1).collect() if r.rule_id == 1 and r.doc_id == 2}
+    assert (2, 3, 10) in ends
