@@ -1,7 +1,13 @@
+import random
+import re
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from patternscan.functions.presets import preset_rules
 from patternscan.functions.syntax import Rule, RuleError
+from patternscan.operators import grep
 from patternscan.operators import packets as pk
 from patternscan.operators.grep import grep_lines, grep_totals
 from patternscan.operators.tagging import tag_pii
@@ -23,6 +29,46 @@ def test_grep_files(spark, tmp_path):
     assert tuple(totals) == (2, 35, 1, 3)
 
 
+@pytest.mark.parametrize("step", [256, 3])
+def test_grep_finds_lines_by_index(spark, monkeypatch, step):
+    monkeypatch.setattr(grep, "STEP", step)
+    rng = random.Random(step)
+    texts = ["", "ab", "\n", "ab\n", "\nab", "x" * 600 + "ab" + "y" * 600, "\n" * 300 + "ab" + "\n" * 300]
+    texts += ["".join(rng.choices("ab\né" + "c" * rng.randrange(40), k=rng.randrange(1500))) for _ in range(30)]
+    texts.append(None)
+    df = spark.createDataFrame(list(enumerate(texts)), "file long, content string")
+    want = []
+    for i, text in enumerate(texts):
+        data = (text or "").encode()
+        for m in re.finditer(b"a(?=(\nb|b))", data):
+            end = m.end(1)
+            start = data.rfind(b"\n", 0, m.start()) + 1
+            stop = data.find(b"\n", end)
+            line = data[start : len(data) if stop < 0 else stop].decode()
+            want.append((i, m.start(), end, start, line))
+    columns = ("file", "from_off", "to_off", "line_off", "line")
+    got = grep_lines(df, "a\\n?b", byte_offset=True).select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    raw = df.withColumn("content", F.encode("content", "utf-8"))
+    got = grep_lines(raw, "a\\n?b", byte_offset=True).select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_grep_is_linear(spark):
+    def seconds(n):
+        df = spark.createDataFrame([(0, ("ab " + "\n" * (n % 2)) * n)], "file long, content string")
+        least = []
+        for _ in range(3):
+            began = time.perf_counter()
+            found = grep_lines(df, "ab", byte_offset=True).agg(F.count("line_off"), F.sum("line_off")).first()
+            least.append(time.perf_counter() - began)
+            assert found[0] == n
+        return min(least)
+
+    seconds(1001)
+    assert seconds(160001) < 6 * seconds(40001) + 1
+
+
 COLUMNS = (
     "seq long, ip_version int, frag_offset int, more_fragments boolean, protocol int,"
     " src_addr string, dst_addr string, src_port int, dst_port int, payload string"
