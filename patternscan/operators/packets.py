@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from patternscan.functions.syntax import RuleError
 from patternscan.operators.scan import scan_events
-from patternscan.streaming.chunks import running_totals, scan_stream
+from patternscan.streaming.chunks import scan_stream
+from patternscan.streaming.ordering import dense_order, order_bounds
 
 # IP protocol numbers.
 TCP, UDP = 6, 17
@@ -39,10 +40,16 @@ def assign_streams(packets: DataFrame) -> DataFrame:
     numbered from 0 in order of first appearance.
 
     Flows are equal when their five columns are.  The numbering runs over the
-    flows only, in slices of the sequence, and joins back on the flow.
+    flows only, in blocks of equal shares of the packets, and joins back on the
+    flow.
     """
+    return _flows(packets, order_bounds(packets, "seq"))
+
+
+def _flows(packets: DataFrame, bounds: list[int]) -> DataFrame:
     flows = packets.groupBy(*FLOW).agg(F.min("seq").alias("_first"))
-    numbered = running_totals(flows, (), "_first", {"stream_id": F.lit(1)}, levels=2)
+    # a flow begins with a packet: a block has no more of them than of packets
+    numbered = dense_order(flows, (), "_first", "stream_id", bounds)
     numbered = numbered.select("stream_id", *(F.col(c).alias(f"_{c}") for c in FLOW))
     same = F.lit(True)
     for c in FLOW:
@@ -76,14 +83,20 @@ def payload_stats(packets: DataFrame) -> DataFrame:
 def scan_packets(packets: DataFrame, rules, mode: str = "block") -> DataFrame:
     """Events of every payload: by packet (``seq``) in block mode, by flow
     (``stream_id``) in stream mode, where the matches that need the end of a
-    flow come when it is closed."""
+    flow come when it is closed.
+
+    Packet numbers count all flows, so those of one flow lie far apart; a flow's
+    packets are numbered anew before they are gathered into runs.
+    """
     mode = parse_mode(mode)
     if mode == "vectored":
         raise RuleError("packets are scanned in block or stream mode")
     if mode == "block":
         return scan_events(packets, rules, "payload", ("seq",))
-    chunks = assign_streams(packets).select("stream_id", "seq", "payload")
-    return scan_stream(chunks, rules, ("stream_id",), "seq", "payload", close=True)
+    bounds = order_bounds(packets, "seq")
+    chunks = _flows(packets, bounds).select("stream_id", "seq", "payload")
+    placed = dense_order(chunks, ("stream_id",), "seq", "_place", bounds)
+    return scan_stream(placed, rules, ("stream_id",), "_place", "payload", close=True)
 
 
 def match_rate(

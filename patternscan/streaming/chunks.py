@@ -71,15 +71,17 @@ def running_totals(
     values: dict[str, Column],
     bucket: int = TOTALS_BUCKET,
     levels: int = 1,
+    block: Column | None = None,
 ) -> DataFrame:
     """``df`` with the sum of each value over the rows before this one.
 
     Sums run inside (key, run of ``bucket`` order numbers) groups and over the
     run totals, so one long key is spread over many tasks.  More ``levels`` do
-    the same to the run totals.
+    the same to the run totals.  ``block``, which rises with ``order``, is the
+    run of a row where order numbers are too sparse for runs of equal width.
     """
     keys = list(keys)
-    run = run_of(F.col(order).cast("long"), bucket)
+    run = run_of(F.col(order).cast("long"), bucket) if block is None else block
     marked = df.select("*", run.alias("_run"), *(v.alias(f"_v_{n}") for n, v in values.items()))
     totals = marked.groupBy(*keys, "_run").agg(
         *(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values)
