@@ -10,14 +10,20 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 from functools import reduce
+from itertools import groupby, islice
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from patternscan.functions.syntax import RuleError
 from patternscan.plans.shipping import ship_package
 
 SLOT = 1 << 20  # bytes of text whose events are handled together
+FINE_SLOT = 1 << 12  # the same, where a slot is only counted or numbered
+TASK_CUT = 1000  # rows per key up to which the engine cuts a task's own rows
 
 MAX_FORMULAS = 256  # of one projection; more take several
 
@@ -287,9 +293,13 @@ def limit_events(
     """At most ``n`` events per scan, with ``truncated`` set where more existed.
 
     Tasks cut their own rows to ``n + 1`` per key before the shuffle, so a hot
-    key costs no more than any other.
+    key costs no more than any other.  The engine does so up to ``TASK_CUT``
+    rows; for larger ``n`` the events of each offset slot are counted first, and
+    slots that begin beyond the limit are left out.  That reads ``events`` twice.
     """
     keys = list(keys)
+    if n >= TASK_CUT:
+        events = _first_slots(events, n, keys)
     by_key = Window.partitionBy(*keys).orderBy("to_off", "rule_id", "from_off")
     kept = events.withColumn("_rn", F.row_number().over(by_key)).filter(F.col("_rn") <= n + 1)
     all_of_key = Window.partitionBy(*keys)
@@ -297,6 +307,33 @@ def limit_events(
     return marked.filter(F.col("_rn") <= n).select(*events.columns, "truncated")
 
 
+def _slots(events: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, _slot, _n, _before``: events of each slot, and of the slots before it."""
+    counted = events.groupBy(*keys, _fine_slot().alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")))
+
+
+def _fine_slot() -> Column:
+    return F.expr(f"to_off DIV {FINE_SLOT}")
+
+
+def _with_slots(events: DataFrame, slots: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Events joined with their slot; null keys are equal."""
+    placed = events.withColumn("_slot", _fine_slot())
+    named = slots.select("_n", "_before", *(F.col(c).alias(f"_k_{c}") for c in [*keys, "_slot"]))
+    same = F.lit(True)
+    for c in [*keys, "_slot"]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return placed.join(named, same, how)
+
+
+def _first_slots(events: DataFrame, n: int, keys: list[str]) -> DataFrame:
+    """The events up to the slot that holds number ``n + 1`` of a key."""
+    begun = _slots(events, keys).filter(F.col("_before") <= n)
+    return _with_slots(events, begun, keys, "left_semi").select(*events.columns)
+
+
 def stop_after(
     events: DataFrame, stop: Column, keys: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
@@ -354,6 +391,69 @@ def apply_handler(
     return events.groupBy(*keys).applyInPandas(run, schema)
 
 
+def apply_handler_batches(
+    events: DataFrame,
+    handler: Callable,
+    schema: str,
+    keys: Sequence[str] = ("doc_id",),
+    context=None,
+) -> DataFrame:
+    """Run user code over the ordered events of each scan, a batch at a time.
+
+    ``handler(key, batches, context)`` gets an iterator of pandas frames, by
+    (to, rule, from) across all of them, and yields output tuples.  When it
+    returns before the end, the rest of the scan's events are passed over.  The
+    events of a scan go through one task, which sorts them (on disk if need be)
+    and holds ``spark.sql.execution.arrow.maxRecordsPerBatch`` of them at once.
+    """
+    ship_package(events.sparkSession)
+    shared = events.sparkSession.sparkContext.broadcast(context)
+    columns = T.StructType.fromDDL(schema)
+    keys = list(keys)
+    dealt = events.repartition(*keys) if keys else events.coalesce(1)
+
+    def run(batches):
+        arrow = to_arrow_schema(columns)
+        for key, pieces in groupby(_by_key(batches, keys), itemgetter(0)):
+            rows = handler(key, (piece.to_pandas() for _, piece in pieces), shared.value)
+            yield from _arrow_rows(rows, arrow)
+
+    ordered = dealt.sortWithinPartitions(*keys, "to_off", "rule_id", "from_off")
+    return ordered.mapInArrow(run, columns)
+
+
+def _by_key(batches, keys: list[str]):
+    """Arrow batches sorted by key, cut where the key changes: (key, piece)."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        n = batch.num_rows
+        cuts = set()
+        for name in keys:
+            column = batch.column(batch.schema.get_field_index(name))
+            ahead, behind = column.slice(1), column.slice(0, max(0, n - 1))
+            differ = pc.fill_null(pc.not_equal(ahead, behind), True)
+            both_null = pc.and_(ahead.is_null(), behind.is_null())
+            changed = pc.and_(differ, pc.invert(both_null))
+            cuts.update((changed.to_numpy(zero_copy_only=False).nonzero()[0] + 1).tolist())
+        edges = [0, *sorted(cuts), n]
+        for start, end in zip(edges, edges[1:]):
+            if start < end:
+                piece = batch.slice(start, end - start)
+                key = tuple(piece.column(piece.schema.get_field_index(c))[0].as_py() for c in keys)
+                yield key, piece
+
+
+def _arrow_rows(rows, schema, size: int = 4096):
+    """Tuples as Arrow batches."""
+    import pyarrow as pa
+
+    rows = iter(rows)
+    while part := list(islice(rows, size)):
+        columns = [pa.array(values, field.type) for values, field in zip(zip(*part), schema)]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
 def record_events(
     events: DataFrame,
     keys: Sequence[str] = ("doc_id",),
@@ -379,6 +479,25 @@ def record_events(
     )
 
 
+def record_segments(
+    events: DataFrame, keys: Sequence[str] = ("doc_id",), size: int = 4096
+) -> DataFrame:
+    """All events of a scan as ordered arrays of ``size`` events: ``keys...,
+    segment, events``, segments numbered from 0, the last one shorter.
+
+    An array is a segment and never a scan: events are numbered by the counts of
+    the offset slots before theirs and their place in their slot.
+    """
+    keys = list(keys)
+    placed = _with_slots(events, _slots(events, keys), keys, "inner")
+    in_slot = Window.partitionBy(*keys, "_slot").orderBy("to_off", "rule_id", "from_off", "flags")
+    at = F.col("_before") + F.row_number().over(in_slot) - 1
+    numbered = placed.withColumn("_at", at).withColumn("segment", F.floor(F.col("_at") / size))
+    event = F.struct("_at", F.struct("to_off", "rule_id", "from_off", "flags").alias("e"))
+    segments = numbered.groupBy(*keys, "segment").agg(F.array_sort(F.collect_list(event)).alias("_events"))
+    return segments.select(*keys, "segment", F.transform("_events", lambda x: x["e"]).alias("events"))
+
+
 def count_events(events: DataFrame, by: Sequence[str] = ("rule_id",)) -> DataFrame:
     """Number of events per rule, per scan or in total (``by=()``)."""
     if not by:

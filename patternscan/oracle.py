@@ -453,6 +453,29 @@ oracle(
 SELECT doc_id, ends IS NOT NULL AS matched, coalesce(ends, '') AS ends
 FROM documents LEFT JOIN rec USING (doc_id)""",
 )
+oracle(
+    "limit_events_many",
+    """WITH years AS (
+  SELECT strftime(o_orderdate, '%Y') AS doc_id, (o_custkey % 7)::BIGINT AS rule_id,
+    o_orderkey::BIGINT AS to_off FROM orders),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n,
+  row_number() OVER (PARTITION BY doc_id ORDER BY to_off, rule_id) AS rn FROM years)
+SELECT doc_id, rule_id, to_off, n > 1500 AS truncated FROM ranked WHERE rn <= 1500""",
+)
+oracle(
+    "record_segments",
+    f"""WITH {RANKED}
+SELECT doc_id, ((rn - 1) // 4)::BIGINT AS segment,
+  string_agg(to_off::VARCHAR, ',' ORDER BY rn) AS ends
+FROM ranked GROUP BY ALL""",
+)
+oracle(
+    "handler_batches",
+    f"""WITH {RANKED}, stops AS (
+  SELECT doc_id, min(rn) AS stop FROM ranked WHERE rule_id = 2 GROUP BY doc_id)
+SELECT doc_id, count(*)::BIGINT AS n_events, max(to_off)::BIGINT AS last_off
+FROM ranked LEFT JOIN stops USING (doc_id) WHERE rn <= coalesce(stop, rn) GROUP BY doc_id""",
+)
 oracle(
     "handler",
     f"""WITH {NUMBERS}, gaps AS (SELECT doc_id, to_off - lag(to_off) OVER

@@ -543,6 +543,50 @@ def record_events(spark, sf_dir):
     return recorded.select(*big("doc_id"), "matched", ends.alias("ends"))
 
 
+@query
+def limit_events_many(spark, sf_dir):
+    """A limit beyond what a task cuts by itself: the first orders of each year."""
+    by_year = table(spark, sf_dir, "orders").selectExpr(
+        "date_format(o_orderdate, 'yyyy') AS doc_id",
+        "CAST(o_custkey % 7 AS INT) AS rule_id",
+        "0L AS from_off",
+        "o_orderkey AS to_off",
+        "0 AS flags",
+    )
+    found = events.limit_events(by_year, 1500)
+    return found.select("doc_id", *big("rule_id", "to_off"), "truncated")
+
+
+@query
+def record_segments(spark, sf_dir):
+    recorded = events.record_segments(number_events(spark, sf_dir), size=4)
+    ends = F.array_join(F.transform("events", lambda e: e["to_off"].cast("string")), ",")
+    return recorded.select(*big("doc_id", "segment"), ends.alias("ends"))
+
+
+def _until(key, batches, context):
+    """Events and the last end up to the first event of a rule."""
+    n = last = 0
+    for pdf in batches:
+        stops = (pdf["rule_id"] == context).to_numpy().nonzero()[0]
+        seen = pdf.iloc[: stops[0] + 1] if len(stops) else pdf
+        n, last = n + len(seen), int(seen["to_off"].iloc[-1])
+        if len(stops):
+            break
+    yield key[0], n, last
+
+
+@query
+def handler_batches(spark, sf_dir):
+    """A handler that stops at the first event of rule 2."""
+    return events.apply_handler_batches(
+        number_events(spark, sf_dir),
+        _until,
+        "doc_id bigint, n_events bigint, last_off bigint",
+        context=2,
+    )
+
+
 def _span(key, pdf, context):
     """Longest distance between neighbouring ends, scaled by the context."""
     gaps = pdf["to_off"].diff().fillna(0)

@@ -110,3 +110,78 @@ def test_records_counts_handler(spark, found):
 
     handled = ev.apply_handler(found, longest, "doc_id long, last long", context=100)
     assert {r["doc_id"]: r["last"] for r in handled.collect()}[0] == 110
+
+
+@pytest.mark.parametrize("slot", [1 << 12, 5])
+def test_limits_beyond_a_tasks_cut(found, slot, monkeypatch):
+    monkeypatch.setattr(ev, "FINE_SLOT", slot)
+    want = {n: ordered(ev.limit_events(found, n)) for n in (1, 4, 20)}
+    keyless = found.withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
+    flagged = {r["doc_id"]: r["truncated"] for r in ev.limit_events(keyless, 4).collect()}
+    monkeypatch.setattr(ev, "TASK_CUT", 1)
+    assert {n: ordered(ev.limit_events(found, n)) for n in want} == want
+    again = ev.limit_events(keyless, 4)
+    assert {r["doc_id"]: r["truncated"] for r in again.collect()} == flagged
+    assert again.columns == [*found.columns, "truncated"]
+    assert ev.limit_events(found.limit(0), 4).count() == 0
+
+
+@pytest.mark.parametrize("slot", [1 << 12, 5])
+def test_segments(found, slot, monkeypatch):
+    monkeypatch.setattr(ev, "FINE_SLOT", slot)
+    keyed = found.withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
+    whole = {r["doc_id"]: r["events"] for r in ev.record_events(keyed).collect()}
+    joined = {}
+    rows = ev.record_segments(keyed, size=3).collect()
+    for r in sorted(rows, key=lambda r: r["segment"]):
+        before = joined.setdefault(r["doc_id"], [])
+        assert len(before) == 3 * r["segment"] and 1 <= len(r["events"]) <= 3
+        before.extend(r["events"])
+    assert None in whole and joined == whole
+    assert ev.record_segments(keyed.limit(0)).count() == 0
+
+
+def test_handler_in_batches(spark, found):
+    keyed = found.withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
+    want = {}
+    for doc, to, rule, start in sorted(
+        ((r["doc_id"], r["to_off"], r["rule_id"], r["from_off"]) for r in keyed.collect()), key=lambda r: r[1:]
+    ):
+        want.setdefault(doc, []).append((to, rule, start))
+
+    def echo(key, batches, context):
+        for i, pdf in enumerate(batches):
+            assert len(pdf) <= context
+            for e in pdf.itertuples():
+                yield key[0], e.to_off, e.rule_id, e.from_off, i
+
+    def first_rule_2(key, batches, context):
+        for pdf in batches:
+            if (pdf["rule_id"] == 2).any():
+                yield key[0], int(pdf["to_off"][pdf["rule_id"] == 2].iloc[0])
+                return
+
+    # one task, so that batches hold the end of one key and the start of the next
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        schema = "doc_id long, to_off long, rule_id int, from_off long, batch int"
+        rows = ev.apply_handler_batches(keyed, echo, schema, context=7).collect()
+        got, batches = {}, {}
+        for r in rows:
+            got.setdefault(r["doc_id"], []).append((r["to_off"], r["rule_id"], r["from_off"]))
+            batches.setdefault(r["doc_id"], []).append(r["batch"])
+        assert got == want and None in got
+        assert all(b == sorted(b) for b in batches.values()) and max(batches[4]) > 5
+        stops = ev.apply_handler_batches(keyed, first_rule_2, "doc_id long, at long").collect()
+        firsts = {d: [to for to, rule, _ in v if rule == 2] for d, v in want.items()}
+        assert {r["doc_id"]: r["at"] for r in stops} == {d: v[0] for d, v in firsts.items() if v}
+        empty = ev.apply_handler_batches(keyed.limit(0), echo, schema, context=7)
+        assert empty.count() == 0
+        every = ev.apply_handler_batches(found, lambda k, b, c: [(len(k), sum(map(len, b)))], "k int, n long", ())
+        assert every.collect() == [(0, found.count())]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
