@@ -226,6 +226,24 @@ _DENIED = {
 }
 
 
+@dataclass(frozen=True)
+class Spans:
+    """A rule written so that every part of a match is a group of the pattern.
+
+    Lengths of the parts, in order, place each capture group of the rule:
+    ``groups`` has (number, first part, part after its last, whether it may take
+    no part in a match; a group that may do so is never empty otherwise).
+    """
+
+    pattern: str
+    parts: int
+    groups: tuple[tuple[int, int, int, bool], ...]
+
+
+class _NoSpans(Exception):
+    """A capture group where lengths do not tell its place."""
+
+
 @dataclass(frozen=True)
 class Writer:
     """Writes a parsed rule.
@@ -364,8 +382,11 @@ class Writer:
         return f"(?:{inner})"
 
     def write(self, tree, letters: str) -> str:
-        flags = tree.state.flags
-        text = replace(self, flags=flags).sequence(tree)
+        text = replace(self, flags=tree.state.flags).sequence(tree)
+        # every rule is usable inside a larger pattern, hence the group
+        return f"{self.opening(tree.state.flags, letters)}{text})"
+
+    def opening(self, flags: int, letters: str) -> str:
         prefix = ""
         if flags & re.I:
             prefix += "i"
@@ -373,8 +394,60 @@ class Writer:
                 prefix += "u"
         if "W" in letters and self.java:
             prefix += "U"
-        # every rule is usable inside a larger pattern, hence the group
-        return f"(?{prefix}:{text})" if prefix else f"(?:{text})"
+        return f"(?{prefix}:"
+
+
+    def spans(self, tree, letters: str) -> Spans | None:
+        """The rule as ``Spans``; None if a group repeats, is referred to, stands
+        in a look-around or an atomic group, or may be empty or absent alike."""
+        if any(op in (C.GROUPREF, C.GROUPREF_EXISTS) for op, _ in _walk(tree)):
+            return None
+        groups: list[tuple[int, int, int, bool]] = []
+        try:
+            text, parts = replace(self, flags=tree.state.flags)._parts(tree, 0, False, groups)
+        except _NoSpans:
+            return None
+        return Spans(f"{self.opening(tree.state.flags, letters)}{text})", parts, tuple(sorted(groups)))
+
+    def _parts(self, items, at: int, maybe: bool, groups: list) -> tuple[str, int]:
+        """Items with their parts numbered from ``at``, and the next number."""
+        out, gap = [], []
+
+        def close() -> int:
+            if not gap:
+                return at
+            out.append(f"({self.sequence(gap)})")
+            gap.clear()
+            return at + 1
+
+        for op, av in items:
+            if not any(inner is C.SUBPATTERN and x[0] is not None for inner, x in _walk([(op, av)])):
+                gap.append((op, av))
+                continue
+            at = close()
+            if op is C.SUBPATTERN:
+                number, add, drop, body = av
+                if number is not None and maybe and _width(body)[0] == 0:
+                    raise _NoSpans
+                first = at
+                inner = replace(self, flags=(self.flags | add) & ~drop)
+                text, at = inner._parts(body, at, maybe, groups)
+                switch = ("i" if add & re.I else "") + ("-i" if drop & re.I else "")
+                out.append(f"(?{switch}:{text})")
+                if number is not None:
+                    groups.append((number, first, at, maybe))
+            elif op is C.BRANCH:
+                texts = []
+                for branch in av[1]:
+                    text, at = self._parts(branch, at, True, groups)
+                    texts.append(text)
+                out.append(f"(?:{'|'.join(texts)})")
+            elif op in (C.MAX_REPEAT, C.MIN_REPEAT) and tuple(av[:2]) == (0, 1):
+                text, at = self._parts(av[2], at, True, groups)
+                out.append(f"(?:{text})?{'?' if op is C.MIN_REPEAT else ''}")
+            else:
+                raise _NoSpans
+        return "".join(out) if not gap else "".join((*out, f"({self.sequence(gap)})")), at + bool(gap)
 
 
 # --------------------------------------------------------------------------
@@ -671,6 +744,11 @@ def prepare(rule: Rule, eod: bool = True) -> Prepared:
     )
 
 
+def capture_spans(p: Prepared) -> Spans | None:
+    """How the JVM places the capture groups of a leftmost rule, if it can."""
+    return Writer(captures=True).spans(parse(p.rule), p.rule.flags)
+
+
 def python_pattern(rule: Rule, backward: bool = False, eod: bool = True) -> str:
     """The same rule for Python's ``re`` (Python workers only)."""
     rule = replace(rule, flags=check_flags(rule))

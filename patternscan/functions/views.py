@@ -108,7 +108,7 @@ def quote(literal: str) -> str:
     return "".join(c if c.isalnum() and c.isascii() else f"\\x{{{ord(c):x}}}" for c in literal)
 
 
-def _inclusive(values: str, start: str) -> str:
+def inclusive_sums(values: str, start: str) -> str:
     """``[start, start + v1, start + v1 + v2, ...]`` for a short array."""
     a, x = f"a{next(_names)}", f"x{next(_names)}"
     step = f"concat({a}, array(element_at({a}, -1) + {x}))"
@@ -116,7 +116,7 @@ def _inclusive(values: str, start: str) -> str:
 
 
 def _exclusive(values: str, start: str) -> str:
-    return f"slice({_inclusive(values, start)}, 1, size({values}))"
+    return f"slice({inclusive_sums(values, start)}, 1, size({values}))"
 
 
 def running_sums(values: str) -> str:
@@ -137,7 +137,7 @@ def running_sums(values: str) -> str:
 
     def shift(parts):
         return let(
-            _inclusive(each(parts, total), "0L"),
+            inclusive_sums(each(parts, total), "0L"),
             lambda base: "flatten("
             + each_indexed(parts, lambda p, i: _exclusive(p, f"get({base}, {i})"))
             + ")",
