@@ -27,7 +27,7 @@ TASK_CUT = 1000  # rows per key up to which the engine cuts a task's own rows
 
 MAX_FORMULAS = 256  # of one projection; more take several
 
-# 2^16 and 2^32 bytes; large keeps every start.
+# 2^16 and 2^32 bytes; large keeps every start.
 HORIZONS = {"small": 1 << 16, "medium": 1 << 32, "large": None}
 
 

@@ -13,7 +13,9 @@ from patternscan.streaming.ordering import dense_order, order_bounds
 
 # IP protocol numbers.
 TCP, UDP = 6, 17
+# Columns that make a flow.
 FLOW = ("protocol", "src_addr", "dst_addr", "src_port", "dst_port")
+# Names of scan modes.
 MODES = {"block": "block", "nostream": "block", "stream": "stream", "vectored": "vectored"}
 
 

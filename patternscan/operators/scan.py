@@ -572,6 +572,8 @@ def _find(text: str, rules, n: int) -> str:
     prepared = load_rules(rules).prepared
     if prepared is None:
         raise RuleError("a column holds a rule set up to the unroll limit; use scan_events for a larger table")
+    if n == 1 and all(p.rule.kind == LEFTMOST and not p.nullable and not p.rule.ext for p in prepared):
+        return _first_of(text, prepared)
     found = event_array(text, RuleSet(prepared))
     # leftmost-first matches are never merged
     if not all(p.rule.kind == LEFTMOST for p in prepared):
@@ -580,6 +582,27 @@ def _find(text: str, rules, n: int) -> str:
     return let(limited, lambda a: f"CASE WHEN size({a}) > 0 THEN {a} END")
 
 
+def _first_of(text: str, prepared: Sequence[Prepared]) -> str:
+    """The first leftmost-first event; a rule's text is read up to its first match."""
+
+    def first(view, r):
+        subject = text if r.utf8 else view
+        size = "octet_length" if r.utf8 else "char_length"
+
+        def placed(at):
+            before = f"{size}(substring({subject}, 1, {at} - 1))" if r.utf8 else f"{at} - 1"
+            matched = f"{size}(regexp_extract({subject}, {r.forward}, 0))"
+            found = event(f"{before} + {matched}", r.rule_id, before)
+            return f"CASE WHEN {at} > 0 THEN {found} END"
+
+        return let(f"regexp_instr({subject}, {r.forward})", placed)
+
+    def least(view):
+        return f"array_min(array({', '.join(first(view, RuleSql.of(p)) for p in prepared)}))"
+
+    return let(let(byte_view(text), least), lambda e: f"CASE WHEN {e} IS NOT NULL THEN array({e}) END")
+
+
 def find_all_index(text: str, rules, n: int = -1) -> Column:
     """First ``n`` merged matches as an array of (from_off, to_off, rule_id);
     negative ``n`` gives all, 0 none; NULL when there is none."""

@@ -303,6 +303,16 @@ oracle(
   WHERE contains(text, plain) AND regexp_matches(text, expression))
 SELECT doc_id, rule_id, count(*)::BIGINT AS n_matches FROM hits GROUP BY doc_id, rule_id""",
 )
+oracle(
+    "captures_rule_table",
+    f"""WITH {SENTENCE_RULES}, hits AS (
+  SELECT doc_id, rule_id, unnest(regexp_extract_all(text, expression)) AS x FROM documents, rules
+  WHERE contains(text, plain) AND regexp_matches(text, expression))
+SELECT doc_id, rule_id, count(*)::BIGINT AS n_matches,
+  count(*) FILTER (x LIKE '%.')::BIGINT AS n_stops,
+  sum(strlen(x) - 1)::BIGINT AS n_bytes, sum(strlen(x) - 1)::BIGINT AS sign_after
+FROM hits GROUP BY doc_id, rule_id""",
+)
 oracle(
     "scan_leftmost_numbers",
     f"WITH {DOCS}, {RUNS} SELECT doc_id, 1::BIGINT AS rule_id, from_off, to_off FROM runs",

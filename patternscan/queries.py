@@ -356,6 +356,21 @@ def captures_offsets(spark, sf_dir):
     )
 
 
+@query
+def captures_rule_table(spark, sf_dir):
+    """Groups of hundreds of rules: a sentence and the sign that ends it."""
+    whole = F.concat(F.lit(r"(\Q"), "expression", F.lit(r"\E)([.\n])")).alias("expression")
+    rules = rule_lines.rules_from_strings(sentences(spark, sf_dir).select("rule_id", whole), kind=LEFTMOST)
+    found = captures.scan_captures(documents(spark, sf_dir), rules)
+    sentence, sign = (F.get("captures", F.lit(i)) for i in (1, 2))
+    return found.groupBy(*big("doc_id", "rule_id")).agg(
+        F.count(F.lit(1)).alias("n_matches"),
+        F.count_if(sign["text"] == ".").alias("n_stops"),
+        F.sum(sentence["to_off"] - sentence["from_off"]).alias("n_bytes"),
+        F.sum(sign["from_off"] - F.col("from_off")).alias("sign_after"),
+    )
+
+
 @query
 def find_first(spark, sf_dir):
     index = scan.find_first_index("text", DIGITS)

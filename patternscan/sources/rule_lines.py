@@ -288,7 +288,7 @@ def rules_from_strings(
     else:
         from patternscan.streaming.chunks import running_totals
 
-        ranked = running_totals(df, (), "position", {"_before": F.lit(1)})
+        ranked = running_totals(df, (), "position", {"_before": F.lit(1)}, levels=2)
         df, rule_id = ranked, F.col("_before") + 1
     return df.select(
         rule_id.cast("int").alias("rule_id"),

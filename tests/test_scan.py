@@ -157,6 +157,25 @@ def test_captures(spark):
     assert texts_of["g"] == ["t", "t"]
 
 
+def test_find_first_of_leftmost_rules(spark):
+    rules = [
+        Rule(1, "b+", kind=LEFTMOST), Rule(2, "é.", "8", kind=LEFTMOST), Rule(3, "(?<=é)x|$a", "", kind=LEFTMOST),
+        Rule(4, "c(?=d)", "i", kind=LEFTMOST),
+    ]
+    rng = random.Random(3)
+    lines = ["".join(rng.choices("abcdéxCD\n", k=rng.randrange(12))) for _ in range(200)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    for chosen in (rules, rules[1:2], rules[2:]):
+        shown = df.select(
+            scan.find_first_index("text", chosen).alias("at"), scan.find_first("text", chosen).alias("first"),
+            scan.find_all_index("text", chosen).alias("all_at"), scan.find_all("text", chosen).alias("all"),
+        ).collect()
+        assert any(r["at"] is not None for r in shown)
+        for r in shown:
+            assert r["at"] == (r["all_at"][0] if r["all_at"] else None)
+            assert r["first"] == (r["all"][0] if r["all"] else None)
+
+
 def test_find(spark):
     def first(column, text="abc123def456"):
         value = texts(spark, text).select(column.alias("v")).first()["v"]
