@@ -502,7 +502,7 @@ COMBINED = [
 @query
 def combine_and_not(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    found = scan.scan_events(docs, COMBINED)
+    found = scan.scan_exact(docs, COMBINED)
     blocks = docs.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
     formulas = events.combination_formulas(COMBINED)
     return doc_events(events.combine_rules(found, formulas, blocks=blocks))
@@ -510,7 +510,7 @@ def combine_and_not(spark, sf_dir):
 
 @query
 def quiet(spark, sf_dir):
-    found = scan.scan_events(documents(spark, sf_dir), COMBINED)
+    found = scan.scan_exact(documents(spark, sf_dir), COMBINED)
     return doc_events(events.drop_quiet(found, COMBINED))
 
 

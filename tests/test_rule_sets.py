@@ -10,6 +10,7 @@ from patternscan.operators.literals import scan_literals
 from patternscan.operators.rule_sets import scan_rule_set
 from patternscan.operators.scan import scan_events
 from patternscan.plans.ruleset import RULES_SCHEMA
+from patternscan.queries import QUERIES
 
 TEXTS = [(1, "Tést TEST test TÉST the license"), (2, "abc LICENCE License lisence"), (3, ""), (4, None)]
 
@@ -116,3 +117,11 @@ def test_caseless_utf8_rules_fold_characters(spark, as_table, scan, bound):
     assert got >= {(1, 1), (2, 1), (3, 2), (2, 3), (1, 3)} and not {d for d, _ in got} & {4}
     ends = {(r.doc_id, r.from_off, r.to_off) for r in scan(docs, rules, 1).collect() if r.rule_id == 1 and r.doc_id == 2}
     assert (2, 3, 10) in ends
+
+
+@pytest.mark.parametrize("name, wanted", [("q_combine_and_not", {104, 105, 106}), ("q_quiet", {103})])
+def test_queries_scan_quiet_rules_for_their_formulas(spark, tmp_path, name, wanted):
+    rows = [(1, "a License of 2024"), (2, "in 1999"), (3, "nothing"), (4, None), (4, "token 1"), (None, "token 1234")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.rule_id for r in QUERIES[name](spark, str(tmp_path)).collect()} == wanted
