@@ -9,7 +9,7 @@ text side shrinks by the stride.  All classes share one pass over the text.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,15 +23,16 @@ def _gram_length(k: int) -> int:
     return (1 << k) - STRIDES[k] + 1
 
 
-def _by_class(column: str, value) -> str:
-    cases = " ".join(f"WHEN {k} THEN {value(k)}" for k in STRIDES)
+def _by_class(column: str, value, classes: Iterable[int] = STRIDES) -> str:
+    cases = " ".join(f"WHEN {k} THEN {value(k)}" for k in classes)
     return f"CASE {column} {cases} END"
 
 
-def _gram(raw: str, start: str) -> str:
+def _gram(raw: str, start: str, k: str = "_k", classes: Iterable[int] = STRIDES) -> str:
     """Hash of the gram at ``start``: a number joins faster than bytes, and
     candidates are compared byte by byte anyway."""
-    return f"xxhash64(_k, substring({raw}, {start} + 1, {_by_class('_k', _gram_length)}))"
+    length = _by_class(k, _gram_length, sorted(classes) or STRIDES)
+    return f"xxhash64({k}, substring({raw}, {start} + 1, {length}))"
 
 
 def fold_ascii(text: Column) -> Column:
@@ -78,15 +79,18 @@ def _candidates(
         return f"CASE WHEN {enough} THEN sequence({k}L, {last}, {step}L) ELSE {nothing} END"
 
     every = ", ".join(cuts(k) for k in sorted(counts)) or "CAST(array() AS ARRAY<BIGINT>)"
-    place = "CAST(shiftright(c, 3) AS INT)"
-    gram = _gram(raw, place).replace("_k", "CAST(c & 7 AS INT)")
-    cut = f"explode(transform(concat({every}), c -> named_struct('_gram', {gram}, '_p', {place})))"
     few = sum(n * STRIDES[k] for k, n in counts.items()) <= max_index_rows
     carry = list(carry) if few else []  # within one stage a text is not copied
     # the hash is made before grams are: above them it would be made for each
     wanted = list(dict.fromkeys([*keys, *carry, raw]))
-    grams = df.select(*wanted, _row_hash(keys, raw)).select(*keys, *carry, "_row", F.expr(cut).alias("_at"))
-    grams = grams.select(*keys, *carry, "_row", "_at.*")
+    places = df.select(*wanted, _row_hash(keys, raw)).withColumn("_cut", F.explode(F.expr(f"concat({every})")))
+    # places become rows and then grams: inside a lambda a gram costs many times as much
+    grams = places.select(
+        *dict.fromkeys([*keys, *carry]),
+        "_row",
+        F.expr(_gram(raw, "CAST(shiftright(_cut, 3) AS INT)", "CAST(_cut & 7 AS INT)", counts)).alias("_gram"),
+        F.expr("CAST(shiftright(_cut, 3) AS INT)").alias("_p"),
+    )
     index = index.drop("_k")
     candidates = grams.join(F.broadcast(index) if few else index.hint("shuffle_hash"), "_gram")
     return candidates.filter("_p >= _j").drop("_gram")
