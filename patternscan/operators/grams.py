@@ -109,16 +109,18 @@ def gram_occurrences(
 
     ``df`` has ``keys`` and the binary column ``raw``; ``literals`` has the
     binary column ``lit`` and the columns ``keep``.  Returns ``keys``, ``keep``,
-    ``_from`` and the text columns ``carry`` of the row.
+    ``_from`` and the text columns ``carry`` of the row; ``_row`` among them is
+    a hash of the keys and ``raw``.
     """
     keys, keep, carry = list(keys), list(keep), list(carry)
-    candidates = _candidates(df, literals, keys, raw, keep, max_index_rows, [*carry, raw])
+    told = [c for c in carry if c != "_row"]
+    candidates = _candidates(df, literals, keys, raw, keep, max_index_rows, [*told, raw])
     if raw in candidates.columns:
         hits = candidates.filter(F.expr(f"substring({raw}, _p - _j + 1, _len) = lit"))
         return hits.select(*keys, *keep, *carry, F.expr("CAST(_p - _j AS BIGINT) AS _from"))
     # each different row once; rows that repeat one have candidates of their own
     named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
-    rows = df.select(*named, *carry, raw, _row_hash(keys, raw)).repartition("_row")
+    rows = df.select(*named, *told, raw, _row_hash(keys, raw)).repartition("_row")
     rows = rows.dropDuplicates(["_row", *(f"_key{i}" for i in range(len(keys)))])
     same = F.expr(f"substring({raw}, _p - _j + 1, _len) = lit")
     hits = _same_keys(candidates.join(rows, "_row"), keys).filter(same)
@@ -139,8 +141,15 @@ def gram_pairs(
     ``factors`` has ``_rid`` and the binary column ``lit``.  Pairs are narrow until
     they are different, and then fetch the columns ``carry`` of their row.
     """
+    found = _candidates(df, factors, list(keys), raw, ["_rid"], max_index_rows)
+    return pair_rows(df, found, keys, raw, carry)
+
+
+def pair_rows(df: DataFrame, found: DataFrame, keys: Sequence[str], raw: str, carry: Sequence[str]) -> DataFrame:
+    """``keys, _rid, carry``: each row with each rule that ``found`` has for its
+    ``_row``, once; rows that are repeated stay so."""
     keys = list(keys)
-    found = _candidates(df, factors, keys, raw, ["_rid"], max_index_rows).select(*keys, "_row", "_rid").distinct()
+    found = found.select(*keys, "_row", "_rid").distinct()
     named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
     rows = df.select(*named, *carry, _row_hash(keys, raw))
     return _same_keys(found.join(rows, "_row"), keys).select(*keys, "_rid", *carry)

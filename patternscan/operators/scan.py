@@ -7,7 +7,7 @@ the text table: nothing shuffles, and a row never leaves its task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from types import SimpleNamespace
 
@@ -158,7 +158,7 @@ def match_rules(
     if rule_set.table is not None:
         risky = worker_rules(rule_set.table, F.col("stack_risk"))
         safe = rule_set.table.filter("NOT stack_risk")
-        hits = _pairs(df, safe, text, keys).select(*keys, "rule_id")
+        hits = _pairs(df, safe, text, keys, False).select(*keys, "rule_id")
         return _with_worker_hits(hits, df, risky, text, keys)
     risky = [p for p in rule_set.prepared if p.stack_risk]
     safe = [p for p in rule_set.prepared if not p.stack_risk]
@@ -203,11 +203,13 @@ def _with_worker_hits(hits: DataFrame | None, df, risky, text, keys) -> DataFram
     return more if hits is None else hits.unionByName(more)
 
 
-def _pairs(df: DataFrame, table: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
+def _pairs(
+    df: DataFrame, table: DataFrame, text: str, keys: Sequence[str], with_text: bool = True
+) -> DataFrame:
     # Imported here: the prefilter builds on this module.
     from patternscan.operators.prefilter import rule_pairs
 
-    return rule_pairs(df, table, text, keys)
+    return rule_pairs(df, table, text, keys, with_text=with_text)
 
 
 # --------------------------------------------------------------------------
@@ -507,7 +509,15 @@ def table_events(
             single=s["_single"],
             ascii_only=False,
         )
-        pairs = _pairs(df, same.select(*table.columns), text, keys)
+        same = same.select(*table.columns)
+        if not s["_single"] and not s["_utf8"] and not leftmost:
+            near = _near(same)
+            if same.filter(near).limit(1).collect():
+                parts.append(_window_events(df, same.filter(near), text, keys, r, carry))
+                same = same.filter(~near)
+                if not same.limit(1).collect():
+                    continue
+        pairs = _pairs(df, same, text, keys)
         raw = "encode(_view, 'ISO-8859-1')"
         found = let(raw, lambda b, r=r: rule_events("_text", b, "_view", r, leftmost))
         exploded = pairs.select(*keys, *carry, F.explode(F.expr(found)).alias("_e"))
@@ -515,6 +525,43 @@ def table_events(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _near(table: DataFrame) -> Column:
+    """Rules whose events are found around the one literal they require."""
+    from patternscan.operators.prefilter import has_literal
+    from patternscan.operators.windows import is_near
+
+    return has_literal() & is_near()
+
+
+def _window_events(df, table, text, keys, r: RuleSql, carry) -> DataFrame:
+    """The events of rules of one shape, each from the last occurrence of the
+    rule's literal before its end.  No text is copied or shuffled for that."""
+    from patternscan.operators.grams import MAX_INDEX_ROWS
+    from patternscan.operators.prefilter import literal_windows
+    from patternscan.operators.windows import own_ends
+
+    of_text = [c for c in carry if c == "_view"]
+    around = literal_windows(df, table, text, keys, of_text, MAX_INDEX_ROWS)
+    local = replace(r, min_offset=None, max_offset=None)
+    raw = "encode(_window, 'ISO-8859-1')"
+    found = let(raw, lambda b: rule_events("_window", b, "_window", local, False))
+    own = keep(found, lambda e: own_ends(f"{e}.to_off"))
+    shift = "_lo" if r.reports_start and r.start != START_ZERO else "0L"
+    ends = around.select(*keys, *carry, "_lo", "ext", F.explode(F.expr(own)).alias("_e")).select(
+        *keys,
+        "_e.rule_id",
+        F.expr(f"_e.from_off + {shift}").alias("from_off"),
+        F.expr("_e.to_off + _lo").alias("to_off"),
+        *carry,
+        "ext",
+    )
+    if r.min_offset is not None:
+        ends = ends.filter("to_off >= ext.min_offset")
+    if r.max_offset is not None:
+        ends = ends.filter("to_off <= ext.max_offset")
+    return ends.drop("ext")
+
+
 def null_blocks(df: DataFrame, text: str = "text", keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Blocks that cannot be scanned."""
     return df.filter(F.col(text).isNull()).select(*keys, F.lit("block is NULL").alias("error"))
