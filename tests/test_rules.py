@@ -1,7 +1,10 @@
+import re
+
 import pytest
 
 from patternscan.functions.syntax import LEFTMOST, LITERAL, Rule, RuleError, prepare
 from patternscan.operators.audit import audit_rules, audit_rejects, valid_rules
+from patternscan.operators.scan import scan_events
 from patternscan.plans.ruleset import load_rules
 from patternscan.sources.rule_lines import (
     append_rules,
@@ -131,3 +134,19 @@ def test_bad_rules_raise_before_a_scan():
         load_rules("a(b")
     with pytest.raises(RuleError):
         prepare(Rule(1, "a", "o", kind=LEFTMOST))
+
+
+def test_ends_after_a_free_run_do_not_read_the_text_again(spark):
+    """Read backwards, the run reached the start of the text from each end."""
+    rules = [r"\A.+[0-9]", r"^.{3,}?b[0-9]", r"\A.*a", r"\A.{2,4}[0-9]", r"(?:\A.+)7"]
+    made = [prepare(Rule(i, x, "Ls")) for i, x in enumerate(rules)]
+    assert [r"\z" in p.backward for p in made] == [False, False, False, True, False]
+    text = "1a\nb2ab7\n\né8b9"
+    df = spark.createDataFrame([(1, text), (2, "7"), (3, ""), (4, None), (1, text)], "doc_id long, text string")
+    found = sorted(tuple(r) for r in scan_events(df, [p.rule for p in made]).drop("flags").collect())
+    raw = {1: text.encode(), 2: b"7"}
+    exact = [re.compile(x.encode() + rb"\Z", re.S) for x in rules]
+    want = [
+        (d, i, 0, e) for d in (1, 1, 2) for i, x in enumerate(exact) for e in range(len(raw[d]) + 1) if x.match(raw[d][:e])
+    ]
+    assert found == sorted(want)
