@@ -3,7 +3,11 @@
 A document is a set of shingles, and the set is a point: its shingles are hashed
 into ``groups`` and the point has the count of each group.  The overlap of two
 sets is at most the sum of the smaller counts, and for a box of points (a node
-of an R-tree) at most the sum with the largest counts in the box.
+of an R-tree) at most the sum with the largest counts in the box.  What differs
+on both sides cancels out in a group, so a point also has a row of bits, many
+more than it has groups: each says whether an odd number of shingles falls on it.
+A shingle in which two sets differ changes one bit, so that sets differ in no
+fewer shingles than bits.
 
 Points must first meet on one machine.  Two sets that are similar enough differ
 in at most t shingles.  The hash space is cut into more than t + 1 slices, and a
@@ -44,6 +48,8 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 #: Characters that are hashed at a time: some 100 bytes of arrays for each.
 _TOGETHER = 1 << 18
+#: Pairs whose bits are compared at a time.
+_ROWS = 1 << 12
 
 
 @dataclass(frozen=True)
@@ -71,6 +77,17 @@ class JaccardParams:
         """The least intersection of a link between sets of so many shingles together."""
         return -(-self.percent * sizes // (100 + self.percent))
 
+    def most_difference(self, sizes: np.ndarray) -> np.ndarray:
+        """The most shingles in which linked sets of so many shingles together differ."""
+        return sizes - 2 * self.least_overlap(sizes)
+
+    def odd_sizes(self, n: np.ndarray) -> np.ndarray:
+        """Bits of sets with ``n`` shingles, powers of two from 64: four for each
+        shingle up to 2048, then as many as tell unrelated sets apart (unlike
+        sets differ in half of all bits)."""
+        least = np.maximum(np.minimum(4 * n, 2048), 9 * self.most_difference(2 * n) // 4)
+        return np.int64(1) << np.ceil(np.log2(np.maximum(least, 64))).astype(np.int64)
+
     def levels(self, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each level: its first size, the slices that a set needs (one more
         than the shingles in which linked sets differ), the slices that are cut.
@@ -145,6 +162,43 @@ def points(owner: np.ndarray, s: np.ndarray, n: np.ndarray, p: JaccardParams) ->
     return counts.reshape(len(n), p.groups), [x.tobytes() for x in prints]
 
 
+def odd_bits(owner: np.ndarray, s: np.ndarray, n: np.ndarray, p: JaccardParams) -> list[bytes]:
+    """Of each text with ``n`` shingles: bits that are set where the number of
+    shingles is odd."""
+    size = p.odd_sizes(n)
+    base = np.cumsum(size) - size
+    place = base[owner] + (s & (size[owner] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits(np.bincount(place, minlength=int(size.sum())) & 1, bitorder="little")
+    return [packed[b : b + k].tobytes() for b, k in zip(base // 8, size // 8)]
+
+
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    """The bits as a row of ``size`` bytes would have them: odd and odd is even."""
+    row = np.frombuffer(bits, np.uint8)
+    while len(row) > size:
+        row = row[: len(row) // 2] ^ row[len(row) // 2 :]
+    return row
+
+
+def least_differences(bits: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Of each pair of rows: differing shingles that their bits show.  A row
+    without bits may be like any other."""
+    size = np.array([len(b) for b in bits], np.int64)
+    common = np.minimum(size[left], size[right])
+    out = np.zeros(len(left), np.int64)
+    for k in np.unique(common).tolist():
+        at = np.flatnonzero(common == k)
+        sides = []
+        for ends in (left[at], right[at]):
+            rows, place = np.unique(ends, return_inverse=True)
+            sides.append((np.stack([_folded(bits[r], k) for r in rows.tolist()]), place))
+        (a, i), (b, j) = sides
+        for part in range(0, len(at) if k else 0, _ROWS):
+            here = slice(part, part + _ROWS)
+            out[at[here]] = np.bitwise_count(a[i[here]] ^ b[j[here]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _content(
     owner: np.ndarray, s: np.ndarray, level: np.ndarray, cuts: np.ndarray, use: np.ndarray, salt: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -350,19 +404,24 @@ def _hub_pairs(stars: DataFrame, chosen: DataFrame, p: JaccardParams) -> DataFra
         for u in np.flatnonzero(size > CountTree.leaf).tolist():
             at = there[unit[there] == u]
             found.append(at[CountTree(counts[at], sizes[at]).search(counts[hub[u]], int(sizes[hub[u]]), p)])
-        kept = frame.iloc[np.concatenate(found)]
+        near = np.concatenate(found)
+        other = hub[unit[near]]
+        differ = least_differences(frame["odd"].tolist(), near, other)
+        kept = frame.iloc[near[differ <= p.most_difference(sizes[near] + sizes[other])]]
         return pd.DataFrame({"a": kept["a"], "b": kept["node"]})
 
     binned = rows.withColumn("bin", F.pmod(F.xxhash64("a", "unit"), F.lit(bins)))
     return binned.groupBy("bin").applyInPandas(ask, stars.select("a", "b").schema)
 
 
-def _search(members: DataFrame, p: JaccardParams, folder: str) -> DataFrame:
-    """Pairs ``a, b`` of different components in buckets (``sig, node, root, n,
-    counts, size``) that the bound does not exclude.
+def _search(members: DataFrame, chosen: DataFrame, p: JaccardParams, folder: str) -> DataFrame:
+    """Pairs ``a, b`` of different components in buckets (``sig, node, root,
+    size``) that neither bound excludes.
 
     A bucket larger than a block is dealt into blocks, and each pair of blocks is
-    a unit; a task gets units of some ``together`` points at a time.
+    a unit; a task gets units of some ``together`` points at a time.  Most members
+    of a large bucket that are still apart link with none of it, so that nearly
+    all their pairs have to go before they are rows.
     """
     blocks = F.ceil(F.col("size") / p.block).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -370,10 +429,10 @@ def _search(members: DataFrame, p: JaccardParams, folder: str) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
         "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "node", "root", "n", "counts",
+        "block", "node", "root",
     )
 
-    dealt = saved(dealt, folder, "blocks")
+    dealt = saved(dealt, folder, "blocks")  # narrow: points join it on its way to a task
     bins = max(1, -(-dealt.count() // p.together))
 
     def join(frame: pd.DataFrame) -> pd.DataFrame:
@@ -381,18 +440,21 @@ def _search(members: DataFrame, p: JaccardParams, folder: str) -> DataFrame:
         for (_, i, j), unit in frame.groupby(["sig", "i", "j"], sort=False):
             counts = np.array(unit["counts"].tolist(), np.int64).reshape(len(unit), p.groups)
             sizes, root = unit["n"].to_numpy(np.int64), unit["root"].to_numpy()
-            block, node = unit["block"].to_numpy(), unit["node"].to_numpy()
+            block, node, odd = unit["block"].to_numpy(), unit["node"].to_numpy(), unit["odd"].tolist()
             indexed = np.flatnonzero(block == i)
             tree = CountTree(counts[indexed], sizes[indexed])
             for q in np.flatnonzero(block == j).tolist():
                 near = indexed[tree.search(counts[q], int(sizes[q]), p)]
                 near = near[(root[near] != root[q]) & ((i < j) | (near < q))]
+                differ = least_differences(odd, near, np.full(len(near), q))
+                near = near[differ <= p.most_difference(sizes[near] + sizes[q])]
                 found += [(node[k], node[q]) for k in near.tolist()]
         out = pd.DataFrame(found, columns=["x", "y"], dtype=frame["node"].dtype)
-        return pd.DataFrame({"a": out[["x", "y"]].min(axis=1), "b": out[["x", "y"]].max(axis=1)})
+        out = pd.DataFrame({"a": out[["x", "y"]].min(axis=1), "b": out[["x", "y"]].max(axis=1)})
+        return out.drop_duplicates()  # long texts may share hundreds of buckets
 
     node = members.schema["node"].dataType
-    binned = dealt.withColumn("bin", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(bins)))
+    binned = dealt.join(chosen, "node").withColumn("bin", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(bins)))
     pairs = binned.groupBy("bin").applyInPandas(join, StructType([StructField("a", node), StructField("b", node)]))
     return pairs.distinct()
 
@@ -418,11 +480,11 @@ def near_duplicates(
     folder = shared_folder(spark)
     plain = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text"))
 
-    @F.pandas_udf("n long, print binary, counts array<int>, sigs array<long>")
+    @F.pandas_udf("n long, print binary, counts array<int>, odd binary, sigs array<long>")
     def measure(column: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in column:
             texts = ["" if t is None else t for t in batch]
-            n, counts, prints, sigs = [], [], [], []
+            n, counts, prints, odd, sigs = [], [], [], [], []
             for part in chunks(texts, _TOGETHER):
                 owner, s = shingles(texts[part.start : part.stop], p.width)
                 size = np.bincount(owner, minlength=len(part)).astype(np.int64)
@@ -430,13 +492,15 @@ def near_duplicates(
                 n += size.tolist()
                 counts += list(point[0].astype(np.int32))
                 prints += point[1]
+                odd += odd_bits(owner, s, size, p)
                 text, sig = slices(owner, s, size, p)
                 ends = np.cumsum(np.bincount(text, minlength=len(part)))
                 sigs += np.split(sig[np.argsort(text, kind="stable")], ends[:-1])
-            yield pd.DataFrame({"n": n, "print": prints, "counts": counts, "sigs": pd.Series(sigs, dtype=object)})
+            point = {"n": n, "print": prints, "counts": counts, "odd": odd}
+            yield pd.DataFrame(point | {"sigs": pd.Series(sigs, dtype=object)})
 
     measured = plain.select("node", measure("text").alias("_p"))
-    rows = saved(measured.select("node", "_p.n", "_p.print", "_p.counts", "_p.sigs"), folder, "points")
+    rows = saved(measured.select("node", "_p.n", "_p.print", "_p.counts", "_p.odd", "_p.sigs"), folder, "points")
     full = rows.filter("n > 0 and node is not null")
     classes = full.groupBy("n", "print").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     several = saved(classes.filter("lo < hi").select("n", "print", F.col("lo").alias("stands")), folder, "classes")
@@ -454,15 +518,18 @@ def near_duplicates(
 
     # points and texts that may be compared, fetched once
     asked = saved(members.select("node").distinct(), folder, "asked")
-    chosen = keep_ids(chosen, "node", asked).select("node", "n", "counts").dropDuplicates(["node"])
-    chosen = saved(chosen, folder, "chosen")
+    chosen = keep_ids(chosen, "node", asked).select("node", "n", "print", "counts", "odd")
     texts = keep_ids(plain.filter("node is not null and text is not null"), "node", asked)
     again = placed.filter("class_node is not null").groupBy("node").count().filter("count > 1").select("node")
     again = saved(again, folder, "again")
     if not again.isEmpty():  # copies of a row would multiply its pairs
+        sets = keep_ids(full, "node", again).groupBy("node").agg(F.min("print").alias("lo"), F.max("print").alias("hi"))
+        unlike = sets.filter("lo <> hi").select("node", F.lit(True).alias("unlike"))  # bits of one set say nothing of others
+        chosen = chosen.join(unlike, "node", "left").withColumn("odd", F.when(F.col("unlike").isNull(), F.col("odd")).otherwise(F.lit(b"")))
         copies = keep_ids(texts, "node", again).dropDuplicates(["node", "text"])
         texts = keep_ids(texts, "node", again, others=True).unionByName(copies)
     texts = saved(texts, folder, "texts")
+    chosen = saved(chosen.select("node", "n", "counts", "odd").dropDuplicates(["node"]), folder, "chosen")
     stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     stars = saved(stars, folder, "stars")
     near = saved(_hub_pairs(stars, chosen, p), folder, "star-pairs")
@@ -477,8 +544,8 @@ def near_duplicates(
         F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("all"),
     ).filter("lo <> hi")
     once = apart.groupBy("size", "all").agg(F.min("sig").alias("sig")).select("sig")  # a bucket's members once
-    left = joined.join(once, "sig", "leftsemi").join(chosen, "node")
-    pairs = saved(_search(left, p, folder), folder, "pairs")
+    left = joined.join(once, "sig", "leftsemi")
+    pairs = saved(_search(left, chosen, p, folder), folder, "pairs")
     final = roots
     if not pairs.isEmpty():
         more = saved(_verified(pairs, texts, p), folder, "pair-links")

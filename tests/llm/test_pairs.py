@@ -113,6 +113,53 @@ def test_tree_finds_what_the_bound_allows():
         assert set(tree.search(counts[q], int(sizes[q]), p)) == want
 
 
+def test_bits_show_no_more_than_differs(words):
+    """Also between sets of different sizes, whose bits are folded."""
+    chance = random.Random(2)
+    p = jaccard.JaccardParams(width=1, percent=80)
+    for n in (1, 7, 40, 130, 260, 520, 5000):
+        rows = [[f"x{i}" for i in range(n)]]
+        for changed in (1, n // 12, n // 5, n // 2, n):
+            rows.append(rows[0][changed:] + [f"y{chance.random()}" for _ in range(chance.randint(0, 2 * changed))])
+        owner, s = jaccard.shingles([" ".join(r) for r in rows], 1)
+        bits = jaccard.odd_bits(owner, s, np.bincount(owner, minlength=len(rows)), p)
+        pairs = np.array(list(itertools.combinations(range(len(rows)), 2)))
+        shown = jaccard.least_differences(bits, pairs[:, 0], pairs[:, 1])
+        for (a, b), d in zip(pairs.tolist(), shown.tolist()):
+            differ = len(set(rows[a]) ^ set(rows[b]))
+            assert d <= differ and d % 2 == differ % 2
+            smaller, larger = sorted((len(rows[a]), len(rows[b])))
+            most = p.most_difference(np.int64(smaller + larger))
+            if differ > 1.5 * most and 40 <= smaller and 80 * larger <= 100 * smaller:
+                assert d > most
+    none = jaccard.least_differences([b"", bits[1], bits[2]], np.array([0, 1]), np.array([1, 2]))
+    assert none[0] == 0 < none[1]
+
+
+def test_versions_that_do_not_link_are_not_paired(spark, words, monkeypatch):
+    """Versions of a text that share buckets but no link made a row for each pair."""
+    base = [f"w{i}" for i in range(400)]
+    chance, texts = random.Random(11), []
+    for k in range(80):
+        text = list(base)
+        for i in chance.sample(range(0, 400, 5), 7):
+            text[i] = f"n{k}x{i}"
+        texts.append(" ".join(text))
+    asked, verified = [], jaccard._verified
+
+    def counted(pairs, texts, p):
+        asked.append(pairs.count())
+        return verified(pairs, texts, p)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    rows = list(enumerate(texts))
+    got = jaccard.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), jaccard.JaccardParams(width=5, percent=80)
+    )
+    assert {r.doc_id: r.component_id for r in got.collect()} == plain_components(rows, 5, 80)
+    assert sum(asked) < 80
+
+
 def test_jaccard_of_awkward_rows(awkward, nothing):
     rows = jaccard.near_duplicates(awkward).collect()
     assert len(rows) == awkward.count()
